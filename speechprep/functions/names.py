@@ -75,14 +75,16 @@ def truncate_words(c: Column, max_len: int) -> Column:
     return F.when(F.length(c) <= max_len, c).otherwise(rstrip(backed))
 
 
-def cap_album_dir(lang_dir: str, safe_title: Column, slug: Column, max_dir: int = 200, title_cap: int = 100) -> Column:
+def cap_album_dir(lang_dir: Column, safe_title: Column, slug: Column, max_dir: int = 200, title_cap: int = 100) -> Column:
     """Album directory ``<lang_dir>/<title[:100]>``; if longer than ``max_dir``
-    the title is cut further by the excess (F3)."""
+    the title is cut further by the excess (F3).  An empty title falls back
+    to the slug."""
     title = F.when(safe_title == "", slug).otherwise(safe_title)
-    first = F.concat(F.lit(lang_dir + "/"), title.substr(1, title_cap))
+    prefix = F.concat(lang_dir, F.lit("/"))
+    first = F.concat(prefix, title.substr(F.lit(1), F.lit(title_cap)))
     excess = F.length(first) - F.lit(max_dir)
     return F.when(F.length(first) > max_dir,
-                  F.concat(F.lit(lang_dir + "/"), _left(title, F.lit(title_cap) - excess))).otherwise(first)
+                  F.concat(prefix, _left(title, F.lit(title_cap) - excess))).otherwise(first)
 
 
 def cap_episode_file(album_dir: Column, file_name: Column, seq: Column, max_path: int = 250,

@@ -58,15 +58,17 @@ def dedupe_names(df: DataFrame, group: str, name: str, order: str, width: int =
     A generated name can collide with a literal one; the numbering is then
     re-run on the result (bounded to ``max_rounds``, as collisions need a
     literal ``x_01`` next to two ``x``).  The suffix goes before the file
-    extension.
+    extension.  Where a literal name equals a generated one, a one-by-one
+    loop would skip to the next free counter while this re-run suffixes the
+    later duplicate again (``x_01_01``); names stay unique either way and
+    are keyed on the row, not on what exists on disk.
     """
     cur = df.withColumn(out, F.col(name))
     for _ in range(max_rounds):
         r = ranked(cur, [group, out], [order], rn_col="_rn")
         ext = F.regexp_extract(F.col(out), r"^(.*[^.].*)(\.[^.]*)$", 2)
         root = F.when(ext == "", F.col(out)).otherwise(F.regexp_extract(F.col(out), r"^(.*[^.].*)(\.[^.]*)$", 1))
-        idx = (F.col("_rn") - 1).cast("string")
-        sfx = F.lpad(idx, width, "0") if width > 0 else idx
+        sfx = F.format_string(f"%0{width}d" if width > 0 else "%d", F.col("_rn") - 1)
         cur = r.withColumn(out, F.when(F.col("_rn") == 1, F.col(out)).otherwise(F.concat(root, F.lit("_"), sfx, ext))).drop("_rn")
     return cur
 
