@@ -33,11 +33,11 @@ def split_evenly(df: DataFrame, group: str, order: str, n: int, out: str = "part
     return r.withColumn(out, part.cast("bigint")).drop("_rn", "_cnt")
 
 
-def volume_byte_ranges(df: DataFrame, group: str, order: str, size_col: str, part_bytes: int) -> DataFrame:
+def volume_byte_ranges(df: DataFrame, group: str, order: list[str], size_col: str, part_bytes: int) -> DataFrame:
     """Cut each group's concatenated archive into fixed ``part_bytes`` parts
     and list the parts every file touches (E14).  Offsets are a skew-safe
     running sum; the explode is bounded by the file's own size / part size."""
-    r = ranked(df, [group], [order], value_col=size_col, rn_col="_rn", cum_col="_end")
+    r = ranked(df, [group], list(order), value_col=size_col, rn_col="_rn", cum_col="_end")
     start = F.col("_end") - F.col(size_col)
     first = F.floor(start / F.lit(part_bytes)).cast("bigint")
     last = F.floor(F.greatest(F.col("_end") - 1, start) / F.lit(part_bytes)).cast("bigint")
