@@ -1 +1,261 @@
-"""Queries (filled in below)."""
+"""Crawl-data queries: URL lists, landed catalog pages, availability, page
+extraction (A4-A7, A10, B6, B8, D4, G1-G4)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..fixtures import Tables
+from ..functions import names
+from ..sources import catalogs, pages
+from .registry import query
+
+STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+URL_RE = "^([A-Za-z][A-Za-z0-9+.-]*):(//([^/?#]*))?([^?#]*)(\\?([^#]*))?(#(.*))?$"
+PROGRAMS_JSON = '{"data":{"programs":[{"id":"BIGINT","title":"VARCHAR"}]}}'
+
+
+def _strip(x: str) -> str:
+    return STRIP.format(x=x)
+
+
+# ------------------------------------------------------------------- A4
+@query("read_url_list", [], f"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
+                  generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
+c AS (SELECT doc_id, line_no, {_strip("raw")} AS url FROM l),
+k AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY doc_id, line_no) AS rn,
+             count(*) OVER (PARTITION BY url) AS n_seen
+      FROM c WHERE url <> '' AND NOT starts_with(url, '#'))
+SELECT url, doc_id AS first_src, CAST(line_no AS BIGINT) AS first_line, n_seen FROM k WHERE rn = 1
+""")
+def read_url_list(t: Tables):
+    return catalogs.read_url_list(t.documents, "text", "doc_id")
+
+
+# ------------------------------------------------------------- A5 A7 A10 B8
+_FLAT_SQL = f"""
+f0 AS (SELECT source_id, page_no, json_transform(payload, '{PROGRAMS_JSON}').data.programs AS progs FROM v_catalog),
+f AS (SELECT source_id, page_no, CAST(generate_subscripts(progs, 1) - 1 AS BIGINT) AS track_pos,
+             unnest(progs) AS t FROM f0),
+flat AS (SELECT source_id, page_no, track_pos, t.id AS track_id, coalesce(t.title, CAST(t.id AS VARCHAR)) AS title FROM f)
+"""
+
+
+def _flat(t: Tables):
+    return catalogs.flatten_program_pages(t.v_catalog)
+
+
+@query("flatten_catalog", ["v_catalog"], "WITH " + _FLAT_SQL + "SELECT * FROM flat")
+def flatten_catalog(t: Tables):
+    return _flat(t)
+
+
+@query("paginate_until_last", ["v_catalog"], f"""
+WITH p AS (SELECT source_id, page_no,
+                  coalesce(len(json_transform(payload, '{PROGRAMS_JSON}').data.programs), 0) AS n_items FROM v_catalog),
+s AS (SELECT source_id, min(CASE WHEN n_items = 0 THEN page_no - 1 WHEN n_items < 2 THEN page_no END) AS stop
+      FROM p GROUP BY source_id)
+SELECT p.source_id, p.page_no, p.n_items FROM p JOIN s ON p.source_id = s.source_id
+WHERE s.stop IS NULL OR p.page_no <= s.stop
+""")
+def paginate_until_last(t: Tables):
+    return catalogs.paginate_until_last(t.v_catalog, catalogs.page_sizes(t.v_catalog), 2) \
+        .select("source_id", "page_no", "n_items")
+
+
+@query("prefer_first_title", ["v_catalog"], "WITH " + _FLAT_SQL + f""",
+fs AS (SELECT source_id, first(title ORDER BY page_no, track_pos) AS ft FROM flat GROUP BY source_id)
+SELECT source_id, CASE WHEN coalesce(ft, '') = '' THEN 'source_' || CAST(source_id AS VARCHAR)
+                       ELSE {_strip("regexp_replace(ft, '[/\\\\]', '_', 'g')")} END AS album_title
+FROM fs
+""")
+def prefer_first_title(t: Tables):
+    fallback = F.concat(F.lit("source_"), F.col("source_id").cast("string"))
+    return catalogs.prefer_first_title(_flat(t), "source_id", ["page_no", "track_pos"], "title", fallback)
+
+
+@query("show_manifest", ["v_catalog"], "WITH " + _FLAT_SQL + """
+SELECT source_id, 'show_' || CAST(source_id AS VARCHAR) AS show_name,
+       COUNT(*) OVER (PARTITION BY source_id) AS episode_count,
+       CAST(row_number() OVER (PARTITION BY source_id ORDER BY page_no, track_pos) - 1 AS BIGINT) AS ordinal,
+       track_id
+FROM flat
+""")
+def show_manifest(t: Tables):
+    show_name = F.concat(F.lit("show_"), F.col("source_id").cast("string"))
+    return catalogs.show_manifest(_flat(t), "source_id", ["page_no", "track_pos"], "track_id",
+                                  {"show_name": show_name})
+
+
+# ------------------------------------------------------------------- A6
+_FILES_SQL = """CASE doc_id % 3
+  WHEN 0 THEN '[{"name":"' || CAST(doc_id AS VARCHAR) || '.txt"}]'
+  WHEN 1 THEN '[{"name":"a.txt"},{"name":"' || CAST(doc_id AS VARCHAR) || '.mp4"},{"name":"' || CAST(doc_id AS VARCHAR) || '.mkv"}]'
+  ELSE '[{"name":"' || CAST(doc_id AS VARCHAR) || '.mkv"},{"name":"x.mp4"}]' END"""
+
+
+@query("pick_first_media_file", ["v_names"], f"""
+WITH v AS (SELECT doc_id, title, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE album END AS drive_base,
+                  list_filter(from_json({_FILES_SQL}, '[{{"name":"VARCHAR"}}]'),
+                              lambda f: ends_with(f.name, '.mkv') OR ends_with(f.name, '.mp4')) AS hits
+           FROM v_names)
+SELECT doc_id, hits[1].name AS media_file,
+       'https://content.example.org/' || drive_base || '/' || CAST(doc_id AS VARCHAR) || '/' || hits[1].name AS download_url,
+       CAST(doc_id AS VARCHAR) || '_' || substr({_strip("regexp_replace(title, '[\\\\/*?:\"<>|]', '', 'g')")}, 1, 100) || '.opus' AS output_file
+FROM v WHERE len(hits) > 0 AND coalesce(drive_base, '') <> ''
+""")
+def pick_first_media_file(t: Tables):
+    df = t.v_names.select(
+        "doc_id", "title",
+        F.when(F.col("doc_id") % 7 == 0, F.lit(None)).otherwise(F.col("album")).alias("drive_base"),
+        F.expr(_FILES_SQL.replace("VARCHAR", "STRING")).alias("files_json"),
+    )
+    out = catalogs.pick_first_media_file(df, "files_json", "https://content.example.org", "drive_base", "doc_id")
+    return out.select("doc_id", "media_file", "download_url",
+                      F.concat(F.col("doc_id").cast("string"), F.lit("_"),
+                               names.cap_title(names.clean_ragtag(F.col("title"))), F.lit(".opus")).alias("output_file"))
+
+
+# ------------------------------------------------------------------- B6
+_META_SQL = """CASE doc_id % 4 WHEN 0 THEN '{"playable": false}' WHEN 1 THEN '{"is_playable": false}'
+                WHEN 2 THEN '{"playable": true, "is_playable": false}' ELSE 'not json' END"""
+
+
+@query("classify_availability", ["v_names"], f"""
+WITH e AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN url END AS external_url, {_META_SQL} AS meta,
+                  doc_id % 5 = 0 AS present FROM v_names),
+p AS (SELECT *, CASE WHEN json_valid(meta) THEN coalesce(TRY_CAST(json_extract_string(meta, '$.playable') AS BOOLEAN),
+                                                    TRY_CAST(json_extract_string(meta, '$.is_playable') AS BOOLEAN), true)
+                     ELSE true END AS playable FROM e)
+SELECT doc_id, playable,
+       CASE WHEN coalesce(external_url, '') = '' THEN 'skipped_vip' WHEN present THEN 'exists' ELSE 'download' END AS free_status,
+       CASE WHEN coalesce(external_url, '') <> '' THEN 'skipped_free' WHEN NOT playable THEN 'skipped_paywall'
+            WHEN present THEN 'exists' ELSE 'download' END AS paid_status
+FROM p
+""")
+def classify_availability(t: Tables):
+    df = t.v_names.select(
+        "doc_id",
+        F.when(F.col("doc_id") % 3 == 0, F.col("url")).alias("external_url"),
+        F.expr(_META_SQL).alias("meta"),
+        (F.col("doc_id") % 5 == 0).alias("present"),
+    )
+    return catalogs.classify_availability(df, "external_url", "meta", "present") \
+        .select("doc_id", "playable", "free_status", "paid_status")
+
+
+# ------------------------------------------------------------- G1 G2 D4
+_ORIGIN = f"regexp_extract(url, '{URL_RE}', 1) || '://' || regexp_extract(url, '{URL_RE}', 3)"
+_LINK = '<a href="([^"]*)">([^<]*)</a>'
+
+
+@query("extract_links", [], f"""
+WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{_LINK}', 1)) AS href,
+                  unnest(regexp_extract_all(html, '{_LINK}', 2)) AS txt FROM pages),
+k AS (SELECT page_id, txt,
+             CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href
+                  WHEN starts_with(href, '//') THEN regexp_extract(url, '{URL_RE}', 1) || ':' || href
+                  ELSE {_ORIGIN} || href END AS link
+      FROM l WHERE starts_with(href, '/') AND length(href) - length(replace(href, '/', '')) >= 1)
+SELECT page_id, link, min({_strip("txt")}) AS link_text FROM k GROUP BY page_id, link
+""")
+def extract_links(t: Tables):
+    return pages.extract_links(t.pages)
+
+
+_PARA = "<p>([^<]*(?:<[^p/][^<]*|</[^p][^<]*)*)"
+_ENTRIES_SQL = f"""
+e0 AS (SELECT page_id,
+              CASE WHEN {_strip("regexp_extract(html, '<title>([^<]*)</title>', 1)")} = '' THEN 'unknown title'
+                   ELSE {_strip("regexp_extract(html, '<title>([^<]*)</title>', 1)")} END AS title,
+              unnest(regexp_extract_all(html, '{_PARA}', 1)) AS raw,
+              CAST(generate_subscripts(regexp_extract_all(html, '{_PARA}', 1), 1) - 1 AS BIGINT) AS entry_idx
+       FROM pages),
+e1 AS (SELECT page_id, title, entry_idx, {_strip("regexp_replace(raw, '<[^>]*>', '', 'g')")} AS txt FROM e0),
+entries AS (SELECT page_id, title, entry_idx,
+                   CASE WHEN regexp_extract(txt, '([A-F0-9]{{8}})', 1) <> '' THEN regexp_extract(txt, '([A-F0-9]{{8}})', 1)
+                        ELSE 'unknown_' || CAST(entry_idx AS VARCHAR) END AS entry_id,
+                   CASE WHEN txt = '' THEN 'no text' ELSE txt END AS text
+            FROM e1)
+""".replace("{{8}}", "{8}")
+
+
+@query("extract_audio_entries", [], "WITH " + _ENTRIES_SQL + "SELECT * FROM entries")
+def extract_audio_entries(t: Tables):
+    return pages.extract_entries(t.pages)
+
+
+@query("entries_per_page", [], "WITH " + _ENTRIES_SQL + f""",
+per AS (SELECT page_id, COUNT(*) AS n, string_agg(entry_id, ',' ORDER BY entry_idx) AS ids FROM entries GROUP BY page_id)
+SELECT p.page_id,
+       CASE WHEN {_strip("regexp_extract(p.html, '<title>([^<]*)</title>', 1)")} = '' THEN 'unknown title'
+            ELSE {_strip("regexp_extract(p.html, '<title>([^<]*)</title>', 1)")} END AS title,
+       coalesce(per.n, 0) AS n_entries, coalesce(per.n, 0) = 0 AS is_empty, coalesce(per.ids, '') AS entry_ids
+FROM pages p LEFT JOIN per ON p.page_id = per.page_id
+""")
+def entries_per_page(t: Tables):
+    return pages.entries_per_page(t.pages)
+
+
+# ------------------------------------------------------------------- G3
+_NEXT_SQL = """CASE WHEN page_id % 3 = 0 THEN html ELSE html ||
+  '<script id="__NEXT_DATA__" type="application/json">{"props":{"pageProps":{"channels":[{"channel_id":"c' ||
+  CAST(page_id AS VARCHAR) || '","channel_name":"ch ' || CAST(page_id AS VARCHAR) ||
+  '"},{"channel_id":"d' || CAST(page_id AS VARCHAR) || '"}]}}}</script>' END"""
+_CHANNELS_JSON = '{"props":{"pageProps":{"channels":[{"channel_id":"VARCHAR","channel_name":"VARCHAR"}]}}}'
+
+
+@query("extract_embedded_json", [], f"""
+WITH j AS (SELECT page_id, json_transform(nullif(regexp_extract({_NEXT_SQL},
+                     '<script id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1), ''), '{_CHANNELS_JSON}').props.pageProps.channels AS ch
+           FROM pages),
+u AS (SELECT page_id, CAST(generate_subscripts(ch, 1) - 1 AS BIGINT) AS pos, unnest(ch) AS c FROM j)
+SELECT page_id, pos, c.channel_id AS channel_id, c.channel_name AS channel_name FROM u
+""")
+def extract_embedded_json(t: Tables):
+    df = t.pages.select("page_id", F.expr(_NEXT_SQL.replace("VARCHAR", "STRING")).alias("html"))
+    schema = "props struct<pageProps: struct<channels: array<struct<channel_id: string, channel_name: string>>>>"
+    return pages.extract_embedded_json(df, schema, ["props", "pageProps", "channels"])
+
+
+# ------------------------------------------------------------------- G4
+_PLAYLIST_SQL = f"""CASE WHEN page_id % 2 = 0 THEN
+  '#EXTM3U' || chr(10) || '#EXT-X-STREAM-INF:BANDWIDTH=800000' || chr(10) || 'low/index.m3u8' || chr(10) ||
+  '#EXT-X-STREAM-INF:BANDWIDTH=1600000' || chr(10) || 'high/index.m3u8'
+ELSE '#EXTM3U' || chr(10) || '#EXTINF:10,' || chr(10) ||
+  regexp_replace({_strip("regexp_extract(html, '<title>([^<]*)</title>', 1)")}, '\\s+', '.ts' || chr(10) || '#EXTINF:10,' || chr(10), 'g')
+  || '.ts' || chr(10) || '#EXT-X-ENDLIST' END"""
+
+
+def _join_rel_sql(ref: str) -> str:
+    return (f"CASE WHEN regexp_matches({ref}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {ref} "
+            f"WHEN starts_with({ref}, '//') THEN regexp_extract(url, '{URL_RE}', 1) || ':' || {ref} "
+            f"WHEN starts_with({ref}, '/') THEN {_ORIGIN} || {ref} "
+            f"ELSE regexp_extract(url, '^([^?#]*/)', 1) || {ref} END")
+
+
+@query("explode_playlist", [], f"""
+WITH p AS (SELECT page_id, url, {_PLAYLIST_SQL} AS pl FROM pages),
+u AS (SELECT page_id, url, pl,
+             list_transform(list_filter(string_split(pl, chr(10)),
+                                        lambda l: {_strip("l")} <> '' AND NOT starts_with(l, '#')),
+                            lambda l: {_strip("l")}) AS uris FROM p),
+seg AS (SELECT page_id, url, CAST(generate_subscripts(uris, 1) - 1 AS BIGINT) AS seg_idx, unnest(uris) AS uri
+        FROM u WHERE strpos(pl, '#EXT-X-STREAM-INF') = 0)
+SELECT page_id, seg_idx, {_join_rel_sql("uri")} AS seg_url, printf('%05d.ts', seg_idx) AS local_name, 'segment' AS kind FROM seg
+UNION ALL
+SELECT page_id, CAST(0 AS BIGINT) AS seg_idx, {_join_rel_sql("uris[1]")} AS seg_url, CAST(NULL AS VARCHAR) AS local_name,
+       'variant' AS kind
+FROM u WHERE strpos(pl, '#EXT-X-STREAM-INF') > 0 AND len(uris) > 0
+""")
+def explode_playlist(t: Tables):
+    from ..functions.text import strip
+
+    title = strip(F.regexp_extract(F.col("html"), pages.TITLE_RE, 1))
+    media = F.concat(F.lit("#EXTM3U\n#EXTINF:10,\n"), F.regexp_replace(title, r"\s+", ".ts\n#EXTINF:10,\n"),
+                     F.lit(".ts\n#EXT-X-ENDLIST"))
+    master = F.lit("#EXTM3U\n#EXT-X-STREAM-INF:BANDWIDTH=800000\nlow/index.m3u8\n"
+                   "#EXT-X-STREAM-INF:BANDWIDTH=1600000\nhigh/index.m3u8")
+    df = t.pages.select("page_id", "url", F.when(F.col("page_id") % 2 == 0, master).otherwise(media).alias("pl"))
+    return pages.explode_playlist(df, "pl", "url")
