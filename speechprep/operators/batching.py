@@ -87,6 +87,8 @@ def oldest_wait(df: DataFrame, group: str, mtime: str, now: Column, stale_second
     ``max(0, stale - (now - min(mtime)))``.  ``now`` is a parameter so the
     result is reproducible."""
     oldest = df.groupBy(group).agg(F.min(mtime).alias("oldest_mtime"), F.count(F.lit(1)).alias("n_files"))
-    age_s = F.unix_timestamp(now.cast("timestamp")) - F.unix_timestamp(F.col("oldest_mtime").cast("timestamp"))
+    from ..functions.times import seconds_between
+
+    age_s = seconds_between(F.col("oldest_mtime"), now)
     left = F.greatest(F.lit(0), F.lit(stale_seconds) - age_s)
     return oldest.withColumn("age_s", age_s.cast("bigint")).withColumn(out, (left / F.lit(60.0)).cast("double"))

@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.times import seconds_between
+
 
 # --------------------------------------------------------------------------
 # Reference fold (used per slice and as the brute force in tests)
@@ -71,7 +73,7 @@ def pack_volumes_grouped(files: DataFrame, max_bytes: int, now: Column | str, st
     now_lit = F.lit(now).cast("timestamp_ntz") if isinstance(now, str) else now
     df = files.select(F.col(bucket).alias("bucket"), F.col(name).alias("name"), F.col(size).alias("bytes"),
                       F.col(mtime).alias("mtime"),
-                      (F.unix_timestamp(now_lit.cast("timestamp")) - F.unix_timestamp(F.col(mtime).cast("timestamp"))).alias("_age"))
+                      seconds_between(F.col(mtime), now_lit).alias("_age"))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["mtime", "name"], kind="mergesort")
@@ -251,7 +253,7 @@ def pack_volumes(files: DataFrame, max_bytes: int, now: Column | str, stale_seco
         "volume_seq", F.when(F.col("volume_seq") < 0, F.col("_prev")).otherwise(F.col("volume_seq")))
     # the open tail (if any) is the bucket's last batch; it waits unless stale
     tail = fixed.where("open_tail").groupBy("bucket").agg(F.max("volume_seq").alias("_tail"))
-    age = F.unix_timestamp(now_lit.cast("timestamp")) - F.unix_timestamp(F.col("mtime").cast("timestamp"))
+    age = seconds_between(F.col("mtime"), now_lit)
     fixed = fixed.join(tail, "bucket", "left").withColumn(
         "_in_tail", F.coalesce(F.col("volume_seq") == F.col("_tail"), F.lit(False)))
     oldest = fixed.where("_in_tail").groupBy("bucket").agg(F.max(age).alias("_oldest_age"))
