@@ -14,6 +14,10 @@ rows, that task sorts a third of the data.  ``ranked`` instead:
    table;
 4. joins the offsets back (AQE broadcasts them when small at runtime).
 
+The range-sliced rows are checkpointed once (see :func:`materialize`), so
+the slices used for the totals and for the final rows are the same even if
+a task is re-run.
+
 Results are exact and deterministic when the order columns are a total
 order within the group (callers always pass a unique tie-break).
 """
@@ -24,6 +28,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the cluster's shared ``spark.checkpoint.dir``.
+
+    Slice ids come from ``spark_partition_id()`` after a range shuffle whose
+    bounds are sampled at run time; the numbered slices are read twice (per
+    slice totals, then the final join), so they are written once and both
+    reads see the same slices.  This also cuts the lineage, so chained
+    ranked steps do not re-plan (or re-run) their inputs.
+    """
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _num_slices(df: DataFrame, slices: int | None) -> int:
     if slices:
         return slices
@@ -32,17 +51,24 @@ def _num_slices(df: DataFrame, slices: int | None) -> int:
 
 def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
            value_col: str | None = None, slices: int | None = None,
-           rn_col: str = "rn", cum_col: str = "cum", count_col: str | None = None) -> DataFrame:
+           rn_col: str = "rn", cum_col: str = "cum", count_col: str | None = None,
+           lag_col: str | None = None, prev_col: str = "prev") -> DataFrame:
     """Add ``rn_col`` (1-based row number within the group, in order), and if
     ``value_col`` is given ``cum_col`` (inclusive running sum of it); with
-    ``count_col`` also the group's row count."""
+    ``count_col`` also the group's row count; with ``lag_col`` also
+    ``prev_col``, the previous row's ``lag_col`` in the group (NULL for the
+    first row) — across slice boundaries it comes from the previous slice's
+    last row.  With ``lag_col`` the order columns must be plain names."""
     n = _num_slices(df, slices)
     order_exprs = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(g) for g in group_cols] + order_exprs
-    sliced = df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id())
+    sliced = materialize(df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id()))
     w = Window.partitionBy(*group_cols, "_slice").orderBy(*order_exprs)
     local = sliced.withColumn("_lrn", F.row_number().over(w))
     aggs = [F.max("_lrn").alias("_cnt")]
+    if lag_col is not None:
+        local = local.withColumn("_llag", F.lag(lag_col).over(w))
+        aggs.append(F.max_by(F.col(lag_col), F.struct(*order_exprs)).alias("_last"))
     if value_col is not None:
         local = local.withColumn(
             "_lcum", F.sum(value_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -55,6 +81,8 @@ def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
         offs.append(F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_voff"))
     if count_col is not None:
         offs.append(F.sum("_cnt").over(Window.partitionBy(*group_cols)).alias(count_col))
+    if lag_col is not None:
+        offs.append(F.lag("_last").over(Window.partitionBy(*group_cols).orderBy("_slice")).alias("_plast"))
     offsets = totals.select(*group_cols, "_slice", *offs)
     # null-safe on the group keys: a NULL album is still one group
     cond = [F.col(f"_l.{g}").eqNullSafe(F.col(f"_o.{g}")) for g in group_cols]
@@ -68,4 +96,7 @@ def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
     if value_col is not None:
         out = out.withColumn(cum_col, F.col("_lcum") + F.col("_voff"))
         drop += ["_lcum", "_voff"]
+    if lag_col is not None:
+        out = out.withColumn(prev_col, F.when(F.col("_lrn") == 1, F.col("_plast")).otherwise(F.col("_llag")))
+        drop += ["_llag", "_plast"]
     return out.drop(*drop)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import seconds_between
+from .ordered import materialize
 
 
 # --------------------------------------------------------------------------
@@ -223,7 +224,8 @@ def pack_volumes(files: DataFrame, max_bytes: int, now: Column | str, stale_seco
 
     # 1. ordered range slices; consecutive slices of a bucket are grouped
     #    until each group holds >= max_bytes (so one group of halo suffices)
-    sliced = base.repartitionByRange(n, "bucket", "mtime", "name").withColumn("slice", F.spark_partition_id())
+    sliced = materialize(base.repartitionByRange(n, "bucket", "mtime", "name")
+                         .withColumn("slice", F.spark_partition_id()))
     summary = sliced.groupBy("bucket", "slice").agg(F.sum("bytes").alias("total"))
     groups = summary.groupBy("bucket").applyInPandas(_group_slices(max_bytes), "bucket string, slice int, g long")
     files_g = sliced.join(groups, ["bucket", "slice"]).drop("slice")

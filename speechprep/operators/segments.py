@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import ranked
+
 
 # --------------------------------------------------------------------------
 # Voiced frame flags -> segments
@@ -40,13 +42,15 @@ def vad_segments(frames: DataFrame, min_silence: int, min_speech: int, pad: int,
     """
     totals = frames.groupBy(clip).agg((F.max(idx) + 1).alias("_total"))
     v = frames.where(F.col(voiced)).select(clip, idx)
-    w = Window.partitionBy(clip).orderBy(idx)
-    v = v.withColumn("_prev", F.lag(idx).over(w))
+    # previous voiced frame, then island ids as a running count of starts;
+    # both skew-safe (a very long clip is spread over many range slices)
+    v = ranked(v, [clip], [idx], rn_col="_rn", lag_col=idx, prev_col="_prev")
     v = v.withColumn("_new", F.when(F.col("_prev").isNull() | (F.col(idx) - F.col("_prev") - 1 >= min_silence), 1).otherwise(0))
-    v = v.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    v = ranked(v, [clip], [idx], value_col="_new", rn_col="_rn2", cum_col="_island")
     isl = v.groupBy(clip, "_island").agg(F.min(idx).alias("_s"), F.max(idx).alias("_last"))
-    isl = isl.join(totals, on=clip)
-    is_final = F.col("_island") == F.max("_island").over(Window.partitionBy(clip))
+    last_island = isl.groupBy(clip).agg(F.max("_island").alias("_final"))
+    isl = isl.join(totals, on=clip).join(last_island, on=clip)
+    is_final = F.col("_island") == F.col("_final")
     isl = isl.withColumn(
         "_e", F.when(is_final & (F.col("_total") - 1 - F.col("_last") < min_silence), F.col("_total") - 1).otherwise(F.col("_last"))
     )
@@ -56,9 +60,8 @@ def vad_segments(frames: DataFrame, min_silence: int, min_speech: int, pad: int,
         (F.greatest(F.lit(0), F.col("_s") - pad) * hop).cast("bigint").alias("start_sample"),
         (F.least(F.col("_total"), F.col("_e") + 1 + pad) * hop).cast("bigint").alias("end_sample"),
     )
-    return kept.withColumn(
-        "seg_idx", (F.row_number().over(Window.partitionBy(clip).orderBy("start_sample")) - 1).cast("bigint")
-    )
+    numbered = ranked(kept, [clip], ["start_sample"], rn_col="_rn")
+    return numbered.withColumn("seg_idx", (F.col("_rn") - 1).cast("bigint")).drop("_rn")
 
 
 # --------------------------------------------------------------------------
@@ -79,11 +82,11 @@ def merge_segments(segs: DataFrame, target: int = 15000, max_len: int = 60000, s
     """
     if strict_gap > loose_gap:
         raise ValueError("strict_gap must not exceed loose_gap")
-    w = Window.partitionBy(clip).orderBy("s")
     s = segs.select(clip, F.col(start).alias("s"), F.col(end).alias("e"))
-    s = s.withColumn("_gap", F.col("s") - F.lag("e").over(w))
+    s = ranked(s, [clip], ["s"], rn_col="_rn", lag_col="e", prev_col="_pe")
+    s = s.withColumn("_gap", F.col("s") - F.col("_pe"))
     s = s.withColumn("_new", F.when(F.col("_gap").isNull() | (F.col("_gap") >= loose_gap), 1).otherwise(0))
-    s = s.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    s = ranked(s, [clip], ["s"], value_col="_new", rn_col="_rn2", cum_col="_island")
     isl = s.groupBy(clip, "_island").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("_segs"))
 
     first = F.col("_segs")[0]
@@ -139,8 +142,8 @@ def number_and_drop_tiny(segs: DataFrame, min_len: int = 1500, clip: str = "clip
                          end: str = "end_ms", out: str = "piece_idx") -> DataFrame:
     """Number pieces per clip in time order, *then* drop those shorter than
     ``min_len`` (B5): the kept pieces keep their original index."""
-    w = Window.partitionBy(clip).orderBy(start)
-    numbered = segs.withColumn(out, (F.row_number().over(w) - 1).cast("bigint"))
+    numbered = ranked(segs, [clip], [start], rn_col="_rn")
+    numbered = numbered.withColumn(out, (F.col("_rn") - 1).cast("bigint")).drop("_rn")
     return numbered.where((F.col(end) - F.col(start)) >= min_len)
 
 
