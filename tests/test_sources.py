@@ -46,5 +46,6 @@ def test_partitioned_export_sink(spark, tmp_path):
     assert sorted(d for d in os.listdir(out) if d.startswith("lang=")) == ["lang=de", "lang=en"]
     keys = sorted(r.object_key for r in back.collect())
     assert keys == ["vol/de/de_20240102_030405_000.tar", "vol/en/en_20240102_030405_000.tar",
-                    "vol/en/en_20240102_030405_001.tar", "vol/en/en_20240102_030405_002.tar"]
+                    "vol/en/en_20240102_030405_001.tar", "vol/en/en_20240102_030405_002.tar",
+                    "vol/en/en_20240102_030405_003.tar"]
     assert back.where(F.col("lang") == "en").agg(F.sum("n_files")).first()[0] == 4
