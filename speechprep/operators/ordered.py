@@ -52,13 +52,20 @@ def _num_slices(df: DataFrame, slices: int | None) -> int:
 def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
            value_col: str | None = None, slices: int | None = None,
            rn_col: str = "rn", cum_col: str = "cum", count_col: str | None = None,
-           lag_col: str | None = None, prev_col: str = "prev") -> DataFrame:
+           lag_col: str | None = None, prev_col: str = "prev",
+           delta=None, delta_cols: tuple[str, ...] = (), delta_col: str = "dcum") -> DataFrame:
     """Add ``rn_col`` (1-based row number within the group, in order), and if
     ``value_col`` is given ``cum_col`` (inclusive running sum of it); with
     ``count_col`` also the group's row count; with ``lag_col`` also
     ``prev_col``, the previous row's ``lag_col`` in the group (NULL for the
     first row) — across slice boundaries it comes from the previous slice's
-    last row.  With ``lag_col`` the order columns must be plain names."""
+    last row.  With ``lag_col`` the order columns must be plain names.
+
+    ``delta`` (needs ``lag_col``) maps the previous row's ``lag_col`` value
+    to a number computed on the current row (it may read ``delta_cols``);
+    ``delta_col`` is its inclusive running sum — e.g. island ids as a running
+    count of "gap before this row is large".  It is resolved in the same
+    pass: a slice's first row is evaluated on the small per-slice table."""
     n = _num_slices(df, slices)
     order_exprs = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(g) for g in group_cols] + order_exprs
@@ -74,6 +81,12 @@ def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
             "_lcum", F.sum(value_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         )
         aggs.append(F.sum(value_col).alias("_sum"))
+    if delta is not None:
+        # rows after the slice's first: delta from the local lag
+        local = local.withColumn("_dl", F.when(F.col("_lrn") == 1, F.lit(0)).otherwise(delta(F.col("_llag"))))
+        local = local.withColumn("_dlcum", F.sum("_dl").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        aggs.append(F.sum("_dl").alias("_dsum"))
+        aggs.append(F.min_by(F.struct(*[F.col(c) for c in delta_cols]), F.struct(*order_exprs)).alias("_frow"))
     totals = local.groupBy(*group_cols, "_slice").agg(*aggs)
     before = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offs = [F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")]
@@ -83,6 +96,18 @@ def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
         offs.append(F.sum("_cnt").over(Window.partitionBy(*group_cols)).alias(count_col))
     if lag_col is not None:
         offs.append(F.lag("_last").over(Window.partitionBy(*group_cols).orderBy("_slice")).alias("_plast"))
+    if delta is not None:
+        # the first row's delta needs the previous slice's last value
+        totals = totals.select("*", F.lag("_last").over(Window.partitionBy(*group_cols).orderBy("_slice")).alias("_pl0"))
+        first_row = totals.select(*group_cols, "_slice", "_pl0", "_frow.*")
+        first_row = first_row.select(*group_cols, "_slice", delta(F.col("_pl0")).alias("_dfirst"))
+        totals = totals.join(first_row, [*group_cols, "_slice"]) if not group_cols else \
+            totals.alias("_t").join(first_row.alias("_f"),
+                                    [F.col(f"_t.{g}").eqNullSafe(F.col(f"_f.{g}")) for g in group_cols]
+                                    + [F.col("_t._slice") == F.col("_f._slice")]).select("_t.*", "_f._dfirst")
+        totals = totals.withColumn("_dslice", F.col("_dsum") + F.col("_dfirst"))
+        offs.append(F.col("_dfirst"))
+        offs.append(F.coalesce(F.sum("_dslice").over(before), F.lit(0)).alias("_doff"))
     offsets = totals.select(*group_cols, "_slice", *offs)
     # null-safe on the group keys: a NULL album is still one group
     cond = [F.col(f"_l.{g}").eqNullSafe(F.col(f"_o.{g}")) for g in group_cols]
@@ -99,4 +124,7 @@ def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
     if lag_col is not None:
         out = out.withColumn(prev_col, F.when(F.col("_lrn") == 1, F.col("_plast")).otherwise(F.col("_llag")))
         drop += ["_llag", "_plast"]
+    if delta is not None:
+        out = out.withColumn(delta_col, F.col("_doff") + F.col("_dfirst") + F.col("_dlcum"))
+        drop += ["_dl", "_dlcum", "_dfirst", "_doff"]
     return out.drop(*drop)

@@ -44,9 +44,11 @@ def vad_segments(frames: DataFrame, min_silence: int, min_speech: int, pad: int,
     v = frames.where(F.col(voiced)).select(clip, idx)
     # previous voiced frame, then island ids as a running count of starts;
     # both skew-safe (a very long clip is spread over many range slices)
-    v = ranked(v, [clip], [idx], rn_col="_rn", lag_col=idx, prev_col="_prev")
-    v = v.withColumn("_new", F.when(F.col("_prev").isNull() | (F.col(idx) - F.col("_prev") - 1 >= min_silence), 1).otherwise(0))
-    v = ranked(v, [clip], [idx], value_col="_new", rn_col="_rn2", cum_col="_island")
+    def starts_island(prev: Column) -> Column:
+        return F.when(prev.isNull() | (F.col(idx) - prev - 1 >= min_silence), 1).otherwise(0)
+
+    v = ranked(v, [clip], [idx], rn_col="_rn", lag_col=idx, prev_col="_prev",
+               delta=starts_island, delta_cols=(idx,), delta_col="_island")
     isl = v.groupBy(clip, "_island").agg(F.min(idx).alias("_s"), F.max(idx).alias("_last"))
     last_island = isl.groupBy(clip).agg(F.max("_island").alias("_final"))
     isl = isl.join(totals, on=clip).join(last_island, on=clip)
@@ -83,10 +85,11 @@ def merge_segments(segs: DataFrame, target: int = 15000, max_len: int = 60000, s
     if strict_gap > loose_gap:
         raise ValueError("strict_gap must not exceed loose_gap")
     s = segs.select(clip, F.col(start).alias("s"), F.col(end).alias("e"))
-    s = ranked(s, [clip], ["s"], rn_col="_rn", lag_col="e", prev_col="_pe")
-    s = s.withColumn("_gap", F.col("s") - F.col("_pe"))
-    s = s.withColumn("_new", F.when(F.col("_gap").isNull() | (F.col("_gap") >= loose_gap), 1).otherwise(0))
-    s = ranked(s, [clip], ["s"], value_col="_new", rn_col="_rn2", cum_col="_island")
+    def starts_island(prev_end: Column) -> Column:
+        return F.when(prev_end.isNull() | (F.col("s") - prev_end >= loose_gap), 1).otherwise(0)
+
+    s = ranked(s, [clip], ["s"], rn_col="_rn", lag_col="e", prev_col="_pe",
+               delta=starts_island, delta_cols=("s",), delta_col="_island")
     isl = s.groupBy(clip, "_island").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("_segs"))
 
     first = F.col("_segs")[0]

@@ -27,3 +27,23 @@ def test_ranked_matches_windows_under_skew(spark):
     bad = j.where((F.col("rn") != F.col("rn_r")) | (F.col("cum") != F.col("cum_r")) | (F.col("cnt") != F.col("cnt_r"))
                   | ~F.col("prev").eqNullSafe(F.col("prev_r")) | (F.col("rn2") != F.col("rn_r")) | (F.col("cum2") != F.col("rn_r")))
     assert bad.count() == 0
+
+
+def test_ranked_delta_islands(spark):
+    rnd = random.Random(4)
+    rows, expected = [], {}
+    for g in ["hot"] * 1 + [f"c{k}" for k in range(20)]:
+        n = 3000 if g == "hot" else rnd.randint(1, 40)
+        pos = sorted(rnd.sample(range(n * 4), n))
+        isl, prev = 0, None
+        for p in pos:
+            if prev is None or p - prev > 3:
+                isl += 1
+            rows.append((g, p))
+            expected[(g, p)] = isl
+            prev = p
+    df = spark.createDataFrame(rows, "g string, o long")
+    got = ranked(df, ["g"], ["o"], slices=11, lag_col="o", prev_col="p",
+                 delta=lambda prev: F.when(prev.isNull() | (F.col("o") - prev > 3), 1).otherwise(0),
+                 delta_cols=("o",), delta_col="isl")
+    assert {(r.g, r.o): r.isl for r in got.collect()} == expected
