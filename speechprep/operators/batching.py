@@ -56,8 +56,8 @@ def dedupe_names(df: DataFrame, group: str, name: str, order: str, width: int =
     ones get ``_01``, ``_02`` ... (``width`` digits; 0 = no padding).
 
     A generated name can collide with a literal one; the numbering is then
-    re-run on the result (bounded to ``max_rounds``, as collisions need a
-    literal ``x_01`` next to two ``x``).  The suffix goes before the file
+    re-run on the result while duplicates remain (bounded to ``max_rounds``,
+    as collisions need a literal ``x_01`` next to two ``x``).  The suffix goes before the file
     extension.  Where a literal name equals a generated one, a one-by-one
     loop would skip to the next free counter while this re-run suffixes the
     later duplicate again (``x_01_01``); names stay unique either way and
@@ -65,6 +65,9 @@ def dedupe_names(df: DataFrame, group: str, name: str, order: str, width: int =
     """
     cur = df.withColumn(out, F.col(name))
     for _ in range(max_rounds):
+        # stop as soon as names are unique (a scalar check, partial-aggregated)
+        if cur.groupBy(group, out).count().where(F.col("count") > 1).limit(1).count() == 0:
+            break
         r = ranked(cur, [group, out], [order], rn_col="_rn")
         ext = F.regexp_extract(F.col(out), r"^(.*[^.].*)(\.[^.]*)$", 2)
         root = F.when(ext == "", F.col(out)).otherwise(F.regexp_extract(F.col(out), r"^(.*[^.].*)(\.[^.]*)$", 1))
