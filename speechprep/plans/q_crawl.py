@@ -53,7 +53,8 @@ def flatten_catalog(t: Tables):
 
 @query("paginate_until_last", ["v_catalog"], f"""
 WITH p AS (SELECT source_id, page_no,
-                  coalesce(len(json_transform(payload, '{PROGRAMS_JSON}').data.programs), 0) AS n_items FROM v_catalog),
+                  CAST(coalesce(len(json_transform(payload, '{PROGRAMS_JSON}').data.programs), 0) AS BIGINT) AS n_items
+           FROM v_catalog),
 s AS (SELECT source_id, min(CASE WHEN n_items = 0 THEN page_no - 1 WHEN n_items < 2 THEN page_no END) AS stop
       FROM p GROUP BY source_id)
 SELECT p.source_id, p.page_no, p.n_items FROM p JOIN s ON p.source_id = s.source_id

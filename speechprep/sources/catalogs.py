@@ -48,7 +48,9 @@ def flatten_program_pages(pages: DataFrame, payload: str = "payload",
 
 
 def page_sizes(pages: DataFrame, payload: str = "payload") -> Column:
-    return F.coalesce(F.size(F.from_json(F.col(payload), PROGRAM_PAGE_SCHEMA)["data"]["programs"]), F.lit(0))
+    """Number of programs on each landed page (0 when it does not parse)."""
+    n = F.size(F.from_json(F.col(payload), PROGRAM_PAGE_SCHEMA)["data"]["programs"])
+    return F.when(n >= 0, n).otherwise(F.lit(0)).cast("bigint")
 
 
 def paginate_until_last(pages: DataFrame, n_items: Column, page_size: int, source: str = "source_id",

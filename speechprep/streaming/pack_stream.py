@@ -36,27 +36,32 @@ def _pack_fn(max_bytes: int, stale_seconds: int, now_ms: int | None):
             names, sizes, mtimes, seq = [], [], [], 0
         now = now_ms if now_ms is not None else state.getCurrentProcessingTimeMs()
         out_rows: list[tuple] = []
+        open_bytes = sum(sizes)
 
         def close(reason: str) -> None:
-            nonlocal names, sizes, mtimes, seq
+            nonlocal names, sizes, mtimes, seq, open_bytes
             for n, b, m in zip(names, sizes, mtimes):
                 out_rows.append((bucket, n, b, m, seq, reason))
-            names, sizes, mtimes = [], [], []
+            names, sizes, mtimes, open_bytes = [], [], [], 0
             seq += 1
 
         if not state.hasTimedOut:
-            arrivals = pd.concat(list(pdfs), ignore_index=True) if pdfs is not None else pd.DataFrame()
+            # one micro-batch of one bucket: bounded by the source's
+            # maxFilesPerTrigger / maxBytesPerTrigger
+            chunks = [c for c in pdfs if len(c)]
+            arrivals = pd.concat(chunks, ignore_index=True) if chunks else pd.DataFrame()
             if len(arrivals):
                 ms = arrivals["mtime"].astype("datetime64[ms]").astype(np.int64)
                 arrivals = arrivals.assign(_ms=ms).sort_values(["_ms", "name"], kind="mergesort")
                 for n, b, m in zip(arrivals["name"], arrivals["bytes"].astype(np.int64), arrivals["_ms"]):
                     b, m = int(b), int(m)
-                    if names and sum(sizes) + b > max_bytes:
+                    if names and open_bytes + b > max_bytes:
                         close("full")
                     names.append(n)
                     sizes.append(b)
                     mtimes.append(m)
-                    if sum(sizes) >= max_bytes:
+                    open_bytes += b
+                    if open_bytes >= max_bytes:
                         close("full")
         # leftovers: flush when the oldest file is stale
         if names and now - min(mtimes) >= stale_seconds * 1000:
