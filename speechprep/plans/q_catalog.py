@@ -219,8 +219,8 @@ def album_hours(t: Tables):
 
 @query("stage_counters", ["v_audio"], f"""
 SELECT album, COUNT(*) AS total,
-       count_if(v = 'keep') AS n_keep, count_if(v = 'short') AS n_short,
-       count_if(v = 'long') AS n_long, count_if(v = 'unreadable') AS n_unreadable
+       CAST(count_if(v = 'keep') AS BIGINT) AS n_keep, CAST(count_if(v = 'short') AS BIGINT) AS n_short,
+       CAST(count_if(v = 'long') AS BIGINT) AS n_long, CAST(count_if(v = 'unreadable') AS BIGINT) AS n_unreadable
 FROM (SELECT album, CASE WHEN duration_ms IS NULL THEN 'unreadable' WHEN duration_ms < 5000 THEN 'short'
                          WHEN duration_ms > 45000 THEN 'long' ELSE 'keep' END AS v
       FROM v_audio WHERE lower(ext) IN ({_sql_in("prune")})) p
@@ -235,7 +235,7 @@ def stage_counters(t: Tables):
 SELECT batch_no, attempted, hits,
        CAST(SUM(hits) OVER (ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_hits
 FROM (SELECT CAST(floor(song_id / 50) AS BIGINT) AS batch_no, COUNT(*) AS attempted,
-             count_if(yrc <> '') AS hits FROM v_lyrics GROUP BY 1) b
+             CAST(count_if(yrc <> '') AS BIGINT) AS hits FROM v_lyrics GROUP BY 1) b
 """)
 def batch_progress(t: Tables):
     return aggregates.batch_progress(t.v_lyrics, "song_id", F.col("yrc") != "", 50)
