@@ -71,17 +71,31 @@ def vad_segments(frames: DataFrame, min_silence: int, min_speech: int, pad: int,
 # --------------------------------------------------------------------------
 def merge_segments(segs: DataFrame, target: int = 15000, max_len: int = 60000, strict_gap: int = 200,
                    loose_gap: int = 1500, clip: str = "clip_id", start: str = "start_ms",
-                   end: str = "end_ms") -> DataFrame:
+                   end: str = "end_ms", method: str = "auto", slices: int | None = None,
+                   max_island: int = 10_000) -> DataFrame:
     """Greedy merge of ordered, non-overlapping segments.
 
     Carrying the current merged segment ``cur``, the next one is merged iff
     ``next.end - cur.start <= max_len`` and either ``cur`` is shorter than
     ``target`` and the gap is ``< loose_gap``, or the gap is
-    ``< strict_gap``.  Because ``strict_gap <= loose_gap``, a gap
-    ``>= loose_gap`` always starts a new segment: the clip is cut into
-    islands there (window ``sum``) and each island is folded independently
-    with ``aggregate`` over its (start, end) pairs only.
+    ``< strict_gap``.
+
+    ``method="sliced"`` is exact for any clip length: a merged
+    segment depends only on the segments from its own start, and it ends
+    before ``max_len`` has passed, so range slices of the clip (grouped to
+    span at least ``max_len``) resolve their chains of merged-segment starts
+    locally with a ``max_len`` halo, and a per-clip pass over tiny slice
+    summaries links them.  ``method="islands"`` cuts the clip at gaps
+    ``>= loose_gap`` (no rule merges across them) and folds each island with
+    the built-in ``aggregate``: all JVM, best when islands are short.
+    ``method="auto"`` (default) folds islands of at most ``max_island``
+    segments in the JVM and sends larger ones through the sliced path, keyed
+    by ``(clip, island)``, so no island is ever collected whole.
     """
+    if method == "sliced":
+        return _merge_sliced(segs, target, max_len, strict_gap, loose_gap, clip, start, end, slices)
+    if method not in ("islands", "auto"):
+        raise ValueError("method must be 'auto', 'sliced' or 'islands'")
     if strict_gap > loose_gap:
         raise ValueError("strict_gap must not exceed loose_gap")
     s = segs.select(clip, F.col(start).alias("s"), F.col(end).alias("e"))
@@ -90,6 +104,14 @@ def merge_segments(segs: DataFrame, target: int = 15000, max_len: int = 60000, s
 
     s = ranked(s, [clip], ["s"], rn_col="_rn", lag_col="e", prev_col="_pe",
                delta=starts_island, delta_cols=("s",), delta_col="_island")
+    big = None
+    if method == "auto":
+        sizes = s.groupBy(clip, "_island").agg(F.count(F.lit(1)).alias("_n"))
+        # a scalar check (partial aggregate): only split when a long island exists
+        if sizes.where(F.col("_n") > max_island).limit(1).count() > 0:
+            s = s.join(sizes, [clip, "_island"])
+            big = s.where(F.col("_n") > max_island)
+            s = s.where(F.col("_n") <= max_island)
     isl = s.groupBy(clip, "_island").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("_segs"))
 
     first = F.col("_segs")[0]
@@ -113,7 +135,156 @@ def merge_segments(segs: DataFrame, target: int = 15000, max_len: int = 60000, s
     folded = isl.select(
         clip, F.explode(F.aggregate(F.slice(F.col("_segs"), 2, 1 << 30), init, step, finish)).alias("m")
     )
-    return folded.select(clip, F.col("m.s").cast("bigint").alias(start), F.col("m.e").cast("bigint").alias(end))
+    out = folded.select(clip, F.col("m.s").cast("bigint").alias(start), F.col("m.e").cast("bigint").alias(end))
+    if big is not None:
+        long_islands = _merge_sliced(big.select(clip, "_island", F.col("s").alias(start), F.col("e").alias(end)),
+                                     target, max_len, strict_gap, loose_gap, clip, start, end, slices,
+                                     keys=[clip, "_island"])
+        out = out.unionByName(long_islands.drop("_island"))
+    return out
+
+
+def _merge_end(s, e, p: int, target: int, max_len: int, strict: int, loose: int) -> int:
+    """Index of the last segment merged into the one starting at ``p``, or -1
+    when the data ends before the merge stops."""
+    cs, ce, q = s[p], e[p], p + 1
+    n = len(s)
+    while q < n:
+        gap = s[q] - ce
+        if e[q] - cs <= max_len and ((ce - cs < target and gap < loose) or gap < strict):
+            ce = e[q]
+            q += 1
+        else:
+            return q - 1
+    return -1
+
+
+def _merge_sliced(segs, target, max_len, strict, loose, clip, start, end, slices, keys=None):
+    """Sliced chain merge; ``keys`` (default ``[clip]``) are the independent
+    units (a clip, or a (clip, island) pair)."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import Window
+
+    from .ordered import materialize
+
+    sentinel = 1 << 62
+    n_sl = slices or int(segs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    keys = list(keys or [clip])
+    K = [f"_k{i}" for i in range(len(keys))]
+    base = segs.select(*[F.col(k).alias(n) for k, n in zip(keys, K)],
+                       F.col(start).cast("long").alias("s"), F.col(end).cast("long").alias("e"))
+    sliced = materialize(base.repartitionByRange(n_sl, *K, "s").withColumn("slice", F.spark_partition_id()))
+    kschema = ", ".join(f"{n} {t}" for n, t in base.dtypes[:len(K)])
+
+    # group consecutive slices of a clip until each group spans >= max_len
+    def group(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("slice")
+        gid, first, ids = 0, None, []
+        for lo, hi in zip(pdf["lo"].to_numpy(np.int64), pdf["hi"].to_numpy(np.int64)):
+            first = lo if first is None else first
+            ids.append(gid)
+            if hi - first >= max_len:
+                gid, first = gid + 1, None
+        out = pdf[K + ["slice"]].copy()
+        out["g"] = np.asarray(ids, dtype=np.int64)
+        return out
+
+    summary = sliced.groupBy(*K, "slice").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
+    groups = summary.groupBy(*K).applyInPandas(group, f"{kschema}, slice int, g long")
+    rows = sliced.join(groups, [*K, "slice"]).drop("slice")
+
+    # halo of group g-1: our rows within max_len of our first start, plus the next one
+    w = Window.partitionBy(*K, "g").orderBy("s")
+    first_s = F.min("s").over(Window.partitionBy(*K, "g"))
+    prev_s = F.lag("s").over(w)
+    halo = (rows.withColumn("_f", first_s).withColumn("_p", prev_s)
+            .where(((F.col("s") - F.col("_f")) < max_len) | ((F.col("_p") - F.col("_f")) < max_len))
+            .where(F.col("g") > 0)
+            .select(*K, (F.col("g") - 1).alias("g"), "s", "e", F.lit(True).alias("halo")))
+    work = rows.select(*K, "g", "s", "e", F.lit(False).alias("halo")).unionByName(halo)
+
+    def arrays(pdf: pd.DataFrame):
+        mine = pdf[~pdf["halo"]].sort_values("s")
+        extra = pdf[pdf["halo"]].sort_values("s")
+        s_ = np.concatenate([mine["s"].to_numpy(np.int64), extra["s"].to_numpy(np.int64)])
+        e_ = np.concatenate([mine["e"].to_numpy(np.int64), extra["e"].to_numpy(np.int64)])
+        return len(mine), s_, e_
+
+    def exits(pdf: pd.DataFrame) -> pd.DataFrame:
+        m, s_, e_ = arrays(pdf)
+        # a merged segment entering from the previous group ends before max_len
+        cand_end = min(int(np.searchsorted(s_[:m], s_[0] + max_len, side="left")), m - 1) + 1
+        memo: dict[int, int] = {}
+        res = []
+        for c in range(0, cand_end + 1):
+            path, p = [], c
+            while True:
+                if p in memo:
+                    ex = memo[p]
+                    break
+                if p >= m:
+                    ex = p - m
+                    break
+                q = _merge_end(s_, e_, p, target, max_len, strict, loose)
+                path.append(p)
+                if q < 0:
+                    ex = -1
+                    break
+                p = q + 1
+            for x in path:
+                memo[x] = ex
+            res.append((c, memo.get(c, ex)))
+        out, lo = [], 0
+        for i in range(1, len(res) + 1):
+            if i == len(res) or res[i][1] != res[lo][1]:
+                out.append((res[lo][0], res[i - 1][0], res[lo][1]))
+                lo = i
+        df = pd.DataFrame(out, columns=["entry_lo", "entry_hi", "exit"])
+        df.insert(0, "g", int(pdf["g"].iloc[0]))
+        for i, n in enumerate(K):
+            df.insert(i, n, pdf[n].iloc[0])
+        return df
+
+    ranges = work.groupBy(*K, "g").applyInPandas(
+        exits, f"{kschema}, g long, entry_lo long, entry_hi long, exit long")
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        out, entry = [], 0
+        kv = tuple(pdf[n].iloc[0] for n in K)
+        for g, r in pdf.sort_values(["g", "entry_lo"]).groupby("g", sort=True):
+            out.append(kv + (g, entry))
+            if entry >= sentinel:
+                continue
+            hit = r[(r["entry_lo"] <= entry) & (r["entry_hi"] >= entry)]
+            if hit.empty:
+                raise RuntimeError("merge_segments: entry outside its candidates")
+            ex = int(hit["exit"].iloc[0])
+            entry = sentinel if ex < 0 else ex
+        return pd.DataFrame(out, columns=K + ["g", "entry"])
+
+    entries = ranges.groupBy(*K).applyInPandas(chain, f"{kschema}, g long, entry long")
+
+    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
+        m, s_, e_ = arrays(pdf)
+        p = int(pdf["entry"].iloc[0])
+        out_s, out_e = [], []
+        while p < m:
+            q = _merge_end(s_, e_, p, target, max_len, strict, loose)
+            last = len(s_) - 1 if q < 0 else q
+            out_s.append(int(s_[p]))
+            out_e.append(int(e_[last]))
+            if q < 0:
+                break
+            p = q + 1
+        out = pd.DataFrame({"s": out_s, "e": out_e})
+        for i, n in enumerate(K):
+            out.insert(i, n, pdf[n].iloc[0])
+        return out
+
+    merged = work.join(entries, [*K, "g"]).groupBy(*K, "g").applyInPandas(emit, f"{kschema}, s long, e long")
+    return merged.select(*[F.col(n).alias(k) for n, k in zip(K, keys)],
+                         F.col("s").alias(start), F.col("e").alias(end))
 
 
 # --------------------------------------------------------------------------
