@@ -136,6 +136,9 @@ class Tables:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        from .session import ship_package
+
+        ship_package(spark)
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}

@@ -25,6 +25,9 @@ def batch_infer(df: DataFrame, key: str, inputs: list[str], loader: Callable[[],
     (one model per task); ``spark.sql.execution.arrow.maxRecordsPerBatch``
     bounds the Arrow batches that reach Python.
     """
+    from ..session import ship_package
+
+    ship_package(df.sparkSession)
     src = df.select(key, *inputs)
     if num_partitions:
         src = src.repartition(num_partitions, key)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import seconds_between
+from ..session import ship_package
 from .ordered import materialize
 
 
@@ -71,6 +72,7 @@ def pack_volumes_grouped(files: DataFrame, max_bytes: int, now: Column | str, st
     """Per-bucket fold with ``applyInPandas`` (one group per bucket).  Exact
     and simple; used for small inputs and as the baseline the sliced
     version is tested against."""
+    ship_package(files.sparkSession)
     now_lit = F.lit(now).cast("timestamp_ntz") if isinstance(now, str) else now
     df = files.select(F.col(bucket).alias("bucket"), F.col(name).alias("name"), F.col(size).alias("bytes"),
                       F.col(mtime).alias("mtime"),
@@ -217,6 +219,7 @@ def pack_volumes(files: DataFrame, max_bytes: int, now: Column | str, stale_seco
     status)`` with ``status`` ``packed`` or ``waiting``.
     """
     spark = files.sparkSession
+    ship_package(spark)
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     now_lit = F.lit(now).cast("timestamp_ntz") if isinstance(now, str) else now
     base = files.select(F.col(bucket).alias("bucket"), F.col(name).alias("name"),

@@ -168,6 +168,9 @@ def _merge_sliced(segs, target, max_len, strict, loose, clip, start, end, slices
 
     from .ordered import materialize
 
+    from ..session import ship_package
+
+    ship_package(segs.sparkSession)
     sentinel = 1 << 62
     n_sl = slices or int(segs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     keys = list(keys or [clip])

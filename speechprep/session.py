@@ -48,3 +48,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
         pass
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``speechprep`` importable in the Python workers.
+
+    Pandas functions pickle references to module-level helpers, so workers
+    must be able to import the package.  Like ``--py-files``, the package is
+    zipped once on the driver and registered with ``addPyFile``; Spark
+    distributes it to every executor.  Idempotent per application; harmless
+    when the package is installed on the cluster already.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="speechprep-code-"), "speechprep.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for cur, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(cur, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)

@@ -89,6 +89,9 @@ def stream_pack(arrivals: DataFrame, max_bytes: int, stale_seconds: int, now_ms:
     """
     # With a pinned clock nothing can become stale between batches, so no
     # timer is armed (timers would also keep an availableNow run alive).
+    from ..session import ship_package
+
+    ship_package(arrivals.sparkSession)
     timeout = GroupStateTimeout.NoTimeout if now_ms is not None else GroupStateTimeout.ProcessingTimeTimeout
     return arrivals.groupBy("bucket").applyInPandasWithState(
         _pack_fn(max_bytes, stale_seconds, now_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout,
