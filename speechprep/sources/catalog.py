@@ -83,14 +83,22 @@ def stage_dir(path: Column, stage: str = "sliced") -> Column:
     return F.nullif(F.regexp_extract(path, rf"^(.*/{stage})/", 1), F.lit(""))
 
 
-def scan_stage_dirs(catalog: DataFrame, stage: str = "sliced") -> DataFrame:
+def scan_stage_dirs(catalog: DataFrame, stage: str = "sliced", root: str | None = None) -> DataFrame:
     """Distinct stage directories with their file counts (A2).
 
-    A plain ``groupBy`` (partial aggregation before the shuffle), so a
-    directory holding a third of all files costs one map-side counter.
+    By default a stage directory at any depth counts; with ``root`` only
+    ``<root>/<album>/<stage>`` (one level below the root) does, as the hours
+    report does.  A plain ``groupBy`` (partial aggregation before the
+    shuffle), so a directory holding a third of all files costs one map-side
+    counter.
     """
+    if root is not None:
+        pattern = "^(" + _regex_quote(root.rstrip("/")) + rf"/[^/]+/{stage})/"
+        d = F.nullif(F.regexp_extract(F.col("path"), pattern, 1), F.lit(""))
+    else:
+        d = stage_dir(F.col("path"), stage)
     return (
-        catalog.select(stage_dir(F.col("path"), stage).alias("stage_dir"))
+        catalog.select(d.alias("stage_dir"))
         .where(F.col("stage_dir").isNotNull())
         .groupBy("stage_dir")
         .agg(F.count(F.lit(1)).alias("n_files"))

@@ -30,6 +30,9 @@ def test_scan_audio_files(spark, tmp_path):
     assert {os.path.basename(r.path) for r in catalog.exclude_stage_outputs(cat).collect()} == {"raw.flac", "b.mp3"}
     dirs = catalog.scan_stage_dirs(cat).collect()
     assert len(dirs) == 1 and dirs[0].stage_dir.endswith("albumA/sliced") and dirs[0].n_files == 1
+    deep = spark.createDataFrame([("data/a/sliced/x.wav",), ("data/a/b/sliced/y.wav",)], "path string")
+    assert sorted(r.stage_dir for r in catalog.scan_stage_dirs(deep).collect()) == ["data/a/b/sliced", "data/a/sliced"]
+    assert [r.stage_dir for r in catalog.scan_stage_dirs(deep, root="data").collect()] == ["data/a/sliced"]
 
 
 def test_partitioned_export_sink(spark, tmp_path):
