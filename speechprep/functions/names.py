@@ -12,14 +12,21 @@ from .text import collapse_ws, rstrip, strip
 
 # Characters illegal in file names on common filesystems.
 ILLEGAL_CHARS = r'[\\/*?:"<>|]'
-# os.path.splitext: the extension needs a non-dot character before its dot.
-_SPLITEXT_RE = r"^(.*[^.].*)(\.[^.]*)$"
+def splitext(c: Column) -> tuple[Column, Column]:
+    """``os.path.splitext`` of a file name: the suffix from the last dot,
+    provided some non-dot character precedes that dot.  Built from
+    ``instr``/``substring`` (linear; a backtracking regex would be quadratic
+    in the name length)."""
+    from_end = F.instr(F.reverse(c), ".")               # 1-based position of the last dot, from the end
+    dot = F.length(c) - from_end + 1                     # 1-based position of the last dot
+    head = c.substr(F.lit(1), dot - 1)
+    has_ext = (from_end > 0) & (F.length(F.regexp_replace(head, r"\.", "")) > 0)
+    ext = F.when(has_ext, c.substr(dot, F.length(c))).otherwise(F.lit(""))
+    root = F.when(has_ext, head).otherwise(c)
+    return root, ext
 
 
-def _splitext(c: Column) -> tuple[Column, Column]:
-    ext = F.regexp_extract(c, _SPLITEXT_RE, 2)
-    root = F.when(ext == "", c).otherwise(F.regexp_extract(c, _SPLITEXT_RE, 1))
-    return root, ext
+_splitext = splitext
 
 
 def clean_sp(c: Column) -> Column:

@@ -12,9 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SUFFIX_RE = r"^(.+)(\.[^.]+)$"
-
-
 def file_name(path: Column) -> Column:
     """Last component after '/', else after '\\', else the whole key."""
     return F.when(F.instr(path, "/") > 0, F.substring_index(path, "/", -1)).when(
@@ -31,13 +28,22 @@ def stem_first_dot(name: Column) -> Column:
     return F.substring_index(name, ".", 1)
 
 
+def _last_dot(name: Column) -> Column:
+    """1-based position of the last dot (length + 1 when there is none)."""
+    return F.length(name) - F.instr(F.reverse(name), ".") + 1
+
+
 def suffix(name: Column) -> Column:
-    """pathlib suffix: last '.xxx' unless the dot is first or last."""
-    return F.regexp_extract(name, _SUFFIX_RE, 2)
+    """pathlib suffix: last '.xxx' unless the dot is first or last (string
+    functions only: linear in the name length)."""
+    dot = _last_dot(name)
+    ok = (F.instr(name, ".") > 0) & (dot > 1) & (dot < F.length(name))
+    return F.when(ok, name.substr(dot, F.length(name))).otherwise(F.lit(""))
 
 
 def stem_last_dot(name: Column) -> Column:
-    return F.when(suffix(name) == "", name).otherwise(F.regexp_extract(name, _SUFFIX_RE, 1))
+    sfx = suffix(name)
+    return F.when(sfx == "", name).otherwise(name.substr(F.lit(1), F.length(name) - F.length(sfx)))
 
 
 def with_suffix(path: Column, new_suffix: str) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import splitext
 from .ordered import ranked
 
 
@@ -69,8 +70,7 @@ def dedupe_names(df: DataFrame, group: str, name: str, order: str, width: int =
         if cur.groupBy(group, out).count().where(F.col("count") > 1).limit(1).count() == 0:
             break
         r = ranked(cur, [group, out], [order], rn_col="_rn")
-        ext = F.regexp_extract(F.col(out), r"^(.*[^.].*)(\.[^.]*)$", 2)
-        root = F.when(ext == "", F.col(out)).otherwise(F.regexp_extract(F.col(out), r"^(.*[^.].*)(\.[^.]*)$", 1))
+        root, ext = splitext(F.col(out))
         sfx = F.format_string(f"%0{width}d" if width > 0 else "%d", F.col("_rn") - 1)
         cur = r.withColumn(out, F.when(F.col("_rn") == 1, F.col(out)).otherwise(F.concat(root, F.lit("_"), sfx, ext))).drop("_rn")
     return cur

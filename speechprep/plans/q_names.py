@@ -14,7 +14,6 @@ from .registry import query
 # -------------------------------------------------------------- SQL helpers
 STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 ILLEGAL = '[\\\\/*?:"<>|]'
-SPLITEXT = "^(.*[^.].*)(\\.[^.]*)$"
 URL_RE = "^([A-Za-z][A-Za-z0-9+.-]*):(//([^/?#]*))?([^?#]*)(\\?([^#]*))?(#(.*))?$"
 
 
@@ -26,12 +25,17 @@ def _left(x: str, n: str) -> str:
     return f"substr({x}, 1, CASE WHEN ({n}) >= 0 THEN ({n}) ELSE greatest(length({x}) + ({n}), 0) END)"
 
 
+def _has_ext(x: str) -> str:
+    head = f"substr({x}, 1, length({x}) - strpos(reverse({x}), '.'))"
+    return f"(strpos(reverse({x}), '.') > 0 AND length(replace({head}, '.', '')) > 0)"
+
+
 def _root(x: str) -> str:
-    return f"CASE WHEN regexp_extract({x}, '{SPLITEXT}', 2) = '' THEN {x} ELSE regexp_extract({x}, '{SPLITEXT}', 1) END"
+    return f"CASE WHEN {_has_ext(x)} THEN substr({x}, 1, length({x}) - strpos(reverse({x}), '.')) ELSE {x} END"
 
 
 def _ext(x: str) -> str:
-    return f"regexp_extract({x}, '{SPLITEXT}', 2)"
+    return f"CASE WHEN {_has_ext(x)} THEN substr({x}, length({x}) - strpos(reverse({x}), '.') + 1) ELSE '' END"
 
 
 def _zeno(x: str) -> str:
@@ -172,16 +176,24 @@ def parse_resource_ids(t: Tables):
 
 
 # ------------------------------------------------------------------- F7
-_SFX = "^(.+)(\\.[^.]+)$"
+def _sfx(x: str) -> str:
+    dot = f"(length({x}) - strpos(reverse({x}), '.') + 1)"
+    return (f"CASE WHEN strpos({x}, '.') > 0 AND {dot} > 1 AND {dot} < length({x}) "
+            f"THEN substr({x}, {dot}) ELSE '' END")
+
+
+def _stem(x: str) -> str:
+    return f"CASE WHEN {_sfx(x)} = '' THEN {x} ELSE substr({x}, 1, length({x}) - length({_sfx(x)})) END"
+
 
 
 @query("path_parts", ["v_names"], f"""
 SELECT doc_id, p AS path, fname AS file_name, split_part(fname, '.', 1) AS stem_first_dot,
-       CASE WHEN regexp_extract(fname, '{_SFX}', 2) = '' THEN fname ELSE regexp_extract(fname, '{_SFX}', 1) END AS stem_last_dot,
-       regexp_extract(fname, '{_SFX}', 2) AS suffix,
+       {_stem("fname")} AS stem_last_dot,
+       {_sfx("fname")} AS suffix,
        regexp_extract(p, '^(.*)/[^/]*$', 1) AS parent,
        regexp_extract(p, '^(.*)/[^/]*$', 1) || '/' ||
-         (CASE WHEN regexp_extract(fname, '{_SFX}', 2) = '' THEN fname ELSE regexp_extract(fname, '{_SFX}', 1) END) || '.txt' AS label_file
+         ({_stem("fname")}) || '.txt' AS label_file
 FROM (SELECT doc_id, p, regexp_extract(p, '([^/]*)$', 1) AS fname
       FROM (SELECT doc_id, 'data/' || album || '/' || {_strip("regexp_replace(title, '[/\\\\]', '_', 'g')")} AS p FROM v_names) a) b
 """)
@@ -254,8 +266,7 @@ def tts_request_params(t: Tables):
 
 @query("tts_output_path", ["v_tts"], f"""
 SELECT request_id,
-  'out/' || (CASE WHEN regexp_extract(file_name, '{_SFX}', 2) = '' THEN file_name
-                  ELSE regexp_extract(file_name, '{_SFX}', 1) END) || '.mp3' AS out_path,
+  'out/' || ({_stem("file_name")}) || '.mp3' AS out_path,
   'out/' || (CASE WHEN strpos(file_name, '.') > 0 THEN regexp_extract(file_name, '^(.*)\\.[^.]*$', 1)
                   ELSE file_name END) || '.wav' AS stem_path
 FROM v_tts
@@ -283,7 +294,7 @@ def voice_cluster(t: Tables):
 @query("artifact_names", ["v_files"], f"""
 SELECT name,
   printf('%s_%s_%03d.tar', bucket, strftime(mtime, '%Y%m%d_%H%M%S'), bytes % 1000) AS volume_name,
-  printf('%s_%03d%s', CASE WHEN regexp_extract(name, '{_SFX}', 2) = '' THEN name ELSE regexp_extract(name, '{_SFX}', 1) END,
+  printf('%s_%03d%s', {_stem("name")},
          bytes % 1500, '.wav') AS piece_name,
   printf('%s_%d.wav', split_part(name, '.', 1), bytes % 13) AS chunk_name,
   'transcription_' || bucket || '.json' AS transcript_name
