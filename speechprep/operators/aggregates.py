@@ -90,7 +90,10 @@ def reassemble_chunks(df: DataFrame, key: str = "request_id", arrival: str = "ar
     )
     err_first = F.col("_err").isNotNull() & (F.col("_term").isNull() | (F.col("_err") < F.col("_term")))
     kept = F.filter(F.col("_msgs"), lambda m: F.col("_term").isNull() | (m["a"] <= F.col("_term")))
-    body = F.array_join(F.transform(kept, lambda m: m["p"]), "")
+    if dict(df.dtypes)[payload] == "binary":  # audio bytes: join as hex, decode once
+        body = F.unhex(F.array_join(F.transform(kept, lambda m: F.hex(m["p"])), ""))
+    else:
+        body = F.array_join(F.transform(kept, lambda m: m["p"]), "")
     return grouped.select(
         key,
         F.when(err_first, F.lit("failed"))

@@ -49,3 +49,10 @@ def test_reassemble_chunks(spark):
     df = spark.createDataFrame(rows, "request_id long, arrival long, sequence long, payload string, msg_type string")
     got = {r.request_id: (r.status, r.audio) for r in aggregates.reassemble_chunks(df).collect()}
     assert got == {1: ("ok", "abcd"), 2: ("failed", None), 3: ("incomplete", "a")}
+
+
+def test_reassemble_binary(spark):
+    rows = [(1, 1, 1, bytearray(b"\x00\x01"), "audio"), (1, 2, -2, bytearray(b"\xff"), "audio")]
+    df = spark.createDataFrame(rows, "request_id long, arrival long, sequence long, payload binary, msg_type string")
+    r = aggregates.reassemble_chunks(df).first()
+    assert r.status == "ok" and bytes(r.audio) == b"\x00\x01\xff"
