@@ -24,10 +24,10 @@ def _strip(x: str) -> str:
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
                   generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
 c AS (SELECT doc_id, line_no, {_strip("raw")} AS url FROM l),
-k AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY doc_id, line_no) AS rn,
-             count(*) OVER (PARTITION BY url) AS n_seen
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, url ORDER BY line_no) AS rn,
+             count(*) OVER (PARTITION BY doc_id, url) AS n_seen
       FROM c WHERE url <> '' AND NOT starts_with(url, '#'))
-SELECT url, doc_id AS first_src, CAST(line_no AS BIGINT) AS first_line, n_seen FROM k WHERE rn = 1
+SELECT doc_id, url, CAST(line_no AS BIGINT) AS first_line, n_seen FROM k WHERE rn = 1
 """)
 def read_url_list(t: Tables):
     return catalogs.read_url_list(t.documents, "text", "doc_id")
@@ -239,8 +239,8 @@ def _join_rel_sql(ref: str) -> str:
 @query("explode_playlist", [], f"""
 WITH p AS (SELECT page_id, url, {_PLAYLIST_SQL} AS pl FROM pages),
 u AS (SELECT page_id, url, pl,
-             list_transform(list_filter(string_split(pl, chr(10)),
-                                        lambda l: {_strip("l")} <> '' AND NOT starts_with(l, '#')),
+             list_transform(list_filter(regexp_split_to_array(pl, '\r\n|\r|\n'),
+                                        lambda l: l <> '' AND NOT starts_with(l, '#')),
                             lambda l: {_strip("l")}) AS uris FROM p),
 seg AS (SELECT page_id, url, CAST(generate_subscripts(uris, 1) - 1 AS BIGINT) AS seg_idx, unnest(uris) AS uri
         FROM u WHERE strpos(pl, '#EXT-X-STREAM-INF') = 0)

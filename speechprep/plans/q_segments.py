@@ -95,7 +95,7 @@ def drop_tiny_segments(t: Tables):
     return seg.number_and_drop_tiny(pieces).select("clip_id", "piece_idx", "start_ms", "end_ms")
 
 
-def _pipeline(t: Tables):
+def _chain(t: Tables):
     raw = t.v_segments
     total = raw.groupBy("clip_id").agg(F.floor(F.max("end_ms") * F.lit(SR) / F.lit(1000)).cast("bigint").alias("total_samples"))
     merged = seg.merge_segments(raw, **MERGE_ARGS)
@@ -106,7 +106,7 @@ def _pipeline(t: Tables):
     return out.select("clip_id", "piece_idx", "start_ms", "end_ms", "start_sample", "end_sample", "out_name")
 
 
-_PIPELINE_SQL = "WITH RECURSIVE " + _DROP_CTES + """,
+_CHAIN_SQL = "WITH RECURSIVE " + _DROP_CTES + """,
 tot AS (SELECT clip_id, CAST(floor(max(end_ms) * 16000 / 1000) AS BIGINT) AS total_samples FROM v_segments GROUP BY clip_id)
 SELECT d.clip_id, d.piece_idx, d.start_ms, d.end_ms,
        greatest(0, CAST(floor(d.start_ms * 16000 / 1000) AS BIGINT)) AS start_sample,
@@ -117,11 +117,11 @@ WHERE d.end_ms - d.start_ms >= 1500
 """
 
 
-@query("slice_bounds", ["v_segments"], _PIPELINE_SQL)
+@query("slice_bounds", ["v_segments"], _CHAIN_SQL)
 def slice_bounds(t: Tables):
-    return _pipeline(t)
+    return _chain(t)
 
 
-@query("segment_pipeline", ["v_segments"], _PIPELINE_SQL)
-def segment_pipeline(t: Tables):
-    return _pipeline(t)
+@query("segment_chain", ["v_segments"], _CHAIN_SQL)
+def segment_chain(t: Tables):
+    return _chain(t)

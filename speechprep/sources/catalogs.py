@@ -19,20 +19,21 @@ PROGRAM_PAGE_SCHEMA = "data struct<programs: array<struct<id: bigint, title: str
 
 
 def read_url_list(lines: DataFrame, text: str = "text", src: str = "doc_id") -> DataFrame:
-    """URL list files → distinct entries in first-seen order (A4).
-
-    Lines are stripped; blank lines and ``#`` comments are dropped; a
-    repeated entry keeps its first position ``(src, line_no)``.  The
-    de-duplication is a ``groupBy`` with ``min(struct)`` (map-side partial
-    aggregation), so one URL repeated a billion times costs one counter per
-    map task, not a hot window partition.
+    """URL list files → distinct entries per list in first-seen order (A4).
+
+    Each list (one row of ``text``; one file read with ``wholetext``) is
+    de-duplicated on its own: lines are stripped, blank lines and ``#``
+    comments are dropped, and a repeated entry keeps its first line number.
+    The de-duplication is a ``groupBy(src, url)`` with ``min(line_no)``
+    (map-side partial aggregation), so a URL repeated a billion times costs
+    one counter per map task, not a hot window partition.
     """
     exploded = lines.select(F.col(src).alias("src"), F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "raw"))
     cleaned = exploded.select("src", "line_no", strip(F.col("raw")).alias("url"))
     kept = cleaned.where((F.col("url") != "") & ~F.col("url").startswith("#"))
-    first = kept.groupBy("url").agg(F.min(F.struct("src", "line_no")).alias("_first"), F.count(F.lit(1)).alias("n_seen"))
-    return first.select("url", F.col("_first.src").alias("first_src"),
-                        F.col("_first.line_no").cast("bigint").alias("first_line"), "n_seen")
+    first = kept.groupBy("src", "url").agg(F.min("line_no").cast("bigint").alias("first_line"),
+                                           F.count(F.lit(1)).alias("n_seen"))
+    return first.select(F.col("src").alias(src), "url", "first_line", "n_seen")
 
 
 def flatten_program_pages(pages: DataFrame, payload: str = "payload",

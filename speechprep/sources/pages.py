@@ -92,7 +92,9 @@ def explode_playlist(df: DataFrame, text: str, base_url: str, key: str = "page_i
     ``{i:05d}.ts`` (G4); for a master list (``#EXT-X-STREAM-INF``) the first
     variant URL, the media list to fetch next.  A playlist is one row, so
     everything happens inside the row: no shuffle."""
-    uris = F.transform(F.filter(F.split(F.col(text), "\n"), lambda l: (strip(l) != "") & ~l.startswith("#")),
+    # lines as splitlines() gives them; a non-empty line that is not a tag
+    # is a URI (a whitespace-only line resolves to the base, like urljoin)
+    uris = F.transform(F.filter(F.split(F.col(text), r"\r\n|\r|\n"), lambda l: (l != "") & ~l.startswith("#")),
                        lambda l: strip(l))
     is_master = F.col(text).contains("#EXT-X-STREAM-INF")
     media = df.where(~is_master).select(key, base_url, F.posexplode(uris).alias("seg_idx", "_uri"))

@@ -18,8 +18,8 @@ def test_paginate_rules(spark):
 def test_read_url_list(spark):
     df = spark.createDataFrame([(1, " http://a \n# note\n\nhttp://b\nhttp://a"), (2, "http://b\nhttp://c ")],
                                "doc_id long, text string")
-    got = {r.url: (r.first_src, r.first_line, r.n_seen) for r in catalogs.read_url_list(df).collect()}
-    assert got == {"http://a": (1, 0, 2), "http://b": (1, 3, 2), "http://c": (2, 1, 1)}
+    got = {(r.doc_id, r.url): (r.first_line, r.n_seen) for r in catalogs.read_url_list(df).collect()}
+    assert got == {(1, "http://a"): (0, 2), (1, "http://b"): (3, 1), (2, "http://b"): (0, 1), (2, "http://c"): (1, 1)}
 
 
 def test_flatten_and_first_title(spark):
