@@ -1,22 +1,35 @@
-"""Whitespace rules.  Python's ``str.strip()`` removes every whitespace
-character, SQL ``trim`` only spaces, so stripping is a regex."""
+"""Whitespace rules.
+
+The reference strips and collapses whitespace with Python's ``str.strip()``
+and ``re.sub(r"\\s+", " ", ...)``, i.e. every character for which
+``str.isspace()`` is true.  SQL ``trim`` removes only spaces and Java's
+``\\s`` is ASCII-only, so the character set is derived here from the same
+rule and used explicitly: ``btrim``/``rtrim`` with that set (linear, no
+regex backtracking) and a character class for collapsing runs.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Derived by rule: every code point Python treats as whitespace (all lie
+# below U+3001).
+PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+WS_CLASS_JAVA = "[" + "".join(f"\\u{ord(c):04x}" for c in PY_WHITESPACE) + "]"
+WS_CLASS_RE2 = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in PY_WHITESPACE) + "]"
+
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, r"\s+$", "")
+    return F.rtrim(c, F.lit(PY_WHITESPACE))
 
 
 def collapse_ws(c: Column) -> Column:
-    return F.regexp_replace(c, r"\s+", " ")
+    return F.regexp_replace(c, WS_CLASS_JAVA + "+", " ")
 
 
 def label_text(c: Column) -> Column:

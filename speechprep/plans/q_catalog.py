@@ -13,6 +13,7 @@ from ..operators import aggregates, batching, filters, joins
 from ..sources import catalog as cat
 from ..sources import jsonmaps
 from .registry import query
+from .sqlbits import strip_sql
 
 
 def _sql_in(profile: str) -> str:
@@ -96,7 +97,7 @@ SELECT o.path,
             ELSE coalesce(nullif(regexp_extract(o.path, '^(.*/sliced)/', 1), ''),
                           regexp_extract(o.path, '^(.*)/[^/]*$', 1)) END
          || '/' || split_part(regexp_extract(o.path, '([^/]*)$', 1), '.', 1) || '.txt' AS label_path,
-       regexp_replace(o.text, '^\\s+|\\s+$', '', 'g') || chr(10) AS label
+       {strip_sql("o.text")} || chr(10) AS label
 FROM v_old o LEFT JOIN (SELECT DISTINCT path FROM v_audio WHERE lower(ext) IN ({ASR})) a ON o.path = a.path
 """)
 def export_labels(t: Tables):
@@ -194,7 +195,7 @@ def _alias_values_sql() -> str:
 @query("join_language_alias", ["v_names"], f"""
 SELECT n.doc_id, n.lang_main, coalesce(m.iso, n.lang_main) AS lang_code
 FROM (SELECT doc_id, CASE WHEN x = '' THEN '' ELSE regexp_split_to_array(x, '[-_.]')[1] END AS lang_main
-      FROM (SELECT doc_id, lower(regexp_replace(lang_tag, '^\\s+|\\s+$', '', 'g')) AS x FROM v_names) n0) n
+      FROM (SELECT doc_id, lower({strip_sql("lang_tag")}) AS x FROM v_names) n0) n
 LEFT JOIN (VALUES {_alias_values_sql()}) AS m(alias, iso) ON n.lang_main = m.alias
 """)
 def join_language_alias(t: Tables):
@@ -241,8 +242,8 @@ def batch_progress(t: Tables):
     return aggregates.batch_progress(t.v_lyrics, "song_id", F.col("yrc") != "", 50)
 
 
-@query("concat_segments", [], """
-SELECT conv_id, regexp_replace(string_agg(text, '' ORDER BY turn), '^\\s+|\\s+$', '', 'g') AS text
+@query("concat_segments", [], f"""
+SELECT conv_id, {strip_sql("string_agg(text, '' ORDER BY turn)")} AS text
 FROM conversations GROUP BY conv_id
 """)
 def concat_segments(t: Tables):

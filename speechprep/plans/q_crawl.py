@@ -9,14 +9,14 @@ from ..fixtures import Tables
 from ..functions import names
 from ..sources import catalogs, pages
 from .registry import query
+from .sqlbits import collapse_sql, strip_sql
 
-STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 URL_RE = "^([A-Za-z][A-Za-z0-9+.-]*):(//([^/?#]*))?([^?#]*)(\\?([^#]*))?(#(.*))?$"
 PROGRAMS_JSON = '{"data":{"programs":[{"id":"BIGINT","title":"VARCHAR"}]}}'
 
 
 def _strip(x: str) -> str:
-    return STRIP.format(x=x)
+    return strip_sql(x)
 
 
 # ------------------------------------------------------------------- A4
@@ -225,7 +225,7 @@ _PLAYLIST_SQL = f"""CASE WHEN page_id % 2 = 0 THEN
   '#EXTM3U' || chr(10) || '#EXT-X-STREAM-INF:BANDWIDTH=800000' || chr(10) || 'low/index.m3u8' || chr(10) ||
   '#EXT-X-STREAM-INF:BANDWIDTH=1600000' || chr(10) || 'high/index.m3u8'
 ELSE '#EXTM3U' || chr(10) || '#EXTINF:10,' || chr(10) ||
-  regexp_replace({_strip("regexp_extract(html, '<title>([^<]*)</title>', 1)")}, '\\s+', '.ts' || chr(10) || '#EXTINF:10,' || chr(10), 'g')
+  {collapse_sql(_strip("regexp_extract(html, '<title>([^<]*)</title>', 1)"), "'.ts' || chr(10) || '#EXTINF:10,' || chr(10)")}
   || '.ts' || chr(10) || '#EXT-X-ENDLIST' END"""
 
 
@@ -251,10 +251,10 @@ SELECT page_id, CAST(0 AS BIGINT) AS seg_idx, {_join_rel_sql("uris[1]")} AS seg_
 FROM u WHERE strpos(pl, '#EXT-X-STREAM-INF') > 0 AND len(uris) > 0
 """)
 def explode_playlist(t: Tables):
-    from ..functions.text import strip
+    from ..functions.text import WS_CLASS_JAVA, strip
 
     title = strip(F.regexp_extract(F.col("html"), pages.TITLE_RE, 1))
-    media = F.concat(F.lit("#EXTM3U\n#EXTINF:10,\n"), F.regexp_replace(title, r"\s+", ".ts\n#EXTINF:10,\n"),
+    media = F.concat(F.lit("#EXTM3U\n#EXTINF:10,\n"), F.regexp_replace(title, WS_CLASS_JAVA + "+", ".ts\n#EXTINF:10,\n"),
                      F.lit(".ts\n#EXT-X-ENDLIST"))
     master = F.lit("#EXTM3U\n#EXT-X-STREAM-INF:BANDWIDTH=800000\nlow/index.m3u8\n"
                    "#EXT-X-STREAM-INF:BANDWIDTH=1600000\nhigh/index.m3u8")

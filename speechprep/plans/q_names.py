@@ -10,15 +10,15 @@ from ..functions.text import label_text, strip
 from ..operators import batching
 from ..operators.joins import LANG_ALIASES
 from .registry import query
+from .sqlbits import collapse_sql, rstrip_sql, strip_sql
 
 # -------------------------------------------------------------- SQL helpers
-STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 ILLEGAL = '[\\\\/*?:"<>|]'
 URL_RE = "^([A-Za-z][A-Za-z0-9+.-]*):(//([^/?#]*))?([^?#]*)(\\?([^#]*))?(#(.*))?$"
 
 
 def _strip(x: str) -> str:
-    return STRIP.format(x=x)
+    return strip_sql(x)
 
 
 def _left(x: str, n: str) -> str:
@@ -39,7 +39,7 @@ def _ext(x: str) -> str:
 
 
 def _zeno(x: str) -> str:
-    s = f"regexp_replace(regexp_replace({x}, '{ILLEGAL}', '', 'g'), '\\s+', ' ', 'g')"
+    s = collapse_sql(f"regexp_replace({x}, '{ILLEGAL}', '', 'g')")
     capped = f"{_left(_root(s), '50 - length(' + _ext(s) + ')')} || {_ext(s)}"
     return _strip(f"CASE WHEN length({s}) > 50 THEN {capped} ELSE {s} END")
 
@@ -47,11 +47,11 @@ def _zeno(x: str) -> str:
 # ------------------------------------------------------------------- F1
 @query("sanitize_names", ["v_names"], f"""
 SELECT doc_id,
-  {_strip(f"regexp_replace(regexp_replace(title, '{ILLEGAL}', '_', 'g'), '\\s+', ' ', 'g')")} AS name_sp,
+  {_strip(collapse_sql(f"regexp_replace(title, '{ILLEGAL}', '_', 'g')"))} AS name_sp,
   {_zeno("title")} AS name_zeno,
   {_strip(f"regexp_replace(title, '{ILLEGAL}', '', 'g')")} AS name_ragtag,
   {_strip("regexp_replace(title, '[/\\\\]', '_', 'g')")} AS name_radio,
-  regexp_replace(regexp_replace(title, '[^\\p{{L}}\\p{{N}} _-]', '', 'g'), '\\s+$', '', 'g') AS name_alnum,
+  {rstrip_sql("regexp_replace(title, '[^\\p{L}\\p{N} _-]', '', 'g')")} AS name_alnum,
   substr(replace(regexp_replace(title, '[/\\\\]', '_', 'g'), chr(0), ''), 1, 200) AS name_song
 FROM v_names
 """)
@@ -73,12 +73,12 @@ def _trunc_sql(x: str, n: int) -> str:
     cut = f"substr({x}, 1, {n})"
     ls = f"CASE WHEN strpos(reverse({cut}), ' ') > 0 THEN length({cut}) - strpos(reverse({cut}), ' ') ELSE -1 END"
     backed = f"CASE WHEN ({ls}) >= {int(n * 0.6)} AND ({ls}) > 0 THEN substr({cut}, 1, {ls}) ELSE {cut} END"
-    return f"CASE WHEN length({x}) <= {n} THEN {x} ELSE regexp_replace({backed}, '\\s+$', '', 'g') END"
+    return f"CASE WHEN length({x}) <= {n} THEN {x} ELSE {rstrip_sql(backed)} END"
 
 
 @query("truncate_words", ["v_names"], f"""
 SELECT doc_id, {_trunc_sql("t", 120)} AS short_title
-FROM (SELECT doc_id, {_strip(f"regexp_replace(regexp_replace(title, '{ILLEGAL}', '_', 'g'), '\\s+', ' ', 'g')")} AS t
+FROM (SELECT doc_id, {_strip(collapse_sql(f"regexp_replace(title, '{ILLEGAL}', '_', 'g')"))} AS t
       FROM v_names) s
 """)
 def truncate_words(t: Tables):

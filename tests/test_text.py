@@ -100,3 +100,13 @@ def test_tts_params(spark):
     got = [tuple(r) for r in df.select(tts.chunk_length(F.col("c")), tts.mp3_bitrate(F.col("b")), tts.latency(F.col("l"))).collect()]
     assert got == [(200, 128, "balanced"), (150, 64, "normal"), (200, 128, "balanced"), (200, 192, "balanced")]
     assert _one(spark, lambda c: tts.voice_cluster(c), "S_abc") == "volcano_icl"
+
+
+def test_python_whitespace_rules(spark):
+    from speechprep.functions.text import collapse_ws, rstrip, strip
+
+    raw = " \x1c a  \t b 　\n"
+    assert _one(spark, strip, raw) == raw.strip()
+    assert _one(spark, rstrip, raw) == raw.rstrip()
+    import re
+    assert _one(spark, collapse_ws, raw) == re.sub(r"\s+", " ", raw)
