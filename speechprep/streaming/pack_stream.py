@@ -96,3 +96,16 @@ def stream_pack(arrivals: DataFrame, max_bytes: int, stale_seconds: int, now_ms:
     return arrivals.groupBy("bucket").applyInPandasWithState(
         _pack_fn(max_bytes, stale_seconds, now_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout,
     )
+
+
+def start_stream_pack(spark, source_dir: str, out_dir: str, checkpoint: str, max_bytes: int = 1 << 30,
+                      stale_seconds: int = 3600, trigger: dict | None = None, max_files_per_trigger: int = 10_000):
+    """Run the packer as a service: watch ``source_dir`` (file-queue
+    manifests ``(bucket, name, bytes, mtime)`` as parquet), poll every 10 s by
+    default, append closed volumes to ``out_dir``.  ``maxFilesPerTrigger``
+    bounds each micro-batch and therefore the per-bucket pandas frame."""
+    arrivals = (spark.readStream.schema("bucket string, name string, bytes long, mtime timestamp_ntz")
+                .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
+    return (stream_pack(arrivals, max_bytes, stale_seconds)
+            .writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(**(trigger or {"processingTime": "10 seconds"})).start())
