@@ -77,3 +77,27 @@ def test_batch_infer_isolates_failures(spark):
     got = {r.path: (r.output, r.error is not None) for r in
            infer.batch_infer(df, "path", ["text"], lambda: model, lambda m, b: m(b["text"]), batch_size=8).collect()}
     assert got == {"a": ("one", False), "b": (None, True), "c": ("three", False)}
+
+
+def test_live_packer_flushes_stale_leftovers(spark, tmp_path):
+    import time
+
+    from speechprep.streaming.pack_stream import start_stream_pack
+
+    src, out, chk = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "chk")
+    _land(spark, [("b", f"f{i}", 4, dt.datetime(2020, 1, 1, 0, 0, i)) for i in range(5)], src)
+    q = start_stream_pack(spark, src, out, chk, max_bytes=10, stale_seconds=3600, trigger={"processingTime": "1 second"})
+    try:
+        got = []
+        for _ in range(60):  # processing-time timers keep the query alive: poll the sink
+            time.sleep(1)
+            if os.path.isdir(out):
+                got = spark.read.schema(
+                    "bucket string, name string, bytes long, mtime timestamp_ntz, volume_seq long, reason string"
+                ).parquet(out).collect()
+                if len(got) == 5:
+                    break
+    finally:
+        q.stop()
+    assert sorted((r.name, r.volume_seq, r.reason) for r in got) == [
+        ("f0", 0, "full"), ("f1", 0, "full"), ("f2", 1, "full"), ("f3", 1, "full"), ("f4", 2, "stale")]
