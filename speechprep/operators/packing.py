@@ -31,7 +31,7 @@ from .ordered import materialize
 
 
 # --------------------------------------------------------------------------
-# Reference fold (used per slice and as the brute force in tests)
+# Next-fit primitives
 # --------------------------------------------------------------------------
 def next_fit(sizes: np.ndarray, max_bytes: int) -> tuple[np.ndarray, bool]:
     """Batch index per file for one ordered run, starting from an empty
@@ -63,37 +63,6 @@ def batch_end(prefix: np.ndarray, i: int, max_bytes: int) -> int:
     return j if prefix[j] - base == max_bytes else j - 1
 
 
-_FILE_SCHEMA = "bucket string, name string, bytes long, mtime timestamp_ntz, volume_seq long, status string"
-
-
-def pack_volumes_grouped(files: DataFrame, max_bytes: int, now: Column | str, stale_seconds: int,
-                         bucket: str = "bucket", name: str = "name", size: str = "bytes",
-                         mtime: str = "mtime") -> DataFrame:
-    """Per-bucket fold with ``applyInPandas`` (one group per bucket).  Exact
-    and simple; used for small inputs and as the baseline the sliced
-    version is tested against."""
-    ship_package(files.sparkSession)
-    now_lit = F.lit(now).cast("timestamp_ntz") if isinstance(now, str) else now
-    df = files.select(F.col(bucket).alias("bucket"), F.col(name).alias("name"), F.col(size).alias("bytes"),
-                      F.col(mtime).alias("mtime"),
-                      seconds_between(F.col(mtime), now_lit).alias("_age"))
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["mtime", "name"], kind="mergesort")
-        batch, open_last = next_fit(pdf["bytes"].to_numpy(), max_bytes)
-        status = np.full(len(pdf), "packed", dtype=object)
-        if open_last and len(pdf):
-            last = batch == batch[-1]
-            if pdf["_age"].to_numpy()[last].max() < stale_seconds:
-                status[last] = "waiting"
-        out = pdf[["bucket", "name", "bytes", "mtime"]].copy()
-        out["volume_seq"] = batch
-        out["status"] = status
-        return out
-
-    return df.groupBy("bucket").applyInPandas(fold, _FILE_SCHEMA)
-
-
 # --------------------------------------------------------------------------
 # Sliced, skew-safe version
 # --------------------------------------------------------------------------

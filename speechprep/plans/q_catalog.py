@@ -6,8 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixtures import Tables
-from ..functions import paths
-from ..functions.names import normalize_language  # noqa: F401  (re-exported for users)
 from ..functions.text import label_text, strip
 from ..operators import aggregates, batching, filters, joins
 from ..sources import catalog as cat

@@ -14,6 +14,34 @@ def _files(spark, rows):
     return spark.createDataFrame(rows, "bucket string, name string, bytes long, mtime timestamp_ntz")
 
 
+# The straightforward per-bucket fold (one pandas group per bucket): the
+# brute-force reference the sliced packer is compared with.
+def pack_volumes_grouped(files, max_bytes, now, stale_seconds):
+    import numpy as np
+    import pandas as pd
+
+    from speechprep.functions.times import seconds_between
+
+    now_lit = F.lit(now).cast("timestamp_ntz")
+    df = files.select("bucket", "name", "bytes", "mtime", seconds_between(F.col("mtime"), now_lit).alias("_age"))
+
+    def fold(pdf):
+        pdf = pdf.sort_values(["mtime", "name"], kind="mergesort")
+        batch, open_last = packing.next_fit(pdf["bytes"].to_numpy(), max_bytes)
+        status = np.full(len(pdf), "packed", dtype=object)
+        if open_last and len(pdf):
+            last = batch == batch[-1]
+            if pdf["_age"].to_numpy()[last].max() < stale_seconds:
+                status[last] = "waiting"
+        out = pdf[["bucket", "name", "bytes", "mtime"]].copy()
+        out["volume_seq"] = batch
+        out["status"] = status
+        return out
+
+    return df.groupBy("bucket").applyInPandas(
+        fold, "bucket string, name string, bytes long, mtime timestamp_ntz, volume_seq long, status string")
+
+
 def test_next_fit_fixed_case():
     batch, open_last = packing.next_fit([4, 6, 3, 12, 2], 10)
     assert batch.tolist() == [0, 0, 1, 2, 3] and open_last
@@ -42,7 +70,7 @@ def test_sliced_equals_grouped_fold(spark):
         fast = {(r.bucket, r.name): (r.volume_seq, r.status)
                 for r in packing.pack_volumes(df, 100, now, 500, slices=slices).collect()}
         ref = {(r.bucket, r.name): (r.volume_seq, r.status)
-               for r in packing.pack_volumes_grouped(df, 100, now, 500).collect()}
+               for r in pack_volumes_grouped(df, 100, now, 500).collect()}
         assert fast == ref, slices
 
 
