@@ -294,16 +294,27 @@ def _merge_sliced(segs, target, max_len, strict, loose, clip, start, end, slices
 # Split long segments (closed form of the piece loop)
 # --------------------------------------------------------------------------
 def split_long_segments(segs: DataFrame, target: int = 15000, max_len: int = 20000, tail: int = 3000,
-                        start: str = "start_ms", end: str = "end_ms") -> DataFrame:
+                        start: str = "start_ms", end: str = "end_ms", strict_max: bool = False) -> DataFrame:
     """Cut segments longer than ``max_len`` into ``target`` pieces.
 
     Same result as the piece loop: pieces ``[start + k*T, start + (k+1)*T]``;
     a remainder shorter than ``tail`` is absorbed by the previous piece, so
     ``n = 1 + floor((d - T - tail) / T)`` for ``d >= T + tail``, else 1, and
     the last piece ends at ``end`` (it may exceed ``max_len``).  Adds
-    ``piece_no``; the explode is bounded by d / T per segment.
+    ``piece_no``; the explode is bounded by d / T per segment.  With
+    ``strict_max=True`` (not in the reference) a long segment is instead cut
+    into ``ceil(d / max_len)`` near-equal pieces, none longer than
+    ``max_len``.
     """
     d = F.col(end) - F.col(start)
+    if strict_max:
+        # our own option: ceil(d / max) near-equal pieces, none longer than max
+        n = F.when(d <= max_len, F.lit(1)).otherwise(F.ceil(d / F.lit(max_len)))
+        out = segs.withColumn("_n", n.cast("int")).withColumn("piece_no", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+        p_start = F.col(start) + F.floor(F.col("piece_no") * d / F.col("_n"))
+        p_end = F.col(start) + F.floor((F.col("piece_no") + 1) * d / F.col("_n"))
+        return out.withColumn("_ps", p_start.cast("bigint")).withColumn("_pe", p_end.cast("bigint")) \
+            .drop(start, end, "_n").withColumnRenamed("_ps", start).withColumnRenamed("_pe", end)
     n = F.when(d <= max_len, F.lit(1)).when(d >= target + tail, 1 + F.floor((d - target - tail) / target)).otherwise(1)
     out = segs.withColumn("_n", n.cast("int")).withColumn("piece_no", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     p_start = F.col(start) + F.col("piece_no") * target
