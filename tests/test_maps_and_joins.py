@@ -56,3 +56,17 @@ def test_reassemble_binary(spark):
     df = spark.createDataFrame(rows, "request_id long, arrival long, sequence long, payload binary, msg_type string")
     r = aggregates.reassemble_chunks(df).first()
     assert r.status == "ok" and bytes(r.audio) == b"\x00\x01\xff"
+
+
+def test_write_labels(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from speechprep.functions.text import label_text
+    from speechprep.operators import joins
+
+    tr = spark.createDataFrame([("d/a/sliced/x.1.wav", " hi "), ("d/b/sliced/y.wav", "yo")], "path string, text string")
+    cat = spark.createDataFrame([("d/a/sliced/x.1.wav",)], "path string")
+    labels = joins.resolve_label_path(tr, cat).select("path", "label_path", label_text(F.col("text")).alias("label"))
+    jsonmaps.write_labels(labels, str(tmp_path / "labels"))
+    back = {r.path: (r.label_path, r.label) for r in spark.read.parquet(str(tmp_path / "labels")).collect()}
+    assert back == {"d/a/sliced/x.1.wav": ("d/a/sliced/x.txt", "hi\n"), "d/b/sliced/y.wav": ("d/b/sliced/y.txt", "yo\n")}
