@@ -121,7 +121,9 @@ def _slice_exits(max_bytes: int):
 
 
 def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    out, entry, offset = [], 0, 0
+    """Per bucket, in group order: the true entry position and the number of
+    batches started before each group; and the open tail batch, if any."""
+    out, entry, offset, open_end = [], 0, 0, False
     bucket = pdf["bucket"].iloc[0]
     for g, rows in pdf.sort_values(["g", "entry_lo"]).groupby("g", sort=True):
         out.append((bucket, g, entry, offset))
@@ -132,8 +134,11 @@ def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
             raise RuntimeError("pack_volumes: slice entry outside its candidates")
         ex, nb = int(hit["exit"].iloc[0]), int(hit["n_batches"].iloc[0])
         offset += nb
+        open_end = ex < 0
         entry = _SENTINEL if ex < 0 else ex
-    return pd.DataFrame(out, columns=["bucket", "g", "entry", "offset"])
+    df = pd.DataFrame(out, columns=["bucket", "g", "entry", "offset"])
+    df["tail_seq"] = offset - 1 if open_end else -1
+    return df
 
 
 def _slice_numbers(max_bytes: int):
@@ -142,8 +147,9 @@ def _slice_numbers(max_bytes: int):
         prefix = np.cumsum(sizes)
         m = len(mine)
         entry, offset = int(pdf["entry"].iloc[0]), int(pdf["offset"].iloc[0])
-        seq = np.full(m, -1, dtype=np.int64)  # -1: continues the previous slice's batch
-        open_tail = np.zeros(m, dtype=bool)
+        tail_seq = int(pdf["tail_seq"].iloc[0])
+        # files before the entry continue the last batch started earlier
+        seq = np.full(m, offset - 1, dtype=np.int64)
         p, b = entry, offset - 1
         while p < m:
             e = batch_end(prefix, p, max_bytes)
@@ -151,13 +157,11 @@ def _slice_numbers(max_bytes: int):
             last = m - 1 if e < 0 else min(e, m - 1)
             seq[p:last + 1] = b
             if e < 0:
-                open_tail[p:] = True
                 break
             p = e + 1
         out = mine[["bucket", "name", "bytes", "mtime"]].copy()
         out["volume_seq"] = seq
-        out["open_tail"] = open_tail
-        out["g"] = int(pdf["g"].iloc[0])
+        out["in_tail"] = seq == tail_seq
         return out
 
     return number
@@ -214,26 +218,19 @@ def pack_volumes(files: DataFrame, max_bytes: int, now: Column | str, stale_seco
     ranges = work.groupBy("bucket", "g").applyInPandas(
         _slice_exits(max_bytes), "bucket string, g long, entry_lo long, entry_hi long, exit long, n_batches long")
     # 4. per bucket (a few rows per group): true entry and batch offset
-    entries = ranges.groupBy("bucket").applyInPandas(_chain, "bucket string, g long, entry long, offset long")
+    entries = ranges.groupBy("bucket").applyInPandas(
+        _chain, "bucket string, g long, entry long, offset long, tail_seq long")
     # 5. per group: number the batches from the true entry
     numbered = work.join(entries, ["bucket", "g"]).groupBy("bucket", "g").applyInPandas(
         _slice_numbers(max_bytes),
-        "bucket string, name string, bytes long, mtime timestamp_ntz, volume_seq long, open_tail boolean, g long")
+        "bucket string, name string, bytes long, mtime timestamp_ntz, volume_seq long, in_tail boolean")
 
-    # files before a group's entry continue the previous group's last batch
-    prev_last = numbered.groupBy("bucket", "g").agg(F.max("volume_seq").alias("_prev")) \
-        .withColumn("g", F.col("g") + 1)
-    fixed = numbered.join(prev_last, ["bucket", "g"], "left").withColumn(
-        "volume_seq", F.when(F.col("volume_seq") < 0, F.col("_prev")).otherwise(F.col("volume_seq")))
     # the open tail (if any) is the bucket's last batch; it waits unless stale
-    tail = fixed.where("open_tail").groupBy("bucket").agg(F.max("volume_seq").alias("_tail"))
     age = seconds_between(F.col("mtime"), now_lit)
-    fixed = fixed.join(tail, "bucket", "left").withColumn(
-        "_in_tail", F.coalesce(F.col("volume_seq") == F.col("_tail"), F.lit(False)))
-    oldest = fixed.where("_in_tail").groupBy("bucket").agg(F.max(age).alias("_oldest_age"))
-    out = fixed.join(oldest, "bucket", "left").withColumn(
+    oldest = numbered.where("in_tail").groupBy("bucket").agg(F.max(age).alias("_oldest_age"))
+    out = numbered.join(oldest, "bucket", "left").withColumn(
         "status",
-        F.when(F.col("_in_tail") & (F.col("_oldest_age") < stale_seconds), F.lit("waiting")).otherwise(F.lit("packed")),
+        F.when(F.col("in_tail") & (F.col("_oldest_age") < stale_seconds), F.lit("waiting")).otherwise(F.lit("packed")),
     )
     return out.select("bucket", "name", "bytes", "mtime", "volume_seq", "status")
 
