@@ -67,7 +67,7 @@ def dedupe_names(df: DataFrame, group: str, name: str, order: str, width: int =
     cur = df.withColumn(out, F.col(name))
     for _ in range(max_rounds):
         # stop as soon as names are unique (a scalar check, partial-aggregated)
-        if cur.groupBy(group, out).count().where(F.col("count") > 1).limit(1).count() == 0:
+        if cur.groupBy(group, out).count().where(F.col("count") > 1).isEmpty():
             break
         r = ranked(cur, [group, out], [order], rn_col="_rn")
         root, ext = splitext(F.col(out))

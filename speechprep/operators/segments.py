@@ -108,7 +108,7 @@ def merge_segments(segs: DataFrame, target: int = 15000, max_len: int = 60000, s
     if method == "auto":
         sizes = s.groupBy(clip, "_island").agg(F.count(F.lit(1)).alias("_n"))
         # a scalar check (partial aggregate): only split when a long island exists
-        if sizes.where(F.col("_n") > max_island).limit(1).count() > 0:
+        if not sizes.where(F.col("_n") > max_island).isEmpty():
             s = s.join(sizes, [clip, "_island"])
             big = s.where(F.col("_n") > max_island)
             s = s.where(F.col("_n") <= max_island)

@@ -78,9 +78,10 @@ def read_transcript_map(t: Tables):
     # v_old written as {path: text} JSON documents per stage dir (A8), plus a
     # malformed document and one with non-string values, then read back (A3).
     docs = jsonmaps.write_transcript_map(t.v_old).select("stage_dir", "json")
-    junk = docs.limit(1).select(
-        "stage_dir", F.lit('{"x": 1, "y": null, "z": ["a"]}').alias("json")
-    ).unionByName(docs.limit(1).select("stage_dir", F.lit("{not json").alias("json")))
+    # next to every real document: one with only non-string values and one
+    # that does not parse; both must contribute no rows
+    junk = docs.select("stage_dir", F.lit('{"x": 1, "y": null, "z": ["a"]}').alias("json")).unionByName(
+        docs.select("stage_dir", F.lit("{not json").alias("json")))
     return jsonmaps.parse_transcript_json(docs.unionByName(junk), "json").select("path", "text")
 
 
