@@ -101,3 +101,20 @@ def test_byte_ranges(spark):
     rows = [("v", f"f{i}", s, T0 + dt.timedelta(seconds=i)) for i, s in enumerate([5, 10, 3])]
     out = batching.volume_byte_ranges(_files(spark, rows), "bucket", ["mtime", "name"], "bytes", 8).orderBy("name", "part_no").collect()
     assert [(r.name, r.offset, r.part_no) for r in out] == [("f0", 0, 0), ("f1", 5, 0), ("f1", 5, 1), ("f2", 15, 1), ("f2", 15, 2)]
+
+
+def test_sliced_packer_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(sizes=st.lists(st.integers(min_value=1, max_value=40), min_size=1, max_size=120),
+           max_bytes=st.integers(min_value=5, max_value=60), slices=st.integers(min_value=1, max_value=9))
+    def check(sizes, max_bytes, slices):
+        rows = [("q", f"n{i:04d}", s, T0 + dt.timedelta(seconds=i)) for i, s in enumerate(sizes)]
+        got = {r.name: r.volume_seq for r in packing.pack_volumes(_files(spark, rows), max_bytes, "2030-01-01 00:00:00",
+                                                                   60, slices=slices).collect()}
+        batch, _ = packing.next_fit(sizes, max_bytes)
+        assert [got[f"n{i:04d}"] for i in range(len(sizes))] == batch.tolist()
+
+    check()
