@@ -85,7 +85,11 @@ def read_transcript_map(t: Tables):
     return jsonmaps.parse_transcript_json(docs.unionByName(junk), "json").select("path", "text")
 
 
-@query("write_transcript_map")
+@query("write_transcript_map", ["v_old"], """
+SELECT regexp_extract(path, '^(.*/sliced)/', 1) AS stage_dir, CAST(0 AS BIGINT) AS part, COUNT(*) AS n_pairs,
+       CAST(to_json(map_from_entries(list(struct_pack(k := path, v := text) ORDER BY path))) AS VARCHAR) AS json
+FROM v_old GROUP BY 1
+""")
 def write_transcript_map(t: Tables):
     return jsonmaps.write_transcript_map(t.v_old)
 
