@@ -185,8 +185,12 @@ def duckdb_with(views: list[str] | tuple[str, ...], select: str) -> str:
     body = select.strip()
     if not parts:
         return body
-    if body[:15].upper() == "WITH RECURSIVE ":
-        return "WITH RECURSIVE " + ",\n".join(parts) + ",\n" + body[15:]
-    if body[:5].upper() == "WITH ":  # merge the query's own CTEs after the views
-        return "WITH " + ",\n".join(parts) + ",\n" + body[5:]
+    import re
+
+    m = re.match(r"(?is)^with\s+recursive\s+", body)
+    if m:
+        return "WITH RECURSIVE " + ",\n".join(parts) + ",\n" + body[m.end():]
+    m = re.match(r"(?is)^with\s+", body)
+    if m:  # merge the query's own CTEs after the views
+        return "WITH " + ",\n".join(parts) + ",\n" + body[m.end():]
     return "WITH " + ",\n".join(parts) + "\n" + body

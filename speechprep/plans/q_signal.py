@@ -81,20 +81,100 @@ rms AS (SELECT fr.clip_id, CAST(fr.frame_idx AS BIGINT) AS frame_idx, sqrt(sum(s
 
 @query("frame_rms", ["v_blocks"], "WITH " + _RMS_SQL + "SELECT clip_id, frame_idx, round(rms, 6) AS rms FROM rms")
 def frame_rms(t: Tables):
-    return sig.frame_rms(t.v_blocks, H, W).withColumn("rms", F.round("rms", 6))
+    return sig.frame_rms(t.v_blocks, H, W, block_len=H).withColumn("rms", F.round("rms", 6))
 
 
 # ------------------------------------------------------------------- E5
+# The 64-sample blocks of the fixture are unit vectors, so RMS over whole
+# blocks is flat; frames of hop 16 / window 64 straddle blocks and vary.
+SL_H, SL_W = 16, 64
+SL = dict(threshold=0.122, min_length=20, min_interval=2, max_sil_kept=2)
+
+
 def _lengths(t: Tables):
     return t.v_blocks.groupBy("clip_id").agg(F.sum(F.size("samples")).cast("bigint").alias("n_samples"))
 
 
-@query("silence_slice")
+_SLICE_SQL = f"""
+WITH RECURSIVE
+smp AS (SELECT clip_id, block_idx * 64 + generate_subscripts(samples, 1) - 1 AS t,
+               unnest(samples) AS x FROM v_blocks),
+len AS (SELECT clip_id, count(*) AS n FROM smp GROUP BY clip_id),
+fr AS (SELECT clip_id, n, unnest(generate_series(0, n // {SL_H})) AS f FROM len),
+rms AS (SELECT fr.clip_id, fr.f, sqrt(sum(CAST(smp.x AS DOUBLE) * CAST(smp.x AS DOUBLE)) / {SL_W}.0) AS rms
+        FROM fr JOIN smp ON fr.clip_id = smp.clip_id
+         AND smp.t >= fr.f * {SL_H} - {SL_W // 2} AND smp.t < fr.f * {SL_H} - {SL_W // 2} + {SL_W}
+        GROUP BY fr.clip_id, fr.f),
+tot AS (SELECT len.clip_id, len.n, count(*) AS total FROM len JOIN rms ON len.clip_id = rms.clip_id GROUP BY len.clip_id, len.n),
+sil AS (SELECT clip_id, f, rms, f - row_number() OVER (PARTITION BY clip_id ORDER BY f) AS grp
+        FROM rms WHERE rms < {SL['threshold']}),
+bnd AS (SELECT clip_id, grp, min(f) AS s, max(f) + 1 AS i FROM sil GROUP BY clip_id, grp),
+runs AS (SELECT b.clip_id, b.s, b.i, t.total,
+                row_number() OVER (PARTITION BY b.clip_id ORDER BY b.s) AS k,
+                min(struct_pack(r := sil.rms, f := sil.f)).f AS a,
+                min(struct_pack(r := sil.rms, f := sil.f)) FILTER (WHERE sil.f >= b.i - {SL['max_sil_kept']}
+                    AND sil.f <= least(b.s + {SL['max_sil_kept']}, least(b.i, t.total) - 1)).f AS b,
+                min(struct_pack(r := sil.rms, f := sil.f)) FILTER (WHERE sil.f <= least(b.s + {SL['max_sil_kept']},
+                    least(b.i, t.total) - 1)).f AS l,
+                min(struct_pack(r := sil.rms, f := sil.f)) FILTER (WHERE sil.f >= greatest(b.i - {SL['max_sil_kept']}, b.s)).f AS r,
+                min(struct_pack(r := sil.rms, f := sil.f)) FILTER (WHERE sil.f <= least(t.total - 1,
+                    b.s + {SL['max_sil_kept']})).f AS tt
+         FROM bnd b JOIN sil ON b.clip_id = sil.clip_id AND b.grp = sil.grp JOIN tot t ON b.clip_id = t.clip_id
+         GROUP BY b.clip_id, b.grp, b.s, b.i, t.total),
+dec AS (SELECT *,
+          CASE WHEN i >= total THEN 'trail'
+               WHEN (s = 0 AND i > {SL['max_sil_kept']}) OR (i - s >= {SL['min_interval']}) THEN 'check' ELSE 'skip' END AS kind
+        FROM runs),
+fold(clip_id, k, cs, tb, te) AS (
+  SELECT clip_id, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+  FROM tot
+  UNION ALL
+  SELECT d.clip_id, d.k, c.new_cs, c.tb, c.te
+  FROM fold p JOIN dec d ON d.clip_id = p.clip_id AND d.k = p.k + 1,
+  LATERAL (SELECT
+      CASE WHEN d.kind = 'trail' THEN (CASE WHEN d.total - d.s >= {SL['min_interval']} THEN d.tt END)
+           WHEN NOT ((d.s = 0 AND d.i > {SL['max_sil_kept']})
+                     OR (d.i - d.s >= {SL['min_interval']} AND d.i - p.cs >= {SL['min_length']})) THEN NULL
+           WHEN d.i - d.s <= {SL['max_sil_kept']} THEN (CASE WHEN d.s = 0 THEN 0 ELSE d.a END)
+           WHEN d.i - d.s <= 2 * {SL['max_sil_kept']} THEN (CASE WHEN d.s = 0 THEN 0 ELSE least(d.l, d.b) END)
+           ELSE (CASE WHEN d.s = 0 THEN 0 ELSE d.l END) END AS tb,
+      CASE WHEN d.kind = 'trail' THEN (CASE WHEN d.total - d.s >= {SL['min_interval']} THEN d.total + 1 END)
+           WHEN NOT ((d.s = 0 AND d.i > {SL['max_sil_kept']})
+                     OR (d.i - d.s >= {SL['min_interval']} AND d.i - p.cs >= {SL['min_length']})) THEN NULL
+           WHEN d.i - d.s <= {SL['max_sil_kept']} THEN d.a
+           WHEN d.i - d.s <= 2 * {SL['max_sil_kept']} THEN (CASE WHEN d.s = 0 THEN d.r ELSE greatest(d.r, d.b) END)
+           ELSE d.r END AS te,
+      CASE WHEN d.kind = 'trail' THEN p.cs
+           WHEN NOT ((d.s = 0 AND d.i > {SL['max_sil_kept']})
+                     OR (d.i - d.s >= {SL['min_interval']} AND d.i - p.cs >= {SL['min_length']})) THEN p.cs
+           WHEN d.i - d.s <= {SL['max_sil_kept']} THEN d.a
+           WHEN d.i - d.s <= 2 * {SL['max_sil_kept']} THEN (CASE WHEN d.s = 0 THEN d.r ELSE greatest(d.r, d.b) END)
+           ELSE d.r END AS new_cs) c
+),
+tags AS (SELECT clip_id, k, tb, te, lead(tb) OVER (PARTITION BY clip_id ORDER BY k) AS next_b,
+                row_number() OVER (PARTITION BY clip_id ORDER BY k) AS j,
+                count(*) OVER (PARTITION BY clip_id) AS m
+         FROM fold WHERE tb IS NOT NULL),
+ch AS (SELECT clip_id, 0 AS ord, CAST(0 AS BIGINT) AS b, tb AS e FROM tags WHERE j = 1 AND tb > 0
+       UNION ALL SELECT clip_id, j, te, next_b FROM tags WHERE j < m
+       UNION ALL SELECT t.clip_id, m, te, o.total FROM tags t JOIN tot o ON t.clip_id = o.clip_id
+                 WHERE j = m AND te < o.total
+       UNION ALL SELECT o.clip_id, 0, 0, o.total FROM tot o
+                 WHERE NOT EXISTS (SELECT 1 FROM tags t WHERE t.clip_id = o.clip_id)),
+res AS (SELECT c.clip_id, c.ord, CAST(c.b * {SL_H} AS BIGINT) AS start_sample,
+               CAST(least(o.n, c.e * {SL_H}) AS BIGINT) AS end_sample
+        FROM ch c JOIN tot o ON c.clip_id = o.clip_id
+        WHERE CAST(ceil(o.n / {SL_H}.0) AS BIGINT) > {SL['min_length']}
+        UNION ALL SELECT clip_id, 0, 0, n FROM tot WHERE CAST(ceil(n / {SL_H}.0) AS BIGINT) <= {SL['min_length']})
+SELECT clip_id, CAST(row_number() OVER (PARTITION BY clip_id ORDER BY ord) - 1 AS BIGINT) AS chunk_idx,
+       start_sample, end_sample FROM res
+"""
+
+
+@query("silence_slice", ["v_blocks"], _SLICE_SQL)
 def silence_slice(t: Tables):
-    # frame-domain settings for 64-sample hops: threshold between the padded
-    # edge frames and full frames, short minimum lengths.
-    rms = sig.frame_rms(t.v_blocks, H, W)
-    return sig.silence_slice(rms, _lengths(t), H, threshold=0.1, min_length=10, min_interval=3, max_sil_kept=2)
+    rms = sig.frame_rms(t.v_blocks, SL_H, SL_W, block_len=H)
+    return sig.silence_slice(rms, _lengths(t), SL_H, **SL)
 
 
 # ------------------------------------------------------------------ E10
