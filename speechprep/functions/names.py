@@ -29,12 +29,12 @@ def splitext(c: Column) -> tuple[Column, Column]:
 _splitext = splitext
 
 
-def clean_sp(c: Column) -> Column:
+def clean_replace(c: Column) -> Column:
     """Illegal → '_', whitespace runs → one space, strip."""
     return strip(collapse_ws(F.regexp_replace(c, ILLEGAL_CHARS, "_")))
 
 
-def clean_zeno(c: Column, max_len: int = 50) -> Column:
+def clean_capped(c: Column, max_len: int = 50) -> Column:
     """Illegal removed, whitespace collapsed, capped at ``max_len`` keeping the
     extension, then stripped."""
     s = collapse_ws(F.regexp_replace(c, ILLEGAL_CHARS, ""))
@@ -49,12 +49,12 @@ def _left(c: Column, n: Column) -> Column:
     return c.substr(F.lit(1), keep)
 
 
-def clean_ragtag(c: Column) -> Column:
+def clean_remove(c: Column) -> Column:
     """Illegal removed, strip."""
     return strip(F.regexp_replace(c, ILLEGAL_CHARS, ""))
 
 
-def clean_radio(c: Column, do_strip: bool = True) -> Column:
+def clean_slashes(c: Column, do_strip: bool = True) -> Column:
     """'/' and '\\' → '_' (then strip; the program-page variant does not)."""
     s = F.regexp_replace(c, r"[/\\]", "_")
     return strip(s) if do_strip else s
@@ -65,7 +65,7 @@ def clean_alnum(c: Column) -> Column:
     return rstrip(F.regexp_replace(c, r"[^\p{L}\p{N} _-]", ""))
 
 
-def clean_song(c: Column, max_len: int = 200) -> Column:
+def clean_slashes_nul(c: Column, max_len: int = 200) -> Column:
     """'/' and '\\' → '_', NUL removed, first ``max_len`` characters."""
     s = F.regexp_replace(F.regexp_replace(c, r"[/\\]", "_"), "\u0000", "")
     return s.substr(1, max_len)

@@ -115,7 +115,7 @@ def pick_first_media_file(t: Tables):
     out = catalogs.pick_first_media_file(df, "files_json", "https://content.example.org", "drive_base", "doc_id")
     return out.select("doc_id", "media_file", "download_url",
                       F.concat(F.col("doc_id").cast("string"), F.lit("_"),
-                               names.cap_title(names.clean_ragtag(F.col("title"))), F.lit(".opus")).alias("output_file"))
+                               names.cap_title(names.clean_remove(F.col("title"))), F.lit(".opus")).alias("output_file"))
 
 
 # ------------------------------------------------------------------- B6

@@ -38,7 +38,7 @@ def _ext(x: str) -> str:
     return f"CASE WHEN {_has_ext(x)} THEN substr({x}, length({x}) - strpos(reverse({x}), '.') + 1) ELSE '' END"
 
 
-def _zeno(x: str) -> str:
+def _capped(x: str) -> str:
     s = collapse_sql(f"regexp_replace({x}, '{ILLEGAL}', '', 'g')")
     capped = f"{_left(_root(s), '50 - length(' + _ext(s) + ')')} || {_ext(s)}"
     return _strip(f"CASE WHEN length({s}) > 50 THEN {capped} ELSE {s} END")
@@ -47,24 +47,24 @@ def _zeno(x: str) -> str:
 # ------------------------------------------------------------------- F1
 @query("sanitize_names", ["v_names"], f"""
 SELECT doc_id,
-  {_strip(collapse_sql(f"regexp_replace(title, '{ILLEGAL}', '_', 'g')"))} AS name_sp,
-  {_zeno("title")} AS name_zeno,
-  {_strip(f"regexp_replace(title, '{ILLEGAL}', '', 'g')")} AS name_ragtag,
-  {_strip("regexp_replace(title, '[/\\\\]', '_', 'g')")} AS name_radio,
+  {_strip(collapse_sql(f"regexp_replace(title, '{ILLEGAL}', '_', 'g')"))} AS name_replace,
+  {_capped("title")} AS name_capped,
+  {_strip(f"regexp_replace(title, '{ILLEGAL}', '', 'g')")} AS name_removed,
+  {_strip("regexp_replace(title, '[/\\\\]', '_', 'g')")} AS name_slashes,
   {rstrip_sql("regexp_replace(title, '[^\\p{L}\\p{N} _-]', '', 'g')")} AS name_alnum,
-  substr(replace(regexp_replace(title, '[/\\\\]', '_', 'g'), chr(0), ''), 1, 200) AS name_song
+  substr(replace(regexp_replace(title, '[/\\\\]', '_', 'g'), chr(0), ''), 1, 200) AS name_slashes_nul
 FROM v_names
 """)
 def sanitize_names(t: Tables):
     c = F.col("title")
     return t.v_names.select(
         "doc_id",
-        names.clean_sp(c).alias("name_sp"),
-        names.clean_zeno(c).alias("name_zeno"),
-        names.clean_ragtag(c).alias("name_ragtag"),
-        names.clean_radio(c).alias("name_radio"),
+        names.clean_replace(c).alias("name_replace"),
+        names.clean_capped(c).alias("name_capped"),
+        names.clean_remove(c).alias("name_removed"),
+        names.clean_slashes(c).alias("name_slashes"),
         names.clean_alnum(c).alias("name_alnum"),
-        names.clean_song(c).alias("name_song"),
+        names.clean_slashes_nul(c).alias("name_slashes_nul"),
     )
 
 
@@ -82,7 +82,7 @@ FROM (SELECT doc_id, {_strip(collapse_sql(f"regexp_replace(title, '{ILLEGAL}', '
       FROM v_names) s
 """)
 def truncate_words(t: Tables):
-    return t.v_names.select("doc_id", names.truncate_words(names.clean_sp(F.col("title")), 120).alias("short_title"))
+    return t.v_names.select("doc_id", names.truncate_words(names.clean_replace(F.col("title")), 120).alias("short_title"))
 
 
 # ------------------------------------------------------------------- F3
@@ -98,12 +98,12 @@ FROM (SELECT doc_id, f, rg,
       FROM (SELECT doc_id, album, tt, 'data/' || album || '/' || substr(tt, 1, 100) AS d0,
                    z || '.mp3' AS f, rg
             FROM (SELECT doc_id, album, CASE WHEN z = '' THEN album ELSE z END AS tt, z, rg
-                  FROM (SELECT doc_id, album, {_zeno("title")} AS z,
+                  FROM (SELECT doc_id, album, {_capped("title")} AS z,
                                {_strip(f"regexp_replace(title, '{ILLEGAL}', '', 'g')")} AS rg FROM v_names) a) b) c) d
 """)
 def cap_path_length(t: Tables):
-    df = t.v_names.select("doc_id", "album", names.clean_zeno(F.col("title")).alias("z"),
-                          names.clean_ragtag(F.col("title")).alias("rg"))
+    df = t.v_names.select("doc_id", "album", names.clean_capped(F.col("title")).alias("z"),
+                          names.clean_remove(F.col("title")).alias("rg"))
     lang_dir = F.concat(F.lit("data/"), F.col("album"))
     album_dir = names.cap_album_dir(lang_dir, F.col("z"), F.col("album"))
     return df.select(
@@ -198,7 +198,7 @@ FROM (SELECT doc_id, p, regexp_extract(p, '([^/]*)$', 1) AS fname
       FROM (SELECT doc_id, 'data/' || album || '/' || {_strip("regexp_replace(title, '[/\\\\]', '_', 'g')")} AS p FROM v_names) a) b
 """)
 def path_parts(t: Tables):
-    p = F.concat(F.lit("data/"), F.col("album"), F.lit("/"), names.clean_radio(F.col("title")))
+    p = F.concat(F.lit("data/"), F.col("album"), F.lit("/"), names.clean_slashes(F.col("title")))
     df = t.v_names.select("doc_id", p.alias("path"))
     fname = paths.file_name(F.col("path"))
     return df.select(

@@ -38,13 +38,13 @@ def test_stems(spark):
 
 def test_cleaners(spark):
     t = ' a/b:  "c"? '
-    assert _one(spark, names.clean_sp, t) == "a_b_ _c__"
-    assert _one(spark, names.clean_ragtag, t) == "ab  c"
-    assert _one(spark, names.clean_zeno, t) == "ab c"
-    assert _one(spark, names.clean_radio, t) == 'a_b:  "c"?'
+    assert _one(spark, names.clean_replace, t) == "a_b_ _c__"
+    assert _one(spark, names.clean_remove, t) == "ab  c"
+    assert _one(spark, names.clean_capped, t) == "ab c"
+    assert _one(spark, names.clean_slashes, t) == 'a_b:  "c"?'
     assert _one(spark, names.clean_alnum, "héllo, wörld!_1 ") == "héllo wörld_1"
     long = "x" * 60 + ".mp3"
-    assert _one(spark, names.clean_zeno, long) == "x" * 46 + ".mp3"
+    assert _one(spark, names.clean_capped, long) == "x" * 46 + ".mp3"
 
 
 def test_truncate_words(spark):
