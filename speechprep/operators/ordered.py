@@ -69,6 +69,8 @@ def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
     n = _num_slices(df, slices)
     order_exprs = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(g) for g in group_cols] + order_exprs
+    if value_col is None and lag_col is None and delta is None:
+        return _ranked_positions(df, group_cols, keys, n, rn_col, count_col)
     sliced = materialize(df.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id()))
     w = Window.partitionBy(*group_cols, "_slice").orderBy(*order_exprs)
     local = sliced.withColumn("_lrn", F.row_number().over(w))
@@ -128,3 +130,29 @@ def ranked(df: DataFrame, group_cols: list[str], order_cols: list[str | Column],
         out = out.withColumn(delta_col, F.col("_doff") + F.col("_dfirst") + F.col("_dlcum"))
         drop += ["_dl", "_dlcum", "_dfirst", "_doff"]
     return out.drop(*drop)
+
+
+def _ranked_positions(df: DataFrame, group_cols: list[str], keys: list[Column], n: int, rn_col: str,
+                      count_col: str | None) -> DataFrame:
+    """Row numbers only: no window shuffle at all.  Slices are sorted inside
+    before the checkpoint, so a row's position in its slice is its
+    ``monotonically_increasing_id`` (stable: both reads below see the same
+    checkpointed partition in the same order).  A group's rows in a slice are
+    contiguous, so the local rank is the id minus the group's first id in
+    that slice; per-slice counts give the offsets."""
+    sliced = materialize(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                         .withColumn("_slice", F.spark_partition_id()))
+    pos = sliced.withColumn("_mid", F.monotonically_increasing_id())
+    totals = pos.groupBy(*group_cols, "_slice").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offs = [F.col("_m0"), F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")]
+    if count_col is not None:
+        offs.append(F.sum("_cnt").over(Window.partitionBy(*group_cols)).alias(count_col))
+    offsets = totals.select(*group_cols, "_slice", *offs)
+    cond = [F.col(f"_l.{g}").eqNullSafe(F.col(f"_o.{g}")) for g in group_cols]
+    cond.append(F.col("_l._slice") == F.col("_o._slice"))
+    extra = [c for c in offsets.columns if c not in group_cols and c != "_slice"]
+    out = pos.alias("_l").join(offsets.alias("_o"), cond, "inner").select(
+        "_l.*", *[F.col(f"_o.{c}") for c in extra])
+    out = out.withColumn(rn_col, (F.col("_mid") - F.col("_m0") + 1 + F.col("_off")).cast("bigint"))
+    return out.drop("_slice", "_mid", "_m0", "_off")

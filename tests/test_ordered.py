@@ -47,3 +47,16 @@ def test_ranked_delta_islands(spark):
                  delta=lambda prev: F.when(prev.isNull() | (F.col("o") - prev > 3), 1).otherwise(0),
                  delta_cols=("o",), delta_col="isl")
     assert {(r.g, r.o): r.isl for r in got.collect()} == expected
+
+
+def test_ranked_positions_fast_path(spark):
+    rnd = random.Random(8)
+    rows = [("hot", rnd.random(), i) for i in range(4000)] + [(f"k{j}", rnd.random(), j) for j in range(300)]
+    rows += [(None, rnd.random(), i) for i in range(17)]
+    df = spark.createDataFrame(rows, "g string, o double, tie long")
+    got = ranked(df, ["g"], [F.col("o").desc(), "tie"], slices=9, rn_col="rn", count_col="cnt")
+    w = Window.partitionBy("g").orderBy(F.col("o").desc(), "tie")
+    ref = df.select("g", "o", "tie", F.row_number().over(w).alias("rn_r"), F.count("*").over(Window.partitionBy("g")).alias("cnt_r"))
+    j = got.join(ref, [got.g.eqNullSafe(ref.g), got.o == ref.o, got.tie == ref.tie])
+    assert j.count() == len(rows)
+    assert j.where((F.col("rn") != F.col("rn_r")) | (F.col("cnt") != F.col("cnt_r"))).count() == 0
