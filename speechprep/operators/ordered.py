@@ -7,8 +7,11 @@ rows, that task sorts a third of the data.  ``ranked`` instead:
 1. range-partitions the rows on ``(group, order)`` – Spark samples the keys
    and cuts the total order into ``slices`` contiguous, equally sized
    ranges, so a hot group is spread over many slices;
-2. numbers rows (and sums values) inside each ``(group, slice)`` with a
-   window – balanced, since a slice is at most one range;
+2. numbers rows (and sums values, takes lags) inside each
+   ``(group, slice)`` with a window – balanced, since a slice is at most
+   one range; when only row numbers are needed, the slices are sorted
+   before the checkpoint and a row's position is read off its stable id,
+   with no window shuffle at all;
 3. aggregates per ``(group, slice)`` (at most groups + slices rows) and
    turns those totals into per-slice offsets with a window over that small
    table;
