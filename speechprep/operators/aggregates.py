@@ -54,52 +54,67 @@ def batch_progress(df: DataFrame, id_col: str, hit: Column, batch_size: int) ->
     return out.drop("_rn").withColumn("cum_hits", F.col("cum_hits").cast("bigint"))
 
 
-def concat_segments(df: DataFrame, key: str, order: str, text: str, out: str = "text") -> DataFrame:
-    """Join a clip's ordered segment texts and strip the ends (D5).  Sorting
-    is on the collected (index, text) structs, not on the whole table."""
-    return df.groupBy(key).agg(
-        strip(
-            F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), F.col(text)))),
-                            lambda s: s[text]),
-                "",
-            )
-        ).alias(out)
-    )
+def _ordered_concat(df: DataFrame, key: str, order: str, text: str, slices: int | None) -> DataFrame:
+    """``(key, joined)``: ``text`` concatenated in ``order`` per key, built in
+    two levels — partial strings per (key, range slice), then the few parts
+    per key in slice order — so the per-task collection is bounded by a
+    slice even when one key holds a third of all rows.  Only the result
+    itself (one value per key) is whole."""
+    from .ordered import _num_slices, materialize
+
+    n = _num_slices(df, slices)
+    sliced = materialize(df.select(key, order, text).repartitionByRange(n, F.col(key), F.col(order))
+                         .withColumn("_slice", F.spark_partition_id()))
+    parts = sliced.groupBy(key, "_slice").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), F.col(text)))),
+                                 lambda s: s[text]), "").alias("_part"))
+    return parts.groupBy(key).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_slice", "_part"))), lambda s: s["_part"]),
+                     "").alias("_joined"))
+
+
+def concat_segments(df: DataFrame, key: str, order: str, text: str, out: str = "text",
+                    slices: int | None = None) -> DataFrame:
+    """Join a clip's ordered segment texts and strip the ends."""
+    return _ordered_concat(df, key, order, text, slices).select(key, strip(F.col("_joined")).alias(out))
 
 
 def reassemble_chunks(df: DataFrame, key: str = "request_id", arrival: str = "arrival",
                       sequence: str = "sequence", payload: str = "payload", msg_type: str = "msg_type",
-                      audio_type: str = "audio", skip_types: tuple[str, ...] = ("frontend",)) -> DataFrame:
+                      audio_type: str = "audio", skip_types: tuple[str, ...] = ("frontend",),
+                      slices: int | None = None) -> DataFrame:
     """Reassemble a streamed reply.
 
     Messages are read in arrival order: skipped types are ignored, audio
     payloads are appended until the first audio message with a negative
     sequence (inclusive); any other type before that fails the request.
     Status: ``ok``, ``failed``, ``empty`` (terminal seen, no bytes) or
-    ``incomplete`` (no terminal).  One aggregation; the concatenation is
-    linear (``array_join``) rather than a per-element fold.
+    ``incomplete`` (no terminal).  The terminal and first failure per
+    request are partial aggregates; the payloads are then concatenated in
+    two levels (per range slice, then per request), so no task collects more
+    than a slice of one reply.
     """
     is_audio = F.col(msg_type) == F.lit(audio_type)
     is_other = ~is_audio & ~F.col(msg_type).isin(*skip_types)
-    grouped = df.groupBy(key).agg(
+    marks = df.groupBy(key).agg(
         F.min(F.when(is_audio & (F.col(sequence) < 0), F.col(arrival))).alias("_term"),
         F.min(F.when(is_other, F.col(arrival))).alias("_err"),
-        F.array_sort(F.collect_list(F.when(is_audio, F.struct(F.col(arrival).alias("a"),
-                                                              F.col(payload).alias("p"))))).alias("_msgs"),
     )
-    err_first = F.col("_err").isNotNull() & (F.col("_term").isNull() | (F.col("_err") < F.col("_term")))
-    kept = F.filter(F.col("_msgs"), lambda m: F.col("_term").isNull() | (m["a"] <= F.col("_term")))
-    if dict(df.dtypes)[payload] == "binary":  # audio bytes: join as hex, decode once
-        body = F.unhex(F.array_join(F.transform(kept, lambda m: F.hex(m["p"])), ""))
-    else:
-        body = F.array_join(F.transform(kept, lambda m: m["p"]), "")
-    return grouped.select(
+    failed = F.col("_err").isNotNull() & (F.col("_term").isNull() | (F.col("_err") < F.col("_term")))
+    binary = dict(df.dtypes)[payload] == "binary"
+    audio = (df.where(is_audio).select(key, arrival, (F.hex(payload) if binary else F.col(payload)).alias("_p"))
+             .join(marks, key)
+             .where(~failed & (F.col("_term").isNull() | (F.col(arrival) <= F.col("_term")))))
+    counts = audio.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    bodies = _ordered_concat(audio.select(key, arrival, "_p"), key, arrival, "_p", slices)
+    body = F.coalesce(F.col("_joined"), F.lit(""))
+    out = marks.join(bodies, key, "left").join(counts, key, "left")
+    return out.select(
         key,
-        F.when(err_first, F.lit("failed"))
+        F.when(failed, F.lit("failed"))
         .when(F.col("_term").isNull(), F.lit("incomplete"))
         .when(F.length(body) == 0, F.lit("empty"))
         .otherwise(F.lit("ok")).alias("status"),
-        F.when(err_first, F.lit(None)).otherwise(body).alias("audio"),
-        F.when(err_first, F.lit(0)).otherwise(F.size(kept)).cast("bigint").alias("n_chunks"),
+        F.when(failed, F.lit(None)).otherwise(F.unhex(body) if binary else body).alias("audio"),
+        F.when(failed, F.lit(0)).otherwise(F.coalesce(F.col("_n"), F.lit(0))).cast("bigint").alias("n_chunks"),
     )
