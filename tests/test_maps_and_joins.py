@@ -70,3 +70,23 @@ def test_write_labels(spark, tmp_path):
     jsonmaps.write_labels(labels, str(tmp_path / "labels"))
     back = {r.path: (r.label_path, r.label) for r in spark.read.parquet(str(tmp_path / "labels")).collect()}
     assert back == {"d/a/sliced/x.1.wav": ("d/a/sliced/x.txt", "hi\n"), "d/b/sliced/y.wav": ("d/b/sliced/y.txt", "yo\n")}
+
+
+def test_resolve_label_path_fallback(spark):
+    from speechprep.operators import joins
+
+    tr = spark.createDataFrame([("d/a/sliced/sub/x.1.wav", "t"), ("d/a/sliced/sub/y.wav", "u")], "path string, text string")
+    cat = spark.createDataFrame([("d/a/sliced/sub/y.wav",)], "path string")
+    got = {r.path: (r.audio_exists, r.label_path) for r in joins.resolve_label_path(tr, cat).collect()}
+    assert got == {"d/a/sliced/sub/x.1.wav": (False, "d/a/sliced/x.txt"),
+                   "d/a/sliced/sub/y.wav": (True, "d/a/sliced/sub/y.txt")}
+
+
+def test_pair_audio_text_and_skip(spark):
+    from speechprep.operators import filters, joins
+
+    audio = spark.createDataFrame([("a",), ("b",), ("c",)], "path string")
+    texts = spark.createDataFrame([("b", "x"), ("b", "y")], "path string, text string")
+    got = {r.path: r.status for r in joins.pair_audio_text(audio, texts).collect()}
+    assert got == {"a": "redo", "b": "complete", "c": "redo"}
+    assert sorted(r.path for r in filters.skip_processed(audio, texts).collect()) == ["a", "c"]
