@@ -110,3 +110,18 @@ def test_python_whitespace_rules(spark):
     assert _one(spark, rstrip, raw) == raw.rstrip()
     import re
     assert _one(spark, collapse_ws, raw) == re.sub(r"\s+", " ", raw)
+
+
+def test_media_plans(spark):
+    from speechprep.functions import media
+
+    df = spark.createDataFrame([("a/x.wav", "wav"), ("a/y.OPUS", "OPUS"), ("a/z.v1.mp3", "mp3")], "path string, ext string")
+    sep = {r.path: (r.fmt, r.out_path, r.replace_original) for r in media.output_format_plan(df).collect()}
+    assert sep == {"a/x.wav": ("wav", "a/x.wav", False), "a/y.OPUS": ("opus", "a/y.OPUS", False),
+                   "a/z.v1.mp3": ("other", "a/z.v1.opus", True)}
+    tr = {r.path: (r.target_path, r.codec, r.skip) for r in media.transcode_plan(df, "wav").collect()}
+    assert tr["a/x.wav"] == ("a/x.wav", "pcm_s16le", True) and tr["a/z.v1.mp3"] == ("a/z.v1.wav", "pcm_s16le", False)
+    op = {r.path: (r.target_path, r.bitrate) for r in media.transcode_plan(df, "opus").collect()}
+    assert op["a/x.wav"] == ("a/x.opus", "128k")
+    rep = media.unit_report(spark.createDataFrame([("p", 1572864, 5400000)], "path string, bytes long, duration_ms long")).first()
+    assert (rep.mib, rep.hours, rep.seconds) == (1.5, 1.5, 5400.0)
