@@ -125,3 +125,41 @@ def test_media_plans(spark):
     assert op["a/x.wav"] == ("a/x.opus", "128k")
     rep = media.unit_report(spark.createDataFrame([("p", 1572864, 5400000)], "path string, bytes long, duration_ms long")).first()
     assert (rep.mib, rep.hours, rep.seconds) == (1.5, 1.5, 5400.0)
+
+
+def test_path_caps_and_artifact_names(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([("L" * 150, "t" * 120 + ".mp3", 7)], "lang string, f string, seq long")
+    row = df.select(names.cap_album_dir(F.col("lang"), F.lit("T" * 120), F.lit("slug")).alias("d")).first()
+    assert row.d == "L" * 150 + "/" + "T" * 49  # 100-char title cut by the 51-char excess over 200
+    long_dir = "D" * 200
+    got = df.select(names.cap_episode_file(F.lit(long_dir), F.col("f"), F.col("seq")).alias("e")).first().e
+    assert got == "t" * 45 + ".mp3" and len(long_dir) + 1 + len(got) == 250
+    got = df.select(names.cap_episode_file(F.lit("D" * 245), F.col("f"), F.col("seq")).alias("e")).first().e
+    assert got == "episode_7.mp3"
+    ts = spark.createDataFrame([(dt.datetime(2024, 5, 6, 7, 8, 9),)], "t timestamp_ntz")
+    r = ts.select(names.volume_name(F.lit("en"), F.col("t"), F.lit(3)).alias("v"),
+                  names.piece_name(F.lit("a"), F.lit(1234), F.lit(".wav")).alias("p"),
+                  names.chunk_name(F.lit("a"), F.lit(2)).alias("c"),
+                  names.transcript_file_name(F.lit("al")).alias("j")).first()
+    assert (r.v, r.p, r.c, r.j) == ("en_20240506_070809_003.tar", "a_1234.wav", "a_2.wav", "transcription_al.json")
+
+
+def test_urls_and_tts_paths(spark):
+    u = "https://h.org/p/q?count=5&offset=0&id=x#frag"
+    df = spark.createDataFrame([(u, "a.b.txt")], "u string, n string")
+    r = df.select(urls.query_param(F.col("u"), "id").alias("id"),
+                  urls.with_query(F.col("u"), F.lit("count=100&offset=200")).alias("w"),
+                  urls.strip_fullwidth_parens(F.lit(" 名字（注）x ")).alias("s"),
+                  tts.output_path("out", F.col("n"), F.lit("mp3")).alias("o"),
+                  tts.stem_output_path("out", F.col("n"), F.lit("wav")).alias("t")).first()
+    assert (r.id, r.w, r.s) == ("x", "https://h.org/p/q?count=100&offset=200#frag", "名字x")
+    assert (r.o, r.t) == ("out/a.b.mp3", "out/a.b.wav")
+
+
+def test_filter_lyrics_sources(spark):
+    df = spark.createDataFrame([(1, "[00:01.00]a", "x"), (2, "", "[00:01.00]line"), (3, "", "plain"), (4, None, None)],
+                               "song_id long, yrc string, lrc string")
+    got = {r.song_id: (r.source, r.lrc_kept) for r in lyrics.filter_lyrics(df).collect()}
+    assert got == {1: ("yrc", ""), 2: ("lrc", "[00:01.00]line")}
