@@ -27,10 +27,15 @@ def parse_transcript_json(df: DataFrame, json_col: str = "value") -> DataFrame:
     )
 
 
-def read_transcript_maps(spark: SparkSession, path: str) -> DataFrame:
+def read_transcript_maps(spark: SparkSession, path: str, file_name: str | None = None) -> DataFrame:
     """Read every JSON map file under ``path`` (glob allowed); one file is one
-    object (``wholetext``), each file parsed by one task."""
-    files = spark.read.option("wholetext", "true").text(path)
+    object (``wholetext``), each file parsed by one task.  With ``file_name``
+    (e.g. ``"transcription.json"``) the tree below ``path`` is searched
+    recursively for files of that name, as the per-stage maps are laid out."""
+    reader = spark.read.option("wholetext", "true")
+    if file_name is not None:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", file_name)
+    files = reader.text(path)
     return parse_transcript_json(files, "value")
 
 

@@ -90,3 +90,13 @@ def test_pair_audio_text_and_skip(spark):
     got = {r.path: r.status for r in joins.pair_audio_text(audio, texts).collect()}
     assert got == {"a": "redo", "b": "complete", "c": "redo"}
     assert sorted(r.path for r in filters.skip_processed(audio, texts).collect()) == ["a", "c"]
+
+
+def test_read_maps_recursively(spark, tmp_path):
+    for album, pairs in {"a": {"/x/a/sliced/1.wav": "one"}, "b": {"/x/b/sliced/2.wav": "two"}}.items():
+        d = tmp_path / album / "sliced"
+        d.mkdir(parents=True)
+        (d / "transcription.json").write_text(json.dumps(pairs))
+        (d / "other.json").write_text(json.dumps({"/x/zzz.wav": "ignored"}))
+    got = {r.path: r.text for r in jsonmaps.read_transcript_maps(spark, str(tmp_path), "transcription.json").collect()}
+    assert got == {"/x/a/sliced/1.wav": "one", "/x/b/sliced/2.wav": "two"}
