@@ -139,3 +139,10 @@ def _any_suffix(name: Column, suffixes: tuple[str, ...]) -> Column:
         c = name.endswith(s)
         cond = c if cond is None else (cond | c)
     return F.coalesce(cond, F.lit(False))
+
+
+def write_show_manifests(manifest: DataFrame, out_dir: str, show: str = "show_id") -> None:
+    """Sink for A10: one folder per show of JSON lines (one line per
+    episode with its ordinal and the show fields), written in parallel;
+    readers rebuild the ordered episode list by sorting on ``ordinal``."""
+    manifest.repartition(show).write.mode("overwrite").partitionBy(show).json(out_dir)

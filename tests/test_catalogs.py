@@ -40,3 +40,13 @@ def test_availability(spark):
     got = [(r.free_status, r.paid_status) for r in catalogs.classify_availability(df, "ext", "meta", "present").collect()]
     assert got == [("skipped_vip", "skipped_paywall"), ("exists", "skipped_free"), ("skipped_vip", "exists"),
                    ("skipped_vip", "skipped_paywall")]
+
+
+def test_show_manifest_sink(spark, tmp_path):
+    eps = spark.createDataFrame([("s1", 2, "e2"), ("s1", 1, "e1"), ("s2", 1, "e9")], "show_id string, pos long, episode_id string")
+    m = catalogs.show_manifest(eps, "show_id", ["pos"], "episode_id", {"show_name": F.upper(F.col("show_id"))})
+    out = str(tmp_path / "shows")
+    catalogs.write_show_manifests(m, out)
+    back = spark.read.json(out)
+    got = sorted((r.show_id, r.ordinal, r.episode_id, r.episode_count, r.show_name) for r in back.collect())
+    assert got == [("s1", 0, "e1", 2, "S1"), ("s1", 1, "e2", 2, "S1"), ("s2", 0, "e9", 1, "S2")]
