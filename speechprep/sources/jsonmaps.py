@@ -39,19 +39,22 @@ def read_transcript_maps(spark: SparkSession, path: str, file_name: str | None =
     return parse_transcript_json(files, "value")
 
 
-def write_transcript_map(pairs: DataFrame, key: str = "path", value: str = "text",
-                         stage: str = "sliced", pairs_per_object: int = 100_000) -> DataFrame:
+def write_transcript_map(pairs: DataFrame, key: str = "path", value: str | list[str] = "text",
+                         stage: str | None = "sliced", pairs_per_object: int = 100_000) -> DataFrame:
     """One JSON object of all pairs per stage directory.
 
     A directory with more than ``pairs_per_object`` pairs is written as
     several objects (``part`` 0, 1, ...) so no single task ever holds a hot
     directory; :func:`read_transcript_maps` reads all parts back.  Keys are
-    sorted inside each object, so output is deterministic.
+    sorted inside each object, so output is deterministic.  ``value`` may be
+    several columns (each key then maps to an object of them, as in the
+    merged metadata map), and ``stage=None`` makes one map of all pairs
+    (still split into parts).
     """
-    with_dir = pairs.select(
-        F.coalesce(stage_dir(F.col(key), stage), F.regexp_extract(F.col(key), r"^(.*)/[^/]*$", 1)).alias("stage_dir"),
-        F.col(key).alias("k"), F.col(value).alias("v"),
-    )
+    v = F.col(value) if isinstance(value, str) else F.struct(*[F.col(c) for c in value])
+    d = (F.lit("") if stage is None else
+         F.coalesce(stage_dir(F.col(key), stage), F.regexp_extract(F.col(key), r"^(.*)/[^/]*$", 1)))
+    with_dir = pairs.select(d.alias("stage_dir"), F.col(key).alias("k"), v.alias("v"))
     numbered = ranked(with_dir, ["stage_dir"], ["k"], rn_col="_rn")
     parts = numbered.withColumn("part", F.floor((F.col("_rn") - 1) / F.lit(pairs_per_object)).cast("bigint"))
     return parts.groupBy("stage_dir", "part").agg(

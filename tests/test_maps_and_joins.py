@@ -100,3 +100,16 @@ def test_read_maps_recursively(spark, tmp_path):
         (d / "other.json").write_text(json.dumps({"/x/zzz.wav": "ignored"}))
     got = {r.path: r.text for r in jsonmaps.read_transcript_maps(spark, str(tmp_path), "transcription.json").collect()}
     assert got == {"/x/a/sliced/1.wav": "one", "/x/b/sliced/2.wav": "two"}
+
+
+def test_merged_metadata_map(spark):
+    merged = spark.createDataFrame([("/d/a.wav", 1, "hi", ""), ("/d/b.wav", 0, "", "desc")],
+                                   "path string, emotion int, transcription string, description string")
+    maps = jsonmaps.write_transcript_map(merged, value=["emotion", "transcription", "description"], stage=None,
+                                         pairs_per_object=1).collect()
+    assert len(maps) == 2
+    objs = {}
+    for m in maps:
+        objs.update(json.loads(m.json))
+    assert objs == {"/d/a.wav": {"emotion": 1, "transcription": "hi", "description": ""},
+                    "/d/b.wav": {"emotion": 0, "transcription": "", "description": "desc"}}
