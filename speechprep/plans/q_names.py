@@ -250,7 +250,10 @@ SELECT request_id,
   CASE WHEN TRY_CAST(chunk_length AS INTEGER) BETWEEN 100 AND 300 THEN TRY_CAST(chunk_length AS INTEGER) ELSE 200 END AS chunk_length,
   CASE WHEN TRY_CAST(mp3_bitrate AS INTEGER) IN (64, 128, 192) THEN TRY_CAST(mp3_bitrate AS INTEGER) ELSE 128 END AS mp3_bitrate,
   CASE WHEN latency IN ('normal', 'balanced') THEN latency ELSE 'balanced' END AS latency,
-  'mp3' AS format, 'speech-1.5' AS backend
+  'mp3' AS format, 'speech-1.5' AS backend,
+  TRY_CAST(mp3_bitrate AS INTEGER) AS sample_rate,
+  coalesce(TRY_CAST(chunk_length AS DOUBLE), 0.7) AS top_p,
+  coalesce(TRY_CAST(latency AS DOUBLE), 0.7) AS temperature
 FROM v_tts
 """)
 def tts_request_params(t: Tables):
@@ -261,6 +264,11 @@ def tts_request_params(t: Tables):
         tts.latency(F.col("latency")).alias("latency"),
         tts.output_format(F.lit(None).cast("string")).alias("format"),
         tts.backend(F.lit(None).cast("string")).alias("backend"),
+        # the fixture's raw strings double as the optional numeric settings:
+        # a present-or-NULL rate, and floats that fall back on a bad cast
+        tts.optional_int(F.col("mp3_bitrate")).alias("sample_rate"),
+        tts.float_or(F.col("chunk_length"), tts.DEFAULTS["top_p"]).alias("top_p"),
+        tts.float_or(F.col("latency"), tts.DEFAULTS["temperature"]).alias("temperature"),
     )
 
 
