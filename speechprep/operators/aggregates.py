@@ -42,16 +42,18 @@ def stage_counters(df: DataFrame, unit: str, outcome: str, outcomes: list[str])
 
 
 def batch_progress(df: DataFrame, id_col: str, hit: Column, batch_size: int) -> DataFrame:
-    """Per id batch ``floor(id / size)``: attempted, hits and cumulative hits
-    (D3).  The per-batch table is ~rows/size; the running sum over it uses
+    """Per id batch ``floor(id / size)``: attempted, hits and the running
+    totals of both (D3).  The per-batch table is ~rows/size; the running sum over it uses
     the skew-safe ranked helper instead of a single-partition window."""
     per_batch = (
         df.withColumn("batch_no", F.floor(F.col(id_col) / F.lit(batch_size)).cast("bigint"))
         .groupBy("batch_no")
         .agg(F.count(F.lit(1)).alias("attempted"), F.count_if(hit).alias("hits"))
     )
-    out = ranked(per_batch, [], ["batch_no"], value_col="hits", rn_col="_rn", cum_col="cum_hits")
-    return out.drop("_rn").withColumn("cum_hits", F.col("cum_hits").cast("bigint"))
+    out = ranked(per_batch, [], ["batch_no"], value_col="hits", rn_col="_rn", cum_col="cum_hits").drop("_rn")
+    out = ranked(out, [], ["batch_no"], value_col="attempted", rn_col="_rn", cum_col="cum_attempted").drop("_rn")
+    return out.withColumn("cum_hits", F.col("cum_hits").cast("bigint")) \
+        .withColumn("cum_attempted", F.col("cum_attempted").cast("bigint"))
 
 
 def _ordered_concat(df: DataFrame, key: str, order: str, text: str, slices: int | None) -> DataFrame:

@@ -237,7 +237,8 @@ def stage_counters(t: Tables):
 
 @query("batch_progress", ["v_lyrics"], """
 SELECT batch_no, attempted, hits,
-       CAST(SUM(hits) OVER (ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_hits
+       CAST(SUM(hits) OVER (ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_hits,
+       CAST(SUM(attempted) OVER (ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_attempted
 FROM (SELECT CAST(floor(song_id / 50) AS BIGINT) AS batch_no, COUNT(*) AS attempted,
              CAST(count_if(yrc <> '') AS BIGINT) AS hits FROM v_lyrics GROUP BY 1) b
 """)
