@@ -104,9 +104,12 @@ RULES = (
 
 
 def prepared(docs: DataFrame) -> DataFrame:
-    """``docs`` (with a text column) plus words, lines and base statistics."""
+    """``docs`` (with a text column) plus words, lines and base statistics.
+
+    ``_row_id`` keeps a later filter above these columns: pushed below them,
+    its copy of their expressions would split the text again for every use."""
     cut = docs.withColumns({"_words": words_of(F.col("text")), "_lines": lines_of(F.col("text"))})
-    base = cut.withColumns(base_columns())
+    base = cut.withColumns(base_columns() | {"_row_id": F.monotonically_increasing_id()})
     return base.withColumn("base_failed", F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words"))
 
 
@@ -118,8 +121,8 @@ def rule_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: in
     is timed alone over it, less the time of an empty pass."""
     n = docs.count()
     share = min(1.0, sample_rows / max(1, n))
-    base = prepared(pick(docs, "text").sample(False, share, seed)).where("NOT base_failed")
-    sample = written(base.coalesce(1), "quality-sample")
+    base = prepared(pick(docs, "text").sample(False, share, seed)).where("NOT base_failed AND _row_id >= 0")
+    sample = written(base.drop("_row_id").coalesce(1), "quality-sample")
 
     def seconds(df: DataFrame) -> float:
         best = float("inf")
@@ -164,7 +167,7 @@ def score(docs: DataFrame, order: list[Rule] | None = None) -> DataFrame:
 def filter_docs(docs: DataFrame, order: list[Rule] | None = None) -> DataFrame:
     """The rows of ``docs`` that every rule keeps, with their columns."""
     order = order or [s["rule"] for s in rule_order(docs)]
-    kept = prepared(boxed(docs, "text")).where(cascade(order).isNull())
+    kept = prepared(boxed(docs, "text")).where(cascade(order).isNull() & (F.col("_row_id") >= 0))
     return unboxed(kept, docs.columns)
 
 
