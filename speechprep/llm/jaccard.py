@@ -4,8 +4,10 @@ A document is the set of its distinct word shingles (64-bit hashes).  Equal
 sets are one *class*; only classes are joined, so copies cost nothing.
 
 Candidates: in one global order of shingles (those frequent in a sample last)
-two sets of the wanted similarity must share a shingle within their first
-``n - ceil(t n) + 1``.  Classes that share such a shingle form a group.
+two sets of the wanted similarity must share ``k`` shingles (4, or all that a
+small set needs) within their first ``n - ceil(t n) + k``.  Classes that share
+such a shingle form a group; a class that shares fewer than ``k`` in all links
+to nothing and leaves.
 
 Count vectors: shingles are hashed into coordinates; a class is the point of
 its counts.  The sum of coordinate minima of two points bounds their overlap
@@ -29,18 +31,19 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import boxed, hot_keys, lookup, pick, table, unboxed, written
+from .common import boxed, hot_keys, lookup, pick, shared_dir, table, unboxed, written
 from .graph import components
 
 WIDTH, NEED = 5, 80  # words in a shingle; per cent of the union that must be shared
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-_WORDS: dict[bytes, int] = {}  # word hashes of this Python worker
+_WORDS: dict[bytes, bytes] = {}  # word hashes of this Python worker
 
 
 def _mix(x):
@@ -63,20 +66,28 @@ def shingles(text: str | None, width: int = WIDTH):
     if None in found:
         if len(_WORDS) > 500_000:
             _WORDS.clear()
-        _WORDS.update((w, xxhash.xxh64_intdigest(w)) for w in set(words) - {w for w, f in zip(words, found) if f is not None})
-        if None in (found := list(map(_WORDS.get, words))):  # cleared meanwhile
-            found = [xxhash.xxh64_intdigest(w) for w in words]
-    h = np.array(found, dtype=np.uint64)
+        for w, f in zip(words, found):
+            if f is None:
+                _WORDS[w] = xxhash.xxh64_digest(w)
+        found = [f or xxhash.xxh64_digest(w) for w, f in zip(words, found)]
+    h = np.frombuffer(b"".join(found), dtype=np.uint64)
     n = min(width, len(h))
     odd = [((_ODD[k % 5] * (2 * (k // 5) + 1)) & (2**64 - 1)) | 1 for k in range(n)]
-    total = np.full(len(h) - n + 1, len(h) if len(h) < width else width, dtype=np.uint64)
-    for k in range(n):
-        total = _mix(total + h[k : len(h) - n + 1 + k] * np.uint64(odd[k]))
-    return np.unique(total).view(np.int64)
+    total = np.full(len(h) - n + 1, _ODD[0] * (n + 1) & (2**64 - 1), dtype=np.uint64)
+    for k in range(n):  # words are hashed already: odd multiples of them are enough, mixed once
+        total += h[k : len(h) - n + 1 + k] * np.uint64(odd[k])
+    return np.unique(_mix(total)).view(np.int64)
+
+
+def shared_least(n: int, need: int = NEED, most: int = 4) -> int:
+    """How many shingles of its prefix a set of ``n`` shares with any set it
+    links to."""
+    return min(most, -(-need * n // 100))
 
 
 def prefix_length(n: int, need: int = NEED) -> int:
-    return n - -(-need * n // 100) + 1
+    """If ``o`` shingles are common, the first ``n - o + k`` hold ``k`` of them."""
+    return n - -(-need * n // 100) + shared_least(n, need)
 
 
 def dims(n: int) -> int:
@@ -254,7 +265,10 @@ def groups_of(docs: DataFrame, order: dict, rows: int) -> DataFrame:
     salts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = tokens.withColumn("salt", F.when(is_hot, F.pmod("c", F.lit(salts))).otherwise(-1).cast("int"))
     placed = dealt.repartition(F.col("token"), F.col("salt")).sortWithinPartitions("token", "salt", "n", "c")
-    return written(placed.mapInArrow(_shared, "token long, salt int, c long, n int, before long, n_before int"), "jaccard-groups")
+    shared = written(placed.mapInArrow(_shared, "token long, salt int, c long, n int, before long, n_before int"), "jaccard-shared")
+    least = F.least(F.lit(shared_least(10**6)), F.ceil(F.col("n") * NEED / 100))
+    enough = shared.groupBy("c").agg(F.count("*").alias("k"), F.first("n").alias("n")).where(F.col("k") >= least).select("c")
+    return written(shared.join(enough, "c", "left_semi"), "jaccard-groups")
 
 
 def _shared(batches) -> Iterator:
@@ -308,7 +322,13 @@ def contents(docs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     one = sets.join(classes, "c", "left_semi").groupBy("c").agg(F.min("mix").alias("mix")).select("mix").distinct()
     found = _docs(docs).join(one, "mix", "left_semi").select("doc_id", "text")
     shingled = found.mapInArrow(run, "c long, n int, s array<long>, v binary")
-    return written(shingled.groupBy("c", "n").agg(F.first("s").alias("s"), F.first("v").alias("v")), "jaccard-sets")
+    # bucketed by class, so that the joins below move pairs and not sets
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    one_each = shingled.repartition(n, "c").dropDuplicates(["c"])
+    name = f"jaccard_sets_{uuid.uuid4().hex}"
+    one_each.write.bucketBy(n, "c").sortBy("c").option("path", shared_dir(spark, "jaccard-sets")).saveAsTable(name)
+    return spark.table(name)
 
 
 def _bounded(batches) -> Iterator:
