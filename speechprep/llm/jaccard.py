@@ -4,8 +4,8 @@ A document is the set of its distinct word shingles (64-bit hashes).  Equal
 sets are one *class*; only classes are joined, so copies cost nothing.
 
 Candidates: in one global order of shingles (those frequent in a sample last)
-two sets of the wanted similarity must share ``k`` shingles (4, or all that a
-small set needs) within their first ``n - ceil(t n) + k``.  Classes that share
+two sets of the wanted similarity must share ``k`` shingles (4 or a twentieth, or
+all that a small set needs) within their first ``n - ceil(t n) + k``.  Classes that share
 such a shingle form a group; a class that shares fewer than ``k`` in all links
 to nothing and leaves.
 
@@ -79,10 +79,10 @@ def shingles(text: str | None, width: int = WIDTH):
     return np.unique(_mix(total)).view(np.int64)
 
 
-def shared_least(n: int, need: int = NEED, most: int = 4) -> int:
+def shared_least(n: int, need: int = NEED) -> int:
     """How many shingles of its prefix a set of ``n`` shares with any set it
-    links to."""
-    return min(most, -(-need * n // 100))
+    links to: 4 or a twentieth, or all that a small set needs."""
+    return min(max(4, n // 20), -(-need * n // 100))
 
 
 def prefix_length(n: int, need: int = NEED) -> int:
@@ -204,7 +204,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, mix long, n long, c long")
 
 
-def frequent(docs: DataFrame, rows: int, sample_rows: int = 4000, least: int = 3, most: int = 200_000) -> dict:
+def frequent(docs: DataFrame, rows: int, sample_rows: int = 20_000, least: int = 3, most: int = 200_000) -> dict:
     """Shingles found in ``least`` or more texts of a sample, with their counts.
 
     They only set the global order (any order is right); ``sample_rows`` and
@@ -233,7 +233,7 @@ def groups_of(docs: DataFrame, order: dict, rows: int) -> DataFrame:
     spark = docs.sparkSession
     frequent_ = np.array(sorted(order), dtype=np.int64)
     counts = np.array([order[x] for x in sorted(order)], dtype=np.int64)
-    hot = [k for k, v in order.items() if v * 256 >= min(rows, 4000)]
+    hot = [k for k, v in order.items() if v * 256 >= min(rows, 20_000)]
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -266,7 +266,7 @@ def groups_of(docs: DataFrame, order: dict, rows: int) -> DataFrame:
     dealt = tokens.withColumn("salt", F.when(is_hot, F.pmod("c", F.lit(salts))).otherwise(-1).cast("int"))
     placed = dealt.repartition(F.col("token"), F.col("salt")).sortWithinPartitions("token", "salt", "n", "c")
     shared = written(placed.mapInArrow(_shared, "token long, salt int, c long, n int, before long, n_before int"), "jaccard-shared")
-    least = F.least(F.lit(shared_least(10**6)), F.ceil(F.col("n") * NEED / 100))
+    least = F.expr(f"least(greatest(4, n div 20), ({NEED} * n + 99) div 100)")  # shared_least
     enough = shared.groupBy("c").agg(F.count("*").alias("k"), F.first("n").alias("n")).where(F.col("k") >= least).select("c")
     return written(shared.join(enough, "c", "left_semi"), "jaccard-groups")
 
@@ -439,8 +439,12 @@ def links(docs: DataFrame, block: int = 20_000, per_task: int = 1 << 18) -> tupl
     full = contents(docs, sets, groups.select("c").distinct())
 
     # first: neighbours by size in each group
-    near = groups.where(100 * F.col("n_before") >= NEED * F.col("n")).select(
-        F.least("before", "c").alias("a"), F.greatest("before", "c").alias("b")).distinct()
+    # (a class brings three such pairs at most; the second pass is the complete one)
+    near = groups.where(100 * F.col("n_before") >= NEED * F.col("n")).groupBy("c").agg(
+        F.min_by("before", "token").alias("p"), F.max_by("before", "token").alias("q"),
+        F.min_by("before", F.xxhash64("token")).alias("r"))
+    near = near.select("c", F.explode(F.array_distinct(F.array("p", "q", "r"))).alias("x")).select(
+        F.least("x", "c").alias("a"), F.greatest("x", "c").alias("b")).distinct()
     first = components(verified(near, full, bound=True), per_task)
 
     # then: what the components leave open

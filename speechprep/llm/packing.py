@@ -104,7 +104,7 @@ class WordCache:
         found = list(map(self.new.get, words))
         if None in found:
             self._add({w for w, f in zip(words, found) if f is None})
-            found = list(map(self.new.get, words))
+            found = [self.old[w] if (f := self.new.get(w)) is None else f for w in words]
         return b"".join(found)
 
 
