@@ -7,7 +7,8 @@ each into blocks of text, and concatenates the pages' token streams.  Suffixes
 of the concatenation are sorted by prefix doubling; neighbours that share a
 prefix of ``least`` tokens and lie on distinct pages mark a repeated substring.
 Overlapping marks add up to the long repeated substrings, and tokens covered
-by them are boilerplate: they are cut out of a block and its unique runs stay.
+by them are boilerplate: they are cut out of a block that they cover by half or
+more, and its unique runs stay.
 
 Markup decides where it speaks: scripts, styles, forms, menus and the like are
 no text at all; if a page has an article (or main) element its text is the
@@ -207,8 +208,8 @@ def main_texts(pages: list[str | None], least: int = 8) -> list[str]:
             if has_article:
                 if inside:
                     kept.append(text)
-            elif covered is None or not covered[pos : pos + len(words)].any():
-                kept.append(text)
+            elif covered is None or 2 * int(covered[pos : pos + len(words)].sum()) < len(words):
+                kept.append(text)  # a unique block that only begins or ends like others
             else:
                 unique = " ".join(w for w, c in zip(words, covered[pos : pos + len(words)]) if not c)
                 if unique:
