@@ -31,12 +31,13 @@ def _fisher_yates(seed: int):
     def run(batches) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         got = [b for b in batches if b.num_rows]
         if not got:
             return
         t = pa.Table.from_batches(got)
-        t = t.take(pa.compute.sort_indices(t, sort_keys=[("h", "ascending"), ("h2", "ascending")]))
+        t = t.take(pc.sort_indices(t, sort_keys=[("h", "ascending"), ("h2", "ascending")]))
         bucket = t.column("bucket")[0].as_py()
         order = np.arange(t.num_rows)
         np.random.default_rng([seed, bucket]).shuffle(order)  # Fisher-Yates
