@@ -86,7 +86,7 @@ class Lattices:
     together: substrings are looked up by rolling hash among the prefixes of
     all pieces, and the forward sums advance one character in all of them."""
 
-    def __init__(self, model: Model, most_states: int = 4_000_000):
+    def __init__(self, model: Model, most_states: int = 1_500_000):
         import numpy as np
 
         self.model, self.most = model, most_states
@@ -310,7 +310,7 @@ def _model_path(path: str | None) -> str:
 
 
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, seed: int = 1,
-           alpha: float = 1.0, batch_chars: int = 4 << 20) -> DataFrame:
+           alpha: float = 1.0, batch_chars: int = 1 << 20) -> DataFrame:
     """``key``, ids (a sampled segmentation) and log_weight of the draw."""
     path = _model_path(path)
     ship_package(docs.sparkSession)
