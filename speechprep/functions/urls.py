@@ -81,17 +81,36 @@ def query_param(url: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(url_query(url), rf"(?:^|&){name}=([^&]*)", 1), F.lit(""))
 
 
+_RELATIVE_RE = r"(?s)^([^?#]*)(\?[^#]*)?(#.*)?$"
+
+
+def _without_dots(path: Column) -> Column:
+    """An absolute path with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.size(parts)), F.expr("CAST(array() AS array<string>)"),
+        lambda a, x: F.when(x == ".", a).when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.array_append(a, x)),
+    )
+    ends_in_dots = path.rlike(r"/\.{1,2}$")
+    return F.concat(F.lit("/"), F.array_join(F.when(ends_in_dots, F.array_append(kept, F.lit(""))).otherwise(kept), "/"))
+
+
 def join_url(base: Column, ref: Column) -> Column:
-    """``urljoin`` for the forms crawlers meet: absolute refs, scheme-relative
-    ``//host``, root-relative ``/x`` and document-relative ``x`` (resolved
-    against the base's directory)."""
-    base_dir = F.regexp_extract(base, r"^([^?#]*/)", 1)
+    """Resolve ``ref`` against an absolute ``base`` by RFC 3986: references with
+    a scheme, ``//host``, ``/x``, ``x``, ``./x``, ``../x``, ``?q`` and ``#f``."""
+    path, query, fragment = (F.regexp_extract(ref, _RELATIVE_RE, k) for k in (1, 2, 3))
+    base_path = F.regexp_extract(base, _URL_RE, 4)
+    base_dir = F.regexp_extract(base_path, r"^(.*/)", 1)
+    merged = (
+        F.when(path == "", base_path).when(path.startswith("/"), _without_dots(path))
+        .otherwise(_without_dots(F.concat(F.when(base_dir == "", F.lit("/")).otherwise(base_dir), path)))
+    )
+    asked = F.when((path == "") & (query == ""), F.regexp_extract(base, _URL_RE, 5)).otherwise(query)
     return (
         F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref)
         .when(ref.startswith("//"), F.concat(url_scheme(base), F.lit(":"), ref))
-        .when(ref.startswith("/"), F.concat(url_origin(base), ref))
         .when(ref == "", base)
-        .otherwise(F.concat(base_dir, ref))
+        .otherwise(F.concat(url_origin(base), merged, asked, fragment))
     )
 
 

@@ -51,29 +51,35 @@ def volume_byte_ranges(df: DataFrame, group: str, order: list[str], size_col: st
     )
 
 
-def dedupe_names(df: DataFrame, group: str, name: str, order: str, width: int = 2, out: str = "unique_name",
-                 max_rounds: int = 3) -> DataFrame:
-    """Make names unique per group (E15): the first use keeps its name, later
-    ones get ``_01``, ``_02`` ... (``width`` digits; 0 = no padding).
-
-    A generated name can collide with a literal one; the numbering is then
-    re-run on the result while duplicates remain (bounded to ``max_rounds``,
-    as collisions need a literal ``x_01`` next to two ``x``).  The suffix goes before the file
-    extension.  Where a literal name equals a generated one, a one-by-one
-    loop would skip to the next free counter while this re-run suffixes the
-    later duplicate again (``x_01_01``); names stay unique either way and
-    are keyed on the row, not on what exists on disk.
+def dedupe_names(df: DataFrame, group: str, name: str, order: str, width: int = 2, out: str = "unique_name") -> DataFrame:
+    """Make names unique per group (E15): the first use of a name keeps it, the
+    k-th further one gets the k-th suffix ``_01``, ``_02`` ... (``width`` digits;
+    0 = no padding, before the extension) that no literal name of the group has.
+
+    One pass, exact for any chain of literal names: a free suffix is its
+    ordinal plus the taken ones below it, and those are counted by a running
+    sum over taken and wanted suffixes together.  A generated name never meets
+    another one, as its last number gives back its root.
     """
-    cur = df.withColumn(out, F.col(name))
-    for _ in range(max_rounds):
-        # stop as soon as names are unique (a scalar check, partial-aggregated)
-        if cur.groupBy(group, out).count().where(F.col("count") > 1).isEmpty():
-            break
-        r = ranked(cur, [group, out], [order], rn_col="_rn")
-        root, ext = splitext(F.col(out))
-        sfx = F.format_string(f"%0{width}d" if width > 0 else "%d", F.col("_rn") - 1)
-        cur = r.withColumn(out, F.when(F.col("_rn") == 1, F.col(out)).otherwise(F.concat(root, F.lit("_"), sfx, ext))).drop("_rn")
-    return cur
+    key = [group, "_root", "_ext"]
+    sfx = lambda n: F.format_string(f"%0{width}d" if width > 0 else "%d", n)
+    root, ext = splitext(F.col(name))
+    r = ranked(df, [group, name], [order], rn_col="_rn").withColumns({"_root": root, "_ext": ext})
+    first, again = r.where("_rn = 1"), r.where("_rn > 1")
+    number = F.regexp_extract("_root", "_([0-9]{1,18})$", 1)
+    taken = (
+        first.where(number != "").select(group, F.regexp_replace("_root", "_[0-9]+$", "").alias("_root"), "_ext",
+                                         number.cast("bigint").alias("_t"), number.alias("_digits"))
+        .where((F.col("_t") > 0) & (F.col("_digits") == sfx(F.col("_t")))).drop("_digits")
+    )
+    # a taken suffix t stands behind t - i free ones, i being its rank among the taken
+    taken = ranked(taken, key, ["_t"], rn_col="_i").select(*key, (F.col("_t") - F.col("_i")).alias("_at"), F.lit(1).alias("_w"))
+    wanted = again.withColumns({"_at": (F.col("_rn") - 1).cast("bigint"), "_w": F.lit(0)})
+    both = wanted.unionByName(taken, allowMissingColumns=True)
+    placed = ranked(both, key, ["_at", "_w"], value_col="_w", rn_col="_k", cum_col="_below").where("_w = 0")
+    named = placed.withColumn(out, F.concat("_root", F.lit("_"), sfx((F.col("_at") + F.col("_below")).cast("bigint")), "_ext"))
+    cols = [*df.columns, out]
+    return first.withColumn(out, F.col(name)).select(*cols).unionByName(named.select(*cols))
 
 
 def latest_n(df: DataFrame, group: str, order: list[Column], n: int, out: str = "rank") -> DataFrame:
@@ -86,8 +92,8 @@ def latest_n(df: DataFrame, group: str, order: list[Column], n: int, out: str =
 
 def oldest_wait(df: DataFrame, group: str, mtime: str, now: Column, stale_seconds: int,
                 out: str = "minutes_left") -> DataFrame:
-    """Minutes before a bucket's leftovers are force-flushed (E17):
-    ``max(0, stale - (now - min(mtime)))``.  ``now`` is a parameter so the
+    """Minutes before a bucket's leftovers are force-flushed (E17); ``df`` holds
+    the files that packing left waiting: ``max(0, stale - (now - min(mtime)))``.  ``now`` is a parameter so the
     result is reproducible."""
     oldest = df.groupBy(group).agg(F.min(mtime).alias("oldest_mtime"), F.count(F.lit(1)).alias("n_files"))
     from ..functions.times import seconds_between

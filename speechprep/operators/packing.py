@@ -30,26 +30,6 @@ from ..session import ship_package
 from .ordered import materialize
 
 
-# --------------------------------------------------------------------------
-# Next-fit primitives
-# --------------------------------------------------------------------------
-def next_fit(sizes: np.ndarray, max_bytes: int) -> tuple[np.ndarray, bool]:
-    """Batch index per file for one ordered run, starting from an empty
-    batch, and whether the last batch is still open."""
-    batch = np.empty(len(sizes), dtype=np.int64)
-    b, cur, n_in = 0, 0, 0
-    for i, f in enumerate(sizes):
-        f = int(f)
-        if n_in and cur + f > max_bytes:
-            b, cur, n_in = b + 1, 0, 0
-        batch[i] = b
-        cur += f
-        n_in += 1
-        if cur >= max_bytes:
-            b, cur, n_in = b + 1, 0, 0
-    return batch, n_in > 0
-
-
 def batch_end(prefix: np.ndarray, i: int, max_bytes: int) -> int:
     """Index of the last file of the batch that starts at file ``i`` (on the
     slice-plus-halo arrays), or -1 when the batch runs past the data."""
@@ -251,4 +231,4 @@ def volume_manifest(packed: DataFrame, packed_at: str, prefix: str = "") -> Data
 def write_partitioned_export(manifest: DataFrame, out_dir: str) -> None:
     """Sink for A11: manifests land under ``<out_dir>/lang=<lang>/`` (one
     directory per routed language bucket), idempotent on rerun."""
-    manifest.repartition("lang").write.mode("overwrite").partitionBy("lang").parquet(out_dir)
+    manifest.hint("rebalance", "lang").write.mode("overwrite").partitionBy("lang").parquet(out_dir)

@@ -370,19 +370,16 @@ def filter_lyrics(t: Tables):
 
 
 # ------------------------------------------------------------------ E15
-def _dedupe_round_sql(src: str, col: str, out: str) -> str:
-    rn = f"row_number() OVER (PARTITION BY album, {col} ORDER BY doc_id)"
-    return (f"SELECT doc_id, album, CASE WHEN rn = 1 THEN {col} ELSE "
-            f"{_root(col)} || '_' || printf('%02d', rn - 1) || {_ext(col)} END AS {out} "
-            f"FROM (SELECT *, {rn} AS rn FROM {src}) x")
-
-
 @query("dedupe_names", ["v_names"], f"""
 WITH n0 AS (SELECT doc_id, album, split_part({_strip("title")}, ' ', 1) || '.mp3' AS name FROM v_names),
-n1 AS ({_dedupe_round_sql("n0", "name", "name")}),
-n2 AS ({_dedupe_round_sql("n1", "name", "name")}),
-n3 AS ({_dedupe_round_sql("n2", "name", "name")})
-SELECT doc_id, album, name AS unique_name FROM n3
+f AS (SELECT *, row_number() OVER (PARTITION BY album, name ORDER BY doc_id) AS rn, {_root("name")} AS root, {_ext("name")} AS ext FROM n0),
+t AS (SELECT album, regexp_replace(root, '_[0-9]+$', '') AS root, ext, list(CAST(regexp_extract(root, '_([0-9]+)$', 1) AS BIGINT)) AS used
+      FROM f WHERE rn = 1 AND regexp_matches(root, '_(0[1-9]|[1-9][0-9]+)$') GROUP BY ALL),
+j AS (SELECT f.*, coalesce(t.used, []) AS used FROM f LEFT JOIN t ON f.album = t.album AND f.root = t.root AND f.ext = t.ext)
+SELECT doc_id, album, CASE WHEN rn = 1 THEN name ELSE
+       root || '_' || printf('%02d', list_filter(range(1, rn + len(used)), lambda x: NOT list_contains(used, x))[rn - 1]) || ext
+       END AS unique_name
+FROM j
 """)
 def dedupe_names(t: Tables):
     df = t.v_names.select("doc_id", "album",

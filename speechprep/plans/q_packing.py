@@ -59,16 +59,16 @@ def partitioned_export(t: Tables):
     return packing.volume_manifest(_packed(t), NOW, prefix="volumes/")
 
 
-@query("oldest_wait", ["v_files"], """
+@query("oldest_wait", ["v_files"], "WITH RECURSIVE " + _PACK_CTES + f"""
 SELECT bucket, min(mtime) AS oldest_mtime, COUNT(*) AS n_files,
-       CAST(epoch(TIMESTAMP '2001-08-01 00:00:00') - epoch(min(mtime)) AS BIGINT) AS age_s,
-       CAST(greatest(0, 315360000 - (epoch(TIMESTAMP '2001-08-01 00:00:00') - epoch(min(mtime)))) AS DOUBLE) / 60 AS minutes_left
-FROM v_files GROUP BY bucket
+       CAST(epoch(TIMESTAMP '{NOW}') - epoch(min(mtime)) AS BIGINT) AS age_s,
+       CAST(greatest(0, {STALE_S} - (epoch(TIMESTAMP '{NOW}') - epoch(min(mtime)))) AS DOUBLE) / 60 AS minutes_left
+FROM packed WHERE status = 'waiting' GROUP BY bucket
 """)
 def oldest_wait(t: Tables):
-    # the whole queue of each bucket; a ten-year stale limit keeps the
-    # fixture's 1995-2001 files waiting, so minutes_left is not clamped to 0
-    return batching.oldest_wait(t.v_files, "bucket", "mtime", F.lit(NOW).cast("timestamp_ntz"), 3650 * 86400)
+    # what packing left waiting in each bucket
+    waiting = packing.pack_volumes(t.v_files, MAX_BYTES, NOW, STALE_S).where("status = 'waiting'")
+    return batching.oldest_wait(waiting, "bucket", "mtime", F.lit(NOW).cast("timestamp_ntz"), STALE_S)
 
 
 @query("volume_byte_ranges", ["v_files"], f"""

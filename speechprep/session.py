@@ -23,7 +23,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", os.environ.get("SPEECHPREP_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("SPEECHPREP_DRIVER_MEMORY", "4g"))
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
@@ -42,6 +42,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="speechprep-ckpt-")
     try:
         spark.conf.set("spark.checkpoint.dir", path)

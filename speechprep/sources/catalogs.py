@@ -145,4 +145,4 @@ def write_show_manifests(manifest: DataFrame, out_dir: str, show: str = "show_id
     """Sink for A10: one folder per show of JSON lines (one line per
     episode with its ordinal and the show fields), written in parallel;
     readers rebuild the ordered episode list by sorting on ``ordinal``."""
-    manifest.repartition(show).write.mode("overwrite").partitionBy(show).json(out_dir)
+    manifest.hint("rebalance", show).write.mode("overwrite").partitionBy(show).json(out_dir)

@@ -66,7 +66,7 @@ def write_transcript_map(pairs: DataFrame, key: str = "path", value: str | list[
 def save_transcript_maps(maps: DataFrame, out_dir: str) -> None:
     """Sink: one text file per (stage_dir, part) object, directory-partitioned."""
     (maps.select(F.regexp_replace("stage_dir", "/", "__").alias("dir_key"), "part", "json")
-     .repartition("dir_key", "part").write.mode("overwrite").partitionBy("dir_key", "part").text(out_dir))
+     .hint("rebalance", "dir_key", "part").write.mode("overwrite").partitionBy("dir_key", "part").text(out_dir))
 
 
 def write_labels(labels: DataFrame, out_dir: str, stage: str = "sliced") -> None:
@@ -74,4 +74,4 @@ def write_labels(labels: DataFrame, out_dir: str, stage: str = "sliced") -> None
     parquet partitioned by stage directory — one parallel write instead of
     one small text file per clip written from a single process."""
     (labels.withColumn("stage_dir", F.regexp_replace(F.coalesce(stage_dir(F.col("path"), stage), F.lit("")), "/", "__"))
-     .repartition("stage_dir").write.mode("overwrite").partitionBy("stage_dir").parquet(out_dir))
+     .hint("rebalance", "stage_dir").write.mode("overwrite").partitionBy("stage_dir").parquet(out_dir))

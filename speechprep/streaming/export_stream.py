@@ -26,7 +26,7 @@ def export_batch_writer(out_dir: str, prefix: str = ""):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         routed = route(batch, prefix)
-        (routed.repartition("lang").write.mode("overwrite")
+        (routed.hint("rebalance", "lang").write.mode("overwrite")
          .partitionBy("lang").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}"))
 
     return write

@@ -14,37 +14,18 @@ def _files(spark, rows):
     return spark.createDataFrame(rows, "bucket string, name string, bytes long, mtime timestamp_ntz")
 
 
-# The straightforward per-bucket fold (one pandas group per bucket): the
-# brute-force reference the sliced packer is compared with.
-def pack_volumes_grouped(files, max_bytes, now, stale_seconds):
-    import numpy as np
-    import pandas as pd
-
-    from speechprep.functions.times import seconds_between
-
-    now_lit = F.lit(now).cast("timestamp_ntz")
-    df = files.select("bucket", "name", "bytes", "mtime", seconds_between(F.col("mtime"), now_lit).alias("_age"))
-
-    def fold(pdf):
-        pdf = pdf.sort_values(["mtime", "name"], kind="mergesort")
-        batch, open_last = packing.next_fit(pdf["bytes"].to_numpy(), max_bytes)
-        status = np.full(len(pdf), "packed", dtype=object)
-        if open_last and len(pdf):
-            last = batch == batch[-1]
-            if pdf["_age"].to_numpy()[last].max() < stale_seconds:
-                status[last] = "waiting"
-        out = pdf[["bucket", "name", "bytes", "mtime"]].copy()
-        out["volume_seq"] = batch
-        out["status"] = status
-        return out
-
-    return df.groupBy("bucket").applyInPandas(
-        fold, "bucket string, name string, bytes long, mtime timestamp_ntz, volume_seq long, status string")
-
-
-def test_next_fit_fixed_case():
-    batch, open_last = packing.next_fit([4, 6, 3, 12, 2], 10)
-    assert batch.tolist() == [0, 0, 1, 2, 3] and open_last
+def assert_next_fit(sizes, seqs, max_bytes):
+    """What defines next-fit, stated on sums: volumes follow one another; a
+    volume was below the limit before its last file, fits it or is one file,
+    and is either full or could not take the next volume's first file."""
+    volumes = {}
+    for size, seq in zip(sizes, seqs):
+        volumes.setdefault(seq, []).append(size)
+    assert list(seqs) == sorted(seqs) and list(volumes) == list(range(len(volumes)))
+    for k, v in volumes.items():
+        assert sum(v[:-1]) < max_bytes and (sum(v) <= max_bytes or len(v) == 1)
+        if k + 1 in volumes:
+            assert sum(v) >= max_bytes or sum(v) + volumes[k + 1][0] > max_bytes
 
 
 def test_pack_fixed_case_and_stale(spark):
@@ -57,7 +38,7 @@ def test_pack_fixed_case_and_stale(spark):
     assert out[-1].status == "waiting" and all(r.status == "packed" for r in out[:-1])
 
 
-def test_sliced_equals_grouped_fold(spark):
+def test_sliced_packer_is_next_fit_in_every_bucket(spark):
     rnd = random.Random(11)
     rows = []
     for b, n in [("hot", 3000), ("a", 7), ("b", 1), ("c", 400)]:
@@ -65,13 +46,19 @@ def test_sliced_equals_grouped_fold(spark):
             size = rnd.choice([rnd.randint(1, 30), rnd.randint(1, 200), 100, 250])
             rows.append((b, f"{b}{i:05d}", size, T0 + dt.timedelta(seconds=rnd.randint(0, 10 ** 6))))
     df = _files(spark, rows)
-    now = (T0 + dt.timedelta(seconds=10 ** 6 + 100)).strftime("%Y-%m-%d %H:%M:%S")
+    end = T0 + dt.timedelta(seconds=10 ** 6 + 100)
+    results = []
     for slices in (1, 5, 37):
-        fast = {(r.bucket, r.name): (r.volume_seq, r.status)
-                for r in packing.pack_volumes(df, 100, now, 500, slices=slices).collect()}
-        ref = {(r.bucket, r.name): (r.volume_seq, r.status)
-               for r in pack_volumes_grouped(df, 100, now, 500).collect()}
-        assert fast == ref, slices
+        out = packing.pack_volumes(df, 100, end.strftime("%Y-%m-%d %H:%M:%S"), 500, slices=slices).collect()
+        results.append({(r.bucket, r.name): (r.volume_seq, r.status) for r in out})
+        for b in ("hot", "a", "b", "c"):
+            mine = sorted((r for r in out if r.bucket == b), key=lambda r: (r.mtime, r.name))
+            assert_next_fit([r.bytes for r in mine], [r.volume_seq for r in mine], 100)
+            last = [r for r in mine if r.volume_seq == mine[-1].volume_seq]
+            waits = sum(r.bytes for r in last) < 100 and (end - last[0].mtime).total_seconds() < 500
+            assert {r.status for r in last} == {"waiting" if waits else "packed"}
+            assert all(r.status == "packed" for r in mine if r.volume_seq != mine[-1].volume_seq)
+    assert results[0] == results[1] == results[2]
 
 
 def test_every_file_once_and_size_bound(spark):
@@ -90,6 +77,18 @@ def test_dedupe_names(spark):
     assert got == {1: "x.mp3", 2: "x_01.mp3", 3: "x_02.mp3", 4: "x.mp3"}
 
 
+def test_dedupe_names_with_a_chain_of_literal_names(spark):
+    names = ["x", "x", "x_01", "x_01_01", "x_01_01_01", "x_01_01_01_01", "x", "x_02", "x", "x_1", "x_01", "x_00", "x_04"]
+    df = spark.createDataFrame([(i, "a", n + ".mp3") for i, n in enumerate(names)] + [(99, None, "x.mp3"), (100, None, "x.mp3")],
+                               "id long, album string, name string")
+    got = {r.id: r.unique_name.removesuffix(".mp3") for r in batching.dedupe_names(df, "album", "name", "id").collect()}
+    mine = [got[i] for i in range(len(names))]
+    assert len(set(mine)) == len(names) and (got[99], got[100]) == ("x", "x_01")
+    # 01, 02 and 04 are literal names: further uses of x get 03, 05, 06; x_01 has 01_01 taken
+    assert [mine[i] for i in (1, 6, 8, 10)] == ["x_03", "x_05", "x_06", "x_01_02"]
+    assert all(mine[i] == names[i] for i in (0, 2, 3, 4, 5, 7, 9, 11, 12))
+
+
 def test_split_evenly_matches_ntile(spark):
     df = spark.createDataFrame([("a", f"p{i:02d}") for i in range(10)] + [("b", "q1"), ("b", "q2")], "album string, path string")
     got = {r.path: r.part for r in batching.split_evenly(df, "album", "path", 4).collect()}
@@ -114,7 +113,6 @@ def test_sliced_packer_property(spark):
         rows = [("q", f"n{i:04d}", s, T0 + dt.timedelta(seconds=i)) for i, s in enumerate(sizes)]
         got = {r.name: r.volume_seq for r in packing.pack_volumes(_files(spark, rows), max_bytes, "2030-01-01 00:00:00",
                                                                    60, slices=slices).collect()}
-        batch, _ = packing.next_fit(sizes, max_bytes)
-        assert [got[f"n{i:04d}"] for i in range(len(sizes))] == batch.tolist()
+        assert_next_fit(sizes, [got[f"n{i:04d}"] for i in range(len(sizes))], max_bytes)
 
     check()

@@ -163,3 +163,19 @@ def test_filter_lyrics_sources(spark):
                                "song_id long, yrc string, lrc string")
     got = {r.song_id: (r.source, r.lrc_kept) for r in lyrics.filter_lyrics(df).collect()}
     assert got == {1: ("yrc", ""), 2: ("lrc", "[00:01.00]line")}
+
+
+def test_join_url_by_rfc3986(spark):
+    from urllib.parse import urljoin
+
+    from pyspark.sql import functions as F
+
+    from speechprep.functions import urls
+
+    bases = ["http://h", "http://h/", "http://h/a/b/c?x=1#f", "https://h:8080/a/b/", "http://h/a"]
+    refs = ["x", "./x", "../x", "../../x", "../../../../x", "/x", "/a/./b/../c", "//other/y", "?q=1", "#z", "", "x?y=1#z", "https://o/p",
+            "a/b/../c", "..", ".", "./", "../", "x/.", "x/.."]
+    rows = [(b, r) for b in bases for r in refs]
+    df = spark.createDataFrame(rows, "b string, r string").select("b", "r", urls.join_url(F.col("b"), F.col("r")).alias("u"))
+    for x in df.collect():
+        assert x.u == urljoin(x.b, x.r), (x.b, x.r, x.u, urljoin(x.b, x.r))
