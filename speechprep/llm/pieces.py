@@ -38,6 +38,7 @@ from ..session import ship_package
 from .common import pick, table
 
 SPACE = "▁"
+LETTER = "A-Za-zÀ-ɏ"  # a character range
 _LITERAL = "\n" + SPACE  # stands for a literal U+2581; no segment looks like this
 _P, _M = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
@@ -70,9 +71,10 @@ class Model:
         self.longest = max(map(len, self.weight))
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.weight):
             raise ValueError("a piece crosses the start of a word: the lattice can't be cut there")
-        # where no piece holds a letter and then a full stop or comma, it can be cut there too
-        mixed = any(re.search(r"[^\W\d_][.,]", p) for p in self.weight)
-        word = rf"{SPACE}*[^{SPACE}\n]+" if mixed else rf"{SPACE}*[^{SPACE}\n.,]+|{SPACE}*[.,][^{SPACE}\n]*"
+        # where no piece holds a Latin letter beside another character, it can be cut there too
+        other = rf"[^{LETTER}{SPACE}\n]"
+        mixed = any(re.search(rf"[{LETTER}]{other}|{other}[{LETTER}]", p) for p in self.weight)
+        word = rf"{SPACE}*[^{SPACE}\n]+" if mixed else rf"{SPACE}*(?:[{LETTER}]+|{other}+)"
         self.cut = re.compile(rf"\n|{word}|{SPACE}+").findall
 
 
@@ -114,7 +116,7 @@ class Lattices:
 
         self.number: dict[str, int] = {}  # segment -> its number
         self.n_states = self.n_edges = self.n_segs = 0
-        self.columns = {"chance": np.empty(1 << 16), "back": np.empty(1 << 16, np.int32), "unit": np.empty(1 << 16, np.int32),
+        self.columns = {"entry": np.empty(1 << 16, np.int32), "chance": np.empty(1 << 16), "back": np.empty(1 << 16, np.int32), "unit": np.empty(1 << 16, np.int32),
                         "log": np.empty(1 << 16, np.float32), "last": np.empty(1 << 16, np.int32), "length": np.empty(1 << 16, np.int32)}
 
     def _append(self, at: int, **values) -> None:
@@ -174,16 +176,16 @@ class Lattices:
             backs.append(state[bare])
             units.append(unit[which])
             logs.append(self.model.byte_weight * width[which])
-        end, back = np.concatenate(ends), np.concatenate(backs)
-        order = np.lexsort((back, end))
-        end, back = end[order], back[order]
-        unit, log = np.concatenate(units)[order], np.concatenate(logs)[order]
+        # by end, then by start: each run is in order, and longer pieces (earlier starts) go first
+        end = np.concatenate(ends[::-1])
+        order = np.argsort(end, kind="stable")
+        end, back, unit, log = (np.concatenate(x[::-1])[order] for x in (ends, backs, units, logs))
         # forward sums, character by character in all segments at once
         low = self.n_states
         total_states = int(size.sum()) + len(size)
         forward = np.zeros(total_states)
-        where = np.searchsorted(end, low + np.arange(total_states))  # first edge of each state
-        n_edges = np.diff(np.append(where, len(end)))
+        n_edges = np.bincount(end - low, minlength=total_states)
+        where = np.cumsum(n_edges) - n_edges  # first edge of each state
         longest_first = np.argsort(-size, kind="stable")
         sizes = size[longest_first]
         for k in range(1, int(size.max()) + 1):
@@ -202,6 +204,7 @@ class Lattices:
         last_edge = np.append(end[1:] != end[:-1], True)
         cumulative[last_edge] = 1.0
         self._append(self.n_edges, chance=end + np.minimum(cumulative, 1.0), back=back, unit=unit, log=log)
+        self._append(self.n_states, entry=self.n_edges + where)
         self._append(self.n_segs, last=first + size, length=size)
         self.number.update(zip(segs if not literal else [_LITERAL], range(self.n_segs, self.n_segs + len(segs))))
         self.n_edges += len(end)
@@ -237,11 +240,15 @@ def sample(texts: list[str], keys: list[int | None], model: Model, lattices: Lat
     known = lattices.number
     if any(SPACE in t for t in texts) and _LITERAL not in known:
         lattices.add([SPACE], literal=True)
-    lattices.add([x for x in dict.fromkeys(segs) if x not in known])
+    numbers = list(map(known.get, segs))
+    if None in numbers:
+        lattices.add(list(dict.fromkeys(x for x, k in zip(segs, numbers) if k is None)))
+        numbers = [known[x] if k is None else k for x, k in zip(segs, numbers)]
     c = lattices.columns
     chance, back, unit, logs = (c[k][: lattices.n_edges] for k in ("chance", "back", "unit", "log"))
+    entry = c["entry"][: lattices.n_states].astype(np.int64)
     last, length = c["last"].astype(np.int64), c["length"].astype(np.int64)
-    seg = np.array(list(map(known.__getitem__, segs)), dtype=np.int64)
+    seg = np.array(numbers, dtype=np.int64)
     row = np.repeat(np.arange(len(texts)), n_segs)
     stream = _mix(np.array([((k if k is not None else -1) * 0x9E3779B97F4A7C15 + seed * 0xD1B54A32D192ED03 + 1) & 0xFFFFFFFFFFFFFFFF
                             for k in keys], dtype=np.uint64))
@@ -263,7 +270,12 @@ def sample(texts: list[str], keys: list[int | None], model: Model, lattices: Lat
             u = _mix(rng + (position + state).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         draw = (u >> np.uint64(11)) * (1.0 / (1 << 53))
         # the edge whose cumulative share is the first one above the draw
-        edge = np.searchsorted(chance, state + np.minimum(draw, 1 - 1e-8), side="right")
+        aim = state + np.minimum(draw, 1 - 1e-8)
+        edge = entry[state]
+        late = np.flatnonzero(chance[edge] <= aim)
+        while len(late):
+            edge[late] += 1
+            late = late[chance[edge[late]] <= aim[late]]
         steps.append((who, unit[edge]))
         counts[who] += 1
         score += np.bincount(row[who], weights=logs[edge], minlength=len(texts))
@@ -278,20 +290,25 @@ def sample(texts: list[str], keys: list[int | None], model: Model, lattices: Lat
         out[ends[w] - seen[w]] = p
     per_row = np.bincount(np.repeat(row, counts), minlength=len(texts)) if len(seg) else np.zeros(len(texts), int)
     if (out < 0).any():
-        spelt = lattices.spelt
+        sizes = np.array([len(x) for x in lattices.spelt])
+        flat = np.array([i for x in lattices.spelt for i in x], dtype=np.int32)
+        begins = np.cumsum(sizes) - sizes
         widths = np.ones(len(out), dtype=np.int64)
         neg = np.flatnonzero(out < 0)
-        widths[neg] = [len(spelt[-1 - p]) for p in out[neg].tolist()]
+        which = -1 - out[neg]
+        widths[neg] = sizes[which]
         row_of = np.repeat(np.arange(len(texts)), per_row)
         per_row = np.bincount(row_of, weights=widths, minlength=len(texts)).astype(np.int64)
         at = np.cumsum(widths) - widths
         wide = np.repeat(out, widths)
-        for k, p in zip(at[neg].tolist(), out[neg].tolist()):
-            wide[k : k + len(spelt[-1 - p])] = spelt[-1 - p]
+        for k in range(int(sizes.max())):  # the k-th byte of each spelling
+            has = sizes[which] > k
+            wide[at[neg[has]] + k] = flat[begins[which[has]] + k]
         out = wide
     return out, np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32), score
 
 
+_MODELS: dict[str, Model] = {}  # for decoding
 _LATTICES: dict[tuple, Lattices] = {}  # of this Python worker, which runs many tasks
 
 
@@ -301,6 +318,12 @@ def lattices_of(path: str, alpha: float) -> Lattices:
     return _LATTICES[path, alpha]
 
 
+def model_of(path: str) -> Model:
+    if path not in _MODELS:
+        _MODELS[path] = Model(path)
+    return _MODELS[path]
+
+
 def _model_path(path: str | None) -> str:
     if path is None:
         import public_tokenizers
@@ -310,7 +333,7 @@ def _model_path(path: str | None) -> str:
 
 
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, seed: int = 1,
-           alpha: float = 1.0, batch_chars: int = 1 << 20) -> DataFrame:
+           alpha: float = 1.0, batch_chars: int = 1 << 18) -> DataFrame:
     """``key``, ids (a sampled segmentation) and log_weight of the draw."""
     path = _model_path(path)
     ship_package(docs.sparkSession)
@@ -342,7 +365,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     return d.mapInArrow(run, f"{key} {kind}, ids array<int>, log_weight double")
 
 
-def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", alpha: float = 1.0) -> DataFrame:
+def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:
     """Adds ``decoded``, the text of each row's ids (invalid UTF-8, which no
     encoded text has, is replaced)."""
     path = _model_path(path)
@@ -351,12 +374,19 @@ def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", alpha:
 
     def run(batches) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        pieces = lattices_of(path, alpha).model.bytes_of
+        pieces = pa.array(model_of(path).bytes_of, pa.large_binary())
         for b in batches:
             lists = b.column(where)
-            texts = [b"".join(map(pieces.__getitem__, x.values.to_pylist())).decode("utf-8", "replace") if x.is_valid else None for x in lists]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "decoded"])
+            parts = pa.LargeListArray.from_arrays(
+                lists.offsets.cast(pa.int64()), pieces.take(lists.values), mask=lists.is_null() if lists.null_count else None)
+            joined = pc.binary_join(parts, pa.scalar(b"", pa.large_binary()))
+            try:
+                texts = joined.cast(pa.string())
+            except pa.ArrowInvalid:  # not UTF-8
+                texts = pa.array([None if x is None else x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, texts], [*b.schema.names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, schema + ", decoded string")
