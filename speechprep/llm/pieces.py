@@ -332,9 +332,38 @@ def _model_path(path: str | None) -> str:
     return path
 
 
+def _joined(lists, pieces):
+    """The texts of lists of ids; ``pieces`` has the bytes of each id."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    parts = pa.LargeListArray.from_arrays(
+        lists.offsets.cast(pa.int64()), pieces.take(lists.values), mask=lists.is_null() if lists.null_count else None)
+    joined = pc.binary_join(parts, pa.scalar(b"", pa.large_binary()))
+    try:
+        return joined.cast(pa.string())
+    except pa.ArrowInvalid:  # not UTF-8
+        return pa.array([None if x is None else x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
+
+
+def _slices(batch, sizes, most: int) -> Iterator:
+    """Cuts a batch before ``sizes`` (one a row) sum up to more than ``most``;
+    a larger row stands alone."""
+    import numpy as np
+
+    ends, at = np.cumsum(sizes), 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        k = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(at, k - at)
+        at = k
+
+
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, seed: int = 1,
-           alpha: float = 1.0, batch_chars: int = 1 << 18) -> DataFrame:
-    """``key``, ids (a sampled segmentation) and log_weight of the draw."""
+           alpha: float = 1.0, batch_bytes: int = 1 << 18, decoded: bool = False) -> DataFrame:
+    """``key``, ids (a sampled segmentation) and log_weight of the draw.
+    ``decoded`` adds what :func:`decode` makes of the ids, without sending them
+    to a second Python worker."""
     path = _model_path(path)
     ship_package(docs.sparkSession)
     d = pick(docs, key, text)
@@ -342,30 +371,24 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
 
     def run(batches) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         lattices = lattices_of(path, alpha)
         model = lattices.model
-
-        def out(ids, texts):
-            flat, offsets, score = sample([t or "" for t in texts], ids.to_pylist(), model, lattices, seed)
-            return pa.RecordBatch.from_arrays(
-                [ids, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)), pa.array(score)],
-                [key, "ids", "log_weight"])
-
+        pieces = pa.array(model.bytes_of, pa.large_binary())
         for b in batches:
-            texts, at, size = b.column(1).to_pylist(), 0, 0
-            for k, t in enumerate(texts):
-                size += len(t or "")
-                if size >= batch_chars:
-                    yield out(b.column(0).slice(at, k + 1 - at), texts[at : k + 1])
-                    at, size = k + 1, 0
-            if at < len(texts):
-                yield out(b.column(0).slice(at), texts[at:])
+            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+            for part in _slices(b, sizes, batch_bytes):
+                keys, texts = part.column(0), [t or "" for t in part.column(1).to_pylist()]
+                flat, offsets, score = sample(texts, keys.to_pylist(), model, lattices, seed)
+                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+                more = {"decoded": _joined(ids, pieces)} if decoded else {}
+                yield pa.RecordBatch.from_pydict({key: keys, "ids": ids, "log_weight": pa.array(score), **more})
 
-    return d.mapInArrow(run, f"{key} {kind}, ids array<int>, log_weight double")
+    return d.mapInArrow(run, f"`{key}` {kind}, ids array<int>, log_weight double" + ", decoded string" * decoded)
 
 
-def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:
+def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", batch_ids: int = 1 << 18) -> DataFrame:
     """Adds ``decoded``, the text of each row's ids (invalid UTF-8, which no
     encoded text has, is replaced)."""
     path = _model_path(path)
@@ -378,15 +401,10 @@ def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids") -> Dat
 
         pieces = pa.array(model_of(path).bytes_of, pa.large_binary())
         for b in batches:
-            lists = b.column(where)
-            parts = pa.LargeListArray.from_arrays(
-                lists.offsets.cast(pa.int64()), pieces.take(lists.values), mask=lists.is_null() if lists.null_count else None)
-            joined = pc.binary_join(parts, pa.scalar(b"", pa.large_binary()))
-            try:
-                texts = joined.cast(pa.string())
-            except pa.ArrowInvalid:  # not UTF-8
-                texts = pa.array([None if x is None else x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, texts], [*b.schema.names, "decoded"])
+            sizes = pc.fill_null(pc.list_value_length(b.column(where)), 0).to_numpy(zero_copy_only=False)
+            for part in _slices(b, sizes, batch_ids):
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, _joined(part.column(where), pieces)], [*b.schema.names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, schema + ", decoded string")
@@ -395,7 +413,7 @@ def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids") -> Dat
 def query(spark, sf_dir: str) -> DataFrame:
     """Sampled ids of every document, and the digest of what they decode to
     (that of the text itself, as decoding is lossless)."""
-    out = decode(encode(table(spark, sf_dir, "documents")))
+    out = encode(table(spark, sf_dir, "documents"), decoded=True)
     return out.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.round("log_weight", 4).alias("log_weight"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("text_sha256"),
