@@ -23,13 +23,15 @@ def round_div(name: str, den: int, digits: int = 2) -> Column:
 
 
 def album_hours(catalog: DataFrame, album: str = "album", duration: str = "duration_ms") -> DataFrame:
-    """Hours per album plus a grand-total row (album NULL).
+    """Hours per album plus a grand-total row.
 
-    ``rollup`` computes both levels from one partial aggregation."""
+    ``rollup`` computes both levels from one partial aggregation.  ``is_total``
+    is 1 on the grand total only, so files without an album (album NULL) are
+    told apart from it."""
     return (
         catalog.rollup(album)
         .agg(F.sum(duration).alias("total_ms"), F.count(duration).alias("n_readable"),
-             F.count(F.lit(1)).alias("n_files"))
+             F.count(F.lit(1)).alias("n_files"), F.grouping(album).cast("int").alias("is_total"))
         .withColumn("hours", round_div("total_ms", 3600000, 2))
     )
 

@@ -163,6 +163,13 @@ def _group_slices(max_bytes: int):
     return group
 
 
+def _join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a NULL key equals a NULL key (a NULL bucket is one bucket)."""
+    same = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys]
+    return left.alias("_l").join(right.alias("_r"), same, how).select(
+        "_l.*", *[F.col(f"_r.{c}") for c in right.columns if c not in keys])
+
+
 def pack_volumes(files: DataFrame, max_bytes: int, now: Column | str, stale_seconds: int,
                  bucket: str = "bucket", name: str = "name", size: str = "bytes", mtime: str = "mtime",
                  slices: int | None = None) -> DataFrame:
@@ -184,7 +191,7 @@ def pack_volumes(files: DataFrame, max_bytes: int, now: Column | str, stale_seco
                          .withColumn("slice", F.spark_partition_id()))
     summary = sliced.groupBy("bucket", "slice").agg(F.sum("bytes").alias("total"))
     groups = summary.groupBy("bucket").applyInPandas(_group_slices(max_bytes), "bucket string, slice int, g long")
-    files_g = sliced.join(groups, ["bucket", "slice"]).drop("slice")
+    files_g = _join_on(sliced, groups, ["bucket", "slice"]).drop("slice")
 
     # 2. halo: files of group g+1 within its first max_bytes belong to g too
     w = Window.partitionBy("bucket", "g").orderBy("mtime", "name")
@@ -201,14 +208,14 @@ def pack_volumes(files: DataFrame, max_bytes: int, now: Column | str, stale_seco
     entries = ranges.groupBy("bucket").applyInPandas(
         _chain, "bucket string, g long, entry long, offset long, tail_seq long")
     # 5. per group: number the batches from the true entry
-    numbered = work.join(entries, ["bucket", "g"]).groupBy("bucket", "g").applyInPandas(
+    numbered = _join_on(work, entries, ["bucket", "g"]).groupBy("bucket", "g").applyInPandas(
         _slice_numbers(max_bytes),
         "bucket string, name string, bytes long, mtime timestamp_ntz, volume_seq long, in_tail boolean")
 
     # the open tail (if any) is the bucket's last batch; it waits unless stale
     age = seconds_between(F.col("mtime"), now_lit)
     oldest = numbered.where("in_tail").groupBy("bucket").agg(F.max(age).alias("_oldest_age"))
-    out = numbered.join(oldest, "bucket", "left").withColumn(
+    out = _join_on(numbered, oldest, ["bucket"], "left").withColumn(
         "status",
         F.when(F.col("in_tail") & (F.col("_oldest_age") < stale_seconds), F.lit("waiting")).otherwise(F.lit("packed")),
     )

@@ -30,7 +30,7 @@ def _asr(t: Tables):
 # --------------------------------------------------------------------------
 @query("flagship_backlog_hours", ["v_audio", "v_done"], f"""
 SELECT album, CAST(SUM(duration_ms) AS BIGINT) AS total_ms, COUNT(duration_ms) AS n_readable,
-       COUNT(*) AS n_files,
+       COUNT(*) AS n_files, CAST(GROUPING(album) AS INTEGER) AS is_total,
        CAST((CAST(SUM(duration_ms) AS BIGINT) * 100 + 1800000) // 3600000 AS DOUBLE) / 100 AS hours
 FROM v_audio a
 WHERE lower(ext) IN ({ASR}) AND duration_ms >= 0
@@ -212,7 +212,7 @@ def join_language_alias(t: Tables):
 # --------------------------------------------------------------------------
 @query("album_hours", ["v_audio"], f"""
 SELECT album, CAST(SUM(duration_ms) AS BIGINT) AS total_ms, COUNT(duration_ms) AS n_readable,
-       COUNT(*) AS n_files,
+       COUNT(*) AS n_files, CAST(GROUPING(album) AS INTEGER) AS is_total,
        CAST((CAST(SUM(duration_ms) AS BIGINT) * 100 + 1800000) // 3600000 AS DOUBLE) / 100 AS hours
 FROM v_audio WHERE lower(ext) IN ({_sql_in("hours")})
 GROUP BY ROLLUP (album)

@@ -26,6 +26,26 @@ def test_write_then_read(spark, tmp_path):
     assert sorted((r.path, r.text) for r in back.collect()) == sorted((r.path, r.text) for r in pairs.collect())
 
 
+def test_map_with_repeated_keys_and_trailing_text(spark):
+    docs = ['{"a": "1", "b": "2", "a": "3"}', '{"b": "9"} junk', '{"c": "9"}] junk', '{"d": "9"}} junk', '{"e": "5"}\n', "", None,
+            '{"f": "1", "f": 2}']
+    df = spark.createDataFrame([(x,) for x in docs], "value string")
+    got = sorted((r.path, r.text) for r in jsonmaps.parse_transcript_json(df).collect())
+    assert got == [("a", "3"), ("b", "2"), ("e", "5")]
+
+
+def test_write_map_with_repeated_and_null_paths(spark):
+    pairs = spark.createDataFrame([("/r/sliced/a", "1"), ("/r/sliced/a", "2"), (None, "3")], "path string, text string")
+    (row,) = jsonmaps.write_transcript_map(pairs).collect()
+    assert (row.n_pairs, json.loads(row.json)) == (1, {"/r/sliced/a": "2"})
+
+
+def test_album_hours_tells_missing_albums_from_the_total(spark):
+    df = spark.createDataFrame([(None, 3_600_000), ("x", 7_200_000)], "album string, duration_ms long")
+    got = {(r.album, r.is_total): r.hours for r in aggregates.album_hours(df).collect()}
+    assert got == {(None, 0): 1.0, ("x", 0): 2.0, (None, 1): 3.0}
+
+
 def test_upsert_idempotent(spark):
     old = spark.createDataFrame([("a", "1"), ("b", "2")], "path string, text string")
     new = spark.createDataFrame([("b", "3"), ("c", "4")], "path string, text string")

@@ -70,6 +70,14 @@ def test_every_file_once_and_size_bound(spark):
     assert all(r.s <= 100 or r.n == 1 for r in sizes)
 
 
+def test_files_without_a_bucket_are_one_bucket(spark):
+    rows = [(None if k % 2 else "b", f"n{k:02d}", 30, T0 + dt.timedelta(seconds=k)) for k in range(20)]
+    got = packing.pack_volumes(_files(spark, rows), 100, "2030-01-01 00:00:00", 60, slices=4).collect()
+    by_bucket = {b: sorted((r.name, r.volume_seq) for r in got if r.bucket == b) for b in (None, "b")}
+    assert [len(v) for v in by_bucket.values()] == [10, 10]
+    assert [s for _, s in by_bucket[None]] == [s for _, s in by_bucket["b"]]
+
+
 def test_dedupe_names(spark):
     df = spark.createDataFrame([(1, "a", "x.mp3"), (2, "a", "x.mp3"), (3, "a", "x.mp3"), (4, "b", "x.mp3")],
                                "id long, album string, name string")
