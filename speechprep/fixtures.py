@@ -110,7 +110,7 @@ FROM {supplier}
 """)
 
 _view("v_names", ("documents",), """
-SELECT doc_id, source AS album, substr(text, 1, 160) || CASE doc_id % 3 WHEN 0 THEN ' a/b: "c"?' WHEN 1 THEN '  x|y.v2.mp3' ELSE '' END AS title,
+SELECT doc_id, source AS album, text || CASE doc_id % 3 WHEN 0 THEN ' a/b: "c"?' WHEN 1 THEN '  x|y.v2.mp3' ELSE '' END AS title,
        CASE doc_id % 6 WHEN 0 THEN lang || '-XX' WHEN 1 THEN 'English' WHEN 2 THEN 'spa_ES' WHEN 3 THEN '' WHEN 4 THEN NULL ELSE lang END AS lang_tag,
        'https://cdn.example.org/' || source || '/' || CAST(doc_id AS STRING) ||
        CASE doc_id % 4 WHEN 0 THEN '.MP3?sig=1' WHEN 1 THEN '.flac' ELSE '' END AS url,

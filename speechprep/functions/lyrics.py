@@ -25,9 +25,10 @@ def stamp_ms(stamp: Column) -> Column:
 
 def _line_words(line: Column) -> Column:
     stamps = F.regexp_extract_all(line, F.lit(STAMP_RE), 0)
-    parts = F.split(line, STAMP_SPLIT_RE)
-    words = F.transform(stamps, lambda s, i: F.struct(stamp_ms(s).alias("time_ms"),
-                                                      F.coalesce(F.try_element_at(parts, i + 2), F.lit("")).alias("text")))
+    # the text after each stamp, split once a line
+    after = F.filter(F.split(line, STAMP_SPLIT_RE), lambda _, i: i > 0)
+    words = F.zip_with(stamps, after, lambda s, w: F.struct(stamp_ms(s).alias("time_ms"),
+                                                            F.coalesce(w, F.lit("")).alias("text")))
     return F.filter(words, lambda w: w["text"] != "")
 
 

@@ -62,12 +62,10 @@ def batch_infer(df: DataFrame, key: str, inputs: list[str], loader: Callable[[],
 # Deterministic stand-in models (tests, fixtures).  Real models are the
 # user's: pass a loader that builds them and a predict that calls them.
 # ----------------------------------------------------------------------
-class HeadWordsTranscriber:
-    """Stand-in "transcriber": the first ``n`` whitespace-separated words of
-    the input text; empty input is an error (an unreadable clip)."""
-
-    def __init__(self, n: int = 8):
-        self.n = n
+class WordsTranscriber:
+    """Stand-in "transcriber": the whitespace-separated words of the whole
+    input text, joined by one space; empty input is an error (an unreadable
+    clip)."""
 
     def __call__(self, texts: pd.Series) -> list[str]:
         out = []
@@ -75,7 +73,7 @@ class HeadWordsTranscriber:
             words = (t or "").split()
             if not words:
                 raise ValueError("empty input")
-            out.append(" ".join(words[: self.n]))
+            out.append(" ".join(words))
         return out
 
 

@@ -79,7 +79,7 @@ def stream_export(t: Tables):
     return spark.read.parquet(f"{root}/export").select("volume_name", "lang", "object_key", "n_files", "bytes")
 
 
-def _head_words_sql() -> str:
+def _words_sql() -> str:
     from ..functions.text import WS_CLASS_RE2
     from .sqlbits import strip_sql
 
@@ -87,15 +87,14 @@ def _head_words_sql() -> str:
     return f"""
 SELECT a.path,
        CASE WHEN {x} = '' THEN NULL
-            ELSE array_to_string(list_slice(regexp_split_to_array({x}, '{WS_CLASS_RE2}+'), 1, 8), ' ') END AS output,
+            ELSE array_to_string(regexp_split_to_array({x}, '{WS_CLASS_RE2}+'), ' ') END AS output,
        CASE WHEN {x} = '' THEN 'ValueError: empty input' END AS error
 FROM v_audio a JOIN documents d ON a.doc_id = d.doc_id
 """
 
 
-@query("batch_infer", ["v_audio"], _head_words_sql())
+@query("batch_infer", ["v_audio"], _words_sql())
 def batch_infer(t: Tables):
     clips = t.v_audio.join(t.documents.select("doc_id", "text"), "doc_id").select("path", "text")
-    model = infer.HeadWordsTranscriber(8)
-    return infer.batch_infer(clips, "path", ["text"], loader=lambda: model,
+    return infer.batch_infer(clips, "path", ["text"], loader=infer.WordsTranscriber,
                              predict=lambda m, b: m(b["text"]), batch_size=256)

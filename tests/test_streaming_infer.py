@@ -73,10 +73,10 @@ def test_stream_export_idempotent(spark, tmp_path):
 
 def test_batch_infer_isolates_failures(spark):
     df = spark.createDataFrame([("a", "one two"), ("b", ""), ("c", "three")], "path string, text string")
-    model = infer.HeadWordsTranscriber(1)
+    model = infer.WordsTranscriber()
     got = {r.path: (r.output, r.error is not None) for r in
            infer.batch_infer(df, "path", ["text"], lambda: model, lambda m, b: m(b["text"]), batch_size=8).collect()}
-    assert got == {"a": ("one", False), "b": (None, True), "c": ("three", False)}
+    assert got == {"a": ("one two", False), "b": (None, True), "c": ("three", False)}
 
 
 def test_live_packer_flushes_stale_leftovers(spark, tmp_path):
