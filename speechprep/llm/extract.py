@@ -1,20 +1,22 @@
 """Operator 9: main text of web pages with a host suffix array.
 
-Pages are range-partitioned by (host, page hash), so a host's pages lie
-together and a host with a third of all pages simply spans many tasks.  A task
-takes the pages of one host, at most ``group_bytes`` of HTML at a time, turns
-each into blocks of text, and concatenates the pages' token streams.  Suffixes
-of the concatenation are sorted by prefix doubling; neighbours that share a
-prefix of ``least`` tokens and lie on distinct pages mark a repeated substring.
-Overlapping marks add up to the long repeated substrings, and tokens covered
-by them are boilerplate: they are cut out of a block that they cover by half or
-more, and its unique runs stay.
-
-Markup decides where it speaks: scripts, styles, forms, menus and the like are
-no text at all; if a page has an article (or main) element its text is the
-article, and what repeats inside an article is quoted, not boilerplate.
-Coverage decides the rest: pages without an article element keep the blocks
-(or runs) that other pages of their host do not repeat.
+A page is turned into blocks of text, its token stream.  A repeated substring
+is a run of ``least`` tokens or more that stands on distinct pages of a host;
+overlapping runs add up.  Repeats are found over the whole host, however many
+tasks its pages lie in: suffixes are sorted by their first ``least`` tokens,
+each named by a 64-bit hash of host and tokens.  Pages are dealt over small
+chunks by their content, a chunk sends each of its windows once with the
+number of its pages that hold it (so a window on all pages of a host is one
+entry a chunk), buckets of the sorted hashes add these numbers up, and every
+chunk gets the windows back that stand on two pages or more.  Neither the
+number of tasks nor the size of the input changes a text.  :func:`main_texts`
+does the same for the pages of one host by a suffix sort on the tokens.
+
+Markup decides first: scripts, styles, forms, menus and the like are no text
+at all, and if a page has an article (or main) element its text comes from
+the article.  Repeats decide the rest.  Pages without an article keep the
+blocks (or unique runs of blocks) that no other page of their host repeats.
+What repeats inside an article is quoted and stays.
 
 Defined cases: null or empty html gives the empty text; a null or odd url
 belongs to the host ''; unclosed tags, comments and quotes end where HTML ends
@@ -25,6 +27,7 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
 from collections.abc import Iterator
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import pick, table
+from .common import hot_keys, pick, table, written
 
 #: Elements whose content is never text.
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -147,10 +150,10 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
     return out
 
 
-def repeated(streams: list[list[int]], owner: list[int], least: int):
+def repeated(streams: list[list[int]], owner: list[int], least: int, many: int = 2):
     """For token streams of pages, a boolean array over their concatenation:
     the tokens covered by substrings of ``least`` tokens or more that occur on
-    distinct pages (``owner`` gives the page; equal pages share one)."""
+    ``many`` distinct pages (``owner`` gives the page; equal pages share one)."""
     import numpy as np
 
     sizes = np.array([len(s) for s in streams])
@@ -164,11 +167,10 @@ def repeated(streams: list[list[int]], owner: list[int], least: int):
         at += len(s) + 1
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
     width = 1
-    order = np.arange(n)
     while width < least:  # ranks of all suffixes by their first `width` tokens
         step = min(width, least - width)
         later = np.zeros(n, dtype=np.int64)
-        later[: n - step] = rank[step:] + 1
+        later[: max(0, n - step)] = rank[step:] + 1
         key = rank * (n + 1) + later
         order = np.argsort(key, kind="stable")
         ordered = key[order]
@@ -176,19 +178,46 @@ def repeated(streams: list[list[int]], owner: list[int], least: int):
         rank = np.empty(n, dtype=np.int64)
         rank[order] = fresh
         width += step
-    # a run of equal prefixes that spans more than one page
-    ranks, pages = rank[order], page[order]
-    starts = np.flatnonzero(np.append(True, ranks[1:] != ranks[:-1]))
-    many = np.maximum.reduceat(pages, starts) != np.minimum.reduceat(pages, starts)
-    hit = np.zeros(n, dtype=bool)
-    hit[order] = np.repeat(many, np.diff(np.append(starts, n)))
+    # distinct pages of each run of equal prefixes
+    pairs = np.unique(rank * (len(streams) + 1) + page)
+    on = np.bincount(pairs // (len(streams) + 1), minlength=int(rank.max(initial=0)) + 1)
+    return _covered(on[rank] >= many, least)
+
+
+def _covered(hit, least: int):
+    """The tokens covered by windows of ``least`` tokens that start at ``hit``."""
+    import numpy as np
+
+    n = len(hit)
     edge = np.zeros(n + least + 1, dtype=np.int64)
     places = np.flatnonzero(hit)
-    np.add.at(edge, places, 1)
-    np.add.at(edge, places + least, -1)
+    edge[places] += 1
+    edge[places + least] -= 1
     return np.cumsum(edge)[:n] > 0
 
 
+def _text(found: list[tuple[str, bool]], covered) -> str:
+    """Main text of a page from its blocks; ``covered`` marks the tokens that
+    other pages repeat."""
+    has_article = any(inside for _, inside in found)
+    sizes = [t.count(" ") + 1 for t, _ in found]
+    starts = [0]
+    for n in sizes:
+        starts.append(starts[-1] + n)
+    kept = []
+    for (text, inside), at, n in zip(found, starts, sizes):
+        if has_article:
+            if inside:
+                kept.append(text)
+        elif 2 * int(covered[at : at + n].sum()) < n:
+            kept.append(text)  # a unique block that only begins or ends like others
+        else:
+            unique = " ".join(w for w, c in zip(text.split(" "), covered[at : at + n]) if not c)
+            if unique:
+                kept.append(unique)
+    return "\n".join(kept)
+
+
 def main_texts(pages: list[str | None], least: int = 8) -> list[str]:
     """Main texts of pages of one host."""
     ids: dict[str, int] = {}
@@ -198,66 +227,243 @@ def main_texts(pages: list[str | None], least: int = 8) -> list[str]:
     for k, (page, found) in enumerate(zip(pages, parsed)):
         owner.append(first.setdefault(page or "", k))
         streams.append([ids.setdefault(w, len(ids)) for t, _ in found for w in t.split(" ")])
-    covered = repeated(streams, owner, least) if len(first) > 1 else None
+    if not pages:
+        return []
+    covered = repeated(streams, owner, least)
     out, at = [], 0
     for found, stream in zip(parsed, streams):
-        has_article = any(inside for _, inside in found)
-        kept, pos = [], at
-        for text, inside in found:
-            words = text.split(" ")
-            if has_article:
-                if inside:
-                    kept.append(text)
-            elif covered is None or 2 * int(covered[pos : pos + len(words)].sum()) < len(words):
-                kept.append(text)  # a unique block that only begins or ends like others
-            else:
-                unique = " ".join(w for w, c in zip(words, covered[pos : pos + len(words)]) if not c)
-                if unique:
-                    kept.append(unique)
-            pos += len(words)
-        out.append("\n".join(kept))
+        out.append(_text(found, covered[at : at + len(stream)]))
         at += len(stream) + 1
     return out
 
 
+_WORDS: dict[str, int] = {}
+
+
+def _hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def _tokens(words: list[str]):
+    """64-bit hashes of words, the same in every process."""
+    import numpy as np
+
+    if len(_WORDS) > 1 << 19:
+        _WORDS.clear()
+    for w in set(words):
+        if w not in _WORDS:
+            _WORDS[w] = _hash(w)
+    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+
+
+def _mixed(x):
+    """A one-to-one scrambling of 64 bits (splitmix64)."""
+    import numpy as np
+
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _windows(streams: list, hosts, least: int):
+    """(hash, page, place in the concatenation) of each window of ``least``
+    tokens in the streams; ``hosts`` has a hash for each stream's host."""
+    import numpy as np
+
+    sizes = np.array([len(s) for s in streams], dtype=np.int64)
+    page = np.repeat(np.arange(len(streams)), sizes)
+    tokens = np.concatenate([*streams, np.zeros(0, np.uint64)])
+    n = len(tokens) - least + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h = np.zeros(n, np.uint64)
+    for j in range(least):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + tokens[j : j + n]
+    at = np.flatnonzero(page[:n] == page[least - 1 :])
+    return _mixed(h[at] ^ hosts[page[at]]), page[at], at
+
+
+def _pack(w) -> bytes:
+    """Sorted hashes as differences, byte plane by byte plane: close ones
+    leave planes of zeros that shuffles compress away."""
+    import numpy as np
+
+    return np.diff(w, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpack(b: bytes):
+    import numpy as np
+
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _parsed(batches) -> Iterator:
+    """Pages as blocks: page_id, url, chunk, key, counts, host, text (a line
+    a block), inside (a byte a block)."""
+    import pyarrow as pa
+
+    for b in batches:
+        for at in range(0, b.num_rows, 64):
+            part = b.slice(at, 64)
+            found = [blocks(p) for p in part.column(6).to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                *(part.column(k) for k in range(6)),
+                pa.array(["\n".join(t for t, _ in f) for f in found], pa.string()),
+                pa.array([bytes(i for _, i in f) for f in found], pa.binary()),
+            ], ["page_id", "url", "chunk", "key", "counts", "host", "text", "inside"])
+
+
+class _Chunk:
+    """The distinct pages of a chunk and their windows."""
+
+    def __init__(self, t, least: int):
+        import numpy as np
+
+        self.index: dict[int, int] = {}
+        self.of = [self.index.setdefault(k, len(self.index)) for k in t.column("key").to_pylist()]
+        self.own = np.zeros(len(self.index), np.int64)
+        self.found: list = [None] * len(self.index)
+        hosts = [""] * len(self.index)
+        for k, host, text, inside, counts in zip(self.of, *(t.column(c).to_pylist() for c in ("host", "text", "inside", "counts"))):
+            self.own[k] |= counts
+            if self.found[k] is None:
+                hosts[k] = host
+                self.found[k] = list(zip(text.split("\n"), map(bool, inside))) if inside else []
+        # each window of a host's name stands for the host's pages
+        self.hosts = np.array([_hash(h) for h in hosts], np.uint64)
+        self.streams = [_tokens([w for x, _ in f for w in x.split(" ")]) for f in self.found]
+        self.w, self.page, self.at = _windows(self.streams, self.hosts, least)
+        self.host_w = _mixed(~self.hosts)
+
+
+def _send(least: int, buckets: int):
+    """Each distinct window of a chunk with the number of its pages there."""
+
+    def run(t):
+        import numpy as np
+        import pyarrow as pa
+
+        c = _Chunk(t, least)
+        w = np.concatenate([c.w, c.host_w])
+        page = np.concatenate([c.page, np.arange(len(c.found))])
+        order = np.argsort(w, kind="stable")
+        # windows come in page order, so equal pairs are neighbours
+        w, page = w[order], page[order]
+        fresh = np.append(True, (w[1:] != w[:-1]) | (page[1:] != page[:-1]))
+        w, page = w[fresh], page[fresh]
+        starts = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
+        n, w = np.add.reduceat(c.own[page], starts).astype(np.int32), w[starts]
+        bucket = ((w >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(w)]
+        spans = list(zip(cuts, cuts[1:]))
+        return pa.table({
+            "chunk": pa.array([t.column("chunk")[0].as_py()] * len(spans), pa.int32()),
+            "bucket": pa.array([int(bucket[x]) for x, _ in spans], pa.int32()),
+            "w": pa.array([_pack(w[x:y]) for x, y in spans], pa.binary()),
+            "n": pa.array([n[x:y].tobytes() for x, y in spans], pa.binary()),
+        })
+
+    return run
+
+
+def _add_up(batches) -> Iterator:
+    """Of rows sorted by bucket: for each chunk its windows that stand on two
+    pages of the host or more, with the number of pages."""
+    import numpy as np
+    import pyarrow as pa
+
+    def out(rows):
+        chunks, ws = [r[0] for r in rows], [_unpack(r[2]) for r in rows]
+        w, n = np.concatenate(ws), np.concatenate([np.frombuffer(r[3], np.int32) for r in rows]).astype(np.int64)
+        order = np.argsort(w, kind="stable")
+        starts = np.flatnonzero(np.append(True, w[order][1:] != w[order][:-1]))
+        total = np.empty(len(w), np.int64)
+        total[order] = np.repeat(np.add.reduceat(n[order], starts), np.diff(np.append(starts, len(w))))
+        got, at = [], 0
+        for c, x in zip(chunks, ws):
+            t = total[at : at + len(x)]
+            at += len(x)
+            if (keep := t > 1).any():
+                got.append((c, _pack(x[keep]), t[keep].tobytes()))
+        return pa.RecordBatch.from_arrays([
+            pa.array([g[0] for g in got], pa.int32()), pa.array([g[1] for g in got], pa.binary()), pa.array([g[2] for g in got], pa.binary()),
+        ], ["chunk", "w", "n"])
+
+    held: list[tuple] = []
+    for b in batches:
+        for row in zip(*(b.column(k).to_pylist() for k in range(4))):
+            if held and held[-1][1] != row[1]:
+                yield out(held)
+                held = []
+            held.append(row)
+    if held:
+        yield out(held)
+
+
+def _finish(least: int):
+    """Texts of a chunk's pages, given the windows that repeat."""
+
+    def run(t, marks):
+        import numpy as np
+        import pyarrow as pa
+
+        c = _Chunk(t, least)
+        w = np.concatenate([*(_unpack(x) for x in marks.column("w").to_pylist()), np.zeros(0, np.uint64)])
+        n = np.concatenate([*(np.frombuffer(x, np.int64) for x in marks.column("n").to_pylist()), np.zeros(0, np.int64)])
+        order = np.argsort(w)
+        w, n = np.append(w[order], np.uint64(0)), np.append(n[order], 1)
+
+        def on(x):
+            k = np.searchsorted(w[:-1], x)
+            return np.where(w[k] == x, n[k], 1)
+
+        times = on(c.w)
+        size = sum(map(len, c.streams))
+        hit = np.zeros(size, bool)
+        hit[c.at] = times > 1
+        covered = _covered(hit, least)
+        texts, at = [], 0
+        for found, stream in zip(c.found, c.streams):
+            texts.append(_text(found, covered[at : at + len(stream)]))
+            at += len(stream)
+        texts = [texts[k] for k in c.of]
+        return pa.table({
+            "page_id": t.column("page_id"), "url": t.column("url"),
+            "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(x) for x in texts], pa.int64()),
+        })
+
+    return run
+
+
 def extract(pages: DataFrame, least: int = 8, group_bytes: int = 8 << 20) -> DataFrame:
-    """page_id, url, text, n_chars; one row per input row."""
+    """page_id, url, text, n_chars; one row per input row.  A chunk of pages
+    has about ``group_bytes`` of HTML at most; it bounds memory only."""
     spark = pages.sparkSession
     ship_package(spark)
-    d = pick(pages, "page_id", "url", "html")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    html, row = F.coalesce("html", F.lit("")), F.xxhash64("page_id", "url")
+    d = pick(pages, "page_id", "url", "html").select("page_id", "url", host.alias("host"), F.xxhash64(host, html).alias("key"), row.alias("row"), html.alias("html"))
+    keys = written(d.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("html")).alias("size"), F.min("row").alias("row")), "extract-keys")
+    rows, size = keys.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        d.withColumns({"host": host, "h": F.xxhash64("page_id", "url")})
-        .repartitionByRange(parts, "host", "h").sortWithinPartitions("host", "h")
-    )
+    chunks, buckets = max(4 * parts, -(-size // group_bytes)), max(parts, -(-size // (2 * group_bytes)))
+    # copies of a hot page lie in many chunks, and only those of its least row count as the page
+    hot = hot_keys(keys, "key", "n", rows)
+    spread, counts = F.lit(0), F.lit(1)
+    if hot:
+        d = d.join(F.broadcast(keys.where(F.col("key").isin(hot)).select("key", F.col("row").alias("least"))), "key", "left")
+        spread = F.when(F.col("row") != F.col("least"), F.pmod(F.col("row"), F.lit(chunks))).otherwise(0)
+        counts = F.when(F.col("row") != F.col("least"), 0).otherwise(1)
+    d = d.select("page_id", "url", F.pmod(F.xxhash64("key", spread.cast("long")), F.lit(chunks)).cast("int").alias("chunk"),
+                 "key", counts.cast("long").alias("counts"), "host", "html")
     kind = d.schema["page_id"].dataType.simpleString()
-
-    def run(batches) -> Iterator:
-        import pyarrow as pa
-
-        held: list[tuple] = []
-        size = 0
-
-        def out():
-            texts = main_texts([r[2] for r in held], least)
-            return pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r in held], id_type), pa.array([r[1] for r in held], pa.string()),
-                pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
-            ], ["page_id", "url", "text", "n_chars"])
-
-        for b in batches:
-            id_type = b.column(0).type
-            for row in zip(*(b.column(k).to_pylist() for k in range(4))):
-                if held and (held[-1][3] != row[3] or size >= group_bytes):
-                    yield out()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[2] or "")
-        if held:
-            yield out()
-
-    return placed.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    dealt = d.mapInArrow(_parsed, f"page_id {kind}, url string, chunk int, key long, counts long, host string, text string, inside binary")
+    sent = dealt.groupBy("chunk").applyInArrow(_send(least, buckets), "chunk int, bucket int, w binary, n binary")
+    marks = (sent.repartitionById(parts, F.pmod("bucket", F.lit(parts))).sortWithinPartitions("bucket")
+             .mapInArrow(_add_up, "chunk int, w binary, n binary"))
+    return dealt.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(
+        _finish(least), f"page_id {kind}, url string, text string, n_chars long")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -140,6 +140,26 @@ def test_extract_query(spark, con):
         assert (r.url, r.text) == (pages[r.page_id][0], "\n".join(x for x in parts if x)) and r.n_chars == len(r.text)
 
 
+def test_host_repeats_do_not_depend_on_the_split(spark):
+    notice = "this notice was put into every article of the site by its owners"
+    quote = "a passage that only some few of the pages of this host quote"
+    own = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    html_of = {
+        "a": [f"<div>{notice}</div><p>{own(k)}</p>" for k in range(30)],  # no article
+        "b": [f"<article><p>{own(k)}</p><p>{notice}</p>{f'<p>{quote}</p>' if k < 104 else ''}</article>" for k in range(100, 140)],
+        "c": [f"<article><p>{notice} {quote}</p><p>copy {k}</p></article>" for k in range(20)],  # copies stay whole
+        "d": [f"<div>{notice}</div><p>{own(999)}</p>"] * 40,  # one page many times
+    }
+    rows = [(k, f"http://{h}.example/{k}", p) for h, ps in html_of.items() for k, p in enumerate(ps)]
+    want = {f"http://{h}.example/{k}": t for h, ps in html_of.items() for k, t in enumerate(extract.main_texts(ps))}
+    assert want["http://a.example/7"] == own(7)
+    assert notice in want["http://c.example/3"] and notice in want["http://d.example/3"]
+    for parts, group_bytes in ((1, 8 << 20), (9, 500)):
+        pages = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        got = {r.url: r.text for r in extract.extract(pages, group_bytes=group_bytes).collect()}
+        assert got == want
+
+
 def test_extract_edge_rows(spark):
     pages = spark.createDataFrame(PAGES, SCHEMA).withColumns({"host": F.lit(1), "h": F.lit("x"), "text": F.lit(0)})
     got = collections.Counter((r.page_id, r.url) for r in extract.extract(pages, group_bytes=1000).collect())
