@@ -16,7 +16,10 @@ Markup decides first: scripts, styles, forms, menus and the like are no text
 at all, and if a page has an article (or main) element its text comes from
 the article.  Repeats decide the rest.  Pages without an article keep the
 blocks (or unique runs of blocks) that no other page of their host repeats.
-What repeats inside an article is quoted and stays.
+Inside an article a block is cut if half or more of it stands on many pages
+of the host (``MANY`` and one in ``SHARE`` of its pages); what fewer pages
+share is quoted and stays, and an article that is mostly such text is a copy
+and stays whole.
 
 Defined cases: null or empty html gives the empty text; a null or odd url
 belongs to the host ''; unclosed tags, comments and quotes end where HTML ends
@@ -38,6 +41,10 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .common import hot_keys, pick, table, written
 
+#: Inside an article only what stands on at least MANY distinct pages of the
+#: host, and on one in SHARE of them, is boilerplate.
+MANY, SHARE = 8, 20
+
 #: Elements whose content is never text.
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 _SKIP = frozenset("head nav aside footer form button select option menu dialog template noscript svg math object canvas "
@@ -196,18 +203,21 @@ def _covered(hit, least: int):
     return np.cumsum(edge)[:n] > 0
 
 
-def _text(found: list[tuple[str, bool]], covered) -> str:
+def _text(found: list[tuple[str, bool]], covered, common) -> str:
     """Main text of a page from its blocks; ``covered`` marks the tokens that
-    other pages repeat."""
+    other pages repeat, ``common`` those that many pages of the host share."""
     has_article = any(inside for _, inside in found)
     sizes = [t.count(" ") + 1 for t, _ in found]
     starts = [0]
     for n in sizes:
         starts.append(starts[-1] + n)
+    shared = [int(common[x : x + n].sum()) for x, n in zip(starts, sizes)]
+    # an article that is mostly common text is a copy, not a text with notices
+    copy = 2 * sum(c for c, (_, i) in zip(shared, found) if i) >= sum(n for n, (_, i) in zip(sizes, found) if i)
     kept = []
-    for (text, inside), at, n in zip(found, starts, sizes):
+    for (text, inside), at, n, c in zip(found, starts, sizes, shared):
         if has_article:
-            if inside:
+            if inside and (copy or 2 * c < n):
                 kept.append(text)
         elif 2 * int(covered[at : at + n].sum()) < n:
             kept.append(text)  # a unique block that only begins or ends like others
@@ -218,6 +228,11 @@ def _text(found: list[tuple[str, bool]], covered) -> str:
     return "\n".join(kept)
 
 
+def _many(pages: int) -> int:
+    """Pages of a host with so many that make a text common."""
+    return max(MANY, -(-pages // SHARE))
+
+
 def main_texts(pages: list[str | None], least: int = 8) -> list[str]:
     """Main texts of pages of one host."""
     ids: dict[str, int] = {}
@@ -229,10 +244,10 @@ def main_texts(pages: list[str | None], least: int = 8) -> list[str]:
         streams.append([ids.setdefault(w, len(ids)) for t, _ in found for w in t.split(" ")])
     if not pages:
         return []
-    covered = repeated(streams, owner, least)
+    covered, common = repeated(streams, owner, least), repeated(streams, owner, least, _many(len(first)))
     out, at = [], 0
     for found, stream in zip(parsed, streams):
-        out.append(_text(found, covered[at : at + len(stream)]))
+        out.append(_text(found, covered[at : at + len(stream)], common[at : at + len(stream)]))
         at += len(stream) + 1
     return out
 
@@ -417,14 +432,15 @@ def _finish(least: int):
             k = np.searchsorted(w[:-1], x)
             return np.where(w[k] == x, n[k], 1)
 
+        many = np.array([_many(int(p)) for p in on(c.host_w)])
         times = on(c.w)
         size = sum(map(len, c.streams))
-        hit = np.zeros(size, bool)
-        hit[c.at] = times > 1
-        covered = _covered(hit, least)
+        hit, often = np.zeros(size, bool), np.zeros(size, bool)
+        hit[c.at], often[c.at] = times > 1, times >= many[c.page]
+        covered, common = _covered(hit, least), _covered(often, least)
         texts, at = [], 0
         for found, stream in zip(c.found, c.streams):
-            texts.append(_text(found, covered[at : at + len(stream)]))
+            texts.append(_text(found, covered[at : at + len(stream)], common[at : at + len(stream)]))
             at += len(stream)
         texts = [texts[k] for k in c.of]
         return pa.table({
