@@ -143,9 +143,13 @@ def votes(x: Column) -> Column:
     d = _digits(m)
     vote = lambda yes, no: F.when(yes, "+").when(no, "-").otherwise("0")
     none = F.lit(False)
+    luhn = F.when((kind == KINDS.index("card")) & (d != ""), _luhn(d)).otherwise(none)
     form = F.when(x["base"], "+").otherwise(_by_kind(kind, {
         "ssn": vote(~F.rlike(m, F.lit(r"^(?:000|666|9..)-|-00-|-0000$")), ~none),
         "phone": vote(F.rlike(m, F.lit(r"^\(?[2-9]")), ~none), "name": F.lit("0"),
+        # no base span: written with [at], or 13 to 15 digits, or too many digits or wrong ones
+        "email": F.lit("0"),
+        "card": vote(luhn & F.rlike(d, F.lit(r"^(?:3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11}|4[0-9]{12})$")), ~luhn),
     }, F.lit("-")))
     gazetteer = _by_kind(kind, {
         "email": vote(F.regexp_extract(F.lower(x["match"]), r"([a-z0-9-]+)$", 1).isin(*MAIL_ENDS), none),

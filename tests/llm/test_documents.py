@@ -174,6 +174,26 @@ def test_pii_learns_to_add_spans(spark):
     assert found > 250
 
 
+def test_pii_adds_obfuscated_mails_and_short_cards(spark):
+    def with_check(start, n):
+        body = (start + "".join(rnd.choice("0123456789") for _ in range(n)))[:n - 1]
+        return next(body + c for c in "0123456789" if sum(sum(divmod(int(x) * (1 + k % 2), 10)) for k, x in enumerate(reversed(body + c))) % 10 == 0)
+
+    rnd = random.Random(11)
+    docs = [(i, f"contact: ann{i}@example{i % 7}.com or card: {with_check('4', 16)} soon") for i in range(100)]
+    docs += [(200 + i, f"contact: bob{i} [at] example{i % 7} [dot] com today") for i in range(60)]
+    docs += [(400 + i, f"card: {with_check('37', 15)} soon") for i in range(60)]
+    wrong = [c[:-1] + str((int(c[-1]) + 1) % 10) for c in (with_check("37", 15) for _ in range(60))]
+    docs += [(600 + i, f"order {c} and 300.{i}.1.1 here") for i, c in enumerate(wrong)]
+    rows = spark.createDataFrame(docs, SCHEMA)
+    got = {r.doc_id: r for r in pii.detect(rows).collect()}
+    assert all(got[200 + i].spans.startswith("email:9:") and got[200 + i].n_email == 0 for i in range(60))
+    assert all(got[400 + i].spans == "card:6:21" and got[400 + i].n_card == 0 for i in range(60))
+    assert all(got[600 + i].spans == "" for i in range(60))
+    clean = {r.doc_id: r.text for r in pii.redact(rows).collect()}
+    assert clean[200] == "contact: [EMAIL] today" and clean[400] == "card: [CARD] soon"
+
+
 def test_pii_redaction(spark, tricky, clashing, empty):
     out = pii.redact(clashing, {"weights": {}, "bias": -1.0})
     assert out.columns == clashing.columns and out.count() == len(TRICKY)
