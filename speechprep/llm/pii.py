@@ -34,6 +34,8 @@ from .common import boxed, let, matches, pick, table, total, unboxed
 
 KINDS = ("email", "ip", "card", "phone", "ssn", "name")  # base kinds first, in their fixed order
 BASE_KINDS = KINDS[:4]
+#: Slots that the shapes of one kind are hashed into.
+SHAPES = 512
 LABELERS = ("form", "gazetteer", "context", "edge", "variety", "separators")
 
 #: Stand-ins for one separator inside a run; the first step moves the same
@@ -170,8 +172,18 @@ def votes(x: Column) -> Column:
     return F.concat(form, gazetteer, context, edge, variety, separators)
 
 
+def _translated(m: Column) -> Column:
+    """Characters as their class: 9, a, a blank, an ASCII sign, or the replacement character."""
+    for rx, to in ((r"\p{N}", "9"), (r"\p{L}", "a"), (r"[\p{Z}\s]", " "), (r"[^\x20-\x7E]", "\ufffd")):
+        m = F.regexp_replace(m, rx, to)
+    return m
+
+
 def features(x: Column) -> Column:
-    """Categorical features of a span, as an array of strings."""
+    """Categorical features of a span, as an array of strings.  Their values
+    are closed sets: classes and capped numbers, the last two characters as
+    digit, letter, blank, one of ASCII's signs or any other, and the whole
+    shape hashed into ``SHAPES`` slots a kind."""
     m = F.replace(x["match"], F.lit(_MARK), F.lit(" "))
     n = F.length(_digits(m))
     name = lambda k, v: F.concat(F.lit(k + "="), v.cast("string"))
@@ -180,8 +192,8 @@ def features(x: Column) -> Column:
         F.concat(F.lit("kind="), kind, F.lit(x_sep), x["base"].cast("string")),
         F.concat(F.lit("digits="), kind, F.lit(x_sep), F.least(n, F.lit(24)).cast("string")),
         name("length", F.least(F.length(m) / 4, F.lit(16)).cast("int")),
-        F.concat(F.lit("shape="), kind, F.lit(x_sep), F.left(F.regexp_replace(F.regexp_replace(F.regexp_replace(m, "[0-9]+", "9"), r"\p{Lu}+", "A"), r"\p{Ll}+", "a"), F.lit(12))),
-        name("left", F.regexp_replace(F.regexp_replace(F.right(x["left"], F.lit(2)), r"\p{N}", "9"), r"\p{L}", "a")),
+        F.concat(F.lit("shape="), kind, F.lit(x_sep), F.pmod(F.xxhash64(F.regexp_replace(F.regexp_replace(F.regexp_replace(m, "[0-9]+", "9"), r"\p{Lu}+", "A"), r"\p{Ll}+", "a")), F.lit(SHAPES)).cast("string")),
+        name("left", _translated(F.right(x["left"], F.lit(2)))),
         F.concat(F.lit("votes="), F.substring(votes(x), 1, 3)),
     )
 
@@ -225,13 +237,12 @@ def em(counts: dict[str, int], rounds: int = 200) -> tuple[dict[str, float], dic
     return p, {"prior": prior, "labelers": labelers}
 
 
-def fit(docs: DataFrame, top_features: int = 2000) -> dict:
+def fit(docs: DataFrame) -> dict:
     """Train on all candidates of all rows.  Returns the EM result and the
     span classifier (prior log odds and one weight a feature).
 
-    Features are categories of bounded length; a model keeps the
-    ``top_features`` most frequent values (the rest weigh nothing), which
-    bounds the model whatever the data."""
+    The values of all features are closed sets (about 5,000 values at most),
+    which bounds the model whatever the data; every value has its weight."""
     from .common import written
 
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -248,8 +259,8 @@ def fit(docs: DataFrame, top_features: int = 2000) -> dict:
     soft = F.element_at(F.from_json(F.lit(_json(p)), "map<string,double>"), F.col("votes"))
     sums = (
         spans.select(F.explode("features").alias("f"), soft.alias("p"))
-        .groupBy("f").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no"), F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "f").limit(top_features).collect()
+        .groupBy("f").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no"))
+        .collect()
     )
     yes = sum(c * p[s] for s, c in counts.items())
     no = sum(counts.values()) - yes

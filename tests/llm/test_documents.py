@@ -194,6 +194,18 @@ def test_pii_adds_obfuscated_mails_and_short_cards(spark):
     assert clean[200] == "contact: [EMAIL] today" and clean[400] == "card: [CARD] soon"
 
 
+def test_pii_features_are_closed_and_all_weighted(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"{chr(0x4e00 + i)}{chr(0x2190 + i % 100)}{i % 10}00-12-{1000 + i} {chr(0x2500 + i % 120)} +1{'-' * (i % 40)}212555010{i % 10}") for i in range(2600)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    text = F.col("text")
+    got = docs.select(F.explode(pii.candidates(text)).alias("x")).select(F.explode(pii.features(F.col("x"))).alias("f")).distinct()
+    values = {r.f for r in got.collect()}
+    assert sum(f.startswith("left=") for f in values) <= 37 * 37 and sum(f.startswith("shape=") for f in values) <= len(pii.KINDS) * pii.SHAPES
+    assert values == set(pii.fit(docs)["weights"])
+
+
 def test_pii_redaction(spark, tricky, clashing, empty):
     out = pii.redact(clashing, {"weights": {}, "bias": -1.0})
     assert out.columns == clashing.columns and out.count() == len(TRICKY)
