@@ -8,7 +8,7 @@ open batch, emits the volumes that filled up, and flushes the open batch
 once its oldest file is ``stale_seconds`` old.  A processing-time timeout
 flushes idle buckets too, so leftovers never wait for new arrivals.
 
-State lives in the checkpointed state store (RocksDB provider), so a
+Times are kept in microseconds, as the input has them.  State lives in the checkpointed state store (RocksDB provider), so a
 restarted query neither loses an open batch nor re-emits a closed volume.
 """
 
@@ -51,9 +51,9 @@ def _pack_fn(max_bytes: int, stale_seconds: int, now_ms: int | None):
             chunks = [c for c in pdfs if len(c)]
             arrivals = pd.concat(chunks, ignore_index=True) if chunks else pd.DataFrame()
             if len(arrivals):
-                ms = arrivals["mtime"].astype("datetime64[ms]").astype(np.int64)
-                arrivals = arrivals.assign(_ms=ms).sort_values(["_ms", "name"], kind="mergesort")
-                for n, b, m in zip(arrivals["name"], arrivals["bytes"].astype(np.int64), arrivals["_ms"]):
+                us = arrivals["mtime"].astype("datetime64[us]").astype(np.int64)
+                arrivals = arrivals.assign(_us=us).sort_values(["_us", "name"], kind="mergesort")
+                for n, b, m in zip(arrivals["name"], arrivals["bytes"].astype(np.int64), arrivals["_us"]):
                     b, m = int(b), int(m)
                     if names and open_bytes + b > max_bytes:
                         close("full")
@@ -64,15 +64,15 @@ def _pack_fn(max_bytes: int, stale_seconds: int, now_ms: int | None):
                     if open_bytes >= max_bytes:
                         close("full")
         # leftovers: flush when the oldest file is stale
-        if names and now - min(mtimes) >= stale_seconds * 1000:
+        if names and now * 1000 - min(mtimes) >= stale_seconds * 1_000_000:
             close("stale")
         state.update((names, sizes, mtimes, seq))
         if names and now_ms is None:
-            wait_ms = max(1, stale_seconds * 1000 - (now - min(mtimes)))
+            wait_ms = max(1, stale_seconds * 1000 - (now - min(mtimes) // 1000))
             state.setTimeoutDuration(int(wait_ms))
         if out_rows:
             df = pd.DataFrame(out_rows, columns=["bucket", "name", "bytes", "mtime", "volume_seq", "reason"])
-            df["mtime"] = pd.to_datetime(df["mtime"], unit="ms")
+            df["mtime"] = pd.to_datetime(df["mtime"], unit="us")
             yield df
 
     return fn

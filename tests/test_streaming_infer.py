@@ -56,6 +56,17 @@ def test_stream_single_batch_equals_batch_packer(spark, tmp_path):
     assert streamed == expected
 
 
+def test_stream_packs_files_of_one_millisecond_in_order(spark, tmp_path):
+    rows = [("k", f"n{99 - i:02d}", i % 5 + 3, T0 + dt.timedelta(microseconds=7 * i)) for i in range(40)]  # names run against time
+    src, out, chk = str(tmp_path / "s"), str(tmp_path / "o"), str(tmp_path / "c")
+    _land(spark, rows, src)
+    _run(spark, src, out, chk)
+    got = spark.read.parquet(out).collect()
+    batch = packing.pack_volumes(spark.createDataFrame(rows, SCHEMA), 10, "2024-01-01 10:00:00", 3600, slices=4)
+    assert {r.name: r.volume_seq for r in got} == {r.name: r.volume_seq for r in batch.where("status = 'packed'").collect()}
+    assert {(r.name, r.mtime) for r in got} == {(n, m) for _, n, _, m in rows}
+
+
 def test_stream_export_idempotent(spark, tmp_path):
     src = str(tmp_path / "m")
     spark.createDataFrame([("en_20240101_000000_000.tar", 3, 10), ("de_20240101_000000_001.tar", 1, 5)],
