@@ -18,6 +18,7 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -114,10 +115,24 @@ _FREE = (  # rules that belong to no family form: (label, anchor, keyword, prior
     ("gpl", "licen", "gnu", 4, 0.95, r"\bunder the terms of the gnu general public license as published by the free software foundation\b"),
     ("unlicense", "public domain", "unencumbered", 4, 0.95, r"\bthis is free and unencumbered software released into the public domain\b"),
 )
+#: Between the words of a rule: a blank or line break, and whatever blanks,
+#: breaks, comment and quote marks follow it.
+GAP = r"(?:\s[\s*#/;%!>-]{0,15})"
 ANCHORS = ("licen", "spdx", "public domain", "all rights reserved", "hereby granted", "permission to use",
            "redistribution", "://")
 
 
+#: A word of each anchor; a text without any of them is not read further.
+_GATE = ("licen", "spdx", "domain", "reserved", "hereby", "permission", "redistribution", "://")
+
+
+def _wrapped(rx: str) -> str:
+    """A rule that also matches where lines are broken or commented: every
+    blank outside of brackets, and in ``[- ]``, stands for a gap."""
+    rx = rx.replace("[- ]", "(?:-| )").replace("[ -]", "(?:-| )")
+    return "".join(p if p[0] == "[" else p.replace(" ", GAP) for p in re.findall(r"\[(?:\\.|[^\]\\])*\]|(?:\\.|[^\[\\])+", rx))
+
+
 def rules() -> list[dict]:
     """All signature rules in order of priority."""
     out = []
@@ -129,7 +144,7 @@ def rules() -> list[dict]:
             out.append({"label": f.label, "anchor": "://", "keyword": "://", "priority": 4, "confidence": 0.9, "regex": f"://{f.url}"})
     for label, anchor, keyword, priority, conf, rx in _FREE:
         out.append({"label": label, "anchor": anchor, "keyword": keyword, "priority": priority, "confidence": conf, "regex": rx})
-    return sorted(out, key=lambda r: -r["priority"])
+    return sorted(({**r, "regex": _wrapped(r["regex"])} for r in out), key=lambda r: -r["priority"])
 
 
 _RULE = "struct<label:string,priority:int,confidence:double,regex:string>"
@@ -149,10 +164,11 @@ def _rule_table(rule_list: list[dict]) -> Column:
 
 def detect(text: Column, rule_list: list[dict] | None = None) -> Column:
     """Detections in a lower-cased ``text`` after suppression, by start."""
-    groups = F.filter(
+    # anchors and keywords of several words are looked for with plain blanks between them
+    groups = let(F.regexp_replace(text, GAP, " "), lambda flat: F.filter(
         _rule_table(rule_list or rules()),
-        lambda g: F.contains(text, g["anchor"]) & F.exists(g["keywords"], lambda k: F.contains(text, k)),
-    )
+        lambda g: F.contains(flat, g["anchor"]) & F.exists(g["keywords"], lambda k: F.contains(flat, k)),
+    ))
 
     def found(rule: Column) -> Column:
         return F.transform(
@@ -200,7 +216,7 @@ def scan(docs: DataFrame, rule_list: list[dict] | None = None) -> DataFrame:
     )
     folded = F.lower("text")
     gate = F.lit(False)
-    for a in ANCHORS:
+    for a in _GATE:
         gate = gate | F.contains(folded, F.lit(a))
     d = d.withColumn("low", F.when(gate, ascii_lower(F.col("text"))))
 

@@ -110,6 +110,17 @@ def test_licence_prefilter_never_hides_a_match(texts):
                 assert r["anchor"] in x and any(k in x for k in r["keyword"].split("|")), (r, x)
 
 
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "   "])
+def test_licence_notices_are_found_wrapped_and_commented(spark, mark):
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted"
+    gpl = "it under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 2"
+    every = "Permission\nto\nuse,\ncopy,\nmodify,\nand/or\ndistribute\nthis\nsoftware\nfor\nany\npurpose"
+    rows = [(i, mark + t.replace("\n", "\n" + mark)) for i, t in enumerate((isc, gpl, every, "under the mit.\nLicense fees"))]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert "isc" in got[0].labels and "isc" in got[2].labels and got[3].detections == []
+    assert [d.confidence for d in got[1].detections if d.label == "gpl"][:1] == [0.95]
+
+
 def test_licence_base_and_suppression(spark, tricky, empty):
     rows = [(1, "Released under the MIT License."), (2, "mit, LICENSE. The General-Public license; apache license"),
             (3, "SPDX-License-Identifier: Apache-2.0\n"), (4, "permit license, licenses"), (5, None)]
