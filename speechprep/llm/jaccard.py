@@ -304,6 +304,23 @@ def _shared(batches) -> Iterator:
         ], ["token", "salt", "c", "n", "before", "n_before"])
 
 
+def _once(batches, most: int = 1 << 19) -> Iterator:
+    """Rows (mix, text) without those whose mix came before in the task: copies
+    of a text leave a task once (or once every ``most`` distinct texts)."""
+    import numpy as np
+    import pyarrow as pa
+
+    seen: set[int] = set()
+    for b in batches:
+        if len(seen) > most:
+            seen.clear()
+        values, at = np.unique(b.column(0).to_numpy(), return_index=True)
+        at = sorted(k for v, k in zip(values.tolist(), at.tolist()) if v not in seen)
+        seen.update(values.tolist())
+        if at:
+            yield b.take(pa.array(at, pa.int64()))
+
+
 def contents(docs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     """Shingle sets and vectors of the given classes: c, n, s, v.  One text of
     each class is found again by its hash and shingled again."""
@@ -320,7 +337,8 @@ def contents(docs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
             ], ["c", "n", "s", "v"])
 
     one = sets.join(classes, "c", "left_semi").groupBy("c").agg(F.min("mix").alias("mix")).select("mix").distinct()
-    found = _docs(docs).join(one, "mix", "left_semi").select("doc_id", "text")
+    texts = _docs(docs).select("mix", "text").mapInArrow(_once, "mix long, text string")
+    found = texts.join(one, "mix", "left_semi")
     shingled = found.mapInArrow(run, "c long, n int, s array<long>, v binary")
     # bucketed by class, so that the joins below move pairs and not sets
     spark = docs.sparkSession

@@ -426,6 +426,15 @@ def test_jaccard_components_are_complete(spark, block, per_task):
     assert collections.Counter(tuple(r) for r in got) == brute_components(docs)
 
 
+def test_jaccard_copies_leave_a_task_once(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of its own with words") for i in range(20)] + [(99, "a hot text of copies " * 3)] * 400, SCHEMA)
+    rows = jaccard._docs(docs.coalesce(1)).select("mix", "text").mapInArrow(jaccard._once, "mix long, text string")
+    assert rows.count() == 21 == rows.distinct().count()
+    sets = jaccard.sets_of(docs)
+    got = jaccard.contents(docs.repartition(5), sets, sets.where("c IS NOT NULL").select("c").distinct()).collect()
+    assert len(got) == 21 == len({r.c for r in got})
+
+
 def test_jaccard_edges(spark, clashing, empty):
     assert jaccard.join(empty).count() == 0
     kept = jaccard.filter_docs(clashing)
