@@ -38,5 +38,5 @@ def test_key(spark, con, key):
 
 def test_entry(spark):
     df = E.entry(spark)
-    assert df.columns == ["album", "total_ms", "n_readable", "n_files", "hours"]
+    assert df.columns == ["album", "total_ms", "n_readable", "n_files", "is_total", "hours"]
     assert df.count() > 0
