@@ -8,8 +8,8 @@ uniformly shuffled order of all rows; shard ``s`` of ``n`` is its ``s``-th
 stretch, so shard sizes differ by one row at most (law ``rows``).
 
 The same seed and rows give the same order however the input is split.  Rows
-that agree in doc_id and text fall together; if such copies are more than 1/256
-of all rows they are scattered by a seeded random number instead.
+that agree in doc_id and text fall together; if such copies are 1/256 or more
+of all rows they are scattered by a hash of their row number instead.
 
 Defined cases: null text has size 1 and the CRC of nothing; null doc_ids are
 scattered by their text; an empty table gives an empty result; extra columns
@@ -37,39 +37,58 @@ def _fisher_yates(seed: int):
         if not got:
             return
         t = pa.Table.from_batches(got)
+        before = pc.max(t.column("before")).as_py()  # of the bucket's one marker row
+        t = t.filter(pc.is_null(t.column("before")))
         t = t.take(pc.sort_indices(t, sort_keys=[("h", "ascending"), ("h2", "ascending")]))
-        bucket = t.column("bucket")[0].as_py()
+        bucket = got[0].column("bucket")[0].as_py()
         order = np.arange(t.num_rows)
         np.random.default_rng([seed, bucket]).shuffle(order)  # Fisher-Yates
-        t = t.take(pa.array(order)).append_column("place", pa.array(np.arange(t.num_rows), type=pa.int64()))
-        yield from t.select(["_row", "bucket", "place"]).to_batches(max_chunksize=2000)
+        t = t.take(pa.array(order)).append_column("at", pa.array(before + np.arange(t.num_rows), type=pa.int64()))
+        yield from t.select(["_row", "at"]).to_batches(max_chunksize=2000)
 
     return run
 
 
+def _offsets(bucket_of: DataFrame, block: int = 4096) -> DataFrame:
+    """bucket, before: how many rows lie in the buckets ahead of it.  Summed in
+    blocks of buckets, so that no task holds more than ``block`` rows or one
+    row a block."""
+    counts = bucket_of.groupBy("bucket").agg(F.count("*").alias("n")).withColumn("block", F.expr(f"bucket div {block}"))
+    ahead = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = counts.select("bucket", "block", ahead(Window.partitionBy("block").orderBy("bucket")).alias("inside"))
+    blocks = counts.groupBy("block").agg(F.sum("n").alias("n")).select("block", ahead(Window.orderBy("block")).alias("base"))
+    return inside.join(blocks, "block").select("bucket", (F.col("base") + F.col("inside")).alias("before"))
+
+
 def shuffle(docs: DataFrame, shards: int = 16, seed: int = 17, bucket_bytes: int = 32 << 20) -> DataFrame:
-    """``row`` (struct of all input columns), shard and slot, in shuffled order."""
+    """``row`` (struct of all input columns), shard and slot, in shuffled order.
+
+    The rows of a bucket are counted on a scan of their own, which moves no
+    text; each bucket's task gets the number of rows ahead of it as a marker
+    row, so the texts cross one exchange and are placed where they arrive."""
     spark = docs.sparkSession
     ship_package(spark)
-    d = boxed(docs, "doc_id", "text").withColumns({
+    hashed = {
         "h": F.xxhash64(F.lit(seed), "doc_id", "text"), "h2": F.xxhash64("text", "doc_id", F.lit(~seed)),
         "size": F.coalesce(F.octet_length("text"), F.lit(0)) + 1,
-    })
+    }
+    d = boxed(docs, "doc_id", "text").withColumns(hashed)
     n, size = d.agg(F.count("*"), F.sum(F.col("size").cast("long"))).first()
     buckets = max(1, -(-(size or 0) // bucket_bytes))
     hot = hot_keys(d.groupBy("h").agg(F.count("*").alias("n")), "h", "n", n) if n else []
     key: Column = F.col("h")
     if hot:
-        key = F.when(key.isin(hot), (F.rand(seed) * 2**52).cast("long")).otherwise(key)
-    scattered = d.select("_row", "h", "h2", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"))
-    placed = scattered.repartitionById(buckets, F.col("bucket"))
-    schema = f"_row {d.schema['_row'].dataType.simpleString()}, bucket int, place long"
-    done = written(placed.mapInArrow(_fisher_yates(seed), schema), "shuffled")
-
-    # offsets of the buckets: one row for each bucket, however many rows there are
-    before = F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = done.groupBy("bucket").agg(F.count("*").alias("n")).select("bucket", before.alias("before"))
-    at = done.join(offsets, "bucket").withColumn("at", F.col("before") + F.col("place"))
+        # written first: both scans below must see the same row under the same number
+        d = written(d, "shuffle-rows").withColumn("_n", F.monotonically_increasing_id())
+        key = F.when(key.isin(hot), F.xxhash64(F.lit(seed), "_n")).otherwise(key)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+    none = F.lit(None)
+    scattered = d.select("_row", "h", "h2", bucket, none.cast("long").alias("before"))
+    markers = _offsets(d.select(bucket)).select(
+        none.cast(d.schema["_row"].dataType).alias("_row"), none.cast("long").alias("h"), none.cast("long").alias("h2"), "bucket", "before")
+    placed = scattered.unionByName(markers).repartitionById(buckets, F.col("bucket"))
+    schema = f"_row {d.schema['_row'].dataType.simpleString()}, at long"
+    at = placed.mapInArrow(_fisher_yates(seed), schema)
     at = at.withColumn("shard", F.expr(f"CAST((at * {shards}) div {max(1, n)} AS INT)"))
     first = F.expr(f"(CAST(shard AS LONG) * {max(1, n)} + {shards - 1}) div {shards}")
     fields = [F.col(f"_row.c{i}").alias(c) for i, c in enumerate(docs.columns)]
