@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import classify, exact_dedup, extract, jaccard, licenses, packing, pieces, pii, quality, sharding, warc
+from . import align, classify, exact_dedup, extract, jaccard, licenses, packing, pieces, pii, quality, sharding, warc
 
 QUERIES = {
     "op1_quality_rules": quality.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_html_extraction": extract.query,
     "op10_pii": pii.query,
     "op12_quality_classifier": classify.query,
+    "op13_tokenizer_alignment": align.query,
 }
 
 ORACLES = {
