@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import align, classify, exact_dedup, extract, jaccard, licenses, packing, pieces, pii, quality, sharding, warc
+from . import align, classify, exact_dedup, extract, jaccard, licenses, packing, pieces, pii, quality, sharding, trie, warc
 
 QUERIES = {
     "op1_quality_rules": quality.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_html_extraction": extract.query,
     "op10_pii": pii.query,
+    "op11_conversation_trie": trie.query,
     "op12_quality_classifier": classify.query,
     "op13_tokenizer_alignment": align.query,
 }
@@ -24,4 +25,5 @@ ORACLES = {
     "op2_warc": warc.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op7_ngram_jaccard": jaccard.ORACLE,
+    "op11_conversation_trie": trie.ORACLE,
 }
