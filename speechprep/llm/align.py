@@ -51,25 +51,29 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
+#: How a byte-level text falls into words (fixed value of the vocabulary).
+WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class Spelling:
-    """Both tokenizers and the bytes of their ids."""
+    """Both tokenizers and the bytes of their ids.
 
-    def __init__(self, a_path: str, b_path: str):
-        import os
+    A's file is read as ranks: its ids follow the order of its merges."""
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    def __init__(self, a_path: str, b_path: str):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         of = byte_level()
-        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        vocabulary = Tokenizer.from_file(a_path).get_vocab(with_added_tokens=False)
+        ranks = {bytes(of[c] for c in t): i for t, i in vocabulary.items() if all(c in of for c in t)}
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for t, i in vocabulary.items():
-            self.a_bytes[i] = bytes(of[c] for c in t) if all(c in of for c in t) else t.encode()
-        self.b_bytes, spell = [], self.b
+        for t, i in ranks.items():
+            self.a_bytes[i] = t
+        self.a = tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+        self.b = spell = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.b_bytes = []
         for i in range(spell.vocab_size()):
             p = spell.id_to_piece(i)
             if spell.is_byte(i):
@@ -80,17 +84,7 @@ class Spelling:
                     raise ValueError("a piece crosses the start of a word: texts can't be cut there")
 
     def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
-        return a, self.b.encode(units, num_threads=1)
-
-
-_SPELLINGS: dict[tuple, Spelling] = {}  # of this Python worker
-
-
-def spelling(paths: tuple[str, str]) -> Spelling:
-    if paths not in _SPELLINGS:
-        _SPELLINGS[paths] = Spelling(*paths)
-    return _SPELLINGS[paths]
+        return [self.a.encode_ordinary(" " + u) for u in units], self.b.encode(units, num_threads=1)
 
 
 def shared_cuts(ends_a, ends_b, first, near: int = 8):
@@ -137,63 +131,111 @@ def shared_cuts(ends_a, ends_b, first, near: int = 8):
         lo, hi = np.concatenate([lo, found + 1]), np.concatenate([found + 1, hi])
 
 
+def _grown(a, n: int):
+    """Array ``a`` with room for ``n`` values."""
+    import numpy as np
+
+    return a if n <= len(a) else np.concatenate([a, np.zeros(max(n - len(a), len(a)), a.dtype)])
+
+
 class Units:
-    """Different units by number, encoded and aligned when first seen."""
+    """Different units by number, encoded and aligned when first seen.
 
-    def __init__(self, spell: Spelling, table=None, most: int = 200_000, most_chars: int = 8_000_000):
-        self.spell, self.table, self.most, self.most_chars = spell, table, most, most_chars
+    Kept from task to task of a worker.  When ``most`` units (or characters of
+    them) are exceeded, those seen most often stay."""
+
+    def __init__(self, spell: Spelling, most: int = 300_000, most_chars: int = 12_000_000):
         import numpy as np
 
+        self.spell, self.most, self.most_chars = spell, most, most_chars
         self.a_len, self.b_len = (np.array([len(x) for x in t]) for t in (spell.a_bytes, spell.b_bytes))
         size = max(len(spell.a_bytes), len(spell.b_bytes))
         self.size, self.name = size, [f"{i}{c}" for c in ",|;" for i in range(size)]
-        self.clear()
+        self._reset()
+
+    def _reset(self) -> None:
+        import numpy as np
 
-    def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.bad: set[int] = set()  # units that are not spelt as they stand
-        self.chars, self.links, self.groups = 0, [], []  # link keys and group texts by unit
-        self.counts = {c: [] for c in COUNTS}
+        self.chars, self.groups = 0, []  # group texts
+        self.counts = {c: np.zeros(1024, np.int64) for c in COUNTS[:4]}
+        self.seen, self.start = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.links, self.n_links = np.zeros(8192, np.int64), 0  # link keys, unit after unit
 
     def full(self) -> bool:
         return len(self.number) > self.most or self.chars > self.most_chars
 
+    def shrink(self) -> None:
+        """Forget the units seen least; at most half of the room stays taken."""
+        import numpy as np
+
+        names, n = list(self.number), len(self.number)
+        order = np.argsort(-self.seen[:n], kind="stable")
+        size = np.cumsum([len(names[k]) for k in order.tolist()])
+        fits = np.flatnonzero((size <= self.most_chars // 2) & (self.seen[order] > 1))
+        old = dict(self.__dict__)
+        keep = order[fits[: self.most // 2]]
+        self._reset()
+        for new, k in enumerate(keep.tolist()):
+            self.number[names[k]] = new
+            self.chars += len(names[k])
+            if k in old["bad"]:
+                self.bad.add(new)
+        self.groups = [old["groups"][k] for k in keep.tolist()]
+        for c in self.counts:
+            self.counts[c] = np.append(old["counts"][c][keep], 0)
+        self.seen, n_links = np.append(old["seen"][keep] // 2, 0), self.counts["n_links"][:-1]
+        self.links = np.append(_gather(old["links"], old["start"][keep], n_links), 0)
+        self.n_links = len(self.links) - 1
+        self.start = np.append(np.cumsum(n_links) - n_links, 0)
+
+    def _spelt(self, new: list[str]):
+        """Ids of both sides and how many each unit has (none if it is not spelt
+        as it stands).  A encodes all units as one text, cut where they end."""
+        import numpy as np
+
+        want = b" " + " ".join(new).encode("utf-8", "surrogatepass")
+        a = np.array(self.spell.a.encode_ordinary(want.decode("utf-8", "surrogatepass")), np.int64)
+        b_ids = self.spell.b.encode(new, num_threads=1)
+        n_b = np.array([len(x) for x in b_ids], np.int64)
+        b = np.fromiter((i for x in b_ids for i in x), np.int64, n_b.sum())
+        ends = np.cumsum(np.array([len(u.encode("utf-8", "surrogatepass")) + 1 for u in new], np.int64))
+        if b"".join(map(self.spell.b_bytes.__getitem__, b.tolist())) == want == b"".join(map(self.spell.a_bytes.__getitem__, a.tolist())):
+            if (np.cumsum(self.b_len[b])[np.cumsum(n_b) - 1] == ends).all():
+                n_a = np.diff(np.searchsorted(np.cumsum(self.a_len[a]), ends), prepend=-1)
+                return a, n_a, b, n_b
+        if len(new) == 1:
+            return a[:0], np.zeros(1, np.int64), b[:0], np.zeros(1, np.int64)
+        half = len(new) // 2
+        x, y = self._spelt(new[:half]), self._spelt(new[half:])
+        return tuple(np.concatenate([p, q]) for p, q in zip(x, y))
+
     def add(self, units) -> None:
         import numpy as np
 
         new = [u for u in dict.fromkeys(units) if u not in self.number]
         if not new:
             return
-        a_ids, b_ids = self.spell.encode(new)
-        a_name, b_name = self.spell.a_bytes.__getitem__, self.spell.b_bytes.__getitem__
-        fine = []
-        for u, a, b in zip(new, a_ids, b_ids):
-            k = self.number[u] = len(self.number)
-            self.chars += len(u)
-            want = b" " + u.encode("utf-8", "surrogatepass")
-            if b"".join(map(a_name, a)) == want == b"".join(map(b_name, b)):
-                fine.append(True)
-            else:
-                fine.append(False)
-                self.bad.add(k)
-        n_a = np.array([len(x) if f else 0 for x, f in zip(a_ids, fine)])
-        n_b = np.array([len(x) if f else 0 for x, f in zip(b_ids, fine)])
-        got = dict.fromkeys(COUNTS, np.zeros(len(new), np.int64)) | {"n_a": n_a, "n_b": n_b}
-        links, groups = [np.zeros(0, np.int64)] * len(new), [""] * len(new)
-        if any(fine):
-            at = np.flatnonzero(fine)
-            a, b = (np.array([i for x, f in zip(ids, fine) if f for i in x], np.int64) for ids in (a_ids, b_ids))
+        a, n_a, b, n_b = self._spelt(new)
+        first_number, total = len(self.number), len(self.number) + len(new)
+        self.number.update(zip(new, range(first_number, total)))
+        self.chars += sum(map(len, new))
+        at = np.flatnonzero(n_a)
+        self.bad.update((first_number + np.flatnonzero(n_a == 0)).tolist())
+        groups = [""] * len(new)
+        got = {c: np.zeros(len(new), np.int64) for c in self.counts} | {"n_a": n_a, "n_b": n_b}
+        keys = np.zeros(0, np.int64)
+        if len(at):
             ends_a, ends_b = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
             first = np.concatenate([[0], np.cumsum(n_a[at])])
             cut = shared_cuts(ends_a, ends_b, first)
-            n_groups = np.add.reduceat(cut.astype(np.int64), first[:-1])
+            got["n_groups"][at] = np.add.reduceat(cut.astype(np.int64), first[:-1])
             # links: each stretch between neighbouring ends lies in one token of either side
             ends = np.union1d(ends_a, ends_b)
             keys = (a[np.searchsorted(ends_a, ends)] << 32) | b[np.searchsorted(ends_b, ends)]
             stop = np.searchsorted(ends, ends_a[first[1:] - 1]) + 1
-            start = np.concatenate([[0], stop[:-1]])
-            for k, x, y in zip(at.tolist(), start.tolist(), stop.tolist()):
-                links[k] = keys[x:y]
+            got["n_links"][at] = np.diff(stop, prepend=0)
             # group texts: A ids, B ids of group after group
             cuts = ends_a[cut]
             where = np.concatenate([2 * np.searchsorted(cuts, ends_a), 2 * np.searchsorted(cuts, ends_b) + 1])
@@ -205,46 +247,74 @@ class Units:
             stops = np.cumsum(n_a[at] + n_b[at]).tolist()
             for k, x, y in zip(at.tolist(), [0, *stops], stops):
                 groups[k] = "".join(names[x:y])
-            for c, values in {"n_groups": n_groups, "n_links": stop - start, **self._looked_up(keys, start)}.items():
-                got[c] = np.zeros(len(new), np.int64)
-                got[c][at] = values
-        self.links += links
         self.groups += groups
-        for c in COUNTS:
-            self.counts[c] += got[c].tolist()
-
-    def _looked_up(self, keys, start) -> dict:
+        for c in self.counts:
+            self.counts[c] = _grown(self.counts[c], total)
+            self.counts[c][first_number:total] = got[c]
+        self.seen, self.start = _grown(self.seen, total), _grown(self.start, total)
+        self.start[first_number:total] = self.n_links + np.cumsum(got["n_links"]) - got["n_links"]
+        self.links = _grown(self.links, self.n_links + len(keys))
+        self.links[self.n_links : self.n_links + len(keys)] = keys
+        self.n_links += len(keys)
+
+    def of(self, texts: list[str | None]) -> Iterator[tuple]:
+        """Slice after slice of the texts: the numbers of their units, end to end,
+        and how many each text has (none: a text without tokens).  Units are
+        forgotten only between slices."""
         import numpy as np
 
-        if self.table is None:
-            return {}
-        pairs, n, best = self.table
-        k = np.searchsorted(pairs, keys)
-        return {"n_best": np.add.reduceat(best[k].astype(np.int64), start), "count_sum": np.add.reduceat(n[k], start)}
-
-    def of(self, texts: list[str | None]) -> Iterator[list[list[int]]]:
-        """Numbers of the units of each text, slice after slice of the texts (an
-        empty list for a text without tokens).  The cache is emptied only
-        between slices."""
         at = 0
         while at < len(texts):
             stop, chars = at, 0
             while stop < len(texts) and chars < 1_000_000:
                 chars += len(texts[stop] or "")
                 stop += 1
-            parts = [UNITS(t) if t else [] for t in texts[at:stop]]
+            parts = [units_of(t) if t else [] for t in texts[at:stop]]
             self.add(u for p in parts for u in p)
-            out = [list(map(self.number.__getitem__, p)) for p in parts]
-            if self.bad:
+            size = np.array([len(p) for p in parts], np.int64)
+            numbers = np.fromiter((self.number[u] for p in parts for u in p), np.int64, size.sum())
+            if self.bad and not self.bad.isdisjoint(numbers.tolist()):
+                out = np.split(numbers, np.cumsum(size)[:-1])
                 for k, ids in enumerate(out):
-                    if not self.bad.isdisjoint(ids):  # decided on the text as a whole
+                    if not self.bad.isdisjoint(ids.tolist()):  # decided on the text as a whole
                         self.add([texts[at + k]])
                         whole = self.number[texts[at + k]]
-                        out[k] = [] if whole in self.bad else [whole]
-            yield out
+                        out[k] = np.array([] if whole in self.bad else [whole], np.int64)
+                numbers, size = np.concatenate(out), np.array([len(x) for x in out], np.int64)
+            np.add.at(self.seen, numbers, 1)
+            yield numbers, size
+            if self.full():
+                self.shrink()
             at = stop
 
 
+def _gather(values, start, n):
+    """Stretches of ``values``, end to end."""
+    import numpy as np
+
+    shift = start - (np.cumsum(n) - n)
+    return values[np.arange(int(n.sum())) + np.repeat(shift, n)]
+
+
+_ODD = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
+
+
+def units_of(text: str) -> list[str]:
+    """The units of a text; quick where its only white space is plain."""
+    if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _ODD.search(text):
+        return UNITS(text)
+    return text.split(" ")
+
+
+_UNITS: dict[tuple, Units] = {}  # of this Python worker
+
+
+def units(paths: tuple[str, str]) -> Units:
+    if paths not in _UNITS:
+        _UNITS[paths] = Units(Spelling(*paths))
+    return _UNITS[paths]
+
+
 def pair_counts(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
     """key (A id << 32 | B id), n (links of the corpus), best (no pair of its B
     id has more)."""
@@ -254,28 +324,29 @@ def pair_counts(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        units = Units(spelling(paths))
-        seen: list[int] = []
+        held, keys, times = 0, [], []
 
         def flush():
-            n = np.bincount(np.array(seen, np.int64), minlength=len(units.links))
-            used = np.flatnonzero(n)
-            keys = np.concatenate([units.links[k] for k in used.tolist()] or [np.zeros(0, np.int64)])
-            keys, which = np.unique(keys, return_inverse=True)
-            weight = np.repeat(n[used], [len(units.links[k]) for k in used.tolist()])
-            total = np.bincount(which, weights=weight, minlength=len(keys)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], ["key", "n"])
+            k, which = np.unique(np.concatenate(keys), return_inverse=True)
+            total = np.bincount(which, weights=np.concatenate(times), minlength=len(k)).astype(np.int64)
+            return k, total
 
+        known = units(paths)
         for b in batches:
-            for found in units.of(b.column(0).to_pylist()):
-                seen.extend(k for ids in found for k in ids)
-                if units.full() or len(seen) > 5_000_000:
-                    yield flush()
-                    seen.clear()
-                    if units.full():
-                        units.clear()
-        if seen:
-            yield flush()
+            for numbers, _ in known.of(b.column(0).to_pylist()):
+                used, n = np.unique(numbers, return_counts=True)
+                links = known.counts["n_links"][used]
+                keys.append(_gather(known.links, known.start[used], links))
+                times.append(np.repeat(n, links))
+                held += len(keys[-1])
+                if held > 2_000_000:  # one row a pair, so far
+                    k, total = flush()
+                    keys, times, held = [k], [total], 0
+                    if len(k) > 1_000_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(total)], ["key", "n"])
+                        keys, times = [], []
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in flush()], ["key", "n"])
 
     counted = pick(docs, "text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     # at most one row for each A id in a window
@@ -302,21 +373,34 @@ def align(docs: DataFrame, a_path: str, b_path: str, most_pairs: int = 2_000_000
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        units = Units(spelling(paths), shared.value if known else None)
+        cache = units(paths)
         for b in batches:
             at, ids = 0, b.column(0)
-            for found in units.of(b.column(1).to_pylist()):
-                text = pa.array(["".join([units.groups[k] for k in x])[:-1] for x in found], pa.string())
-                sums = [pa.array([sum([units.counts[c][k] for k in x]) for x in found], pa.int64()) for c in COUNTS]
-                out, names = [ids.slice(at, len(found)), text, *sums], columns
+            for numbers, size in cache.of(b.column(1).to_pylist()):
+                start = np.cumsum(size) - size
+                total = lambda v: np.add.reduceat(np.append(v, 0), start) * (size > 0)  # noqa: E731, B023
+                sums = {c: total(v[numbers]) for c, v in cache.counts.items()}
+                used, which = np.unique(numbers, return_inverse=True)
+                n = cache.counts["n_links"][used]
+                keys = _gather(cache.links, cache.start[used], n)
+                found = dict.fromkeys(("n_best", "count_sum"), np.zeros(len(size), np.int64))
+                if known and len(used):
+                    pair, count, best = shared.value
+                    k = np.searchsorted(pair, keys)
+                    by_unit = np.cumsum(n) - n
+                    found = {"n_best": total(np.add.reduceat(best[k].astype(np.int64), by_unit)[which]),
+                             "count_sum": total(np.add.reduceat(count[k], by_unit)[which])}
+                texts = list(map(cache.groups.__getitem__, numbers.tolist()))
+                texts = ["".join(texts[x : x + n])[:-1] for x, n in zip(start.tolist(), size.tolist())]
+                out = [ids.slice(at, len(size)), pa.array(texts, pa.string()), *[pa.array((sums | found)[c]) for c in COUNTS]]
+                names = columns
                 if not known:
-                    keys = [np.unique(np.concatenate([units.links[k] for k in x]), return_counts=True) if x else ((), ()) for x in found]
-                    out += [pa.array([list(v[j]) for v in keys], pa.list_(pa.int64())) for j in (0, 1)]
+                    each = [np.unique(_gather(cache.links, cache.start[x], cache.counts["n_links"][x]), return_counts=True)
+                            for x in np.split(numbers, start[1:])]
+                    out += [pa.array([list(v[j]) for v in each], pa.list_(pa.int64())) for j in (0, 1)]
                     names = [*columns, "keys", "times"]
                 yield pa.RecordBatch.from_arrays(out, names)
-                at += len(found)
-                if units.full():
-                    units.clear()
+                at += len(size)
 
     schema = f"doc_id {d.schema['doc_id'].dataType.simpleString()}, groups string" + "".join(f", {c} long" for c in COUNTS)
     if known:

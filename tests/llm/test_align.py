@@ -21,7 +21,13 @@ HARD = [
 
 @pytest.fixture(scope="module")
 def spell():
-    return align.Spelling(*PATHS)
+    """The vocabularies, with both files' own libraries as encoders."""
+    from tokenizers import Tokenizer
+
+    s, own = align.Spelling(*PATHS), Tokenizer.from_file(PATHS[0])
+    own.encode_special_tokens = True
+    s.encode = lambda texts: ([own.encode(" " + t, add_special_tokens=False).ids for t in texts], [s.b.encode(t) for t in texts])
+    return s
 
 
 def brute(spell, rows):
@@ -97,7 +103,8 @@ def test_units_add_up_to_whole_texts(spell, texts):
     """Cutting at single spaces changes no token."""
     for _, text in [*texts, *HARD]:
         if text:
-            parts = align.UNITS(text)
+            parts = align.units_of(text)
+            assert parts == align.UNITS(text)
             whole, cut = spell.encode([text]), spell.encode(parts)
             assert [sum(x, []) for x in cut] == [x[0] for x in whole]
 
@@ -106,3 +113,17 @@ def test_empty_table(spark, empty):
     assert align.align(empty, *PATHS).count() == 0
     none = align.align(spark.createDataFrame([(1, None), (2, "")], SCHEMA), *PATHS).collect()
     assert [tuple(r)[1:] for r in none] == [("", 0, 0, 0, 0, 0, 0)] * 2
+
+
+def test_units_forgotten_and_learnt_again(spell, texts):
+    few, many = align.Units(align.Spelling(*PATHS), most=50, most_chars=400), align.Units(align.Spelling(*PATHS))
+    rows = [t for _, t in [*texts[:40], *HARD, *texts[:40]]]
+
+    def results(units):
+        for k in range(0, len(rows), 7):
+            for numbers, size in units.of(rows[k:k + 7]):
+                for ids in np.split(numbers, np.cumsum(size)[:-1]):
+                    links = [units.links[units.start[i]:units.start[i] + units.counts["n_links"][i]].tolist() for i in ids]
+                    yield "".join(units.groups[i] for i in ids), sum(links, []), [int(v[ids].sum()) for v in units.counts.values()]
+
+    assert list(results(few)) == list(results(many)) and len(few.number) < len(many.number) / 5
