@@ -90,15 +90,14 @@ FROM (SELECT user_id, event_type, CAST(row_number() OVER (PARTITION BY user_id O
              CAST(count(*) OVER (PARTITION BY user_id) AS BIGINT) AS n FROM {events}) c
 """)
 
+# every line of the text is a lyric line, and every word of it is stamped
 _view("v_lyrics", ("documents",), """
 SELECT doc_id AS song_id,
-       CASE WHEN doc_id % 4 = 0 THEN '' ELSE
-       '[00:' || lpad(CAST(doc_id % 60 AS STRING), 2, '0') || '.260]' || split_part(text, ' ', 1) ||
-       '[00:' || lpad(CAST(doc_id % 60 AS STRING), 2, '0') || '.94]' || split_part(text, ' ', 2) || chr(10) ||
-       '[01:' || lpad(CAST(doc_id % 60 AS STRING), 2, '0') || '.150]' END AS yrc,
+       CASE WHEN doc_id % 4 = 0 THEN '' ELSE '[00:' || ss || '.260]' ||
+       replace(replace(text, chr(10), chr(10) || '[01:' || ss || '.150]'), ' ', '[00:' || ss || '.94]') END AS yrc,
        '[ti: ' || source || ']' || chr(10) || '[ar: ' || lang || ']' || chr(10) ||
-       CASE WHEN doc_id % 8 = 0 THEN 'plain' ELSE '[00:01.00]line' END AS lrc
-FROM {documents}
+       CASE WHEN doc_id % 8 = 0 THEN 'plain' ELSE '[00:01.00]' || replace(text, chr(10), chr(10) || '[00:02.00]') END AS lrc
+FROM (SELECT *, lpad(CAST(doc_id % 60 AS STRING), 2, '0') AS ss FROM {documents}) d
 """)
 
 _view("v_catalog", ("supplier",), """

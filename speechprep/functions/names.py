@@ -8,10 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import collapse_ws, rstrip, strip
+from .text import collapse_ws, let, rstrip, strip
 
 # Characters illegal in file names on common filesystems.
 ILLEGAL_CHARS = r'[\\/*?:"<>|]'
+
+
 def splitext(c: Column) -> tuple[Column, Column]:
     """``os.path.splitext`` of a file name: the suffix from the last dot,
     provided some non-dot character precedes that dot.  Built from
@@ -37,10 +39,14 @@ def clean_replace(c: Column) -> Column:
 def clean_capped(c: Column, max_len: int = 50) -> Column:
     """Illegal removed, whitespace collapsed, capped at ``max_len`` keeping the
     extension, then stripped."""
-    s = collapse_ws(F.regexp_replace(c, ILLEGAL_CHARS, ""))
-    root, ext = _splitext(s)
-    capped = F.concat(_left(root, F.lit(max_len) - F.length(ext)), ext)
-    return strip(F.when(F.length(s) > max_len, capped).otherwise(s))
+
+    def capped(s: Column) -> Column:
+        root, ext = _splitext(s)
+        return let(F.struct(root.alias("root"), ext.alias("ext")), lambda x: F.concat(
+            _left(x["root"], F.lit(max_len) - F.length(x["ext"])), x["ext"]))
+
+    cleaned = collapse_ws(F.regexp_replace(c, ILLEGAL_CHARS, ""))
+    return strip(let(cleaned, lambda s: F.when(F.length(s) > max_len, capped(s)).otherwise(s)))
 
 
 def _left(c: Column, n: Column) -> Column:
@@ -110,7 +116,6 @@ def cap_title(c: Column, max_len: int = 100) -> Column:
     return c.substr(1, max_len)
 
 
-# Alias → ISO 639-1 (same table as operators.joins.LANG_ALIASES).
 def normalize_language(c: Column, unknown: str = "unknown") -> Column:
     """NULL/'' → ``unknown``; else lower(strip), main subtag before - _ or .,
     alias mapped to ISO 639-1 (F5).  The alias map is a literal map

@@ -28,8 +28,20 @@ def rstrip(c: Column) -> Column:
     return F.rtrim(c, F.lit(PY_WHITESPACE))
 
 
+#: Runs that are not a single blank already; single blanks need no replacing.
+_RUNS = f"{WS_CLASS_JAVA[:-1]}&&[^ ]]{WS_CLASS_JAVA}*+| {WS_CLASS_JAVA}++"
+
+
 def collapse_ws(c: Column) -> Column:
-    return F.regexp_replace(c, WS_CLASS_JAVA + "+", " ")
+    """Every run of white space becomes one blank."""
+    return F.regexp_replace(c, _RUNS, " ")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once a row: a column that an
+    expression names several times is computed for each of them, one bound
+    through a one-element array is not."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
 def label_text(c: Column) -> Column:

@@ -221,11 +221,13 @@ def extract_embedded_json(t: Tables):
 
 
 # ------------------------------------------------------------------- G4
+# even pages: a master list whose variants are the page's links; odd ones: a
+# media list with one segment for each word of the page
 _PLAYLIST_SQL = f"""CASE WHEN page_id % 2 = 0 THEN
-  '#EXTM3U' || chr(10) || '#EXT-X-STREAM-INF:BANDWIDTH=800000' || chr(10) || 'low/index.m3u8' || chr(10) ||
-  '#EXT-X-STREAM-INF:BANDWIDTH=1600000' || chr(10) || 'high/index.m3u8'
+  '#EXTM3U' || chr(10) || array_to_string(list_transform(regexp_extract_all(html, 'href="([^"]*)"', 1),
+    lambda l: '#EXT-X-STREAM-INF:BANDWIDTH=800000' || chr(10) || l || '/index.m3u8'), chr(10))
 ELSE '#EXTM3U' || chr(10) || '#EXTINF:10,' || chr(10) ||
-  {collapse_sql(_strip("regexp_extract(html, '<title>([^<]*)</title>', 1)"), "'.ts' || chr(10) || '#EXTINF:10,' || chr(10)")}
+  {collapse_sql(_strip("regexp_replace(html, '<[^>]*>', ' ', 'g')"), "'.ts' || chr(10) || '#EXTINF:10,' || chr(10)")}
   || '.ts' || chr(10) || '#EXT-X-ENDLIST' END"""
 
 
@@ -253,10 +255,11 @@ FROM u WHERE strpos(pl, '#EXT-X-STREAM-INF') > 0 AND len(uris) > 0
 def explode_playlist(t: Tables):
     from ..functions.text import WS_CLASS_JAVA, strip
 
-    title = strip(F.regexp_extract(F.col("html"), pages.TITLE_RE, 1))
-    media = F.concat(F.lit("#EXTM3U\n#EXTINF:10,\n"), F.regexp_replace(title, WS_CLASS_JAVA + "+", ".ts\n#EXTINF:10,\n"),
+    words = strip(F.regexp_replace("html", "<[^>]*>", " "))
+    media = F.concat(F.lit("#EXTM3U\n#EXTINF:10,\n"), F.regexp_replace(words, WS_CLASS_JAVA + "+", ".ts\n#EXTINF:10,\n"),
                      F.lit(".ts\n#EXT-X-ENDLIST"))
-    master = F.lit("#EXTM3U\n#EXT-X-STREAM-INF:BANDWIDTH=800000\nlow/index.m3u8\n"
-                   "#EXT-X-STREAM-INF:BANDWIDTH=1600000\nhigh/index.m3u8")
+    links = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+    master = F.concat(F.lit("#EXTM3U\n"), F.array_join(F.transform(links, lambda x: F.concat(
+        F.lit("#EXT-X-STREAM-INF:BANDWIDTH=800000\n"), x, F.lit("/index.m3u8"))), "\n"))
     df = t.pages.select("page_id", "url", F.when(F.col("page_id") % 2 == 0, master).otherwise(media).alias("pl"))
     return pages.explode_playlist(df, "pl", "url")

@@ -371,7 +371,7 @@ def filter_lyrics(t: Tables):
 
 # ------------------------------------------------------------------ E15
 @query("dedupe_names", ["v_names"], f"""
-WITH n0 AS (SELECT doc_id, album, split_part({_strip("title")}, ' ', 1) || '.mp3' AS name FROM v_names),
+WITH n0 AS (SELECT doc_id, album, {_strip("title")} || '.mp3' AS name FROM v_names),
 f AS (SELECT *, row_number() OVER (PARTITION BY album, name ORDER BY doc_id) AS rn, {_root("name")} AS root, {_ext("name")} AS ext FROM n0),
 t AS (SELECT album, regexp_replace(root, '_[0-9]+$', '') AS root, ext, list(CAST(regexp_extract(root, '_([0-9]+)$', 1) AS BIGINT)) AS used
       FROM f WHERE rn = 1 AND regexp_matches(root, '_(0[1-9]|[1-9][0-9]+)$') GROUP BY ALL),
@@ -383,5 +383,5 @@ FROM j
 """)
 def dedupe_names(t: Tables):
     df = t.v_names.select("doc_id", "album",
-                          F.concat(F.split(strip(F.col("title")), " ").getItem(0), F.lit(".mp3")).alias("name"))
+                          F.concat(strip(F.col("title")), F.lit(".mp3")).alias("name"))
     return batching.dedupe_names(df, "album", "name", "doc_id").select("doc_id", "album", "unique_name")
