@@ -5,23 +5,27 @@ sets are one *class*; only classes are joined, so copies cost nothing.
 
 Candidates: in one global order of shingles (those frequent in a sample last)
 two sets of the wanted similarity must share ``k`` shingles (4 or a twentieth, or
-all that a small set needs) within their first ``n - ceil(t n) + k``.  Classes that share
-such a shingle form a group; a class that shares fewer than ``k`` in all links
-to nothing and leaves.
+all that a small set needs) within their first ``n - ceil(t n) + k``.  Every text
+is shingled once, and this prefix crosses one exchange.  Classes that share such
+a shingle form a group; a class that shares fewer than ``k`` in all links to
+nothing and leaves.  Chains of groups (cut where sizes jump too far) are
+*neighbourhoods*: no link leaves one.
 
 Count vectors: shingles are hashed into coordinates; a class is the point of
 its counts.  The sum of coordinate minima of two points bounds their overlap
 from above, and so does the sum of minima of a point and the upper corner of a
 box of points.
 
-The join runs twice over the groups.  The first time only neighbours (by set
-size) in a group are compared; what is linked becomes components.  The second
-time, groups that still hold several components are bulk-loaded into R-trees
-and joined against themselves, box against box and then point against point,
-skipping pairs of one component; pairs that pass the bound are verified on the
-full shingle sets.  So no link between different components is missed, and a
-large group of near copies is never expanded into its pairs.  Groups of more
-than ``block`` classes are cut into blocks and joined block against block.
+The join is two rounds of jobs.  First the points of a neighbourhood go to one
+task (cut into blocks, and block against block, if there are many), are
+bulk-loaded into R-trees and joined, box against box and then point against
+point; only a spanning forest of the pairs that pass the bound leaves the task.
+Its components are small, and almost all of their classes are near copies.
+Then the full sets of such a component go to one task in the same way, where the
+R-tree join is run again and every pair that passes and is not connected yet is
+verified at once; again only a spanning forest, now of links, leaves the task.
+So no exchange carries pairs.  A neighbourhood of more than ``wide`` blocks is
+split by shingle instead: each group of it is a job of its own.
 
 Defined cases: null or empty text has an empty set, links to nothing and is
 its own component; null doc_ids belong to components but never name one unless
@@ -31,14 +35,13 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import boxed, hot_keys, lookup, pick, shared_dir, table, unboxed, written
+from .common import boxed, discard, hot_keys, lookup, pick, table, unboxed, written
 from .graph import components
 
 WIDTH, NEED = 5, 80  # words in a shingle; per cent of the union that must be shared
@@ -185,23 +188,44 @@ def _class(s) -> int:
     return xxhash.xxh64_intdigest(s.tobytes(), seed=len(s)) - (1 << 63)
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, mix (hash of the text), n, c (class; null for an empty set)."""
+def sets_of(docs: DataFrame, order: dict | None = None, most: int = 1 << 19) -> DataFrame:
+    """doc_id, mix (hash of the text), n, c (class; null for an empty set) and,
+    once for each class of a task (else null), prefix (the first shingles in the
+    global order) and v (the count vector)."""
+    import numpy as np
+
+    order = order or {}
+    frequent_ = np.array(sorted(order), dtype=np.int64)
+    counts = np.array([order[x] for x in sorted(order)], dtype=np.int64)
 
     def run(batches) -> Iterator:
         import pyarrow as pa
 
+        seen: set[int] = set()
         for b in batches:
-            n, c = [], []
+            if len(seen) > most:
+                seen.clear()
+            size, name, prefix, points = [], [], [], []
             for t in b.column(1):
                 s = shingles(t.as_py())
-                n.append(len(s))
-                c.append(_class(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(c, pa.int64())],
-                                             ["doc_id", "mix", "n", "c"])
+                n, c, first, point = len(s), None, None, None
+                if n and (c := _class(s)) not in seen:
+                    seen.add(c)
+                    point = vector(s).tobytes()
+                    if len(frequent_):
+                        k = np.minimum(np.searchsorted(frequent_, s), len(frequent_) - 1)
+                        s = s[np.lexsort((s, np.where(frequent_[k] == s, counts[k], 0)))]
+                    first = s[: prefix_length(n)]
+                size.append(n)
+                name.append(c)
+                prefix.append(first)
+                points.append(point)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(size, pa.int64()), pa.array(name, pa.int64()),
+                                              pa.array(prefix, pa.list_(pa.int64())), pa.array(points, pa.binary())],
+                                             ["doc_id", "mix", "n", "c", "prefix", "v"])
 
     d = _docs(docs)
-    return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, mix long, n long, c long")
+    return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, mix long, n long, c long, prefix array<long>, v binary")
 
 
 def frequent(docs: DataFrame, rows: int, sample_rows: int = 20_000, least: int = 3, most: int = 200_000) -> dict:
@@ -224,51 +248,30 @@ def frequent(docs: DataFrame, rows: int, sample_rows: int = 20_000, least: int =
     return {r[0]: r[1] for r in found}
 
 
-def groups_of(docs: DataFrame, order: dict, rows: int) -> DataFrame:
-    """(token, salt, c, n) of classes that share a prefix shingle, without
-    groups of one class.  Tokens that the sample shows in more than 1/256 of
-    the texts are salted by class."""
-    import numpy as np
-
-    spark = docs.sparkSession
-    frequent_ = np.array(sorted(order), dtype=np.int64)
-    counts = np.array([order[x] for x in sorted(order)], dtype=np.int64)
+def groups_of(sets: DataFrame, order: dict, rows: int) -> DataFrame:
+    """(token, salt, c, n, before, n_before) of classes that share a prefix
+    shingle with enough others; ``before`` is the next smaller class of the
+    group.  Tokens that the sample shows in more than 1/256 of the texts are
+    salted by class."""
+    spark = sets.sparkSession
     hot = [k for k, v in order.items() if v * 256 >= min(rows, 20_000)]
-
-    def run(batches) -> Iterator:
-        import pyarrow as pa
-
-        seen: set[int] = set()  # copies inside the partition
-        for b in batches:
-            token, cls, size = [np.zeros(0, np.int64)], [], []
-            for t in b.column(1):
-                s = shingles(t.as_py())
-                n = len(s)
-                if not n or (c := _class(s)) in seen:
-                    continue
-                seen.add(c)
-                if len(frequent_):
-                    k = np.minimum(np.searchsorted(frequent_, s), len(frequent_) - 1)
-                    s = s[np.lexsort((s, np.where(frequent_[k] == s, counts[k], 0)))]
-                p = prefix_length(n)
-                token.append(s[:p])
-                cls.append((c, p))
-                size.append((n, p))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(token)),
-                pa.array(np.repeat([c for c, _ in cls], [p for _, p in cls]).astype(np.int64)),
-                pa.array(np.repeat([n for n, _ in size], [p for _, p in size]).astype(np.int32)),
-            ], ["token", "c", "n"])
-
-    tokens = _docs(docs).mapInArrow(run, "token long, c long, n int")
     is_hot = F.col("token").isin(hot) if hot else F.lit(False)
     salts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tokens = sets.where("prefix IS NOT NULL").select(F.explode("prefix").alias("token"), "c", F.col("n").cast("int").alias("n"))
     dealt = tokens.withColumn("salt", F.when(is_hot, F.pmod("c", F.lit(salts))).otherwise(-1).cast("int"))
-    placed = dealt.repartition(F.col("token"), F.col("salt")).sortWithinPartitions("token", "salt", "n", "c")
-    shared = written(placed.mapInArrow(_shared, "token long, salt int, c long, n int, before long, n_before int"), "jaccard-shared")
-    least = F.expr(f"least(greatest(4, n div 20), ({NEED} * n + 99) div 100)")  # shared_least
-    enough = shared.groupBy("c").agg(F.count("*").alias("k"), F.first("n").alias("n")).where(F.col("k") >= least).select("c")
-    return written(shared.join(enough, "c", "left_semi"), "jaccard-groups")
+    kind = "token long, salt int, c long, n int, before long, n_before int"
+
+    def grouped(d: DataFrame, name: str) -> DataFrame:
+        placed = d.select("token", "c", "n", "salt").repartition(F.col("token"), F.col("salt"))
+        return written(placed.sortWithinPartitions("token", "salt", "n", "c").mapInArrow(_shared, kind), name)
+
+    first = grouped(dealt, "jaccard-shared")
+    # shared_least of the smallest set that a class can link to
+    least = F.expr(f"least(greatest(4, (({NEED} * n + 99) div 100) div 20), ({NEED} * (({NEED} * n + 99) div 100) + 99) div 100)")
+    enough = first.groupBy("c").agg(F.count("*").alias("k"), F.first("n").alias("n")).where(F.col("k") >= least).select("c")
+    out = grouped(first.join(enough, "c", "left_semi"), "jaccard-groups")
+    discard(first)
+    return out
 
 
 def _shared(batches) -> Iterator:
@@ -321,177 +324,260 @@ def _once(batches, most: int = 1 << 19) -> Iterator:
             yield b.take(pa.array(at, pa.int64()))
 
 
+def _bits(values: DataFrame, column: str, most: int = 1 << 28):
+    """A bitmap that has every value's bit (16 bits a value, 32 MB at most), to
+    be broadcast: rows without their bit need not be moved."""
+    import numpy as np
+
+    size = min(most, max(1 << 16, 1 << (16 * max(1, values.count()) - 1).bit_length()))
+    at = F.pmod(F.col(column), F.lit(size))
+    words = values.select(F.floor(at / 64).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int")).alias("b"))
+    got = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+    out = np.zeros(size // 64, np.int64)
+    out[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64)
+    return values.sparkSession.sparkContext.broadcast(out)
+
+
 def contents(docs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Shingle sets and vectors of the given classes: c, n, s, v.  One text of
-    each class is found again by its hash and shingled again."""
+    """Shingle sets of the given classes: c, n, s and further columns of
+    ``classes`` (one row a class).  One text of each class is found again by its
+    hash and shingled again; other texts don't leave their task."""
+    extra = [c for c in classes.columns if c != "c"]
+    named = sets.where("c IS NOT NULL").groupBy("c").agg(F.min("mix").alias("mix"))
+    one = written(named.join(classes, "c"), "jaccard-texts")
+    bits = _bits(one, "mix")
+
+    def wanted(batches) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        have = bits.value
+
+        def some():
+            for b in batches:
+                at = np.mod(b.column(0).to_numpy(), len(have) * 64)
+                yield b.filter(pa.array(have[at >> 6] >> (at & 63) & 1 == 1))
+
+        yield from _once(some())
 
     def run(batches) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         for b in batches:
-            got = [s for t in b.column(1) if len(s := shingles(t.as_py()))]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([_class(s) for s in got], pa.int64()), pa.array([len(s) for s in got], pa.int32()),
-                pa.array(got, pa.list_(pa.int64())), pa.array([vector(s).astype(np.uint16).tobytes() for s in got], pa.binary()),
-            ], ["c", "n", "s", "v"])
-
-    one = sets.join(classes, "c", "left_semi").groupBy("c").agg(F.min("mix").alias("mix")).select("mix").distinct()
-    texts = _docs(docs).select("mix", "text").mapInArrow(_once, "mix long, text string")
-    found = texts.join(one, "mix", "left_semi")
-    shingled = found.mapInArrow(run, "c long, n int, s array<long>, v binary")
-    # bucketed by class, so that the joins below move pairs and not sets
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    one_each = shingled.repartition(n, "c").dropDuplicates(["c"])
-    name = f"jaccard_sets_{uuid.uuid4().hex}"
-    one_each.write.bucketBy(n, "c").sortBy("c").option("path", shared_dir(spark, "jaccard-sets")).saveAsTable(name)
-    return spark.table(name)
-
-
-def _bounded(batches) -> Iterator:
-    """Pairs (a, b, va, vb) whose summed coordinate minima allow a link."""
-    import numpy as np
-    import pyarrow as pa
+            got = [shingles(t.as_py()) for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(1), pa.array([len(s) for s in got], pa.int32()), pa.array(got, pa.list_(pa.int64())),
+                 *[b.column(2 + k) for k in range(len(extra))]], ["c", "n", "s", *extra])
 
-    for b in batches:
-        keep = []
-        for x, y, n, m in zip(b.column("va"), b.column("vb"), b.column("na").to_pylist(), b.column("nb").to_pylist()):
-            p, q = np.frombuffer(x.as_py(), np.uint16).astype(np.int64), np.frombuffer(y.as_py(), np.uint16).astype(np.int64)
-            d = min(len(p), len(q))
-            keep.append((100 + NEED) * int(np.minimum(fold(p, d), fold(q, d)).sum()) >= NEED * (n + m))
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def verified(pairs: DataFrame, sets: DataFrame, bound: bool) -> DataFrame:
-    """The pairs (a, b) of classes that are linked, as edges (u, v)."""
-    side = lambda x, *cols: sets.select(F.col("c").alias(x), *[F.col(c).alias(c + x) for c in cols])
-    if bound:
-        with_v = pairs.join(side("a", "v", "n"), "a").join(side("b", "v", "n"), "b")
-        pairs = with_v.mapInArrow(_bounded, "a long, b long")
-    full = pairs.join(side("a", "s"), "a").join(side("b", "s"), "b")
-    both = F.size(F.array_intersect("sa", "sb"))
-    return full.where((100 + NEED) * both >= NEED * (F.size("sa") + F.size("sb"))).select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-
-
-def _tree_pairs(batches) -> Iterator:
-    """Rows sorted by (token, i, j): candidate pairs of different components
-    in each group, by R-trees of its classes.  One group (at most two blocks)
-    is in memory at a time."""
-    import numpy as np
-    import pyarrow as pa
+    texts = _docs(docs).select("mix", "text").mapInArrow(wanted, "mix long, text string").dropDuplicates(["mix"])
+    found = texts.join(one, "mix").select("text", "c", *extra)
+    schema = "c long, n int, s array<long>" + "".join(f", {c} {classes.schema[c].dataType.simpleString()}" for c in extra)
+    return found.mapInArrow(run, schema)
+
+
+class Points:
+    """The classes of one job, connected as far as is known, and the R-tree join
+    of their count vectors."""
+
+    def __init__(self, names, sizes, vectors, side, cross: bool):
+        import numpy as np
+
+        self.names, self.size, self.vectors, self.side, self.cross = names, np.array(sizes, np.int64), vectors, side, cross
+        self.label = np.arange(len(names))  # component of each class
+
+    def candidates(self) -> Iterator:
+        """Pairs of index arrays that the count vectors allow."""
+        import numpy as np
 
-    def candidates(g):
-        names, at = np.unique(g["c"], return_index=True)
-        comp, side, size = g["comp"][at], g["side"][at], g["n"][at].astype(np.int64)
-        if (comp == comp[0]).all():
-            return
-        vecs = [np.frombuffer(g["v"][k], np.uint16) for k in at]
-        cross = g["i"][0] != g["j"][0]
         by: dict[int, list[int]] = {}
-        for k, v in enumerate(vecs):
+        for k, v in enumerate(self.vectors):
             by.setdefault(len(v), []).append(k)
 
         def tree(rows, d):
             rows = np.array(rows)
-            return rows, RTree(np.stack([fold(vecs[k].astype(np.int32), d) for k in rows]), size[rows], comp[rows])
+            return rows, RTree(np.stack([fold(self.vectors[k].astype(np.int32), d) for k in rows]), self.size[rows], rows)
 
         for d, rows in by.items():
-            sides = [[k for k in rows if side[k] == s] for s in (0, 1)] if cross else [rows]
-            near = by.get(2 * d, [])
-            near = [[k for k in near if side[k] == s] for s in (0, 1)] if cross else [near]
-            jobs = [(sides[0], sides[1])] + [(sides[0], near[1]), (sides[1], near[0])] if cross else [(rows, rows), (rows, near[0])]
-            for x, y in jobs:
+            split = lambda r: [[k for k in r if self.side[k] == x] for x in (0, 1)] if self.cross else [r, r]
+            (a, b), (near_a, near_b) = split(rows), split(by.get(2 * d, []))
+            for x, y in [(a, b), (a, near_b), (b, near_a)] if self.cross else [(rows, rows), (rows, near_a)]:
                 if len(x) and len(y):
                     rx, tx = tree(x, d)
                     ry, ty = (rx, tx) if x is y else tree(y, d)
                     for p, q in tx.join(ty):
-                        yield names[rx[p]], names[ry[q]]
-
-    def out(found):
-        a, b = np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    names = ["token", "i", "j", "side", "c", "n", "comp", "v"]
-    held: dict | None = None
-    found, size = [], 0
-    for b in [*batches, None] if isinstance(batches, list) else _then_none(batches):
-        if b is None:
-            pieces, rest = ([held] if held else []), None
+                        yield rx[p], ry[q]
+
+    def connect(self, i: int, j: int) -> tuple[int, int]:
+        self.label[self.label == self.label[j]] = self.label[i]
+        return int(self.names[i]), int(self.names[j])
+
+    def links(self) -> Iterator[tuple[int, int]]:
+        """A spanning forest of the pairs that the bound lets pass."""
+        for p, q in self.candidates():
+            while len(p):
+                open_ = self.label[p] != self.label[q]
+                p, q = p[open_], q[open_]
+                if len(p):
+                    yield self.connect(int(p[0]), int(q[0]))
+
+
+class Linker(Points):
+    """Points with their full sets: pairs that pass are verified."""
+
+    def __init__(self, names, sets, side, cross: bool):
+        import numpy as np
+
+        super().__init__(names, [len(x) for x in sets], [vector(x) for x in sets], side, cross)
+        self.stop = np.cumsum(self.size)
+        _, self.flat = np.unique(np.concatenate(sets), return_inverse=True)  # shingles by rank
+        self.mark = np.zeros(int(self.flat.max()) + 1 if len(self.flat) else 1, np.int32)
+
+    def of(self, k: int):
+        return self.flat[self.stop[k] - self.size[k] : self.stop[k]]
+
+    def links(self) -> Iterator[tuple[int, int]]:
+        """A spanning forest of the links: at most one a class less one."""
+        import numpy as np
+
+        for p, q in self.candidates():
+            order = np.argsort(p, kind="stable")
+            p, q = p[order], q[order]
+            for i, js in zip(p[np.flatnonzero(np.diff(p, prepend=-1))].tolist(), np.split(q, np.flatnonzero(np.diff(p)) + 1)):
+                js = js[self.label[js] != self.label[i]]
+                if not len(js):
+                    continue
+                self.mark[self.of(i)] = 1
+                n = self.size[js]
+                start = np.cumsum(n) - n
+                at = np.arange(n.sum()) + np.repeat(self.stop[js] - n - start, n)
+                both = np.add.reduceat(self.mark[self.flat[at]], start)
+                self.mark[self.of(i)] = 0
+                for j in js[(100 + NEED) * both >= NEED * (self.size[i] + n)].tolist():
+                    if self.label[i] != self.label[j]:
+                        yield self.connect(i, j)
+
+
+def _forests(batches) -> Iterator:
+    """Rows (kind, job, i, j, side, c, n, and s, the set, or v, the vector)
+    sorted by the first four: a spanning forest of each job's links, or of the
+    pairs that may be.  One job is in memory at a time."""
+    import numpy as np
+    import pyarrow as pa
+
+    key, rows = None, {}
+    out: list[tuple] = []
+
+    def close():
+        if len(rows) > 1:
+            names, (side, size, what) = list(rows), zip(*rows.values())
+            cross = key[2] != key[3]
+            job = Linker(names, what, side, cross) if sets else Points(names, size, [np.frombuffer(x, np.uint16) for x in what], side, cross)
+            out.extend(job.links())
+        rows.clear()
+
+    def ready():
+        got = pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["u", "v"])
+        out.clear()
+        return got
+
+    sets = False
+    for b in batches:
+        sets = b.schema.names[7] == "s"
+        keys = list(zip(*(b.column(k).to_pylist() for k in range(4))))
+        if sets:
+            flat, ends = b.column(7).values.to_numpy(), b.column(7).offsets.to_numpy()
+            what = [flat[x:y] for x, y in zip(ends, ends[1:])]
         else:
-            if not b.num_rows:
-                continue
-            g = {k: (np.array(b.column(k).to_pylist(), dtype=object) if k == "v" else b.column(k).to_numpy()) for k in names}
-            if held:
-                g = {k: np.concatenate([held[k], g[k]]) for k in names}
-            cut = np.flatnonzero((g["token"][1:] != g["token"][:-1]) | (g["i"][1:] != g["i"][:-1]) | (g["j"][1:] != g["j"][:-1])) + 1
-            bounds = [0, *cut.tolist(), len(g["token"])]
-            parts = [{k: v[x:y] for k, v in g.items()} for x, y in zip(bounds, bounds[1:])]
-            pieces, rest = parts[:-1], parts[-1]
-        for part in pieces:
-            for p, q in candidates(part):
-                found.append((p, q))
-                size += len(p)
-                if size > 100_000:
-                    yield out(found)
-                    found, size = [], 0
-        held = rest
-    if found:
-        yield out(found)
-
-
-def _then_none(it):
-    yield from it
-    yield None
-
-
-def links(docs: DataFrame, block: int = 20_000, per_task: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
+            what = b.column(7).to_pylist()
+        for now, side, c, n, x in zip(keys, *(b.column(k).to_pylist() for k in (4, 5, 6)), what):
+            if now != key:
+                close()
+                key = now
+            rows[c] = (side, n, x.copy() if sets else x)
+        if len(out) > 20_000:
+            yield ready()
+    close()
+    if out:
+        yield ready()
+
+
+def neighbourhoods(groups: DataFrame, per_task: int = 1 << 18) -> DataFrame:
+    """(c, n, home): classes that may link to others and the neighbourhood they
+    lie in.  A salted group is connected whole, since its sizes are spread over
+    its salts."""
+    chain = groups.where(F.col("before").isNotNull() & ((F.col("salt") >= 0) | (100 * F.col("n_before") >= NEED * F.col("n"))))
+    firsts = groups.where("salt >= 0").groupBy("token", "salt").agg(F.min("c").alias("first"))
+    hub = firsts.groupBy("token").agg(F.min("first").alias("hub"))
+    spokes = firsts.join(hub, "token").select(F.col("first").alias("u"), F.col("hub").alias("v"))
+    edges = chain.select(F.col("c").alias("u"), F.col("before").alias("v")).unionByName(spokes)
+    return _homes(groups.groupBy("c").agg(F.first("n").alias("n")), edges.where("u <> v").distinct(), per_task)
+
+
+def _homes(sizes: DataFrame, edges: DataFrame, per_task: int) -> DataFrame:
+    """(c, n, home) of the classes that ``edges`` connect."""
+    homes = components(edges, per_task).withColumnRenamed("node", "c").withColumnRenamed("component", "home")
+    return written(sizes.select("c", "n").join(homes, "c"), "jaccard-homes")
+
+
+def jobs_of(groups: DataFrame, members: DataFrame, block: int = 256, block_shingles: int = 1 << 20, spread: int = 16,
+            wide: int = 64) -> DataFrame:
+    """(c, jobs): where each class's set goes, as (kind, job, i, j, side).
+
+    A job has at most two blocks.  A block has ``block`` classes, or a
+    ``spread``-th of its neighbourhood if that is more, but no more than about
+    ``block_shingles`` shingles (or one set)."""
+
+    def blocks_of(rows: DataFrame, key: str) -> DataFrame:
+        sums = rows.groupBy(key).agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+        return sums.where("m > 1").select(key, "m", F.greatest(
+            F.least(F.lit(spread), F.ceil(F.col("m") / block)), F.ceil(F.col("total") / block_shingles)).cast("int").alias("blocks"))
+
+    def placed(rows: DataFrame, key: str, sums: DataFrame, kind: int) -> DataFrame:
+        hot = hot_keys(sums, key, "m", max(1, sums.agg(F.sum("m")).first()[0] or 0))
+        dealt = lookup(rows, sums.select(key, "blocks"), key, hot, F.col("c")).where("blocks IS NOT NULL")
+        dealt = dealt.withColumn("at", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        return dealt.select("c", F.struct(
+            F.lit(kind).alias("kind"), F.col(key).alias("job"), F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"),
+            F.when(F.col("at") <= F.col("other"), 0).otherwise(1).alias("side")).alias("x"))
+
+    sums = written(blocks_of(members, "home"), "jaccard-sizes")
+    out = placed(members, "home", sums.where(F.col("blocks") <= wide), 0)
+    giant = sums.where(F.col("blocks") > wide)
+    if giant.limit(1).count():
+        inside = members.join(giant.select("home"), "home", "left_semi").select("c")
+        rows = groups.select("token", "c", "n").distinct().join(inside, "c", "left_semi")
+        out = out.unionByName(placed(rows, "token", written(blocks_of(rows, "token"), "jaccard-sizes"), 1))
+    return out.groupBy("c").agg(F.collect_list("x").alias("jobs"))
+
+
+def links(docs: DataFrame, block: int = 256, per_task: int = 1 << 18, **sizes: int) -> tuple[DataFrame, DataFrame]:
     """(sets, components): the set table of all rows (doc_id, n, c) and the
     component of every class that is linked to another."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    sets = written(sets_of(docs), "jaccard-rows")
-    rows = sets.count()
-    groups = groups_of(docs, frequent(docs, rows), rows)
-    full = contents(docs, sets, groups.select("c").distinct())
-
-    # first: neighbours by size in each group
-    # (a class brings three such pairs at most; the second pass is the complete one)
-    near = groups.where(100 * F.col("n_before") >= NEED * F.col("n")).groupBy("c").agg(
-        F.min_by("before", "token").alias("p"), F.max_by("before", "token").alias("q"),
-        F.min_by("before", F.xxhash64("token")).alias("r"))
-    near = near.select("c", F.explode(F.array_distinct(F.array("p", "q", "r"))).alias("x")).select(
-        F.least("x", "c").alias("a"), F.greatest("x", "c").alias("b")).distinct()
-    first = components(verified(near, full, bound=True), per_task)
-
-    # then: what the components leave open
-    comp = first.select(F.col("node").alias("c"), "component")
-    member = groups.select("token", "c").join(comp, "c", "left").withColumn("component", F.coalesce("component", "c"))
-    member = written(member, "jaccard-members")
-    open_ = (
-        member.groupBy("token")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k"))
-        .where("lo <> hi").select("token", F.ceil(F.col("k") / block).cast("int").alias("blocks"))
-    )
-    hot = [r[0] for r in open_.where("blocks > 1").orderBy(F.desc("blocks")).limit(256).select("token").collect()]
-    todo = lookup(member, open_.withColumnRenamed("token", "t2").withColumn("token", F.col("t2")), "token", hot, F.col("c")).where(
-        F.col("t2").isNotNull()).drop("t2")
-    todo = todo.withColumn("at", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
-    todo = todo.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    todo = todo.select("token", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"),
-                       F.when(F.col("at") <= F.col("other"), 0).otherwise(1).alias("side"), "c", F.col("component").alias("comp"))
-    todo = todo.join(full.select("c", "n", "v"), "c").select("token", "i", "j", "side", "c", "n", "comp", "v")
-    sorted_ = todo.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    more = written(sorted_.mapInArrow(_tree_pairs, "a long, b long").distinct(), "jaccard-candidates")
-    late = verified(more, full, bound=False)
-    known = first.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
-    return sets, components(known.unionByName(late), per_task)
-
-
-def join(docs: DataFrame, block: int = 20_000, per_task: int = 1 << 18) -> DataFrame:
+    ship_package(docs.sparkSession)
+    rows = docs.count()
+    order = frequent(docs, rows)
+    sets = written(sets_of(docs, order), "jaccard-rows")
+    groups = groups_of(sets, order, rows)
+    members = neighbourhoods(groups, per_task)
+
+    def forest(rows: DataFrame, what: str) -> DataFrame:
+        """Rows (c, n, jobs, and the column ``what``) to a forest of their jobs."""
+        dealt = rows.select("c", "n", what, F.explode("jobs").alias("x")).select("x.kind", "x.job", "x.i", "x.j", "x.side", "c", "n", what)
+        placed = dealt.repartition("kind", "job", "i", "j").sortWithinPartitions("kind", "job", "i", "j")
+        return written(placed.mapInArrow(_forests, "u long, v long"), "jaccard-forest")
+
+    points = sets.where("v IS NOT NULL").select("c", F.col("n").cast("int").alias("n"), "v")
+    near = forest(points.join(jobs_of(groups, members, block, **sizes), "c"), "v")
+    close = _homes(members, near, per_task)
+    linked = forest(contents(docs, sets, jobs_of(groups, close, block, **sizes)), "s")
+    discard(groups, members, near, close)
+    return sets, components(linked, per_task)
+
+
+def join(docs: DataFrame, block: int = 256, per_task: int = 1 << 18, **sizes: int) -> DataFrame:
     """doc_id, n_shingles, component_id; one row per input row."""
-    sets, linked = links(docs, block, per_task)
+    sets, linked = links(docs, block, per_task, **sizes)
     named = sets.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("least"), F.count("*").alias("k"))
     named = written(named.join(linked.withColumnRenamed("node", "c"), "c", "left")
                     .withColumn("component", F.coalesce("component", "c")), "jaccard-classes")
