@@ -2,15 +2,18 @@
 
 A page is turned into blocks of text, its token stream.  A repeated substring
 is a run of ``least`` tokens or more that stands on distinct pages of a host;
-overlapping runs add up.  Repeats are found over the whole host, however many
-tasks its pages lie in: suffixes are sorted by their first ``least`` tokens,
-each named by a 64-bit hash of host and tokens.  Pages are dealt over small
-chunks by their content, a chunk sends each of its windows once with the
-number of its pages that hold it (so a window on all pages of a host is one
-entry a chunk), buckets of the sorted hashes add these numbers up, and every
-chunk gets the windows back that stand on two pages or more.  Neither the
-number of tasks nor the size of the input changes a text.  :func:`main_texts`
-does the same for the pages of one host by a suffix sort on the tokens.
+overlapping runs add up.  The token streams of a chunk of pages are
+concatenated and their suffixes sorted, first into buckets named by a hash of
+their first ``least`` tokens, then by these tokens; neighbours are compared
+token by token, which gives for each suffix the number of pages that share it.
+
+A host lies in one chunk, and nothing more is needed, unless it has more than
+``group_bytes``.  The chunks of such a host first exchange short hashes of their
+windows, a byte or two each; only what two chunks may share is exchanged as
+text: those suffixes are sorted by their tokens, equal neighbours add up their
+pages, and the sums go back to the chunks.  Neither the number of tasks nor the
+size of the input changes a text.  :func:`main_texts` does the same for the
+pages of one host.
 
 Markup decides first: scripts, styles, forms, menus and the like are no text
 at all, and if a page has an article (or main) element its text comes from
@@ -30,8 +33,10 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import collections
 import hashlib
 import html as _html
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -157,6 +162,27 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
     return out
 
 
+def _suffix_ranks(tokens, least: int):
+    """The rank of each suffix among all, sorted by their first ``least`` tokens
+    (equal ones share a rank), by doubling the sorted width."""
+    import numpy as np
+
+    n = len(tokens)
+    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
+    width = 1
+    while width < least:
+        step = min(width, least - width)
+        later = np.zeros(n, dtype=np.int64)
+        later[: max(0, n - step)] = rank[step:] + 1
+        key = rank * (n + 1) + later
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.append(0, np.cumsum(ordered[1:] != ordered[:-1]))[:n]
+        width += step
+    return rank
+
+
 def repeated(streams: list[list[int]], owner: list[int], least: int, many: int = 2):
     """For token streams of pages, a boolean array over their concatenation:
     the tokens covered by substrings of ``least`` tokens or more that occur on
@@ -172,19 +198,7 @@ def repeated(streams: list[list[int]], owner: list[int], least: int, many: int =
         tokens[at : at + len(s)] = s
         tokens[at + len(s)] = -1 - k  # a different end mark for each stream
         at += len(s) + 1
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
-    width = 1
-    while width < least:  # ranks of all suffixes by their first `width` tokens
-        step = min(width, least - width)
-        later = np.zeros(n, dtype=np.int64)
-        later[: max(0, n - step)] = rank[step:] + 1
-        key = rank * (n + 1) + later
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        fresh = np.append(0, np.cumsum(ordered[1:] != ordered[:-1]))
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = fresh
-        width += step
+    rank = _suffix_ranks(tokens, least)
     # distinct pages of each run of equal prefixes
     pairs = np.unique(rank * (len(streams) + 1) + page)
     on = np.bincount(pairs // (len(streams) + 1), minlength=int(rank.max(initial=0)) + 1)
@@ -312,158 +326,329 @@ def _unpack(b: bytes):
     return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _parsed(batches) -> Iterator:
-    """Pages as blocks: page_id, url, chunk, key, counts, host, text (a line
-    a block), inside (a byte a block)."""
-    import pyarrow as pa
+def _dealt(most: int = 32 << 20):
+    """Pages as blocks, put together by chunk: lists of their columns, and their
+    texts (a line a block) as one compressed body."""
 
-    for b in batches:
-        for at in range(0, b.num_rows, 64):
-            part = b.slice(at, 64)
-            found = [blocks(p) for p in part.column(6).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                *(part.column(k) for k in range(6)),
-                pa.array(["\n".join(t for t, _ in f) for f in found], pa.string()),
-                pa.array([bytes(i for _, i in f) for f in found], pa.binary()),
-            ], ["page_id", "url", "chunk", "key", "counts", "host", "text", "inside"])
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+        import zstandard
+
+        held: dict[int, list] = {}
+        size = 0
+
+        def out():
+            pack = zstandard.ZstdCompressor(level=3).compress
+            rows = []
+            for chunk, pages in held.items():
+                cols = [list(c) for c in zip(*pages)]
+                first, pages_, bits, splits = cols[5][0], cols[6][0], cols[7][0], cols[8][0]
+                rows.append((chunk, first, pages_, bits, splits, *cols[:5], [len(x) for x in cols[9]], cols[10], pack(b"".join(cols[9]))))
+            held.clear()
+            cols = list(zip(*rows))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+
+        ids = None
+        for b in batches:
+            ids = b.schema.field("page_id").type
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(ids), pa.list_(pa.string()), pa.list_(pa.int64()),
+                     pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.binary()]
+            names = ["chunk", "first", "pages", "bits", "splits", "page_id", "url", "key", "counts", "host", "size", "inside", "body"]
+            for at in range(0, b.num_rows, 64):
+                part = b.slice(at, 64)
+                for *row, chunk, first, pages, bits, splits, html in zip(*(part.column(k).to_pylist() for k in range(part.num_columns))):
+                    found = blocks(html)
+                    text = "\n".join(t for t, _ in found).encode("utf-8", "surrogatepass")
+                    size += len(text) + 100
+                    held.setdefault(chunk, []).append((*row, first, pages, bits, splits, text, bytes(i for _, i in found)))
+                if size > most:
+                    yield out()
+                    size = 0
+        if held:
+            yield out()
+
+    return run
 
 
 class _Chunk:
-    """The distinct pages of a chunk and their windows."""
+    """The distinct pages of a chunk: their blocks, their token streams end to
+    end (``ids`` into ``vocabulary``) and the windows of these."""
 
     def __init__(self, t, least: int):
         import numpy as np
+        import zstandard
+
+        col = {c: t.column(c).to_pylist() for c in ("key", "counts", "host", "inside", "size", "body")}
+        flat = lambda c: [x for row in col[c] for x in row]
+        index: dict[int, int] = {}
+        self.of = [index.setdefault(k, len(index)) for k in flat("key")]
+        self.own = np.zeros(len(index), np.int64)
+        self.found: list = [None] * len(index)
+        self.least = least
+        ids: dict[str, int] = collections.defaultdict(itertools.count().__next__)
+        streams, host = [np.zeros(0, np.int64)] * len(index), [""] * len(index)
+        rows = zip(self.of, flat("host"), flat("inside"), flat("counts"))
+        for sizes, body in zip(col["size"], col["body"]):
+            raw, at = zstandard.ZstdDecompressor().decompress(body), 0
+            for n in sizes:
+                k, h, mark, counts = next(rows)
+                self.own[k] |= counts
+                if self.found[k] is None:
+                    text = raw[at : at + n].decode("utf-8", "surrogatepass")
+                    host[k] = h
+                    self.found[k] = list(zip(text.split("\n"), map(bool, mark))) if mark else []
+                    if mark:
+                        words = text.replace("\n", " ").split(" ")
+                        streams[k] = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+                at += n
+        self.sizes = np.array([len(x) for x in streams], np.int64)
+        names: dict[str, int] = {}
+        self.host = np.array([names.setdefault(h, len(names)) for h in host], np.int64)
+        self.hosts, self.vocabulary, self.number = list(names), list(ids), ids
+        self.ids = np.concatenate([*streams, np.zeros(least, np.int64)])
+        self.hashes = _tokens(self.vocabulary) if ids else np.zeros(1, np.uint64)
+        seed = np.array([_hash(h) for h in host], np.uint64)
+        self.w, self.page, self.at = _windows([self.hashes[x] for x in streams], seed, least)
+
+    def sort(self) -> None:
+        """Windows in the order of their buckets, equal ones side by side:
+        ``order``, ``bucket`` (sorted), ``group`` of each, ``start`` and ``pages``
+        of each group."""
+        import numpy as np
+
+        self.order = np.argsort(self.w, kind="stable")
+        at, page, self.bucket = self.at[self.order], self.page[self.order], self.w[self.order]
+
+        def same():
+            out = (self.bucket[1:] == self.bucket[:-1]) & (self.host[page[1:]] == self.host[page[:-1]])
+            for j in range(self.least):
+                k = np.flatnonzero(out)
+                out[k] = self.ids[at[k + 1] + j] == self.ids[at[k] + j]
+            return out
+
+        equal = same()
+        clash = np.unique(self.bucket[1:][(self.bucket[1:] == self.bucket[:-1]) & ~equal])
+        if len(clash):  # two texts in one bucket: sort it by its tokens
+            k = np.flatnonzero(np.isin(self.bucket, clash))
+            keys = [self.ids[at[k] + j] for j in range(self.least)]
+            self.order[k] = self.order[k][np.lexsort([page[k], *keys, self.host[page[k]], self.bucket[k]])]
+            at, page = self.at[self.order], self.page[self.order]
+            equal = same()
+        new = np.append(True, ~equal) if len(at) else np.zeros(0, bool)
+        self.group, self.start = np.cumsum(new) - 1, np.flatnonzero(new)
+        # equal windows come in page order, so those of one page are neighbours
+        own = np.where(new | np.append(True, page[1:] != page[:-1])[: len(page)], self.own[page], 0)
+        self.pages = np.add.reduceat(own, self.start) if len(self.start) else own
+
+    def text(self, at: int) -> str:
+        return " ".join([self.vocabulary[i] for i in self.ids[at : at + self.least].tolist()])
+
+
+def _top(w, bits: int):
+    import numpy as np
+
+    return w >> np.uint64(64 - bits)
+
+
+def _dealt_over(w, bits: int, splits: int, first: int):
+    """Stretches of the sorted short hashes ``w`` by bucket: (bucket, from, to)."""
+    import numpy as np
+
+    bucket = (w * np.uint64(splits) >> np.uint64(bits)).astype(np.int64) + first
+    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(w)]
+    return [(int(bucket[x]), x, y) for x, y in zip(cuts, cuts[1:]) if y > x]
 
-        self.index: dict[int, int] = {}
-        self.of = [self.index.setdefault(k, len(self.index)) for k in t.column("key").to_pylist()]
-        self.own = np.zeros(len(self.index), np.int64)
-        self.found: list = [None] * len(self.index)
-        hosts = [""] * len(self.index)
-        for k, host, text, inside, counts in zip(self.of, *(t.column(c).to_pylist() for c in ("host", "text", "inside", "counts"))):
-            self.own[k] |= counts
-            if self.found[k] is None:
-                hosts[k] = host
-                self.found[k] = list(zip(text.split("\n"), map(bool, inside))) if inside else []
-        # each window of a host's name stands for the host's pages
-        self.hosts = np.array([_hash(h) for h in hosts], np.uint64)
-        self.streams = [_tokens([w for x, _ in f for w in x.split(" ")]) for f in self.found]
-        self.w, self.page, self.at = _windows(self.streams, self.hosts, least)
-        self.host_w = _mixed(~self.hosts)
-
-
-def _send(least: int, buckets: int):
-    """Each distinct window of a chunk with the number of its pages there."""
+
+def _squeezed(texts: list[str]) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress("\n".join(texts).encode("utf-8", "surrogatepass"))
+
+
+def _loose(b: bytes) -> list[str]:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(b).decode("utf-8", "surrogatepass").split("\n")
+
+
+def _send(least: int):
+    """Short hashes of a chunk's windows, dealt over buckets by their value;
+    nothing if its hosts lie in it whole."""
 
     def run(t):
         import numpy as np
         import pyarrow as pa
 
-        c = _Chunk(t, least)
-        w = np.concatenate([c.w, c.host_w])
-        page = np.concatenate([c.page, np.arange(len(c.found))])
-        order = np.argsort(w, kind="stable")
-        # windows come in page order, so equal pairs are neighbours
-        w, page = w[order], page[order]
-        fresh = np.append(True, (w[1:] != w[:-1]) | (page[1:] != page[:-1]))
-        w, page = w[fresh], page[fresh]
-        starts = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
-        n, w = np.add.reduceat(c.own[page], starts).astype(np.int32), w[starts]
-        bucket = ((w >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(w)]
-        spans = list(zip(cuts, cuts[1:]))
-        return pa.table({
-            "chunk": pa.array([t.column("chunk")[0].as_py()] * len(spans), pa.int32()),
-            "bucket": pa.array([int(bucket[x]) for x, _ in spans], pa.int32()),
-            "w": pa.array([_pack(w[x:y]) for x, y in spans], pa.binary()),
-            "n": pa.array([n[x:y].tobytes() for x, y in spans], pa.binary()),
-        })
+        kind = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("w", pa.binary())])
+        first, bits, splits = (t.column(c)[0].as_py() for c in ("first", "bits", "splits"))
+        if splits < 2:
+            return kind.empty_table()
+        w = np.sort(_top(_Chunk(t, least).w, bits))
+        w = w[np.append(True, w[1:] != w[:-1])[: len(w)]]
+        spans = _dealt_over(w, bits, splits, first)
+        return pa.table([pa.array([t.column("chunk")[0].as_py()] * len(spans), pa.int32()), pa.array([b for b, _, _ in spans], pa.int32()),
+                         pa.array([_pack(w[x:y]) for _, x, y in spans], pa.binary())], schema=kind)
 
     return run
 
 
-def _add_up(batches) -> Iterator:
-    """Of rows sorted by bucket: for each chunk its windows that stand on two
-    pages of the host or more, with the number of pages."""
-    import numpy as np
-    import pyarrow as pa
-
-    def out(rows):
-        chunks, ws = [r[0] for r in rows], [_unpack(r[2]) for r in rows]
-        w, n = np.concatenate(ws), np.concatenate([np.frombuffer(r[3], np.int32) for r in rows]).astype(np.int64)
-        order = np.argsort(w, kind="stable")
-        starts = np.flatnonzero(np.append(True, w[order][1:] != w[order][:-1]))
-        total = np.empty(len(w), np.int64)
-        total[order] = np.repeat(np.add.reduceat(n[order], starts), np.diff(np.append(starts, len(w))))
-        got, at = [], 0
-        for c, x in zip(chunks, ws):
-            t = total[at : at + len(x)]
-            at += len(x)
-            if (keep := t > 1).any():
-                got.append((c, _pack(x[keep]), t[keep].tobytes()))
-        return pa.RecordBatch.from_arrays([
-            pa.array([g[0] for g in got], pa.int32()), pa.array([g[1] for g in got], pa.binary()), pa.array([g[2] for g in got], pa.binary()),
-        ], ["chunk", "w", "n"])
-
+def _by_bucket(batches, columns: int, done) -> Iterator:
+    """``done`` of the rows of each bucket (column 1), which come together."""
     held: list[tuple] = []
     for b in batches:
-        for row in zip(*(b.column(k).to_pylist() for k in range(4))):
+        for row in zip(*(b.column(k).to_pylist() for k in range(columns))):
             if held and held[-1][1] != row[1]:
-                yield out(held)
+                yield done(held)
                 held = []
             held.append(row)
     if held:
-        yield out(held)
+        yield done(held)
 
 
-def _finish(least: int):
-    """Texts of a chunk's pages, given the windows that repeat."""
+def _several(batches) -> Iterator:
+    """Of rows (chunk, bucket, w) sorted by bucket: for each chunk the short
+    hashes that other chunks have too."""
+    import numpy as np
+    import pyarrow as pa
+
+    def out(rows):
+        ws = [_unpack(r[2]) for r in rows]
+        values = np.sort(np.concatenate(ws))
+        values = values[1:][values[1:] == values[:-1]]  # a chunk has each but once
+        got = [(r[0], w[np.isin(w, values)]) for r, w in zip(rows, ws)]
+        got = [(c, _pack(w)) for c, w in got if len(w)]
+        return pa.RecordBatch.from_arrays([pa.array([c for c, _ in got], pa.int32()), pa.array([w for _, w in got], pa.binary())], ["chunk", "w"])
+
+    yield from _by_bucket(batches, 3, out)
+
+
+def _suffixes(least: int):
+    """The suffixes (their first ``least`` tokens) of a chunk that other chunks
+    may have, with the number of its pages that hold them."""
 
     def run(t, marks):
         import numpy as np
         import pyarrow as pa
 
+        kind = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("suffixes", pa.binary()), ("n", pa.binary())])
+        if not t.num_rows or not marks.num_rows:
+            return kind.empty_table()
+        c = _Chunk(t, least)
+        c.sort()
+        first, bits, splits, chunk = (t.column(x)[0].as_py() for x in ("first", "bits", "splits", "chunk"))
+        want = np.sort(np.concatenate([_unpack(x) for x in marks.column("w").to_pylist()]))
+        top = _top(c.bucket[c.start], bits)
+        hit = np.flatnonzero(want[np.minimum(np.searchsorted(want, top), len(want) - 1)] == top)
+        rows = []
+        for bucket, x, y in _dealt_over(top[hit], bits, splits, first):
+            groups = hit[x:y]
+            texts = [c.text(k) for k in c.at[c.order[c.start[groups]]].tolist()]
+            order = sorted(range(len(texts)), key=texts.__getitem__)
+            rows.append((chunk, bucket, _squeezed([texts[k] for k in order]), c.pages[groups][order].astype(np.int64).tobytes()))
+        return pa.table([pa.array(list(x), f.type) for x, f in zip(zip(*rows), kind)], schema=kind) if rows else kind.empty_table()
+
+    return run
+
+
+def _neighbours(batches) -> Iterator:
+    """Of rows (chunk, bucket, suffixes, n) sorted by bucket: the suffixes of
+    all chunks in one order, where equal neighbours add up their pages; each
+    chunk gets those that another chunk has."""
+    import numpy as np
+    import pyarrow as pa
+
+    def out(rows):
+        all_ = []
+        for k, r in enumerate(rows):
+            all_ += ((x, k, n) for x, n in zip(_loose(r[2]), np.frombuffer(r[3], np.int64).tolist()))
+        all_.sort()
+        got: list[tuple[list, list]] = [([], []) for _ in rows]
+        at = 0
+        while at < len(all_):
+            stop = at + 1
+            while stop < len(all_) and all_[stop][0] == all_[at][0]:
+                stop += 1
+            if stop - at > 1:
+                total = sum(x[2] for x in all_[at:stop])
+                for suffix, k, _ in all_[at:stop]:
+                    got[k][0].append(suffix)
+                    got[k][1].append(total)
+            at = stop
+        some = [(r[0], _squeezed(x), np.array(n, np.int64).tobytes()) for r, (x, n) in zip(rows, got) if x]
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in some], pa.int32()), *(pa.array([x[k] for x in some], pa.binary()) for k in (1, 2))],
+                                          ["chunk", "suffixes", "n"])
+
+    yield from _by_bucket(batches, 4, out)
+
+
+def _finish(least: int):
+    """Texts of a chunk's pages, from its own suffixes and what other chunks
+    of its host have of them."""
+
+    def run(t, others):
+        import numpy as np
+        import pyarrow as pa
+
         c = _Chunk(t, least)
-        w = np.concatenate([*(_unpack(x) for x in marks.column("w").to_pylist()), np.zeros(0, np.uint64)])
-        n = np.concatenate([*(np.frombuffer(x, np.int64) for x in marks.column("n").to_pylist()), np.zeros(0, np.int64)])
-        order = np.argsort(w)
-        w, n = np.append(w[order], np.uint64(0)), np.append(n[order], 1)
-
-        def on(x):
-            k = np.searchsorted(w[:-1], x)
-            return np.where(w[k] == x, n[k], 1)
-
-        many = np.array([_many(int(p)) for p in on(c.host_w)])
-        times = on(c.w)
-        size = sum(map(len, c.streams))
+        c.sort()
+        for suffixes, n in zip(*(others.column(x).to_pylist() for x in ("suffixes", "n"))):
+            words = [w for x in _loose(suffixes) for w in x.split(" ")]
+            ids = np.array([c.number[w] for w in words], np.int64).reshape(-1, least)
+            w = _windows(list(c.hashes[ids]), np.full(len(ids), _hash(c.hosts[0]), np.uint64), least)[0]
+            total = np.frombuffer(n, np.int64)
+            k = np.searchsorted(c.bucket, w)
+            todo = np.arange(len(k))
+            while len(todo):  # past other texts of the bucket, if any
+                here = c.at[c.order[k[todo]]]
+                fits = (c.ids[here[:, None] + np.arange(least)] == ids[todo]).all(1)
+                c.pages[c.group[k[todo[fits]]]] = total[todo[fits]]
+                todo = todo[~fits]
+                k[todo] += 1
+        many = np.bincount(c.host, weights=c.own).astype(np.int64)  # pages of each host
+        if t.column("splits")[0].as_py() > 1:
+            many[:] = t.column("pages")[0].as_py()
+        times = np.empty(len(c.w), np.int64)
+        times[c.order] = c.pages[c.group]
+        size = int(c.sizes.sum())
         hit, often = np.zeros(size, bool), np.zeros(size, bool)
-        hit[c.at], often[c.at] = times > 1, times >= many[c.page]
+        hit[c.at], often[c.at] = times > 1, times >= np.array([_many(int(n)) for n in many])[c.host[c.page]]
         covered, common = _covered(hit, least), _covered(often, least)
         texts, at = [], 0
-        for found, stream in zip(c.found, c.streams):
-            texts.append(_text(found, covered[at : at + len(stream)], common[at : at + len(stream)]))
-            at += len(stream)
+        for found, n in zip(c.found, c.sizes.tolist()):
+            texts.append(_text(found, covered[at : at + n], common[at : at + n]))
+            at += n
         texts = [texts[k] for k in c.of]
-        return pa.table({
-            "page_id": t.column("page_id"), "url": t.column("url"),
-            "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(x) for x in texts], pa.int64()),
-        })
+        flat = lambda name: pa.chunked_array([x.values[x.offsets[0].as_py() : x.offsets[-1].as_py()] for x in t.column(name).chunks])
+        return pa.table({"page_id": flat("page_id"), "url": flat("url"), "text": pa.array(texts, pa.string()),
+                         "n_chars": pa.array([len(x) for x in texts], pa.int64())})
 
     return run
 
 
 def extract(pages: DataFrame, least: int = 8, group_bytes: int = 8 << 20) -> DataFrame:
     """page_id, url, text, n_chars; one row per input row.  A chunk of pages
-    has about ``group_bytes`` of HTML at most; it bounds memory only."""
+    has about ``group_bytes`` of HTML; it bounds memory only.  The hosts that
+    have more are broadcast (some 40 bytes each ``group_bytes`` of input at most)."""
     spark = pages.sparkSession
     ship_package(spark)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     html, row = F.coalesce("html", F.lit("")), F.xxhash64("page_id", "url")
     d = pick(pages, "page_id", "url", "html").select("page_id", "url", host.alias("host"), F.xxhash64(host, html).alias("key"), row.alias("row"), html.alias("html"))
     keys = written(d.groupBy("key").agg(
-        F.count("*").alias("n"), F.sum(F.octet_length("html")).alias("size"), F.min("row").alias("row")), "extract-keys")
-    rows, size = keys.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+        F.count("*").alias("n"), F.sum(F.octet_length("html") + 64).alias("size"), F.min("row").alias("row"), F.first("host").alias("host")), "extract-keys")
+    sizes = keys.groupBy("host").agg(F.sum("size").alias("size"), F.count("*").alias("pages"), F.sum("n").alias("n"))
+    sizes = written(sizes, "extract-hosts")
+    rows = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rest = sizes.where(F.col("size") <= group_bytes).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks, buckets = max(4 * parts, -(-size // group_bytes)), max(parts, -(-size // (2 * group_bytes)))
+    chunks = max(parts, -(-2 * rest // group_bytes))  # for the hosts that lie in one
+    big = []
+    for r in sizes.where(F.col("size") > group_bytes).orderBy("host").collect():
+        splits = -(-r["size"] // group_bytes)
+        big.append((r.host, chunks, splits, r.pages, min(60, r["size"].bit_length() + 6)))
+        chunks += splits
+    known = F.broadcast(spark.createDataFrame(big, "host string, first int, splits int, pages long, bits int"))
+    d = d.join(known, "host", "left")
     # copies of a hot page lie in many chunks, and only those of its least row count as the page
     hot = hot_keys(keys, "key", "n", rows)
     spread, counts = F.lit(0), F.lit(1)
@@ -471,14 +656,26 @@ def extract(pages: DataFrame, least: int = 8, group_bytes: int = 8 << 20) -> Dat
         d = d.join(F.broadcast(keys.where(F.col("key").isin(hot)).select("key", F.col("row").alias("least"))), "key", "left")
         spread = F.when(F.col("row") != F.col("least"), F.pmod(F.col("row"), F.lit(chunks))).otherwise(0)
         counts = F.when(F.col("row") != F.col("least"), 0).otherwise(1)
-    d = d.select("page_id", "url", F.pmod(F.xxhash64("key", spread.cast("long")), F.lit(chunks)).cast("int").alias("chunk"),
-                 "key", counts.cast("long").alias("counts"), "host", "html")
+    whole = max(1, big[0][1] if big else chunks)
+    chunk = F.coalesce(F.col("first") + F.pmod(F.xxhash64("key", spread.cast("long")), F.col("splits")), F.pmod(F.xxhash64("host"), F.lit(whole)))
+    none = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    d = d.select("page_id", "url", "key", counts.cast("long").alias("counts"), "host", chunk.cast("int").alias("chunk"),
+                 *map(none, ("first", "pages", "bits", "splits")), "html")
     kind = d.schema["page_id"].dataType.simpleString()
-    dealt = d.mapInArrow(_parsed, f"page_id {kind}, url string, chunk int, key long, counts long, host string, text string, inside binary")
-    sent = dealt.groupBy("chunk").applyInArrow(_send(least, buckets), "chunk int, bucket int, w binary, n binary")
-    marks = (sent.repartitionById(parts, F.pmod("bucket", F.lit(parts))).sortWithinPartitions("bucket")
-             .mapInArrow(_add_up, "chunk int, w binary, n binary"))
-    return dealt.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(
+    put = d.mapInArrow(_dealt(), (
+        f"chunk int, first int, pages long, bits int, splits int, page_id array<{kind}>, url array<string>, key array<long>, counts array<long>, "
+        "host array<string>, size array<int>, inside array<binary>, body binary"))
+    put = put.repartition(max(1, chunks), "chunk")
+    each = put.groupBy("chunk")
+    others = spark.createDataFrame([], "chunk int, suffixes binary, n binary")
+    if big:
+        sent = each.applyInArrow(_send(least), "chunk int, bucket int, w binary")
+        many = max(parts, chunks - whole)
+        marks = sent.repartition(many, "bucket").sortWithinPartitions("bucket").mapInArrow(_several, "chunk int, w binary")
+        named = each.cogroup(marks.groupBy("chunk")).applyInArrow(_suffixes(least), "chunk int, bucket int, suffixes binary, n binary")
+        others = named.repartition(many, "bucket").sortWithinPartitions("bucket").mapInArrow(
+            _neighbours, "chunk int, suffixes binary, n binary")
+    return each.cogroup(others.groupBy("chunk")).applyInArrow(
         _finish(least), f"page_id {kind}, url string, text string, n_chars long")
 
 

@@ -160,6 +160,26 @@ def test_host_repeats_do_not_depend_on_the_split(spark):
         assert got == want
 
 
+def test_equal_hashes_of_different_windows_are_told_apart(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(extract, "_mixed", lambda x: x % np.uint64(5))
+    notice = "this notice was put into every article of the site by its owners"
+    pages = [f"<div>{notice if k % 2 else 'some other words that are on no more than one'}</div><p>{k} " + " ".join(f"w{k}x{i}" for i in range(30)) + "</p>"
+             for k in range(12)]
+    n = len(pages)
+    batch = pa.record_batch({
+        "page_id": pa.array(range(n), pa.int64()), "url": pa.array([f"u{k}" for k in range(n)]), "key": pa.array(range(n), pa.int64()),
+        "counts": pa.array([1] * n, pa.int64()), "host": pa.array(["h"] * n), "chunk": pa.array([0] * n, pa.int32()),
+        "first": pa.array([0] * n, pa.int32()), "pages": pa.array([0] * n, pa.int64()), "bits": pa.array([0] * n, pa.int32()),
+        "splits": pa.array([0] * n, pa.int32()), "html": pa.array(pages)})
+    t = pa.Table.from_batches(list(extract._dealt()(iter([batch]))))
+    none = pa.table({"chunk": pa.array([], pa.int32()), "suffixes": pa.array([], pa.binary()), "n": pa.array([], pa.binary())})
+    got = extract._finish(8)(t, none)
+    assert got.column("text").to_pylist() == extract.main_texts(pages)
+
+
 def test_extract_edge_rows(spark):
     pages = spark.createDataFrame(PAGES, SCHEMA).withColumns({"host": F.lit(1), "h": F.lit("x"), "text": F.lit(0)})
     got = collections.Counter((r.page_id, r.url) for r in extract.extract(pages, group_bytes=1000).collect())
