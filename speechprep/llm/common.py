@@ -148,11 +148,9 @@ def running(pairs: Column, chunk: int = 512) -> Column:
     return F.flatten(F.transform(offsets, inside))
 
 
-def running_max(values: Column, chunk: int = 512) -> Column:
+def running_max(values: Column, chunk: int = 256) -> Column:
     """For each long of an array the greatest so far, chunk by chunk like
     :func:`running`."""
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / chunk).cast("int")), lambda c: F.slice(values, c * chunk + 1, chunk))
     least = F.lit(-(1 << 63)).cast("long")
     fold = lambda xs, first, step: F.aggregate(
         xs, F.struct(first.alias("far"), F.expr("CAST(array() AS array<bigint>)").alias("out")), step)["out"]
@@ -160,8 +158,14 @@ def running_max(values: Column, chunk: int = 512) -> Column:
         cs, least, lambda a, c: F.struct(F.greatest(a["far"], F.array_max(c)).alias("far"), F.array_append(a["out"], a["far"]).alias("out")))
     inside = lambda c, first: fold(
         c, first, lambda a, x: F.struct(F.greatest(a["far"], x).alias("far"), F.array_append(a["out"], F.greatest(a["far"], x)).alias("out")))
-    some = let(chunks, lambda cs: let(ahead(cs), lambda starts: F.flatten(F.transform(cs, lambda c, k: inside(c, F.get(starts, k))))))
-    return F.when(F.size(values) == 0, F.expr("CAST(array() AS array<bigint>)")).otherwise(some)
+
+    def scanned(v: Column) -> Column:
+        chunks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(v) - 1) / chunk).cast("int")), lambda c: F.slice(v, c * chunk + 1, chunk))
+        some = let(chunks, lambda cs: let(ahead(cs), lambda starts: F.flatten(F.transform(cs, lambda c, k: inside(c, F.get(starts, k))))))
+        return F.when(F.size(v) == 0, F.expr("CAST(array() AS array<bigint>)")).otherwise(some)
+
+    return let(values, scanned)
 
 
 MATCHES = "array<struct<start:bigint,end:bigint,match:string,left:string>>"
