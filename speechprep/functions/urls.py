@@ -110,10 +110,16 @@ def join_url(base: Column, ref: Column) -> Column:
         F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref)
         .when(ref.startswith("//"), F.concat(url_scheme(base), F.lit(":"), ref))
         .when(ref == "", base)
+        .when(ref.startswith("/") & ~ref.contains("/."), F.concat(url_origin(base), ref))  # nothing to resolve
         .otherwise(F.concat(url_origin(base), merged, asked, fragment))
     )
 
 
+def percent_decode(c: Column) -> Column:
+    """``%41`` as ``A``; a plus sign stays; text that is no valid escape is kept."""
+    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+
+
 def strip_fullwidth_parens(c: Column) -> Column:
     """Drop ``（…）`` groups (non-greedy) and strip (F8)."""
     from .text import strip

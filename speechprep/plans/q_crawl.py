@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..fixtures import Tables
 from ..functions import names
-from ..sources import catalogs, pages
+from ..operators.ordered import materialize
+from ..sources import catalogs, markup, pages
 from .registry import query
 from .sqlbits import collapse_sql, strip_sql
 
@@ -151,7 +152,7 @@ _ORIGIN = f"regexp_extract(url, '{URL_RE}', 1) || '://' || regexp_extract(url, '
 _LINK = '<a href="([^"]*)">([^<]*)</a>'
 
 
-@query("extract_links", [], f"""
+LINKS_SQL = f"""
 WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{_LINK}', 1)) AS href,
                   unnest(regexp_extract_all(html, '{_LINK}', 2)) AS txt FROM pages),
 k AS (SELECT page_id, txt,
@@ -160,11 +161,20 @@ k AS (SELECT page_id, txt,
                   ELSE {_ORIGIN} || href END AS link
       FROM l WHERE starts_with(href, '/') AND length(href) - length(replace(href, '/', '')) >= 1)
 SELECT page_id, link, min({_strip("txt")}) AS link_text FROM k GROUP BY page_id, link
-""")
+"""
+
+
+@query("extract_links", [], LINKS_SQL)
 def extract_links(t: Tables):
     return pages.extract_links(t.pages)
 
 
+@query("page_links", [], LINKS_SQL)
+def page_links(t: Tables):
+    """The same links by the markup tree of the pages as they stand."""
+    return markup.links(t.pages, materialize(markup.page_nodes(t.pages)))
+
+
 _PARA = "<p>([^<]*(?:<[^p/][^<]*|</[^p][^<]*)*)"
 _ENTRIES_SQL = f"""
 e0 AS (SELECT page_id,
@@ -182,9 +192,92 @@ entries AS (SELECT page_id, title, entry_idx,
 """.replace("{{8}}", "{8}")
 
 
-@query("extract_audio_entries", [], "WITH " + _ENTRIES_SQL + "SELECT * FROM entries")
+# Markup trees: every paragraph of a page becomes one piece of nested markup,
+# in five shapes (by its place): a player in a table; other attribute orders,
+# quotes and unclosed cells; no audio link; nested tables, no text; no table.
+_PARAS = "regexp_extract_all(html, '<p>([^<]+)', 1)"
+_CLEAN = r"[&<>\s]+"
+_SHAPES = {
+    1: """<table class="box"><tr><td><div class="downloadable-audio x"></div></td><td><a class="internal" title="VO_{id}.0B2.ogg" """
+       """href="/wiki/f{i}.ogg">dl</a></td><td><span lang="zh-Hans-CN"> {p} </span></td></tr></table>""",
+    2: """<TABLE><tr><td><a href='/wiki/f{i}.ogg' title='plain{i}' class='a internal b'>dl</a><span lang=zh-Hans-CN>{p}<br>tail</span>"""
+       """<div id=x class='downloadable-audio'></div></table>""",
+    3: """<table><tr><td><div class=downloadable-audio></div><a class="internal" href="/wiki/x.mp3">{p}</a></td></tr></table>""",
+    4: """<table><tr><td><table><tr><td><div class="downloadable-audio"></div><a title="%41b" class="internal" href="f{i}.ogg">{p}</a>"""
+       """</table></td></tr><span lang="zh-Hans-CN">outside</span></table>""",
+    0: """<div class="downloadable-audio"></div><p>{p}</p>""",
+}
+_NODES = """<section id="s{i}"><p class='t a'>{p}</p><br><a HREF=/x/{i} >go</a></section>"""
+
+
+def _paragraphs():
+    """Clean, non-empty paragraph texts of a page."""
+    found = F.regexp_extract_all("html", F.lit("<p>([^<]+)"), F.lit(1))
+    return F.filter(F.transform(found, lambda p: F.btrim(F.regexp_replace(p, _CLEAN, " "))), lambda p: p != "")
+
+
+_PARAGRAPHS_SQL = f"""
+par AS (SELECT page_id, url, html, list_filter(list_transform({_PARAS}, lambda p: trim(regexp_replace(p, '{_CLEAN}', ' ', 'g'))),
+                                               lambda p: p <> '') AS ps FROM pages),
+p1 AS (SELECT page_id, url, html, unnest(ps) AS p, CAST(generate_subscripts(ps, 1) AS BIGINT) AS i FROM par)"""
+
+
+def _filled(shape: str, p, i):
+    """A shape with its paragraph, number and id."""
+    parts, out = shape.replace("{p}", "\0p\0").replace("{id}", "\0h\0").replace("{i}", "\0i\0").split("\0"), []
+    values = {"p": p, "i": i.cast("string"), "h": F.upper(F.substring(F.md5(p.cast("binary")), 1, 8))}
+    for k, x in enumerate(parts):
+        out.append(values[x] if k % 2 else F.lit(x))
+    return F.concat(*out)
+
+
+def _voice_pages(t: Tables):
+    def piece(p, k):
+        i = k + 1
+        return F.coalesce(*[F.when(i % 5 == m, _filled(shape, p, i)) for m, shape in _SHAPES.items()])
+
+    title = F.when(F.col("page_id") % 4 == 0, "").otherwise(
+        F.concat(F.lit('<h1><span id="cosmos-title-text"> '), F.regexp_extract("html", "<title>([^<]*)", 1), F.lit(" </span></h1>")))
+    body = F.array_join(F.transform(_paragraphs(), piece), "\n")
+    return t.pages.select("page_id", "url", F.concat(F.lit("<html><body>"), title, body).alias("html"))
+
+
+@query("extract_audio_entries", [], f"""
+WITH {_PARAGRAPHS_SQL},
+e AS (SELECT page_id, url, p, i, CASE i % 5 WHEN 1 THEN '/wiki/f' ELSE 'f' END || i || '.ogg' AS ref, html,
+             row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS entry_idx FROM p1 WHERE i % 5 IN (1, 2, 4)),
+a AS (SELECT *, CASE WHEN i % 5 = 2 THEN '/wiki/' || ref ELSE ref END AS uri FROM e)
+SELECT page_id,
+       CASE WHEN page_id % 4 = 0 THEN 'unknown title' ELSE {_strip("replace(regexp_extract(html, '<title>([^<]*)', 1), '&amp;', '&')")} END AS title,
+       CAST(entry_idx AS BIGINT) AS entry_idx,
+       CASE WHEN i % 5 = 1 THEN upper(substr(md5(p), 1, 8)) ELSE 'f' || i END AS entry_id,
+       CASE i % 5 WHEN 1 THEN 'VO_' || upper(substr(md5(p), 1, 8)) || '.0B2.ogg' WHEN 2 THEN 'plain' || i ELSE 'Ab' END AS filename,
+       CASE WHEN starts_with(uri, '/') THEN regexp_extract(url, '{URL_RE}', 1) || '://' || regexp_extract(url, '{URL_RE}', 3) || uri
+            ELSE regexp_extract(url, '^([^?#]*/)', 1) || uri END AS audio_url,
+       CASE i % 5 WHEN 1 THEN p WHEN 2 THEN p || 'tail' ELSE 'no text' END AS text
+FROM a
+""")
 def extract_audio_entries(t: Tables):
-    return pages.extract_entries(t.pages)
+    pages_ = _voice_pages(t)
+    return markup.audio_entries(pages_, materialize(markup.page_nodes(pages_)))
+
+
+@query("page_nodes", [], f"""
+WITH {_PARAGRAPHS_SQL},
+kinds AS (SELECT * FROM (VALUES (0, -1, 5, 1, 'section'), (1, 0, 2, 2, 'p'), (2, 1, 2, 3, '#text'), (3, 0, 3, 2, 'br'),
+                                (4, 0, 5, 2, 'a'), (5, 4, 5, 3, '#text')) AS v(off, up, stop, depth, tag))
+SELECT page_id, CAST(0 AS BIGINT) AS node, CAST(NULL AS BIGINT) AS parent, CAST(6 * len(ps) AS BIGINT) AS last, CAST(0 AS BIGINT) AS depth,
+       'body' AS tag, CAST(NULL AS VARCHAR) AS attr, CAST(NULL AS VARCHAR) AS text FROM par
+UNION ALL
+SELECT page_id, (i - 1) * 6 + 1 + off, CASE WHEN up < 0 THEN 0 ELSE (i - 1) * 6 + 1 + up END, (i - 1) * 6 + 1 + stop, depth, tag,
+       CASE off WHEN 0 THEN 's' || i WHEN 1 THEN 't a' WHEN 4 THEN '/x/' || i END, CASE off WHEN 2 THEN p WHEN 5 THEN 'go' END
+FROM p1, kinds
+""")
+def page_nodes(t: Tables):
+    body = F.array_join(F.transform(_paragraphs(), lambda p, k: _filled(_NODES, p, k + 1)), "")
+    nodes = markup.page_nodes(t.pages.select("page_id", F.concat(F.lit("<body>"), body).alias("html")))
+    return nodes.select("page_id", "node", "parent", "last", "depth", "tag",
+                        F.coalesce(markup.attr("id"), markup.attr("class"), markup.attr("href")).alias("attr"), "text")
 
 
 @query("entries_per_page", [], "WITH " + _ENTRIES_SQL + f""",
