@@ -98,7 +98,9 @@ RULES = (
     Rule("few_letter_words", "5 * size(filter(_words, x -> x rlike '[A-Za-z\\\\x80-\\\\x{10FFFF}]')) < 2 * n_words"),
     Rule("bullet_lines", "size(_lines) >= 5 AND 10 * size(filter(_lines, x -> ltrim(x) rlike '^[•*-]')) > 9 * size(_lines)"),
     Rule("ellipsis_lines", "size(_lines) >= 5 AND 2 * size(filter(_lines, x -> rtrim(x) rlike '(…|[.][.][.])$')) > size(_lines)"),
-    Rule("few_distinct_words", "n_words >= 50 AND 20 * size(array_distinct(_words)) < n_words"),
+    # distinct words of each stretch of 1,000, so that the length of a text does not count
+    Rule("few_distinct_words", "n_words >= 50 AND 20 * aggregate(transform(sequence(0L, (n_words - 1) div 1000), "
+         "i -> size(array_distinct(slice(_words, int(i * 1000 + 1), 1000)))), 0L, (a, x) -> a + x) < n_words"),
     Rule("shouting", "n_words >= 20 AND 10 * size(filter(_words, x -> x rlike '^[A-Z]{2,}[.,;:!?]*$')) > 8 * n_words"),
 )
 
@@ -212,7 +214,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR len(regexp_extract_all(t, '[^\x20\x09-\x0D]*[A-Za-z\x{80}-\x{10FFFF}][^\x20\x09-\x0D]*')) < 0.4 * n_words
     OR (len(ls) >= 5 AND len(list_filter(ls, lambda x: regexp_matches(x, '^ *[•*-]'))) > 0.9 * len(ls))
     OR (len(ls) >= 5 AND len(list_filter(ls, lambda x: regexp_matches(x, '(…|[.][.][.]) *$'))) > 0.5 * len(ls))
-    OR (n_words >= 50 AND len(list_distinct(ws)) < 0.05 * n_words)
+    OR (n_words >= 50 AND list_sum(list_transform(range(0, n_words, 1000), lambda i: len(list_distinct(ws[i + 1:i + 1000])))) < 0.05 * n_words)
     OR (n_words >= 20 AND len(regexp_extract_all(' ' || regexp_replace(t, '[\x20\x09-\x0D]+', '  ', 'g') || ' ',
         ' [A-Z][A-Z]+[.,;:!?]* ')) > 0.8 * n_words)
   ) AS kept

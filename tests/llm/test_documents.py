@@ -40,6 +40,23 @@ def test_quality_base_on_tricky_rows(tricky, clashing):
             assert not (r.kept and r.base_failed)
 
 
+def test_distinct_words_are_judged_by_stretches(spark):
+    rnd = random.Random(6)
+    long = " ".join(f"word{rnd.randrange(12_000)}" for _ in range(300_000))
+    few = " ".join(f"word{rnd.randrange(12)}x{k // 900}" for k in range(30_000))
+    rows = [(1, long), (2, few), (3, " ".join(f"w{k % 40}" for k in range(1000)))]
+    got = {r.doc_id: r.rejected_by for r in quality.score(spark.createDataFrame(rows, SCHEMA), [r for r in quality.RULES if r.name == "few_distinct_words"]).collect()}
+    assert got[1] is None and got[2] in ("base", "few_distinct_words") and got[3] in ("base", "few_distinct_words")
+    rule = next(r.rejects for r in quality.RULES if r.name == "few_distinct_words")
+    from pyspark.sql import functions as F
+
+    for n, k, want in ((50, 2, True), (50, 3, False), (2000, 99, True), (2000, 101, False), (49, 1, False)):
+        words = [f"w{i % k}" if n <= 1000 else f"{i // 1000}w{i % 1000 % k}" for i in range(n)]
+        share = sum(len(set(words[x:x + 1000])) for x in range(0, n, 1000))
+        got = spark.createDataFrame([(words, n)], "_words array<string>, n_words long").select(F.expr(rule).alias("x")).first().x
+        assert got == (n >= 50 and 20 * share < n)
+
+
 def test_quality_verdict_does_not_depend_on_the_order(spark, empty):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     order = [s["rule"] for s in quality.rule_order(docs, sample_rows=100)]
@@ -426,6 +443,30 @@ def test_jaccard_components_are_complete(spark, block, per_task):
     assert collections.Counter(tuple(r) for r in got) == brute_components(docs)
 
 
+def test_jaccard_of_a_neighbourhood_split_by_shingle(spark):
+    docs = near_copies(3)
+    got = jaccard.join(spark.createDataFrame(docs, SCHEMA).repartition(6), 7, 8, spread=3, wide=1, block_shingles=300).collect()
+    assert collections.Counter(tuple(r) for r in got) == brute_components(docs)
+
+
+def test_jaccard_of_a_large_group_just_below_the_threshold(spark):
+    """Texts of one source, each with words of its own: most pairs are a little
+    under 80 per cent, some above."""
+    rnd = random.Random(12)
+    base = [f"w{i}" for i in range(200)]
+    docs = []
+    for i in range(700):
+        w = list(base)
+        for k in rnd.sample(range(200), rnd.choice([1, 2, 3, 3, 3, 4])):
+            w[k] = f"own{i}x{k}"
+        docs.append((i, " ".join(w)))
+    sets = word_sets(docs)
+    below = sum(70 * len(a | b) <= 100 * len(a & b) < 80 * len(a | b) for i, a in enumerate(sets[:60]) for b in sets[:i])
+    assert below > 300
+    got = jaccard.join(spark.createDataFrame(docs, SCHEMA).repartition(6), 64).collect()
+    assert collections.Counter(tuple(r) for r in got) == brute_components(docs)
+
+
 def test_jaccard_copies_leave_a_task_once(spark):
     docs = spark.createDataFrame([(i, f"text {i} of its own with words") for i in range(20)] + [(99, "a hot text of copies " * 3)] * 400, SCHEMA)
     rows = jaccard._docs(docs.coalesce(1)).select("mix", "text").mapInArrow(jaccard._once, "mix long, text string")
