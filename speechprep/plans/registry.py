@@ -38,7 +38,7 @@ def query(key: str, views: tuple[str, ...] | list[str] = (), sql: str | None = N
 
 
 def _load_all() -> None:
-    from . import q_catalog, q_crawl, q_names, q_packing, q_segments, q_signal, q_stream  # noqa: F401
+    from . import q_catalog, q_crawl, q_files, q_names, q_packing, q_segments, q_signal, q_stream  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
