@@ -3,11 +3,14 @@ C1-C5, D1-D3, D5, D6, E11, E12, F16-F18) and the flagship query."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..fixtures import Tables
 from ..functions.text import label_text, strip
-from ..operators import aggregates, batching, filters, joins
+from ..operators import aggregates, batching, filters, infer, joins, passes, upsert_table
+from ..session import checkpoint_dir
 from ..sources import catalog as cat
 from ..sources import jsonmaps
 from .registry import query
@@ -171,6 +174,63 @@ def upsert_transcripts(t: Tables):
     return joins.upsert_transcripts(t.v_old, t.v_new)
 
 
+@query("upsert_bucketed", ["v_old", "v_new"], """
+SELECT coalesce(n.path, o.path) AS path, coalesce(n.text, o.text) AS text
+FROM v_old o FULL OUTER JOIN v_new n ON o.path = n.path
+""")
+def upsert_bucketed(t: Tables):
+    """The old map landed as a bucketed table, the new one applied twice."""
+    root = f"{checkpoint_dir(t.spark)}/transcripts-{uuid.uuid4().hex}"
+    for rows in (t.v_old, t.v_new, t.v_new):
+        upsert_table.upsert(rows.select("path", "text"), root, "path")
+    return upsert_table.read(t.spark, root, "path string, text string")
+
+
+class _Fails(infer.WordsTranscriber):
+    """A stand-in that can't read clips whose text holds ``bad``."""
+
+    def __init__(self, bad: str):
+        self.bad = bad
+
+    def __call__(self, texts):
+        if any(self.bad in (x or "") for x in texts):
+            raise RuntimeError("decoder failed")
+        return super().__call__(texts)
+
+
+def _words(x: str) -> str:
+    from ..functions.text import WS_CLASS_RE2
+
+    return f"array_to_string(regexp_split_to_array({strip_sql(x)}, '{WS_CLASS_RE2}+'), ' ')"
+
+
+@query("two_pass_run", ["v_audio"], f"""
+WITH c AS (SELECT a.path, a.duration_ms AS d, coalesce(d.text, '') AS x FROM v_audio a JOIN documents d ON a.doc_id = d.doc_id
+           WHERE a.duration_ms IS NOT NULL),
+f AS (SELECT *, {strip_sql("x")} = '' AS blank, d <= 30000 AND strpos(x, 'an') > 0 AS bad1, d >= 30000 AND strpos(x, 'zu') > 0 AS bad2 FROM c)
+SELECT path, CASE WHEN d > 30000 THEN 'long' WHEN d = 30000 THEN 'both' ELSE 'short' END AS route,
+       CASE WHEN d > 30000 OR (d = 30000 AND (bad1 OR blank)) THEN 2 ELSE 1 END AS pass,
+       CASE WHEN blank OR (d < 30000 AND bad1) OR (d > 30000 AND bad2) OR (d = 30000 AND bad1 AND bad2) THEN NULL ELSE {_words("x")} END AS text,
+       CASE WHEN (d < 30000 AND bad1) OR (d > 30000 AND bad2) OR (d = 30000 AND bad1 AND bad2) THEN 'RuntimeError: decoder failed'
+            WHEN blank THEN 'ValueError: empty input' END AS error
+FROM f
+""")
+def two_pass_run(t: Tables):
+    """Short clips, then long ones and the 30-second ones that failed, into one
+    table; a run that is repeated finds nothing to do."""
+    clips = t.v_audio.join(t.documents.select("doc_id", "text"), "doc_id").select("path", "duration_ms", "text")
+    root = f"{checkpoint_dir(t.spark)}/passes-{uuid.uuid4().hex}"
+
+    def model(bad: str):
+        return lambda df: infer.batch_infer(df, "path", ["text"], loader=lambda: _Fails(bad), predict=lambda m, b: m(b["text"]))
+
+    steps = passes.two_passes("duration_ms", model("an"), model("zu"))
+    passes.run(clips, root, steps, chunks=2, buckets=8)
+    d = F.col("duration_ms")
+    route = F.when(d > 30000, "long").when(d == 30000, "both").otherwise("short")
+    return passes.results(t.spark, root).join(clips.select("path", route.alias("route")), "path").select("path", "route", "pass", "text", "error")
+
+
 @query("resolve_label_path", ["v_old", "v_audio"], f"""
 SELECT o.path, a.path IS NOT NULL AS audio_exists,
        CASE WHEN a.path IS NOT NULL THEN regexp_extract(o.path, '^(.*)/[^/]*$', 1)
