@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import Tables
 from ..functions.text import label_text, strip
-from ..operators import aggregates, batching, filters, infer, joins, passes, upsert_table
+from ..operators import aggregates, batching, dealing, filters, infer, joins, passes, upsert_table
 from ..session import checkpoint_dir
 from ..sources import catalog as cat
 from ..sources import jsonmaps
@@ -231,6 +231,19 @@ def two_pass_run(t: Tables):
     return passes.results(t.spark, root).join(clips.select("path", route.alias("route")), "path").select("path", "route", "pass", "text", "error")
 
 
+_DEAL_SQL = """
+WITH r AS (SELECT path, duration_ms, greatest(coalesce(duration_ms, 0), 0) AS c,
+                  row_number() OVER (ORDER BY greatest(coalesce(duration_ms, 0), 0) DESC, path) - 1 AS k FROM v_audio),
+d AS (SELECT *, CASE WHEN (k // 7) % 2 = 0 THEN k % 7 ELSE 6 - k % 7 END AS task_no FROM r),
+b AS (SELECT *, CAST((sum(c) OVER (PARTITION BY task_no ORDER BY c DESC, path ROWS UNBOUNDED PRECEDING) - c) // 600000 AS BIGINT) AS batch_no FROM d)
+"""
+
+
+@query("balance_batches", ["v_audio"], _DEAL_SQL + "SELECT path, duration_ms, CAST(task_no AS BIGINT) AS task_no, batch_no FROM b")
+def balance_batches(t: Tables):
+    return dealing.deal_by_cost(t.v_audio.select("path", "duration_ms"), "path", "duration_ms", tasks=7, batch_cost=600_000)
+
+
 @query("resolve_label_path", ["v_old", "v_audio"], f"""
 SELECT o.path, a.path IS NOT NULL AS audio_exists,
        CASE WHEN a.path IS NOT NULL THEN regexp_extract(o.path, '^(.*)/[^/]*$', 1)
