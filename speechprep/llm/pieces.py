@@ -21,7 +21,8 @@ and any character without a piece are spelt in byte pieces, so decoding gives
 back every text exactly.
 
 Defined cases: null and empty texts have no pieces (null decodes to the empty
-text); null keys use one fixed stream; repeated rows draw the same pieces; an
+text); null keys use one fixed stream, keys that
+are no whole numbers the stream of their hash; repeated rows draw the same pieces; an
 empty table gives an empty result; extra columns are ignored.
 """
 
@@ -221,6 +222,14 @@ def _mix(x):
     return x ^ (x >> np.uint64(31))
 
 
+def _number(key) -> int | None:
+    """A row key as a number: whole numbers stand for themselves, any other
+    key for the hash of its text."""
+    import xxhash
+
+    return key if key is None or isinstance(key, int) else xxhash.xxh64_intdigest(str(key).encode("utf-8", "surrogatepass"))
+
+
 def sample(texts: list[str], keys: list[int | None], model: Model, lattices: Lattices, seed: int):
     """Piece ids of each text (one flat int32 array and offsets) and the log
     weight of each drawn segmentation."""
@@ -380,7 +389,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
             sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
             for part in _slices(b, sizes, batch_bytes):
                 keys, texts = part.column(0), [t or "" for t in part.column(1).to_pylist()]
-                flat, offsets, score = sample(texts, keys.to_pylist(), model, lattices, seed)
+                flat, offsets, score = sample(texts, list(map(_number, keys.to_pylist())), model, lattices, seed)
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
                 more = {"decoded": _joined(ids, pieces)} if decoded else {}
                 yield pa.RecordBatch.from_pydict({key: keys, "ids": ids, "log_weight": pa.array(score), **more})

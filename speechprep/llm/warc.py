@@ -69,7 +69,10 @@ def _files(uri: str):
 
 
 def _urn(page) -> str:
-    return f"<urn:x-page:{'null' if page is None else page}>"
+    """A page id as a record id; text is escaped, so it can't be taken for null."""
+    if page is None:
+        return "<urn:x-page:null>"
+    return f"<urn:x-page:{page if isinstance(page, int) else '%' + ''.join(f'{b:02x}' for b in str(page).encode())}>"
 
 
 def _header(page, url, n: int, digest: str, refers) -> bytes:
@@ -198,7 +201,9 @@ class _Stream:
 
 def _page(urn: str | None):
     value = urn.removeprefix("<urn:x-page:").removesuffix(">") if urn else "null"
-    return None if value == "null" else int(value)
+    if value == "null":
+        return None
+    return bytes.fromhex(value[1:]).decode() if value.startswith("%") else int(value)
 
 
 def parse(raw, chunk: int) -> Iterator[tuple]:
@@ -225,15 +230,18 @@ def parse(raw, chunk: int) -> Iterator[tuple]:
         s.some(4)
 
 
-def read_chunks(manifest: DataFrame, chunk: int = CHUNK, batch_bytes: int = 4 << 20) -> DataFrame:
-    """The chunk rows of all archives in a manifest, one task a file at most."""
+def read_chunks(manifest: DataFrame, chunk: int = CHUNK, batch_bytes: int = 4 << 20, key: str = "long") -> DataFrame:
+    """The chunk rows of all archives in a manifest, one task a file at most.
+    ``key`` is the type of the page ids: ``long`` or ``string``."""
     spark = manifest.sparkSession
     ship_package(spark)
+    text_ids = key == "string"
 
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        types = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.string(), pa.int64(), pa.bool_()]
+        ids = pa.string() if text_ids else pa.int64()
+        types = [ids, pa.string(), ids, pa.int32(), pa.binary(), pa.string(), pa.int64(), pa.bool_()]
         names = ["page_id", "record_type", "refers_to", "chunk_no", "data", "digest_so_far", "bytes_so_far", "last"]
         rows: list[tuple] = []
         size = 0
@@ -252,7 +260,7 @@ def read_chunks(manifest: DataFrame, chunk: int = CHUNK, batch_bytes: int = 4 <<
 
     files = manifest.select("file")
     return files.repartition(max(1, files.count())).mapInArrow(
-        run, "page_id long, record_type string, refers_to long, chunk_no int, data binary, digest_so_far string, "
+        run, f"page_id {key}, record_type string, refers_to {key}, chunk_no int, data binary, digest_so_far string, "
              "bytes_so_far long, last boolean")
 
 

@@ -258,6 +258,16 @@ def test_pieces_are_lossless_and_reproducible(spark, tricky, empty):
     assert pieces.decode(pieces.encode(empty)).count() == 0
 
 
+def test_pieces_with_keys_of_any_type(spark, clashing):
+    rows = [("a", "the same text here"), ("b", "the same text here"), (None, "the same text here"), ("a", "the same text here")]
+    got = [tuple(r.ids) for r in pieces.encode(spark.createDataFrame(rows, "doc_id string, text string").coalesce(1)).collect()]
+    assert got[0] == got[3]
+    for kind, keys in (("double", [1.5, 2.5]), ("date", [__import__("datetime").date(2020, 1, 1), None]), ("decimal(9,2)", [__import__("decimal").Decimal("1.25"), None])):
+        df = spark.createDataFrame([(k, "some text") for k in keys], f"doc_id {kind}, text string")
+        assert [r.decoded for r in pieces.decode(pieces.encode(df)).collect()] == ["some text"] * 2
+    assert collections.Counter((r.doc_id, r.decoded) for r in pieces.decode(pieces.encode(clashing)).collect()) == collections.Counter((d, t or "") for d, t in TRICKY)
+
+
 def test_pieces_follow_the_lattice_distribution():
     model = pieces.Model(pieces._model_path(None))
     lattices, text = pieces.Lattices(model), "the cat"
@@ -316,6 +326,10 @@ def test_packing_tricky_rows(tricky, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_packing_with_clashing_columns(clashing):
+    check_packing(TRICKY, packing.pack(clashing.coalesce(1)).collect())
+
+
 def test_packing_cached_words_equal_the_tokenizer():
     import public_tokenizers
 

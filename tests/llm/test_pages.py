@@ -64,6 +64,16 @@ def test_archive_file_is_warc(spark):
     assert [r[4] for r in warc.parse(io.BytesIO(raw), 3)] == [b"hel", b"lo"]
 
 
+def test_archives_of_pages_with_text_ids(spark):
+    ids = ["a/b <1>", "null", "é\r\n日本", "", "7", None]
+    pages = spark.createDataFrame([(p, f"http://h/{k}", ("body " * 30) if k % 2 else f"own {k}") for k, p in enumerate(ids)], "page_id string, url string, html string")
+    manifest = warc.write_archives(pages.withColumn("digest", F.lit("x")).withColumn("n", F.lit(1)), shared_dir(spark, "warc-text"))
+    got = {(r.page_id, r.record_type, r.refers_to) for r in warc.read_chunks(manifest, key="string").where("last").collect()}
+    first = min(p for k, p in enumerate(ids) if k % 2 and p is not None)
+    assert {p for p, _, _ in got} == set(ids)
+    assert {(p, r) for p, kind, r in got if kind == "revisit"} == {(p, first) for k, p in enumerate(ids) if k % 2 and p != first}
+
+
 def test_archive_query_and_empty_table(spark, con):
     got = sorted(map(tuple, warc.query(spark, SF).collect()))
     assert got == sorted(con.execute(warc.ORACLE).fetchall())
