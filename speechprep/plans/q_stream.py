@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..fixtures import Tables
 from ..operators import infer
 from ..session import checkpoint_dir
+from ..streaming import ledger
 from ..streaming.export_stream import start_stream_export
 from ..streaming.pack_stream import stream_pack as stream_pack_op
 from .q_packing import _PACK_CTES, MAX_BYTES, NOW, STALE_S
@@ -79,6 +80,31 @@ def stream_export(t: Tables):
     return spark.read.parquet(f"{root}/export").select("volume_name", "lang", "object_key", "n_files", "bytes")
 
 
+def _flaky(todo):
+    """Stand-in transfer: a volume fails as often as its size modulo 5."""
+    fails = F.col("attempts") < F.col("bytes") % 5
+    return todo.select("volume_name", F.when(fails, F.concat(F.lit("attempt "), (F.col("attempts") + 1).cast("string"))).alias("error"))
+
+
+@query("export_ledger", ["v_files"], """
+SELECT bucket || '_' || name AS volume_name, bytes, CAST(least(bytes % 5 + 1, 3) AS BIGINT) AS attempts,
+       CASE WHEN bytes % 5 >= 3 THEN 'parked' ELSE 'done' END AS status, CASE WHEN bytes % 5 >= 3 THEN 'attempt 3' END AS error,
+       CASE WHEN bytes % 5 < 3 THEN 'up/' || split_part(bucket || '_' || name, '_', 1) || '/' || bucket || '_' || name END AS object_key
+FROM v_files
+""")
+def export_ledger(t: Tables):
+    """Volumes land in four manifests; some fail once, twice or too often."""
+    spark, root = t.spark, _run_dir(t.spark, "export_ledger")
+    volumes = t.v_files.select(F.concat("bucket", F.lit("_"), "name").alias("volume_name"), F.lit(1).cast("long").alias("n_files"), "bytes")
+    volumes.repartition(4).write.parquet(f"{root}/src")
+    q = ledger.start_ledger_export(spark, f"{root}/src", "volume_name string, n_files long, bytes long", f"{root}/ledger", f"{root}/chk",
+                                   _flaky, trigger={"availableNow": True}, max_files_per_trigger=2)
+    q.awaitTermination()
+    ledger.retry(spark, f"{root}/ledger", _flaky)
+    sent = ledger.exported(spark, f"{root}/ledger", "up/").select("volume_name", "object_key")
+    return ledger.ledger(spark, f"{root}/ledger").select("volume_name", "bytes", "attempts", "status", "error").join(sent, "volume_name", "left")
+
+
 def _words_sql() -> str:
     from ..functions.text import WS_CLASS_RE2
     from .sqlbits import strip_sql
