@@ -41,9 +41,19 @@ def clean_capped(c: Column, max_len: int = 50) -> Column:
     extension, then stripped."""
 
     def capped(s: Column) -> Column:
-        root, ext = _splitext(s)
-        return let(F.struct(root.alias("root"), ext.alias("ext")), lambda x: F.concat(
-            _left(x["root"], F.lit(max_len) - F.length(x["ext"])), x["ext"]))
+        # the suffix from the last dot, if a character other than a dot precedes it
+        after = F.when(F.instr(s, ".") > 0, F.concat(F.lit("."), F.substring_index(s, ".", -1))).otherwise("")
+        return let(after, lambda e: let(
+            F.struct(e.alias("ext"), (F.length(s) - F.length(e)).alias("n")),
+            lambda x: let(F.when((x["ext"] != "") & ~s.substr(F.lit(1), x["n"]).rlike(r"^\.*+$"), x).otherwise(
+                F.struct(F.lit("").alias("ext"), F.length(s).alias("n"))), kept(s))))
+
+    def kept(s: Column):
+        def body(x: Column) -> Column:  # Python's root[:max_len - len(ext)], also where that is negative
+            room = F.lit(max_len) - F.length(x["ext"])
+            return F.concat(s.substr(F.lit(1), F.when(room >= 0, F.least(room, x["n"])).otherwise(F.greatest(x["n"] + room, F.lit(0)))), x["ext"])
+
+        return body
 
     cleaned = collapse_ws(F.regexp_replace(c, ILLEGAL_CHARS, ""))
     return strip(let(cleaned, lambda s: F.when(F.length(s) > max_len, capped(s)).otherwise(s)))

@@ -28,8 +28,8 @@ def rstrip(c: Column) -> Column:
     return F.rtrim(c, F.lit(PY_WHITESPACE))
 
 
-#: Runs that are not a single blank already; single blanks need no replacing.
-_RUNS = f"{WS_CLASS_JAVA[:-1]}&&[^ ]]{WS_CLASS_JAVA}*+| {WS_CLASS_JAVA}++"
+#: The same characters by Java's own classes, which match faster than a list.
+_RUNS = r"[\s\p{Z}\x1c-\x1f\x85]+"
 
 
 def collapse_ws(c: Column) -> Column:

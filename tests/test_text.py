@@ -179,3 +179,14 @@ def test_join_url_by_rfc3986(spark):
     df = spark.createDataFrame(rows, "b string, r string").select("b", "r", urls.join_url(F.col("b"), F.col("r")).alias("u"))
     for x in df.collect():
         assert x.u == urljoin(x.b, x.r), (x.b, x.r, x.u, urljoin(x.b, x.r))
+
+
+def test_collapse_knows_every_white_space(spark):
+    import re
+
+    from speechprep.functions.text import collapse_ws
+
+    texts = [f"a{chr(k)}b{chr(k)}{chr(k)}c" for k in range(1, 0x3100) if not 0xD800 <= k < 0xE000]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    for r in df.select("x", collapse_ws(df.x).alias("y")).collect():
+        assert r.y == re.sub(r"\s+", " ", r.x)
