@@ -22,6 +22,8 @@ MODULES = {
     "sig": "operators.signal", "infer": "operators.infer", "catalogs": "sources.catalogs", "pages": "sources.pages",
     "cat": "sources.catalog", "jsonmaps": "sources.jsonmaps", "names": "functions.names", "urls": "functions.urls",
     "paths": "functions.paths", "tts": "functions.tts", "lyrics": "functions.lyrics", "media": "functions.media",
+    "markup": "sources.markup", "files": "sources.files", "upsert_table": "operators.upsert_table", "passes": "operators.passes",
+    "dealing": "operators.dealing", "ledger": "streaming.ledger",
 }
 # keys whose builders go through a local helper
 OVERRIDES = {
