@@ -67,6 +67,52 @@ def test_stream_packs_files_of_one_millisecond_in_order(spark, tmp_path):
     assert {(r.name, r.mtime) for r in got} == {(n, m) for _, n, _, m in rows}
 
 
+class _State:
+    """What the packer uses of a group's state."""
+
+    exists, hasTimedOut, get = False, False, None
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+
+def test_stream_packer_holds_one_arrow_batch(spark):
+    from speechprep.streaming.pack_stream import _pack_fn
+
+    taken, state = [], _State()
+
+    def arrivals():
+        for k in range(50):
+            taken.append(k)
+            yield pd.DataFrame({"bucket": "b", "name": [f"n{k:02d}{i}" for i in range(4)], "bytes": [3, 4, 5, 6],
+                                "mtime": pd.to_datetime([T0 + dt.timedelta(seconds=4 * k + i) for i in range(4)])})
+
+    out, reach = [], []
+    for pdf in _pack_fn(10, 3600, NOW_MS)(("b",), arrivals(), state):
+        reach.append(len(taken))
+        out.append(pdf)
+    assert reach[:2] == [1, 2]  # volumes leave before the next batch is read
+    got = pd.concat(out)
+    batch = packing.pack_volumes(spark.createDataFrame([("b", r.name, r.bytes, r.mtime.to_pydatetime()) for r in got[["name", "bytes", "mtime"]].itertuples(index=False)],
+                                                       SCHEMA), 10, "2024-01-01 10:00:00", 3600, slices=4)
+    assert dict(zip(got["name"], got["volume_seq"])) == {r.name: r.volume_seq for r in batch.where("status = 'packed'").collect()}
+    assert len(got) == 200 and list(state.get[0]) == []
+
+
+def test_stream_packs_shuffled_arrivals_in_small_arrow_batches(spark, tmp_path):
+    rows = [(b, f"n{(i * 37) % 120:03d}", (i * 7) % 13 + 1, T0 + dt.timedelta(seconds=i * 53 % 40)) for i in range(120) for b in ("k", "l", None)]
+    src, out, chk = str(tmp_path / "s"), str(tmp_path / "o"), str(tmp_path / "c")
+    _land(spark, rows, src)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        _run(spark, src, out, chk)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    batch = packing.pack_volumes(spark.createDataFrame(rows, SCHEMA), 10, "2024-01-01 10:00:00", 3600, slices=4)
+    streamed = {(r.bucket, r.name): r.volume_seq for r in spark.read.parquet(out).collect()}
+    assert streamed == {(r.bucket, r.name): r.volume_seq for r in batch.where("status = 'packed'").collect()}
+
+
 def test_stream_export_idempotent(spark, tmp_path):
     src = str(tmp_path / "m")
     spark.createDataFrame([("en_20240101_000000_000.tar", 3, 10), ("de_20240101_000000_001.tar", 1, 5)],
