@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import splitext
-from .ordered import ranked
+from .ordered import materialize, ranked
 
 
 def assign_batches(df: DataFrame, group: str, order: str, size: int, out: str = "batch_no") -> DataFrame:
@@ -60,26 +60,32 @@ def dedupe_names(df: DataFrame, group: str, name: str, order: str, width: int =
     ordinal plus the taken ones below it, and those are counted by a running
     sum over taken and wanted suffixes together.  A generated name never meets
     another one, as its last number gives back its root.
+
+    Names may be long: they are written once with a row number and shuffled once,
+    when the suffixes are joined; all counting is done on SHA-256 digests.
     """
-    key = [group, "_root", "_ext"]
+    key = [group, "_key"]
     sfx = lambda n: F.format_string(f"%0{width}d" if width > 0 else "%d", n)
+    # a name is told by the digest of its root and extension
+    digest = lambda root, ext: F.unhex(F.sha2(F.concat(F.length(root).cast("string"), F.lit(":"), root, ext), 256))
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
     root, ext = splitext(F.col(name))
-    r = ranked(df, [group, name], [order], rn_col="_rn").withColumns({"_root": root, "_ext": ext})
-    first, again = r.where("_rn = 1"), r.where("_rn > 1")
-    number = F.regexp_extract("_root", "_([0-9]{1,18})$", 1)
-    taken = (
-        first.where(number != "").select(group, F.regexp_replace("_root", "_[0-9]+$", "").alias("_root"), "_ext",
-                                         number.cast("bigint").alias("_t"), number.alias("_digits"))
-        .where((F.col("_t") > 0) & (F.col("_digits") == sfx(F.col("_t")))).drop("_digits")
-    )
+    parts = rows.select(F.col(group), F.col(order).alias("_order"), "_row", root.alias("_root"), ext.alias("_ext"))
+    parts = parts.withColumn("_digits", F.regexp_extract("_root", "_([0-9]{1,18})$", 1))
+    number = F.when(F.col("_digits") != "", F.col("_digits").cast("bigint"))
+    parts = parts.withColumn("_t", F.when((number > 0) & (F.col("_digits") == sfx(number)), number))
+    stem = F.when(F.col("_t").isNotNull(), digest(F.regexp_replace("_root", "_[0-9]+$", ""), F.col("_ext")))
+    keys = parts.select(group, "_order", "_row", digest(F.col("_root"), F.col("_ext")).alias("_key"), "_t", stem.alias("_stem"))
+    r = ranked(keys, key, ["_order", "_row"], rn_col="_rn")
+    taken = r.where("_rn = 1 AND _t IS NOT NULL").select(group, F.col("_stem").alias("_key"), "_t")
     # a taken suffix t stands behind t - i free ones, i being its rank among the taken
     taken = ranked(taken, key, ["_t"], rn_col="_i").select(*key, (F.col("_t") - F.col("_i")).alias("_at"), F.lit(1).alias("_w"))
-    wanted = again.withColumns({"_at": (F.col("_rn") - 1).cast("bigint"), "_w": F.lit(0)})
+    wanted = r.where("_rn > 1").select(*key, "_row", (F.col("_rn") - 1).cast("bigint").alias("_at"), F.lit(0).alias("_w"))
     both = wanted.unionByName(taken, allowMissingColumns=True)
     placed = ranked(both, key, ["_at", "_w"], value_col="_w", rn_col="_k", cum_col="_below").where("_w = 0")
-    named = placed.withColumn(out, F.concat("_root", F.lit("_"), sfx((F.col("_at") + F.col("_below")).cast("bigint")), "_ext"))
-    cols = [*df.columns, out]
-    return first.withColumn(out, F.col(name)).select(*cols).unionByName(named.select(*cols))
+    numbers = placed.select("_row", (F.col("_at") + F.col("_below")).cast("bigint").alias("_n"))
+    unique = F.when(F.col("_n").isNull(), F.col(name)).otherwise(F.concat(root, F.lit("_"), sfx(F.col("_n")), ext))
+    return rows.join(numbers, "_row", "left").withColumn(out, unique).select(*df.columns, out)
 
 
 def latest_n(df: DataFrame, group: str, order: list[Column], n: int, out: str = "rank") -> DataFrame:

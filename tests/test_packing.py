@@ -97,6 +97,22 @@ def test_dedupe_names_with_a_chain_of_literal_names(spark):
     assert all(mine[i] == names[i] for i in (0, 2, 3, 4, 5, 7, 9, 11, 12))
 
 
+def test_dedupe_names_moves_no_long_names_to_count_them(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    seen, ranked = [], batching.ranked
+    monkeypatch.setattr(batching, "ranked", lambda df, *a, **k: ranked(seen.append(df) or df, *a, **k))
+    long = "word " * 2000
+    names = [long, long, long + "_01", long, ".mp3", "_01.mp3", ".mp3", None, None, "x.y", "x.y"]
+    rows = [(None if i in (1, 3) else i // 2, "a", n, i) for i, n in enumerate(names)]  # numbers repeat or are missing
+    df = spark.createDataFrame(rows, "id long, album string, name string, row int")
+    got = {r.row: r.unique_name for r in batching.dedupe_names(df, "album", "name", "id").collect()}
+    assert sorted(got[i] for i in (0, 1, 3)) == [long, long + "_02", long + "_03"] and got[2] == long + "_01"
+    assert [got[i] for i in range(4, 11)] == [".mp3", "_01.mp3", ".mp3_01", None, None, "x.y", "x_01.y"]
+    widest = [max(d.select(F.greatest(F.lit(0), *[F.length(F.col(c).cast("string")) for c in d.columns]).alias("n")).toPandas()["n"], default=0) for d in seen]
+    assert len(seen) == 3 and max(widest) < 100
+
+
 def test_split_evenly_matches_ntile(spark):
     df = spark.createDataFrame([("a", f"p{i:02d}") for i in range(10)] + [("b", "q1"), ("b", "q2")], "album string, path string")
     got = {r.path: r.part for r in batching.split_evenly(df, "album", "path", 4).collect()}
