@@ -12,11 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import upsert_table
+from .ordered import materialize
 
 SCHEMA = "path string, text string, error string, pass int"
 
@@ -57,8 +60,10 @@ def run(clips: DataFrame, root: str, steps: list[Pass], chunks: int = 4, buckets
     chunk, version, changed.
 
     A chunk is a fixed share of the paths (by hash); what a crash loses is the
-    chunk it falls into.  Of a path given twice one row is taken."""
+    chunk it falls into.  Of a path given twice one row is taken.  The clips
+    that some pass may take are written once, as every chunk reads them."""
     spark, done = clips.sparkSession, []
+    clips = materialize(clips.where(reduce(or_, [step.select for step in steps], F.lit(False))))
     chunk_of = F.pmod(F.xxhash64("path", F.lit(1)), F.lit(chunks))
     for step in steps:
         for k in range(chunks):

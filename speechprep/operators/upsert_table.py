@@ -16,7 +16,7 @@ import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DATA, VERSIONS = "data", "versions"
@@ -67,6 +67,19 @@ def read(spark: SparkSession, root: str, schema: str, version: dict | None = Non
     return spark.read.schema(schema).parquet(*dirs) if dirs else spark.createDataFrame([], schema)
 
 
+def _merged(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """The rows of a full join on the key with ``new`` before ``old``, but with
+    one shuffle by bucket: a key's new rows stand for its old ones, each once for
+    every old row; null keys are all different."""
+    both = old.withColumn("_is", F.lit(0)).unionByName(new.select(*old.columns).withColumn("_is", F.lit(1))).repartition("_b")
+    same = Window.partitionBy("_b", key)
+    both = both.withColumns({"_news": F.sum("_is").over(same), "_olds": F.sum(1 - F.col("_is")).over(same)})
+    is_new = F.col(key).isNotNull() & (F.col("_is") == 1)
+    kept = both.where(is_new | F.col(key).isNull() | (F.col("_news") == 0))
+    times = F.when(is_new, F.greatest(F.lit(1), F.col("_olds").cast("int"))).otherwise(1)
+    return kept.withColumn("_each", F.explode(F.sequence(F.lit(1), times))).select(*old.columns)
+
+
 def upsert(new: DataFrame, root: str, key: str, buckets: int = 64, expect: int | None = None) -> dict:
     """Put ``new`` rows (one a key; new wins) into the table at ``root``.
 
@@ -87,15 +100,15 @@ def upsert(new: DataFrame, root: str, key: str, buckets: int = 64, expect: int |
     rows = spark.read.parquet(staged)
     touched = sorted(r[0] for r in rows.select("_b").distinct().collect())  # buckets at most
     old = read(spark, root, schema, content, touched).withColumn("_b", bucket)
-    rest = [c for c in columns if c != key]
+    # what changes is found on digests of the texts, each bucket's share is merged in one shuffle
+    long = {f.name for f in new.schema.fields if f.dataType.simpleString() in ("string", "binary")}
+    rest = [(F.sha2(c, 256) if c in long else F.col(c)).alias(c) for c in columns if c != key]
     side = lambda d, name: d.select("_b", key, F.struct(*rest).alias(name))
-    merged = side(old, "_old").join(side(rows, "_new"), ["_b", key], "full")
-    merged = merged.withColumn("_changed", F.col("_new").isNotNull() & ~F.col("_new").eqNullSafe(F.col("_old")))
-    dirty = {r[0]: r[1] for r in merged.where("_changed").groupBy("_b").count().collect()}
+    found = side(rows, "_new").join(side(old, "_old"), ["_b", key], "left").where(~F.col("_new").eqNullSafe(F.col("_old")))
+    dirty = {r[0]: r[1] for r in found.groupBy("_b").count().collect()}
     if dirty:
-        value = F.coalesce("_new", "_old")
-        out = merged.where(F.col("_b").isin(list(dirty))).select(*[F.col(key) if c == key else value[c].alias(c) for c in columns], "_b")
-        out.repartition("_b").sortWithinPartitions("_b", key).write.partitionBy("_b").parquet(f"{root}/{DATA}/{job}")
+        out = _merged(old, rows, key).where(F.col("_b").isin(list(dirty)))
+        out.sortWithinPartitions("_b", key).write.partitionBy("_b").parquet(f"{root}/{DATA}/{job}")
         known = {**content["buckets"], **{str(b): f"{job}/_b={b}" for b in dirty}}
         number += 1
         _publish(spark, root, number, {"n": buckets, "key": key, "buckets": known})

@@ -71,3 +71,19 @@ def test_a_path_given_twice_is_taken_once(spark, tmp_path):
     clips = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), ("b", 2, "y")], CLIPS)
     passes.run(clips, root, [passes.Pass(1, F.lit(True), model(None))], chunks=1, buckets=2)
     assert sorted(r.path for r in passes.results(spark, root).collect()) == ["a", "b"]
+
+
+def test_the_clips_are_read_once_a_run(spark, tmp_path):
+    root, read = str(tmp_path / "r"), spark.sparkContext.accumulator(0)
+
+    def counted(chunks):
+        for chunk in chunks:
+            read.add(len(chunk))
+            yield chunk
+
+    texts = spark.createDataFrame([(p, t) for p, _, t in ROWS], "path string, text string").mapInPandas(counted, "path string, text string")
+    clips = spark.createDataFrame([(p, d) for p, d, _ in ROWS], "path string, duration_ms long").join(texts, "path")
+    steps = passes.two_passes("duration_ms", model("bad"), model("y"))
+    passes.run(clips, root, steps, chunks=3, buckets=4)
+    assert {r.path: (r.text, r.error, r["pass"]) for r in passes.results(spark, root).collect()} == plain("bad", "y")
+    assert read.value == len(ROWS)  # not once a chunk of every pass

@@ -74,3 +74,19 @@ def test_a_claim_of_a_dead_writer_does_not_block(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(table, "STALE", -1)
     assert table.upsert(spark.createDataFrame([("a", "2")], ROWS), root, "path")["version"] == 2
     assert rows_of(spark, root) == {"a": "2"}
+
+
+def test_keys_that_repeat_or_are_missing(spark, tmp_path):
+    root = str(tmp_path / "t")
+    table.upsert(spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1"), (None, "1"), ("c", None)], ROWS), root, "path", buckets=2)
+    got = table.upsert(spark.createDataFrame([("a", "3"), ("a", "4"), (None, "1"), ("c", None), ("d", "x")], ROWS), root, "path")
+    rows = sorted(((r.path, r.text) for r in table.read(spark, root, ROWS).collect()), key=str)
+    # each new row takes the place of each old one; null keys are all different
+    assert rows == sorted([("a", "3"), ("a", "3"), ("a", "4"), ("a", "4"), ("b", "1"), (None, "1"), (None, "1"), ("c", None), ("d", "x")], key=str)
+    assert got["changed"] == 6
+
+
+def test_texts_are_shuffled_once_by_bucket(spark):
+    old, new = (spark.createDataFrame([("a", "1", 0)], ROWS + ", _b int") for _ in range(2))
+    plan = table._merged(old, new, "path").sortWithinPartitions("_b", "path")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
