@@ -113,6 +113,49 @@ def test_stream_packs_shuffled_arrivals_in_small_arrow_batches(spark, tmp_path):
     assert streamed == {(r.bucket, r.name): r.volume_seq for r in batch.where("status = 'packed'").collect()}
 
 
+def test_stream_export_query_packs_an_arrow_batch_at_a_time(spark, tmp_path, monkeypatch):
+    from speechprep.fixtures import Tables
+    from speechprep.plans import q_stream
+    from speechprep.streaming import pack_stream
+
+    real, log = pack_stream._pack_fn, str(tmp_path / "log")
+
+    def logged(*args):
+        fn = real(*args)
+
+        def wrapped(key, pdfs, state):
+            taken = []
+
+            def tap():
+                for pdf in pdfs:
+                    taken.append(len(pdf))
+                    yield pdf
+
+            for out in fn(key, tap(), state):
+                with open(log, "a") as f:
+                    f.write(f"{sum(taken)} {len(out)}\n")
+                yield out
+
+        return wrapped
+
+    monkeypatch.setattr(pack_stream, "_pack_fn", logged)
+    rows = [(i, "en_1", 400_000.0, T0.replace(year=2001) + dt.timedelta(seconds=i)) for i in range(500)]  # two files fill a volume
+    spark.createDataFrame(rows, "o_orderkey long, o_orderpriority string, o_totalprice double, o_orderdate timestamp_ntz").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        got = q_stream.stream_export(Tables(spark, str(tmp_path))).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.lang, r.n_files, r.bytes) for r in got) == [("en", 2, 80_000_000)] * 250 and len({r.object_key for r in got}) == 250
+    taken, left = 0, 0  # rows the function has read, and rows of volumes it has let go
+    with open(log) as f:
+        for line in f:
+            taken, out = map(int, line.split())
+            assert taken - left <= 22  # an Arrow batch and an open volume
+            left += out
+    assert taken == left == 500
+
+
 def test_stream_export_idempotent(spark, tmp_path):
     src = str(tmp_path / "m")
     spark.createDataFrame([("en_20240101_000000_000.tar", 3, 10), ("de_20240101_000000_001.tar", 1, 5)],
